@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .storage import materialize, partitions
-from .text import PACKED, U64, FirstSeen, groups, hash_words, mix, ngrams, packed, unpacked, words
+from .text import PACKED, U64, FirstSeen, groups, hash_words, mix, ngrams, packed, released, squeezed, unpacked, words
 
 #: Members of a star that are compared with each other in one task.
 BLOCK = 256
@@ -26,9 +26,9 @@ BLOCK = 256
 FRAGMENT = 8192
 
 
-def shingle_set(text: str | None, n: int) -> np.ndarray:
+def shingle_set(items: list[bytes], n: int) -> np.ndarray:
     """Sorted distinct fingerprints of the n-word shingles, A-Z in lower case; of fewer words, one of their whole sequence."""
-    h = hash_words([w.lower() for w in words(text)])
+    h = hash_words([w.lower() for w in items])
     if 0 < len(h) < n:
         return np.array([xxhash.xxh64_intdigest(h.tobytes(), seed=len(h))], dtype=U64)
     return np.unique(ngrams(h, n))
@@ -111,7 +111,7 @@ def shingle_table(docs: DataFrame, n: int, percent: int, id_column: str, text_co
         for frame in frames:
             rows = []
             for i, text in zip(frame["doc_id"], frame["text"]):
-                s = shingle_set(text, n)
+                s = shingle_set(words(text), n)
                 rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, fragment_keys(s, percent).tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "signature", "keys"])
 
@@ -145,12 +145,12 @@ def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percen
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     placed = stars.join(sized, "pivot").select("doc_id", F.struct("pivot", block.alias("block")).alias("place"))
     placed = placed.unionByName(sized.select(F.col("pivot").alias("doc_id"), F.explode(F.transform(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")), lambda b: F.struct(F.col("pivot"), b.alias("block")))).alias("place")))
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), squeezed(F.col(text_column).cast("string")).alias("z")).where("z IS NOT NULL")
     placed = placed.groupBy("doc_id").agg(F.collect_list("place").alias("places")).join(texts, "doc_id").dropDuplicates(["doc_id"])
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            members = [shingle_set(t, n).tobytes() for t in frame["text"]]
+            members = [shingle_set(t.split(), n).tobytes() for t in released(frame["z"])]
             rows = [(p["pivot"], p["block"], i, s) for i, s, places in zip(frame["doc_id"], members, frame["places"]) for p in places]
             yield pd.DataFrame(rows, columns=["pivot", "block", "doc_id", "members"])
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import materialize, partitions
-from .text import PACKED, U64, FirstSeen, groups, hash_words, ngrams, packed_flat, unpacked, window_minimum, words
+from .text import PACKED, U64, FirstSeen, hash_words, ngrams, packed_flat, released, squeezed, unpacked, window_minimum, words
 
 #: Words of an anchor, and windows of a piece at most (its marks fit a long).
 ANCHOR, PIECE = 4, 40
@@ -129,37 +129,55 @@ def _pieces_of(docs: DataFrame, length: int) -> DataFrame:
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = [words(t) for t in frame["text"]]
+            texts = [z.split() for z in released(frame["z"])]
             runs = anchors(texts, length)
             wanted = pd.DataFrame({"text": np.repeat(np.arange(len(texts)), [len(a) for a in frame["anchors"]]), "anchor": np.concatenate(frame["anchors"].tolist())})
             runs = runs.merge(wanted, on=["text", "anchor"])
             bodies = [b" ".join(texts[t][at : at + n + length - 1]) for t, at, n in zip(runs["text"].tolist(), runs["start"].tolist(), runs["windows"].tolist())]
             runs["body"], runs["piece"] = bodies, [xxhash.xxh3_128_digest(b) for b in bodies]
             runs["doc_id"] = frame["doc_id"].to_numpy(np.int64)[runs["text"].to_numpy(np.int64)]
+            # A piece's body goes on once from each batch, with the batch's first document.
+            runs = runs.sort_values("doc_id", kind="stable")
+            runs.loc[runs.duplicated(["anchor", "piece"]), "body"] = None
             yield runs[["anchor", "piece", "doc_id", "start", "windows", "body"]]
 
-    return docs.join(shared, "doc_id").mapInPandas(cut, "anchor long, piece binary, doc_id long, start int, windows int, body binary")
+    texts = docs.where("text IS NOT NULL").select("doc_id", squeezed("text").alias("z"))
+    return texts.join(shared, "doc_id").mapInPandas(cut, "anchor long, piece binary, doc_id long, start int, windows int, body binary")
+
+
+def _judge(pieces: list[tuple[bytes, list[bytes], int]], length: int) -> list[tuple[bytes, int, int]]:
+    """(piece, first, mask) of a shard's distinct pieces (piece, words, first document), in order of their first documents."""
+    reference, out = SuffixAutomaton(), []
+    for k, (piece, sequence, first) in enumerate(pieces):
+        found = reference.earliest(sequence, length) if k else [None] * (len(sequence) - length + 1)
+        out.append((piece, first, sum(1 << i for i, f in enumerate(found) if f is not None and f < first)))
+        if None in found and k + 1 < len(pieces):
+            low, high = found.index(None), len(found) - found[::-1].index(None)
+            reference.add(sequence[low : high + length - 1], first)
+    return out
 
 
 def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
     """(doc_id, starts, masks) of documents (doc_id, text): bit i of a mask tells that the window at start + i also starts in one of smaller id."""
     parts = partitions(docs.sparkSession)
     pieces = materialize(_pieces_of(docs, length), "pieces")
-    distinct = pieces.groupBy("anchor", "piece", "body").agg(F.min("doc_id").alias("first"))
 
     def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for shard in groups(frames, ["anchor"]):
-            reference, rows = SuffixAutomaton(), []
-            for piece, body, first in zip(shard["piece"], shard["body"], shard["first"].tolist()):
-                sequence = body.split()
-                found = reference.earliest(sequence, length) if rows else [None] * (len(sequence) - length + 1)
-                rows.append((piece, first, sum(1 << i for i, f in enumerate(found) if f is not None and f < first)))
-                if None in found:
-                    lo, hi = found.index(None), len(found) - found[::-1].index(None)
-                    reference.add(sequence[lo : hi + length - 1], first)
-            yield pd.DataFrame(rows, columns=["piece", "first", "mask"])
-
-    judged = distinct.repartition(parts, "anchor").sortWithinPartitions("anchor", "first", "piece").mapInPandas(stream, "piece binary, first long, mask long")
+        shard, shard_pieces, seen, out = None, [], set(), []
+        for frame in frames:
+            for anchor, piece, first, body in zip(frame["anchor"].tolist(), frame["piece"], frame["doc_id"].tolist(), frame["body"]):
+                if anchor != shard:
+                    out += _judge(shard_pieces, length)
+                    shard, shard_pieces, seen = anchor, [], set()
+                if piece not in seen:
+                    seen.add(piece)
+                    shard_pieces.append((piece, body.split(), first))
+            yield pd.DataFrame(out, columns=["piece", "first", "mask"])
+            out = []
+        yield pd.DataFrame(_judge(shard_pieces, length), columns=["piece", "first", "mask"])
+
+    bodies = pieces.where("body IS NOT NULL").select("anchor", "doc_id", "piece", "body")
+    judged = bodies.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "piece").mapInPandas(stream, "piece binary, first long, mask long")
     judged = materialize(judged, "judged")
     full = F.expr("shiftleft(1L, windows) - 1L")
     hits = pieces.select("piece", "doc_id", "start", "windows").join(judged, "piece").withColumn("mask", F.when(F.col("doc_id") > F.col("first"), full).otherwise(F.col("mask"))).where("mask <> 0")
@@ -193,21 +211,22 @@ def substring_dedup(docs: DataFrame, length: int = 13, id_column: str = "doc_id"
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("doc_id IS NOT NULL")
     starts = repeated_windows(slim, length)
     own = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    wide = docs.select(F.struct(*own).alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("doc_id IS NOT NULL")
-    joined = wide.join(starts, "doc_id", "left")
+    columns = [(squeezed(F.col(text_column).cast("string")) if c == text_column else F.col(c)).alias(f"c{k}") for k, c in enumerate(own)]
+    wide = docs.select(*columns, F.col(id_column).cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
 
     @F.pandas_udf("text string, n_words long, n_removed long")
-    def cut(text: pd.Series, starts: pd.Series, masks: pd.Series) -> pd.DataFrame:
+    def cut(frames: pd.Series, starts: pd.Series, masks: pd.Series) -> pd.DataFrame:
         rows = []
-        for t, s, m in zip(text, starts, masks):
-            items = words(t)
+        for t, s, m in zip(released(frames), starts, masks):
+            items = t.split() if t is not None else []
             stay = kept_words(len(items), s, m, length)
-            kept = t if stay.all() else b" ".join([w for w, k in zip(items, stay.tolist()) if k]).decode("utf-8", "surrogatepass")
-            rows.append((kept, len(items), int(len(items) - stay.sum())))
+            kept = t if stay.all() else b" ".join([w for w, k in zip(items, stay.tolist()) if k])
+            rows.append((kept.decode("utf-8", "surrogatepass") if t is not None else None, len(items), int(len(items) - stay.sum())))
         return pd.DataFrame(rows, columns=["text", "n_words", "n_removed"])
 
-    out = joined.select("row", cut("text", "starts", "masks").alias("cut"))
-    return out.select(*[(F.col("cut.text") if c == text_column else F.col(f"row.`{c}`")).alias(c) for c in own], F.col("cut.n_words").alias("n_words"), F.col("cut.n_removed").alias("n_removed"))
+    at = own.index(text_column)
+    out = wide.join(starts, "doc_id", "left").withColumn("cut", cut(f"c{at}", "starts", "masks"))
+    return out.select(*[F.col("cut.text" if k == at else f"c{k}").alias(c) for k, c in enumerate(own)], F.col("cut.n_words").alias("n_words"), F.col("cut.n_removed").alias("n_removed"))
 
 
 def kept_digest(kept: DataFrame) -> DataFrame:

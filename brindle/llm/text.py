@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Spark's regular expression for what separates words: ASCII space, tab, line feed, vertical tab, form feed, carriage return.
@@ -41,6 +43,19 @@ def ngrams(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+@F.pandas_udf("binary")
+def squeezed(text: pd.Series) -> pd.Series:
+    """Texts as zstd frames, for the way through a shuffle; null stays null."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return pd.Series([pack(t.encode("utf-8", "surrogatepass")) if isinstance(t, str) else None for t in text], dtype=object)
+
+
+def released(frames: pd.Series) -> list[bytes | None]:
+    """The UTF-8 of squeezed texts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(z) if z is not None else None for z in frames]
+
+
 def window_minimum(values: np.ndarray, span: int) -> np.ndarray:
     """The smallest of each `span` consecutive values."""
     out, width = values, 1
