@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .ann import nearest_neighbours
+from .html_tree import extract_main_text
 from .isolation import quality_rules
 from .jaccard import ngram_jaccard_join
+from .licenses import license_scan
+from .lm_scoring import cross_entropy_difference
 from .mixing import mixture_report
 from .packing import pack
+from .quality_qda import quality_scores
 from .storage import table
 from .substring import kept_digest, substring_dedup
 
@@ -17,6 +23,19 @@ from .substring import kept_digest, substring_dedup
 TOKENIZER, TOKENIZER_PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 
 
+def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return scored.select("doc_id", "n_tokens", F.round("score", 6).alias("score"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER, TOKENIZER_PATTERN, capacity=1024)
 
@@ -33,10 +52,18 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_digest(substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), length=13))
 
 
+def op8_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op9_cross_polytope_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op10_isolation_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
-QUERIES = {f.__name__: f for f in (op4_harmonic_packing, op5_mixing_sources, op6_ngram_jaccard_join, op7_substring_dedup, op10_isolation_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_cross_entropy_difference, op2_license_scan, op3_quality_discriminant, op4_harmonic_packing, op5_mixing_sources, op6_ngram_jaccard_join, op7_substring_dedup, op8_site_style_tree, op9_cross_polytope_neighbours, op10_isolation_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
