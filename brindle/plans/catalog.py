@@ -1,10 +1,541 @@
-"""The registered queries of the engine, each with the SQL that gives the same rows."""
+"""The registered queries of the engine over the given tables, each with the SQL that gives the same rows.
+
+Tables are seen as reads: events are reads of clusters (a user's day), clicks are chromatin and other types name targets;
+line items are reads of orders, and intervals of days; names of customers and suppliers give stable pseudo-DNA.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import day_number, hamming, pseudo_dna
+from ..operators import barcode, chrom, clusters, dedup, funnel, interactions, intervals, stats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f: Callable) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Reads of clusters, from events.
+
+
+def _reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "click", "DPM1").otherwise(F.concat(F.lit("BEAD_"), "event_type"))
+    cluster = F.concat_ws("_", F.col("user_id").cast("string"), day_number(F.col("ts")).cast("string"))
+    return _table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 4).alias("sample"), cluster.alias("cluster"), kind.alias("read_type"))
+
+
+def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.summarize_clusters(_reads(spark, sf_dir), min_oligos=2, proportion=0.8, max_size=2)
+
+
+_READS_SQL = """reads AS (SELECT event_id, user_id % 4 AS sample, user_id || '_' || date_diff('day', DATE '1970-01-01', ts::DATE) AS cluster,
+ CASE WHEN event_type = 'click' THEN NULL ELSE event_type END AS target FROM events),
+counts AS (SELECT cluster, target, count(*) AS n FROM reads GROUP BY ALL),
+sums AS (SELECT cluster, coalesce(sum(n) FILTER (target IS NULL), 0)::BIGINT AS n_dpm, coalesce(sum(n) FILTER (target IS NOT NULL), 0)::BIGINT AS n_oligo,
+ coalesce(max(n) FILTER (target IS NOT NULL), 0)::BIGINT AS mode_count FROM counts GROUP BY cluster),
+modes AS (SELECT c.cluster, min(c.target) AS mode FROM counts c JOIN sums s ON c.cluster = s.cluster AND c.n = s.mode_count WHERE c.target IS NOT NULL GROUP BY c.cluster),
+clusters AS (SELECT s.*, m.mode, CASE WHEN n_oligo = 0 THEN 'none' WHEN n_dpm > 2 THEN 'filtered' WHEN mode_count < 2 THEN 'uncertain'
+ WHEN mode_count / n_oligo < 0.8 THEN 'ambiguous' ELSE mode END AS label FROM sums s LEFT JOIN modes m USING (cluster))"""
+
+
+def _cte(sql: str, *more: str) -> str:
+    return f"WITH {', '.join((_READS_SQL, *more))} {sql}"
+
+
+@query(_cte("SELECT label, count(*) AS n_clusters, sum(n_dpm)::BIGINT AS n_dpm FROM clusters GROUP BY label"))
+def cluster_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clusters(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n_clusters"), F.sum("n_dpm").alias("n_dpm"))
+
+
+@query(_cte("SELECT cluster, n_dpm, n_oligo, mode, mode_count, round(CASE WHEN n_oligo > 0 THEN mode_count / n_oligo ELSE 0 END, 6)::DOUBLE AS share, label FROM clusters"))
+def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clusters(spark, sf_dir).withColumn("share", F.round("share", 6)).select("cluster", "n_dpm", "n_oligo", "mode", "mode_count", "share", "label")
+
+
+_HIST = "hist AS (SELECT label, unnest(['total', 'DPM', 'BPM']) AS read_type, unnest([n_dpm + n_oligo, n_dpm, n_oligo]) AS reads_per_cluster FROM clusters)"
+
+
+@query(_cte("SELECT label, read_type, reads_per_cluster, count(*) AS n_clusters FROM hist GROUP BY ALL", _HIST))
+def reads_per_cluster_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.reads_per_cluster(_clusters(spark, sf_dir))
+
+
+@query(_cte("SELECT label, metric, value, count(*) AS n_clusters FROM (SELECT label, unnest(['count', 'proportion']) AS metric, unnest([mode_count, CASE WHEN n_oligo > 0 THEN 100 * mode_count // n_oligo ELSE 0 END]) AS value FROM clusters) GROUP BY ALL"))
+def bpm_max_rep_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.max_representation(_clusters(spark, sf_dir))
+
+
+@query(_cte("SELECT event_id, r.cluster, CASE WHEN target IS NULL THEN label END AS RG, CASE WHEN target IS NOT NULL THEN label END AS YG, CASE WHEN target IS NOT NULL THEN n_dpm END AS YC FROM reads r JOIN clusters c ON r.cluster = c.cluster"))
+def labelled_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.label_reads(_reads(spark, sf_dir), _clusters(spark, sf_dir)).select("event_id", "cluster", "RG", "YG", "YC")
+
+
+@query(_cte("SELECT sample, label, count(*) AS n_reads FROM reads r JOIN clusters c ON r.cluster = c.cluster WHERE target IS NULL GROUP BY ALL"))
+def label_read_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.label_reads(_reads(spark, sf_dir), _clusters(spark, sf_dir)).where("RG IS NOT NULL").groupBy("sample", F.col("RG").alias("label")).agg(F.count("*").alias("n_reads"))
+
+
+@query(_cte("SELECT label, count(*) AS n_clusters, sum(n_dpm)::BIGINT AS n_dpm, sum(n_oligo)::BIGINT AS n_oligo, round(avg(n_dpm), 6) AS dpm_per_cluster, round(avg(n_oligo), 6) AS oligo_per_cluster FROM clusters GROUP BY label"))
+def counts_per_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.counts_per_label(_clusters(spark, sf_dir))
+
+
+@query(_cte("SELECT count(*) AS n_clusters, count(*) FILTER (n_oligo = 0) AS without_oligos, count(*) FILTER (n_dpm = 0) AS without_chromatin, count(*) FILTER (n_dpm > 0 AND n_oligo > 0) AS with_both FROM clusters"))
+def cluster_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster_totals(_clusters(spark, sf_dir))
+
+
+@query(_cte("""SELECT round(avg((mode_count < n_oligo)::INT), 6) AS mixed_clusters, round(avg((mode_count / n_oligo < 0.8)::INT), 6) AS below_clusters,
+ round(sum(n_dpm) FILTER (mode_count < n_oligo) / sum(n_dpm), 6) AS mixed_chromatin, round(sum(n_dpm) FILTER (mode_count / n_oligo < 0.8) / sum(n_dpm), 6) AS below_chromatin FROM clusters WHERE n_oligo > 0"""))
+def mixed_cluster_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.mixed_share(_clusters(spark, sf_dir))
+
+
+@query(_cte("""SELECT t.target, count(*) FILTER (n = n_oligo) AS unique_clusters, count(*) FILTER (n <> n_oligo) AS mixed_clusters, coalesce(sum(n_dpm) FILTER (n = n_oligo), 0)::BIGINT AS unique_dpm,
+ coalesce(sum(n_dpm) FILTER (n <> n_oligo), 0)::BIGINT AS mixed_dpm FROM counts t JOIN clusters c ON t.cluster = c.cluster WHERE t.target IS NOT NULL AND label = 'uncertain' GROUP BY t.target"""))
+def uncertain_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.uncertain_targets(_reads(spark, sf_dir), _clusters(spark, sf_dir))
+
+
+@query(_cte("SELECT signature, count(*) AS n_clusters, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM (SELECT cluster, string_agg(n::VARCHAR, ',' ORDER BY n) AS signature FROM counts WHERE target IS NOT NULL GROUP BY cluster) GROUP BY signature"))
+def count_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.count_signatures(_reads(spark, sf_dir))
+
+
+@query(_cte("SELECT sum(n_dpm)::BIGINT AS n_dpm, count(*) AS n_clusters FROM clusters JOIN (SELECT cluster, string_agg(n::VARCHAR, ',' ORDER BY n) AS signature FROM counts WHERE target IS NOT NULL GROUP BY cluster) USING (cluster) WHERE signature = '1,3'"))
+def signature_chromatin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = _reads(spark, sf_dir)
+    own = clusters.target_counts(reads).groupBy("cluster").agg(F.array_join(F.array_sort(F.collect_list("n")), ",").alias("signature")).where("signature = '1,3'")
+    return _clusters(spark, sf_dir).join(own, "cluster").agg(F.sum("n_dpm").alias("n_dpm"), F.count("*").alias("n_clusters"))
+
+
+@query(_cte("SELECT cluster, n_dpm, n_oligo, mode_count FROM clusters WHERE n_dpm > 0 AND n_dpm <= 200 AND mode_count >= 2 AND mode_count >= 0.1 * n_oligo AND n_oligo <= 30"))
+def interacting_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.interacting(_clusters(spark, sf_dir)).select("cluster", "n_dpm", "n_oligo", "mode_count")
+
+
+@query(_cte("SELECT cluster FROM (SELECT cluster, n, sum(n) OVER (PARTITION BY cluster) AS total FROM counts WHERE target IS NOT NULL) GROUP BY cluster HAVING count(*) FILTER (n >= 2) >= 2 AND count(*) FILTER (n >= 0.1 * total) >= 2"))
+def multi_target_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.multi_target(clusters.target_counts(_reads(spark, sf_dir))).select("cluster")
+
+
+@query(_cte("""SELECT a.target, round(b / tb - a / ta, 6) AS change FROM (SELECT *, sum(b) OVER () AS tb, sum(a) OVER () AS ta FROM
+ (SELECT target, sum(n) AS b, sum(n) FILTER (label = 'uncertain') AS a FROM counts JOIN clusters USING (cluster) WHERE target IS NOT NULL GROUP BY target) WHERE a IS NOT NULL) a"""))
+def representation_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = clusters.target_counts(_reads(spark, sf_dir)).join(_clusters(spark, sf_dir).select("cluster", "label"), "cluster")
+    before = counts.groupBy("target").agg(F.sum("n").alias("n"))
+    return clusters.representation_change(before, counts.where("label = 'uncertain'").groupBy("target").agg(F.sum("n").alias("n")))
+
+
+@query(_cte("SELECT user_mod AS sample, round(coalesce(sum(n_dpm) FILTER (label NOT IN ('none', 'filtered', 'uncertain', 'ambiguous')), 0) / nullif(sum(n_dpm), 0), 6) AS resolved FROM (SELECT *, split_part(cluster, '_', 1)::BIGINT % 4 AS user_mod FROM clusters) GROUP BY user_mod"))
+def resolved_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.resolved_share(_clusters(spark, sf_dir).withColumn("sample", F.split_part("cluster", F.lit("_"), F.lit(1)).cast("long") % 4), "sample")
+
+
+# Distributions.
+
+
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clusters(spark, sf_dir).withColumn("size", F.col("n_dpm") + F.col("n_oligo"))
+
+
+_BIN = "CASE WHEN size <= 0 THEN '0' WHEN size <= 1 THEN '1' WHEN size <= 5 THEN '2-5' WHEN size <= 10 THEN '6-10' WHEN size <= 20 THEN '11-20' WHEN size <= 50 THEN '21-50' WHEN size <= 100 THEN '51-100' WHEN size <= 200 THEN '101-200' ELSE '201+' END"
+_SIZED = f"sized AS (SELECT *, n_dpm + n_oligo AS size FROM clusters), binned AS (SELECT *, {_BIN} AS bin FROM sized)"
+
+
+@query(_cte("SELECT label, bin, count(*) AS n_clusters, sum(size)::BIGINT AS n_reads FROM binned GROUP BY ALL", _SIZED))
+def size_binning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sized(spark, sf_dir).groupBy("label", stats.size_bin(F.col("size")).alias("bin")).agg(F.count("*").alias("n_clusters"), F.sum("size").alias("n_reads"))
+
+
+@query(_cte("SELECT label, round(coalesce(sum(size) FILTER (bin = '1'), 0) / sum(size), 6) AS one, round(coalesce(sum(size) FILTER (bin = '2-5'), 0) / sum(size), 6) AS few, round(coalesce(sum(size) FILTER (bin = '6-10'), 0) / sum(size), 6) AS some FROM binned GROUP BY label", _SIZED))
+def bin_proportion_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shares = stats.share_within(size_binning(spark, sf_dir), "label", "n_reads")
+    wide = shares.groupBy("label").pivot("bin", ["1", "2-5", "6-10"]).agg(F.first("share")).na.fill(0.0)
+    return wide.select("label", F.col("1").alias("one"), F.col("`2-5`").alias("few"), F.col("`6-10`").alias("some"))
+
+
+@query(_cte("SELECT label, size, round(sum(w) OVER (PARTITION BY label ORDER BY size) / sum(w) OVER (PARTITION BY label), 6) AS ecdf FROM (SELECT label, size, sum(size) AS w FROM sized GROUP BY ALL)", _SIZED))
+def weighted_ecdf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.weighted_ecdf(_sized(spark, sf_dir).withColumn("weight", F.col("size")), "label", "size", "weight")
+
+
+@query("SELECT coalesce((user_id % 4)::VARCHAR, 'all') AS sample, event_type, count(*) AS n FROM events GROUP BY GROUPING SETS ((user_id % 4, event_type), (event_type))")
+def sample_all_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "events").select((F.col("user_id") % 4).alias("sample"), "event_type", F.lit(1).cast("long").alias("n"))
+    return stats.with_all(rows, "sample", ["event_type"], "n")
+
+
+@query(_cte("SELECT count(size) AS n, round(avg(size), 6) AS mean, round(stddev_samp(size), 6) AS std, min(size) AS least, round(quantile_cont(size, 0.25), 6) AS q1, round(quantile_cont(size, 0.5), 6) AS q2, round(quantile_cont(size, 0.75), 6) AS q3, max(size) AS most FROM sized", _SIZED))
+def describe_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.describe(_sized(spark, sf_dir), "size")
+
+
+@query(_cte("SELECT label, round(quantile_cont(size, 0.25), 6) AS q1, round(quantile_cont(size, 0.5), 6) AS q2, round(quantile_cont(size, 0.75), 6) AS q3 FROM sized GROUP BY label", _SIZED))
+def label_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = lambda p: F.round(F.percentile("size", F.lit(p)), 6)
+    return _sized(spark, sf_dir).groupBy("label").agg(q(0.25).alias("q1"), q(0.5).alias("q2"), q(0.75).alias("q3"))
+
+
+@query(_cte("SELECT label, molecule, n, round(n / sum(n) OVER (PARTITION BY molecule), 6) AS share FROM (SELECT label, unnest(['n_dpm', 'n_oligo']) AS molecule, unnest([sum(n_dpm), sum(n_oligo)])::BIGINT AS n FROM clusters GROUP BY label)"))
+def label_proportion_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = _clusters(spark, sf_dir).groupBy("label").agg(F.sum("n_dpm").alias("n_dpm"), F.sum("n_oligo").alias("n_oligo"))
+    return stats.share_within(wide.unpivot("label", ["n_dpm", "n_oligo"], "molecule", "n"), "molecule", "n")
+
+
+@query(_cte("SELECT floor(size / 3)::BIGINT AS x_bin, n_oligo::BIGINT AS y_bin, count(*) AS n FROM sized GROUP BY ALL", _SIZED))
+def hist2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.histogram_2d(_sized(spark, sf_dir), "size", 3, "n_oligo", 1)
+
+
+@query(_cte("SELECT floor(size / 2)::BIGINT AS bin, sum(n_dpm)::BIGINT AS n FROM sized GROUP BY ALL", _SIZED))
+def weighted_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.histogram(_sized(spark, sf_dir), 2, "size", F.col("n_dpm"))
+
+
+@query("SELECT c_custkey, CASE WHEN length(w) = 2 THEN w[1:1] || '0' || w[2:2] ELSE w END AS well FROM (SELECT c_custkey, chr((65 + c_custkey % 8)::INT) || (1 + c_custkey % 12) AS w FROM customer)")
+def well_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.lit("Tag-"), F.chr(65 + F.col("c_custkey") % 8), (1 + F.col("c_custkey") % 12).cast("string"))
+    return _table(spark, sf_dir, "customer").select("c_custkey", stats.well(name).alias("well"))
+
+
+# De-duplication, from line items.
+
+_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+_DEDUP = "dedup AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag, l_linestatus ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS k, count(*) OVER (PARTITION BY l_orderkey, l_returnflag, l_linestatus) AS dc FROM lineitem)"
+
+
+def _dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.deduplicate(_table(spark, sf_dir, "lineitem"), "l_returnflag&l_linestatus", ("l_orderkey",), _ORDER)
+
+
+@query(f"WITH {_DEDUP} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, dc FROM dedup WHERE k = 1")
+def dedup_and_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dedup(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "dc")
+
+
+@query("SELECT l_partkey, l_suppkey, count(*) AS dc FROM lineitem GROUP BY ALL")
+def dedup_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.deduplicate(_table(spark, sf_dir, "lineitem"), "l_partkey&l_suppkey", (), ("l_orderkey", *_ORDER)).select("l_partkey", "l_suppkey", "dc")
+
+
+@query(f"WITH {_DEDUP} SELECT dc, count(*) AS n_reads FROM dedup WHERE k = 1 GROUP BY dc")
+def dedup_multiplicity_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.multiplicity(_dedup(spark, sf_dir))
+
+
+@query(f"WITH {_DEDUP} SELECT count(*) AS n_written, sum(dc)::BIGINT AS n_total, round(1 - count(*) / sum(dc), 6) AS rate FROM dedup WHERE k = 1")
+def dedup_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.duplication(_dedup(spark, sf_dir))
+
+
+@query(f"WITH {_DEDUP} SELECT l_linestatus, count(*) AS n_written, sum(dc)::BIGINT AS n_total, round(1 - count(*) / sum(dc), 6) AS rate FROM dedup WHERE k = 1 GROUP BY l_linestatus")
+def duplication_prop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.duplication(_dedup(spark, sf_dir), "l_linestatus")
+
+
+@query()
+def library_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.library_complexity(dedup.duplication(_dedup(spark, sf_dir), "l_linestatus"))
+
+
+@query()
+def dedup_or_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", *_ORDER)
+    return dedup.deduplicate(lines, "l_suppkey|l_partkey", ("l_orderkey",), _ORDER)
+
+
+@query("SELECT o_custkey AS key, count(*) AS dc, min(o_orderkey) AS first FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey UNION ALL SELECT NULL, 1, o_orderkey FROM orders WHERE o_orderstatus = 'P'")
+def keep_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("key"), F.col("o_orderkey").alias("first"))
+    return dedup.deduplicate(orders, "key", (), ("first",)).select("key", "dc", "first")
+
+
+# Barcodes.
+
+
+def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as named reads: three tags, the last not found where l_linenumber is 7."""
+    kind = F.when(F.col("l_returnflag") == "N", F.concat(F.lit("BEAD_"), "l_linestatus")).otherwise(F.concat(F.lit("DPM"), "l_returnflag"))
+    tags = F.array(kind, F.concat(F.lit("Y"), (F.col("l_suppkey") % 10).cast("string")), F.when(F.col("l_linenumber") == 7, "NOT_FOUND").otherwise(F.concat(F.lit("E"), (F.col("l_partkey") % 20).cast("string"))))
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", barcode.named(F.concat(F.lit("r"), F.col("l_orderkey").cast("string"), F.lit(" x")), tags).alias("qname"))
+
+
+_NAMED = """named AS (SELECT l_orderkey, l_linenumber, 'r' || l_orderkey || '::[' || CASE WHEN l_returnflag = 'N' THEN 'BEAD_' || l_linestatus ELSE 'DPM' || l_returnflag END || '][Y' || (l_suppkey % 10) || '][' ||
+ CASE WHEN l_linenumber = 7 THEN 'NOT_FOUND' ELSE 'E' || (l_partkey % 20) END || ']' AS qname FROM lineitem),
+tagged AS (SELECT *, regexp_extract_all(qname, '\\[([a-zA-Z0-9_-]+)\\]', 1) AS tags FROM named)"""
+
+
+@query(f"WITH {_NAMED} SELECT l_orderkey, l_linenumber, qname, tags[1] AS RT, array_to_string(tags[2:], '.') || '.s1' AS CB FROM tagged")
+def barcode_name_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return barcode.barcode_to_tags(_named(spark, sf_dir), 3, sample="s1").select("l_orderkey", "l_linenumber", "qname", "RT", "CB")
+
+
+_ROUNDS = {f"Y{k}": [1] for k in range(9)} | {f"E{k}": [2] for k in range(18)} | {"E18": [1]}
+
+
+@query(f"""WITH {_NAMED} SELECT CASE WHEN list_contains(tags, 'NOT_FOUND') THEN 'short' WHEN tags[2] = 'Y9' OR tags[3] IN ('E18', 'E19') THEN 'other' WHEN contains(qname, 'DPM') THEN 'dpm' ELSE 'bpm' END AS route, count(*) AS n FROM tagged GROUP BY 1""")
+def barcode_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return barcode.route(_named(spark, sf_dir), _ROUNDS).groupBy("route").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_NAMED} SELECT len(list_filter(tags, lambda t: t <> 'NOT_FOUND'))::INT AS n_found, count(*) AS n_reads, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM tagged GROUP BY 1")
+def barcode_efficiency_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return barcode.tags_found(_named(spark, sf_dir))
+
+
+@query(f"WITH {_NAMED} SELECT position, count(*) AS n_reads FROM (SELECT unnest([0, 1, 2])::INT AS position, unnest(tags) AS tag FROM tagged) WHERE tag <> 'NOT_FOUND' GROUP BY position")
+def barcode_efficiency_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return barcode.positions_found(_named(spark, sf_dir))
+
+
+_DNA = "translate(md5({}), '0123456789abcdef', 'ACGTACGTACGTACGT')"
+
+
+@query(f"WITH d AS (SELECT c_custkey, {_DNA.format('c_name')} AS s FROM customer) SELECT c_custkey, s[1:8] AS RX, s[9:] AS seq, 'BEAD_A' AS RT, 'Y1.E2' AS CB, 4 AS flag FROM d")
+def umi_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = _table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("@r"), F.col("c_custkey").cast("string"), F.lit("::[BEAD_A][Y1][E2]")).alias("qname"), pseudo_dna(F.col("c_name")).alias("seq"))
+    return barcode.oligo_records(reads.withColumn("qual", F.col("seq")), 3, 8).select("c_custkey", "RX", "seq", "RT", "CB", "flag")
+
+
+def _tags(spark: SparkSession, sf_dir: str, length: int, most: int) -> list[tuple[str, str, str, int]]:
+    """Tags of a fixed number of suppliers: a tag list is settings, read on the driver."""
+    rows = _table(spark, sf_dir, "supplier").where(F.col("s_suppkey") <= most).select("s_suppkey", F.substring(pseudo_dna(F.col("s_name")), 1, length).alias("seq")).orderBy("s_suppkey").collect()
+    return [("Y", f"Y{r['s_suppkey']}", r["seq"], 1) for r in rows]
+
+
+@query(f"""SELECT c_custkey, max_by('Y' || s_suppkey, s_suppkey) AS tag FROM (SELECT c_custkey, {_DNA.format('c_name')}[1:6] AS a FROM customer) c JOIN (SELECT s_suppkey, {_DNA.format('s_name')}[1:6] AS b FROM supplier WHERE s_suppkey <= 20) s ON hamming(a, b) <= 1 GROUP BY c_custkey""")
+def hamming_tag_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = barcode.expand_tags(spark, _tags(spark, sf_dir, 6, 20))
+    reads = _table(spark, sf_dir, "customer").select("c_custkey", F.substring(pseudo_dna(F.col("c_name")), 1, 6).alias("seq"))
+    return reads.join(book, "seq").select("c_custkey", F.col("name").alias("tag"))
+
+
+@query(f"""SELECT a.s_suppkey AS one, b.s_suppkey AS two, hamming(a.s, b.s) AS apart FROM (SELECT s_suppkey, {_DNA.format('s_name')}[1:8] AS s FROM supplier WHERE s_suppkey <= 50) a JOIN (SELECT s_suppkey, {_DNA.format('s_name')}[1:8] AS s FROM supplier WHERE s_suppkey <= 50) b ON a.s_suppkey < b.s_suppkey AND a.s[1:2] = b.s[1:2]""")
+def hamming_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tags = _table(spark, sf_dir, "supplier").where("s_suppkey <= 50").select("s_suppkey", F.substring(pseudo_dna(F.col("s_name")), 1, 8).alias("s")).withColumn("head", F.substring("s", 1, 2))
+    a, b = tags.alias("a"), tags.alias("b")
+    return a.join(b, (F.col("a.head") == F.col("b.head")) & (F.col("a.s_suppkey") < F.col("b.s_suppkey"))).select(F.col("a.s_suppkey").alias("one"), F.col("b.s_suppkey").alias("two"), hamming(F.col("a.s"), F.col("b.s")).cast("long").alias("apart"))
+
+
+@query(f"""WITH t AS (SELECT s_suppkey, {_DNA.format('s_name')}[1:5] AS s FROM supplier WHERE s_suppkey <= 20), c AS (SELECT c_custkey, {_DNA.format('c_name')} AS d FROM customer),
+ h AS (SELECT c_custkey, o, max(s_suppkey) AS k FROM c, (SELECT unnest(range(7)) AS o), t WHERE hamming(d[10 + o:14 + o], s) <= 1 GROUP BY ALL)
+ SELECT c.c_custkey, coalesce('Y' || min_by(k, o), 'NOT_FOUND') AS tag FROM c LEFT JOIN h USING (c_custkey) GROUP BY c.c_custkey""")
+def barcode_scan_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = _table(spark, sf_dir, "customer").select("c_custkey", F.lit("A").alias("seq1"), F.concat(F.lit("GGG"), F.substring(pseudo_dna(F.col("c_name")), 4, 32)).alias("seq2"))
+    tags = [("DPM", "D", "GGGGGG", 0), *_tags(spark, sf_dir, 5, 20)]
+    # A first category that fits nowhere moves on by its six bases and the laxity of 0, and the spacer by three more.
+    found = barcode.identify(reads, {"READ2": ["DPM", "SPACER", "Y"]}, tags, spacer=3, laxity=6)
+    return found.select("c_custkey", F.element_at("tags", -1).alias("tag"))
+
+
+@query(f"SELECT s AS seq, count(*) AS n_names FROM (SELECT {_DNA.format('s_name')}[1:3] AS s FROM supplier) GROUP BY s HAVING count(*) > 1")
+def ambiguous_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tags = _table(spark, sf_dir, "supplier").select(F.substring(pseudo_dna(F.col("s_name")), 1, 3).alias("seq"))
+    return tags.groupBy("seq").agg(F.count("*").alias("n_names")).where("n_names > 1")
+
+
+# Chromosomes and intervals.
+
+
+@query("SELECT s_suppkey, n_name AS rname, n_nationkey AS sort_order FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 3 = 0")
+def chrom_rename_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = _table(spark, sf_dir, "nation").where("n_nationkey % 3 = 0").select(F.col("n_nationkey").cast("string").alias("old"), F.col("n_name").alias("new"), F.col("n_nationkey").alias("sort_order"))
+    records = _table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("rname"))
+    return chrom.rename_chromosomes(records, names)
+
+
+@query("SELECT n_name AS chrom, n_nationkey * 10 AS length FROM nation JOIN region ON n_regionkey = r_regionkey")
+def chrom_sizes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = _table(spark, sf_dir, "nation")
+    names = nation.join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").cast("string").alias("old"), F.col("n_name").alias("new"), F.col("n_nationkey").alias("sort_order"))
+    return chrom.join_sizes(names, nation.select(F.col("n_nationkey").cast("string").alias("chrom"), (F.col("n_nationkey") * 10).alias("length")))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_quantity >= 20 AND l_linenumber & 4 = 0")
+def mapq_flag_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _table(spark, sf_dir, "lineitem").withColumnsRenamed({"l_quantity": "mapq", "l_linenumber": "flag"})
+    return chrom.mapped_primary(records).select("l_orderkey", F.col("flag").alias("l_linenumber"), "l_partkey", F.col("mapq").alias("l_quantity"))
+
+
+def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = day_number(F.col("o_orderdate")).cast("long")
+    return intervals.merge_intervals(_table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 450000).select(F.col("o_orderstatus").alias("chrom"), day.alias("start"), (day + 3).alias("end")))
+
+
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = day_number(F.col("l_shipdate")).cast("long")
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_linestatus").alias("chrom"), F.col("l_returnflag").alias("target"), day.alias("start"), (day + F.col("l_quantity").cast("long")).alias("end"))
+
+
+_SPANS = "spans AS (SELECT l_orderkey, l_linenumber, l_linestatus AS chrom, l_returnflag AS target, date_diff('day', DATE '1970-01-01', l_shipdate::DATE) AS s, date_diff('day', DATE '1970-01-01', l_shipdate::DATE) + l_quantity::BIGINT AS e FROM lineitem)"
+_MASK = """raw AS (SELECT o_orderstatus AS chrom, date_diff('day', DATE '1970-01-01', o_orderdate::DATE) AS s FROM orders WHERE o_totalprice > 450000),
+ marked AS (SELECT chrom, s, s + 3 AS e, s > max(s + 3) OVER (PARTITION BY chrom ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS fresh FROM raw),
+ islands AS (SELECT *, sum(coalesce(fresh, false)::INT) OVER (PARTITION BY chrom ORDER BY s ROWS UNBOUNDED PRECEDING) AS island FROM marked),
+ mask AS (SELECT chrom, min(s) AS s, max(e) AS e FROM islands GROUP BY chrom, island)"""
+
+
+@query(f'WITH {_MASK} SELECT chrom, s AS "start", e AS "end" FROM mask')
+def interval_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mask(spark, sf_dir)
+
+
+@query(f'WITH {_MASK}, {_SPANS} SELECT l_orderkey, l_linenumber, chrom, s AS "start", e AS "end" FROM spans r WHERE NOT EXISTS (SELECT 1 FROM mask m WHERE m.chrom = r.chrom AND r.s < m.e AND m.s < r.e)')
+def mask_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.mask(_spans(spark, sf_dir), _mask(spark, sf_dir)).drop("target")
+
+
+@query(f'WITH {_MASK}, {_SPANS} SELECT l_orderkey, l_linenumber, chrom, s AS "start", e AS "end" FROM spans r WHERE EXISTS (SELECT 1 FROM mask m WHERE m.chrom = r.chrom AND r.s < m.e AND m.s < r.e)')
+def mask_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.mask(_spans(spark, sf_dir), _mask(spark, sf_dir), "inside").drop("target")
+
+
+_COVER = f"{_SPANS}, cover AS (SELECT target, chrom, unnest(range(s // 30, (e - 1) // 30 + 1)) AS bin FROM spans WHERE s < e), bins AS (SELECT target, chrom, bin, count(*) AS n FROM cover GROUP BY ALL), total AS (SELECT target, count(*) AS reads FROM spans GROUP BY target)"
+
+
+def _cover(spark: SparkSession, sf_dir: str, how: str | None) -> DataFrame:
+    return intervals.coverage(_spans(spark, sf_dir), 30, ("target",), how, effective_size=100_000, fragment_length=25).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {_COVER} SELECT target, chrom, bin, n, n::DOUBLE AS value FROM bins")
+def binned_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cover(spark, sf_dir, None)
+
+
+@query(f"WITH {_COVER} SELECT target, chrom, bin, n, round(n * 1e6 / reads, 6) AS value FROM bins JOIN total USING (target)")
+def coverage_cpm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cover(spark, sf_dir, "CPM")
+
+
+@query(f"WITH {_COVER} SELECT target, chrom, bin, n, round(n * 1e6 / reads / (30 / 1000), 6) AS value FROM bins JOIN total USING (target)")
+def coverage_rpkm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cover(spark, sf_dir, "RPKM")
+
+
+@query(f"WITH {_COVER} SELECT target, chrom, bin, n, round(n * 1e6 / sum(n) OVER (PARTITION BY target), 6) AS value FROM bins")
+def coverage_bpm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cover(spark, sf_dir, "BPM")
+
+
+@query(f"WITH {_COVER} SELECT target, chrom, bin, n, round(n / (reads * 25.0::DOUBLE / 100000.0::DOUBLE), 6) AS value FROM bins JOIN total USING (target)")
+def coverage_rpgc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cover(spark, sf_dir, "RPGC")
+
+
+@query(f"WITH {_SPANS} SELECT o_orderstatus AS chrom, coalesce(bin, 0) AS bin, coalesce(n, 0) AS n, coalesce(n, 0)::DOUBLE AS value FROM (SELECT DISTINCT o_orderstatus FROM orders) LEFT JOIN (SELECT chrom, bin, count(*) AS n FROM (SELECT chrom, unnest(range(s // 30, (e - 1) // 30 + 1)) AS bin FROM spans WHERE s < e) GROUP BY ALL) ON o_orderstatus = chrom")
+def zero_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.with_empty(intervals.coverage(_spans(spark, sf_dir), 30), _table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("chrom")))
+
+
+@query("SELECT sum(length(text) - length(translate(text, 'ACGT', '')))::BIGINT AS n_bases FROM documents")
+def unmasked_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.unmasked_bases(_table(spark, sf_dir, "documents"), "text")
+
+
+# Co-occurrence, from the brands of a customer's orders.
+
+
+def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _table(spark, sf_dir, "lineitem").join(_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return lines.groupBy(F.col("o_custkey").alias("cluster"), F.col("p_brand").alias("target")).agg(F.count("*").alias("n"))
+
+
+_BRANDS = """counts AS (SELECT o_custkey AS cluster, p_brand AS target, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL),
+ passing AS (SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY cluster) AS total FROM counts) WHERE n >= 2 AND n >= 0.05 * total), sized AS (SELECT *, count(*) OVER (PARTITION BY cluster) AS k FROM passing),
+ upper_ AS (SELECT a.target AS target_i, b.target AS target_j, count(*)::DOUBLE AS value, round(sum(2.0::DOUBLE / a.k), 6) AS over_two FROM sized a JOIN sized b ON a.cluster = b.cluster AND a.target <= b.target GROUP BY ALL),
+ both_ AS (SELECT target_i, target_j, value FROM upper_ UNION ALL SELECT target_j, target_i, value FROM upper_ WHERE target_i <> target_j)"""
+
+
+def _matrix(spark: SparkSession, sf_dir: str, weight: str = "none") -> DataFrame:
+    return interactions.interaction_matrix(_brands(spark, sf_dir), 2, 0.05, weight)
+
+
+@query(f"WITH {_BRANDS} SELECT target_i, target_j, value FROM upper_")
+def interaction_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _matrix(spark, sf_dir)
+
+
+@query(f"WITH {_BRANDS} SELECT target_i, target_j, over_two AS value FROM upper_")
+def interaction_n_over_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _matrix(spark, sf_dir, "n_over_two").withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {_BRANDS} SELECT b.target_i, b.target_j, round(b.value / d.value, 6) AS value FROM both_ b LEFT JOIN both_ d ON b.target_i = d.target_i AND d.target_i = d.target_j")
+def interaction_norm_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.normalize_by_clusters(interactions.full_matrix(_matrix(spark, sf_dir))).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {_BRANDS} SELECT target_i, target_j, round(coalesce(v / nullif(sum(v) OVER (PARTITION BY target_i), 0), 0), 6) AS value FROM (SELECT *, CASE WHEN target_i = target_j THEN 0 ELSE value END AS v FROM both_)")
+def interaction_norm_pairwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.normalize_by_pairwise(interactions.full_matrix(_matrix(spark, sf_dir))).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {_BRANDS} SELECT target_i, target_j, round(log10(value + min(value) FILTER (value > 0) OVER () / 10), 6) AS value FROM both_")
+def interaction_log10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.log_matrix(interactions.full_matrix(_matrix(spark, sf_dir))).withColumn("value", F.round("value", 6))
+
+
+@query(_cte("SELECT cluster, coalesce(sum(n) FILTER (target = 'error'), 0)::BIGINT AS error, coalesce(sum(n) FILTER (target = 'purchase'), 0)::BIGINT AS purchase FROM counts WHERE target IN ('error', 'purchase') GROUP BY cluster"))
+def target_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.to_dense(clusters.target_counts(_reads(spark, sf_dir)), ["error", "purchase"])
+
+
+# Funnels, chunks, checks.
+
+_LEVELS = [("data", None, None), ("large", "data", "data"), ("returned", "large", "data"), ("late", "returned", "large")]
+
+
+@query("""WITH c AS (SELECT l_linestatus AS sample, count(*) AS data, count(*) FILTER (l_quantity >= 10) AS large, count(*) FILTER (l_quantity >= 10 AND l_returnflag = 'R') AS returned,
+ count(*) FILTER (l_quantity >= 10 AND l_returnflag = 'R' AND l_tax > 0.04) AS late FROM lineitem GROUP BY 1)
+SELECT sample, 'data' AS level, 0 AS depth, data AS n, NULL::DOUBLE AS frac_parent, NULL::DOUBLE AS frac_base, NULL::DOUBLE AS frac_root FROM c
+UNION ALL SELECT sample, 'large', 1, large, round(large / nullif(data, 0), 6), round(large / nullif(data, 0), 6), round(large / nullif(data, 0), 6) FROM c
+UNION ALL SELECT sample, 'returned', 2, returned, round(returned / nullif(large, 0), 6), round(returned / nullif(data, 0), 6), round(returned / nullif(data, 0), 6) FROM c
+UNION ALL SELECT sample, 'late', 3, late, round(late / nullif(returned, 0), 6), round(late / nullif(large, 0), 6), round(late / nullif(data, 0), 6) FROM c""")
+def funnel_fracs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    large = F.col("l_quantity") >= 10
+    returned = large & (F.col("l_returnflag") == "R")
+    late = returned & (F.col("l_tax") > 0.04)
+    counts = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_linestatus").alias("sample")).agg(F.count("*").alias("data"), F.count_if(large).alias("large"), F.count_if(returned).alias("returned"), F.count_if(late).alias("late"))
+    return funnel.funnel(counts.unpivot("sample", ["data", "large", "returned", "late"], "level", "n"), _LEVELS)
+
+
+@query("SELECT o_orderkey, CASE WHEN (SELECT ceil(count(*) / ceil(count(*) / 7)) FROM orders) = 7 THEN i // (SELECT ceil(count(*) / 7)::BIGINT FROM orders) ELSE least(6, i // (SELECT count(*) // 7 FROM orders)) END AS chunk FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)")
+def chunk_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey")
+    ranged = orders.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id() % (1 << 33))
+    sizes = ranged.groupBy("part").agg(F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    indexed = ranged.join(F.broadcast(sizes), "part").select("o_orderkey", (F.col("base") + F.col("at")).alias("idx"))
+    return funnel.chunks(indexed, 7, count=orders.count()).select("o_orderkey", F.col("chunk").cast("long").alias("chunk"))
+
+
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def validate_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").join(_table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query("SELECT p_brand, min(p_partkey) AS first FROM part GROUP BY p_brand")
+def distinct_ordered_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "part").groupBy("p_brand").agg(F.min("p_partkey").alias("first")).orderBy("first")
+
+
+@query("SELECT p_brand, p_size, p_partkey, p_retailprice FROM part")
+def coordinate_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "part").select("p_brand", "p_size", "p_partkey", "p_retailprice").orderBy("p_brand", "p_size", "p_partkey")

@@ -1,0 +1 @@
+"""Readers and writers of read files, records, intervals and settings."""

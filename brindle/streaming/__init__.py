@@ -1,0 +1,17 @@
+"""Reads that arrive over time: stateless steps on a stream, cluster steps on what has arrived."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.barcode import barcode_to_tags, route
+
+
+def ingest(reads: DataFrame, path: str, checkpoint: str, n_tags: int, rounds: dict[str, list[int]] | None = None) -> StreamingQuery:
+    """A stream of named reads (qname ...), routed and tagged, appended to Parquet by route; all that is there is taken, then it ends.
+
+    De-duplication and labels need all reads of a cluster and have no time bound; they run over the written table.
+    """
+    tagged = barcode_to_tags(route(reads, rounds).where("route IN ('dpm', 'bpm')"), n_tags)
+    return tagged.writeStream.format("parquet").partitionBy("route").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
