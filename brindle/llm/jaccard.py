@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .storage import materialize, partitions
-from .text import PACKED, U64, FirstSeen, groups, hash_words, mix, ngrams, packed, released, squeezed, unpacked, words
+from .text import PACKED, U64, FirstSeen, groups, hash_words, mix, ngrams, packed, portions, released, squeezed, unpacked, words
 
 #: Members of a star that are compared with each other in one task.
 BLOCK = 256
@@ -149,7 +149,7 @@ def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percen
     placed = placed.groupBy("doc_id").agg(F.collect_list("place").alias("places")).join(texts, "doc_id").dropDuplicates(["doc_id"])
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in portions(frames, "z", growth=3):
             members = [shingle_set(t.split(), n).tobytes() for t in released(frame["z"])]
             rows = [(p["pivot"], p["block"], i, s) for i, s, places in zip(frame["doc_id"], members, frame["places"]) for p in places]
             yield pd.DataFrame(rows, columns=["pivot", "block", "doc_id", "members"])

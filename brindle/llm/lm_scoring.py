@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import materialize, partitions
-from .text import U64, hash_words, ngrams, words
+from .text import U64, hash_words, ngrams, portions, words
 
 _SLIM = "doc_id long, target boolean, text string"
 _ENTRIES = "bucket long, target boolean, docs binary, firsts binary, runs binary, pairs binary, which binary, counts binary"
@@ -36,7 +36,7 @@ def _contexts(rows: DataFrame) -> DataFrame:
     """(word, n_target, n_background): how often each word is followed by another, of all words of both corpora."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in portions(frames, "text"):
             lists = [words(t) for t in frame["text"]]
             h = hash_words([w for items in lists for w in items])
             side = np.repeat(frame["target"].to_numpy(bool), [len(items) for items in lists])
@@ -73,7 +73,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
         return np.isin(first, hot_word)
 
     def post(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in portions(frames, "text"):
             ids, known = frame["doc_id"].fillna(0).to_numpy(np.int64), frame["doc_id"].notna().to_numpy()
             first, pair, text = _bigrams(frame["text"])
             bucket = (np.where(is_hot(first), pair, first) % U64(parts)).astype(np.int64)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import materialize, partitions
-from .text import PACKED, U64, FirstSeen, hash_words, ngrams, packed_flat, released, squeezed, unpacked, window_minimum, words
+from .text import PACKED, U64, FirstSeen, hash_words, ngrams, packed_flat, portions, released, squeezed, unpacked, window_minimum, words
 
 #: Words of an anchor, and windows of a piece at most (its marks fit a long).
 ANCHOR, PIECE = 4, 40
@@ -109,7 +109,7 @@ def _pieces_of(docs: DataFrame, length: int) -> DataFrame:
     buckets = 4 * parts
 
     def post(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in portions(frames, "text"):
             runs = anchors([words(t) for t in frame["text"]], length)[["text", "anchor"]].drop_duplicates()
             yield packed_flat(runs["anchor"].to_numpy(np.int64).view(U64), frame["doc_id"].to_numpy(np.int64)[runs["text"].to_numpy(np.int64)], buckets)
 
@@ -128,7 +128,7 @@ def _pieces_of(docs: DataFrame, length: int) -> DataFrame:
     shared = posted.mapInPandas(meet, "doc_id long, anchor long").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in portions(frames, "z", growth=3):
             texts = [z.split() for z in released(frame["z"])]
             runs = anchors(texts, length)
             wanted = pd.DataFrame({"text": np.repeat(np.arange(len(texts)), [len(a) for a in frame["anchors"]]), "anchor": np.concatenate(frame["anchors"].tolist())})

@@ -43,6 +43,20 @@ def ngrams(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+#: Bytes of text whose words a task holds at once; a longer text is held alone.
+PORTION = 4_000_000
+
+
+def portions(frames: Iterator[pd.DataFrame], column: str, growth: int = 1) -> Iterator[pd.DataFrame]:
+    """The rows of frames in slices of about PORTION bytes of a column, which unpacks to growth times its length."""
+    for frame in frames:
+        sizes = np.cumsum([growth * len(x) if x is not None else 0 for x in frame[column]])
+        part = sizes // PORTION
+        cuts = [0, *(np.nonzero(np.diff(part))[0] + 1).tolist(), len(frame)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield frame.iloc[a:b].reset_index(drop=True)
+
+
 @F.pandas_udf("binary")
 def squeezed(text: pd.Series) -> pd.Series:
     """Texts as zstd frames, for the way through a shuffle; null stays null."""
