@@ -16,7 +16,7 @@ from .mixing import mixture_report
 from .packing import pack
 from .quality_qda import quality_scores
 from .storage import table
-from .substring import kept_digest, substring_dedup
+from .substring import substring_dedup
 
 
 #: The public byte-level BPE files that the machines carry; their folder is a parameter.
@@ -49,7 +49,8 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kept_digest(substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), length=13))
+    kept = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), length=13, digest=True)
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op8_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,8 +196,8 @@ def kept_words(n: int, starts: np.ndarray | None, masks: np.ndarray | None, leng
     return np.cumsum(edge[:-1]) == 0
 
 
-def substring_dedup(docs: DataFrame, length: int = 13, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """docs with its text cut to the words that stay, and n_words, n_removed (long) before any columns of those names.
+def substring_dedup(docs: DataFrame, length: int = 13, digest: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """docs with its text cut to the words that stay, and n_words and n_removed (long).
 
     A window is `length` (at least 2) consecutive words of one text. A word goes if a window that covers
     it also starts in a row of smaller id. Windows are judged on the whole input. Where words go, the rest are joined by
@@ -204,36 +205,30 @@ def substring_dedup(docs: DataFrame, length: int = 13, id_column: str = "doc_id"
 
     Rows without an id, which have no place in the order, are left out. Rows that repeat an id count as one document;
     they must have one text. Empty tables and texts give empty results. Other columns pass through; n_words and n_removed
-    replace columns of those names.
+    replace columns of those names. digest: with kept_sha256, of the kept words joined by one space, and an empty text.
     """
     if length < 2:
         raise ValueError("length must be at least 2")
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("doc_id IS NOT NULL")
     starts = repeated_windows(slim, length)
-    own = [c for c in docs.columns if c not in ("n_words", "n_removed")]
+    own = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_sha256")]
     columns = [(squeezed(F.col(text_column).cast("string")) if c == text_column else F.col(c)).alias(f"c{k}") for k, c in enumerate(own)]
     wide = docs.select(*columns, F.col(id_column).cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
 
-    @F.pandas_udf("text string, n_words long, n_removed long")
+    @F.pandas_udf("text string, n_words long, n_removed long, kept_sha256 string")
     def cut(frames: pd.Series, starts: pd.Series, masks: pd.Series) -> pd.DataFrame:
         rows = []
-        for t, s, m in zip(released(frames), starts, masks):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for z, s, m in zip(frames, starts, masks):
+            t = unpack(z) if z is not None else None
             items = t.split() if t is not None else []
             stay = kept_words(len(items), s, m, length)
-            kept = t if stay.all() else b" ".join([w for w, k in zip(items, stay.tolist()) if k])
-            rows.append((kept.decode("utf-8", "surrogatepass") if t is not None else None, len(items), int(len(items) - stay.sum())))
-        return pd.DataFrame(rows, columns=["text", "n_words", "n_removed"])
+            kept = b" ".join([w for w, k in zip(items, stay.tolist()) if k])
+            name = hashlib.sha256(kept).hexdigest() if digest else None
+            text = "" if digest else None if t is None else (t if stay.all() else kept).decode("utf-8", "surrogatepass")
+            rows.append((text, len(items), int(len(items) - stay.sum()), name))
+        return pd.DataFrame(rows, columns=["text", "n_words", "n_removed", "kept_sha256"])
 
     at = own.index(text_column)
     out = wide.join(starts, "doc_id", "left").withColumn("cut", cut(f"c{at}", "starts", "masks"))
-    return out.select(*[F.col("cut.text" if k == at else f"c{k}").alias(c) for k, c in enumerate(own)], F.col("cut.n_words").alias("n_words"), F.col("cut.n_removed").alias("n_removed"))
-
-
-def kept_digest(kept: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256) of a result of substring_dedup: kept words joined by one space."""
-
-    @F.pandas_udf("string")
-    def digest(text: pd.Series) -> pd.Series:
-        return pd.Series([hashlib.sha256(b" ".join(words(t))).hexdigest() for t in text], dtype=object)
-
-    return kept.select(F.col("doc_id").cast("long").alias("doc_id"), "n_words", "n_removed", digest("text").alias("kept_sha256"))
+    return out.select(*[F.col("cut.text" if k == at else f"c{k}").alias(c) for k, c in enumerate(own)], F.col("cut.n_words").alias("n_words"), F.col("cut.n_removed").alias("n_removed"), *([F.col("cut.kept_sha256").alias("kept_sha256")] if digest else []))
