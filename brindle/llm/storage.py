@@ -28,5 +28,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of an Arrow batch: texts can be long, and a task's Python holds a whole batch on both sides.
+BATCH_ROWS = 2_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; from now on the session sends Python BATCH_ROWS rows at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
