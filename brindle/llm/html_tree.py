@@ -152,11 +152,13 @@ def page_nodes(html: str) -> list[tuple[int, int, int]]:
 
 
 def main_text(html: str | None, low: set[int]) -> str:
-    """The page's text without branches that surround the article or have low importance (keys in low)."""
+    """The page's text without branches that surround the article and blocks of low importance (keys in low)."""
     if not html:
         return ""
     root = tree_of(html)
-    found = blocks(root, lambda n: n.key in low or surrounds(n))
+    found = blocks(root, surrounds)
+    # What is marked as article stays, though a host may have copies of a page.
+    found = [(n, t) for n, t in found if n.key not in low or _within(n, "article") or _within(n, "main")]
     # Where the page marks its article, only what lies in it is the article.
     for tag in ("article", "main"):
         inside = [(n, t) for n, t in found if _within(n, tag)]

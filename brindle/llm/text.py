@@ -9,6 +9,7 @@ import pandas as pd
 import xxhash
 import zstandard
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 U64 = np.uint64
 #: Spark's regular expression for what separates words: ASCII space, tab, line feed, vertical tab, form feed, carriage return.
@@ -57,7 +58,7 @@ def portions(frames: Iterator[pd.DataFrame], column: str, growth: int = 1) -> It
             yield frame.iloc[a:b].reset_index(drop=True)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def squeezed(text: pd.Series) -> pd.Series:
     """Texts as zstd frames, for the way through a shuffle; null stays null."""
     pack = zstandard.ZstdCompressor(level=3).compress
