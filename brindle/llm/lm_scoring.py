@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from .storage import materialize, partitions
 from .text import U64, hash_words, ngrams, portions, words
 
-_SLIM = "doc_id long, target boolean, text string"
+#: Parts in which a bucket is scored.
+SLICES = 8
 _ENTRIES = "bucket long, target boolean, docs binary, firsts binary, runs binary, pairs binary, which binary, counts binary"
 _SUMS = "bucket long, docs binary, gain binary"
 
@@ -82,8 +83,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
             new = np.ones(len(pair), dtype=bool)
             new[1:] = (pair[1:] != pair[:-1]) | (text[1:] != text[:-1]) | (bucket[1:] != bucket[:-1])
             at = np.nonzero(new)[0]
-            counts = np.diff(np.r_[at, len(pair)]).astype(np.uint16) if len(at) else np.empty(0, np.uint16)
-            counts = np.minimum(np.diff(np.r_[at, len(pair)]), 2**31 - 1).astype(np.uint32) if len(at) else counts
+            counts = np.diff(np.r_[at, len(pair)]).astype(np.uint32) if len(at) else np.empty(0, np.uint32)
             first, pair, text, bucket = first[at], pair[at], text[at], bucket[at]
             out = []
             side = frame["target"].to_numpy(bool)
@@ -109,11 +109,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
         if held:
             yield judged(held)
 
-    def judged(held: list[tuple]) -> pd.DataFrame:
-        side = np.concatenate([np.full(len(r[5]) // 8, r[1]) for r in held])
-        first = np.concatenate([np.repeat(np.frombuffer(r[3], U64), np.frombuffer(r[4], np.uint32)) for r in held])
-        pair = np.concatenate([np.frombuffer(r[5], U64) for r in held])
-        count = np.concatenate([np.frombuffer(r[7], np.uint32) for r in held]).astype(float)
+    def difference(side: np.ndarray, first: np.ndarray, pair: np.ndarray, count: np.ndarray) -> np.ndarray:
         kinds, at = np.unique(pair, return_inverse=True)
         pairs = [np.bincount(at, np.where(side == s, count, 0), len(kinds))[at] for s in (True, False)]
         kinds, at = np.unique(first, return_inverse=True)
@@ -122,7 +118,19 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
         for k in (0, 1):
             firsts[k][where] = hot_total[np.searchsorted(hot_word, kinds[where]), k]
         room = alpha * size
-        gain = count * (np.log(pairs[0] + alpha) - np.log(firsts[0][at] + room) - np.log(pairs[1] + alpha) + np.log(firsts[1][at] + room))
+        return count * (np.log(pairs[0] + alpha) - np.log(firsts[0][at] + room) - np.log(pairs[1] + alpha) + np.log(firsts[1][at] + room))
+
+    def judged(held: list[tuple]) -> pd.DataFrame:
+        side = np.concatenate([np.full(len(r[5]) // 8, r[1]) for r in held])
+        first = np.concatenate([np.repeat(np.frombuffer(r[3], U64), np.frombuffer(r[4], np.uint32)) for r in held])
+        pair = np.concatenate([np.frombuffer(r[5], U64) for r in held])
+        count = np.concatenate([np.frombuffer(r[7], np.uint32) for r in held])
+        # A slice of the bucket at a time, so that temporary arrays stay small; a slice has all of a first word, or of a pair.
+        part = ((np.where(is_hot(first), pair, first) >> U64(40)) % U64(SLICES)).astype(np.uint8)
+        gain = np.zeros(len(pair))
+        for k in range(SLICES):
+            own = np.nonzero(part == k)[0]
+            gain[own] = difference(side[own], first[own], pair[own], count[own].astype(float))
         docs_, sums, counts, start = [], [], [], 0
         for r in held:
             n = len(r[5]) // 8
@@ -144,7 +152,6 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
         return pd.DataFrame([(int(goal[a]), ids[a:b].tobytes(), both[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])], columns=["bucket", "docs", "gain"])
 
     def total_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, tuple] = {}
         ids, both = np.empty(0, np.int64), np.empty((0, 2))
         for frame in frames:
             ids = np.concatenate([ids, *(np.frombuffer(d, np.int64) for d in frame["docs"])])
