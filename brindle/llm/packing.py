@@ -7,55 +7,56 @@ that a full bin has no padding. Every task fills the bins of its own documents,
 
 from __future__ import annotations
 
+import base64
 import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct pre-tokens whose ids a Python worker keeps.
-CACHE = 400_000
+from .text import portions
+
+#: Characters that every Unicode version and regular expression library classes alike.
+PLAIN = re.compile("[\t\n\r\x20-\x7e\u00a1-\u017f\u2010-\u2027\u20ac]*")
 
 
 class Encoder:
-    """Ids of a byte-level BPE file of the tokenizers library, with the ids of frequent pre-tokens kept.
+    """Ids of a file of the tokenizers library.
 
-    Byte-level BPE merges within a pre-token only, so ids of a text are those of its pre-tokens in turn. Texts with a
-    special token, and files of another kind, go to the library whole.
+    For a byte-level BPE file the same vocabulary as ranks and its pre-tokenizer's pattern may be given; plain texts without
+    special tokens are then coded by tiktoken, which gives the same ids sooner. All others go to the library.
     """
 
-    def __init__(self, path: str, pattern: str | None) -> None:
+    def __init__(self, path: str, ranks: str | None, pattern: str | None) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.library, self.quick = Tokenizer.from_file(path), None
         with open(path, encoding="utf-8") as file:
             self.special = [t["content"] for t in json.load(file).get("added_tokens", [])]
-        self.find = regex.compile(pattern).findall if pattern else None
-        self.kept: dict[str, list[int]] = {}
+        if ranks and pattern:
+            import tiktoken
+
+            with open(ranks, "rb") as file:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+            self.quick = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
 
     def ids(self, text: str) -> list[int]:
-        if self.find is None or any(s in text for s in self.special):
-            return self.library.encode(text, add_special_tokens=False).ids
-        kept, out = self.kept, []
-        for token in self.find(text):
-            got = kept.get(token)
-            if got is None:
-                if len(kept) >= CACHE:
-                    kept.clear()
-                got = kept[token] = self.library.encode(token, add_special_tokens=False).ids
-            out += got
-        return out
+        if self.quick is not None and PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            return self.quick(text)
+        return self.library.encode(text, add_special_tokens=False).ids
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str | None) -> Encoder:
-    return Encoder(path, pattern)
+def _encoder(path: str, ranks: str | None, pattern: str | None) -> Encoder:
+    return Encoder(path, ranks, pattern)
 
 
 def cuts(tokens: int, capacity: int) -> list[int]:
@@ -98,11 +99,11 @@ class Bins:
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(docs: DataFrame, tokenizer: str, pattern: str | None = None, capacity: int = 1024, with_ids: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, capacity: int = 1024, with_ids: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Pieces of all documents in sequences: SCHEMA, and with with_ids the token ids of each piece.
 
     A document has the ids of its text (null: empty) and one id 0 at its end. tokenizer is the path of a file of the
-    tokenizers library on the executors; pattern is its pre-tokenizer's regular expression, if it is byte-level BPE.
+    tokenizers library on the executors; ranks and pattern are its vocabulary and pre-tokenizer, if it is byte-level BPE.
     Offsets of a sequence are gapless from 0. A sequence holds `capacity` ids, a power of two, or a smaller power of
     two: none has padding. Null ids give rows with a null doc_id; repeated rows are packed as often as they occur; an empty
     table gives none. Sequence ids are unique, and the same on each run over the same input partitions.
@@ -112,14 +113,14 @@ def pack(docs: DataFrame, tokenizer: str, pattern: str | None = None, capacity:
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, bins = _encoder(tokenizer, pattern), Bins(TaskContext.get().partitionId(), capacity)
+        encoder, bins = _encoder(tokenizer, ranks, pattern), Bins(TaskContext.get().partitionId(), capacity)
 
         def frame_of(rows: list[tuple]) -> pd.DataFrame:
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             return out[[*names, "ids"] if with_ids else names]
 
-        for frame in frames:
+        for frame in portions(frames, "text"):
             rows = []
             for i, text in zip(frame["doc_id"].astype("Int64").tolist(), frame["text"]):
                 i = None if i is pd.NA else i

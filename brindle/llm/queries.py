@@ -20,7 +20,7 @@ from .substring import substring_dedup
 
 
 #: The public byte-level BPE files that the machines carry; their folder is a parameter.
-TOKENIZER, TOKENIZER_PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def op3_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), TOKENIZER, TOKENIZER_PATTERN, capacity=1024)
+    return pack(table(spark, sf_dir, "documents"), *TOKENIZER, capacity=1024)
 
 
 def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

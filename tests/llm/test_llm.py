@@ -111,7 +111,7 @@ def test_packing(spark, table):
     df = docs(spark) if table == "odd" else given(spark, "documents")
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ids = {i: np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4") for i, t in texts(df).items()}
-    rows = packing.pack(df, queries.TOKENIZER, queries.TOKENIZER_PATTERN).collect()
+    rows = packing.pack(df, *queries.TOKENIZER).collect()
     bins, covered = collections.defaultdict(list), collections.Counter()
     for r in rows:
         bins[r["sequence_id"]].append((r["offset"], r["length"]))
@@ -255,7 +255,7 @@ def test_neighbours(spark):
 
 def test_empty_tables(spark):
     none, labels = docs(spark).limit(0), given(spark, "labels").limit(0)
-    assert jaccard.ngram_jaccard_join(none).count() == substring.substring_dedup(none).count() == packing.pack(none, queries.TOKENIZER).count() == 0
+    assert jaccard.ngram_jaccard_join(none).count() == substring.substring_dedup(none).count() == packing.pack(none, *queries.TOKENIZER).count() == 0
     assert mixing.mixture_report(none).count() == isolation.quality_rules(none, labels).count() == quality_qda.quality_scores(none, labels).count() == 0
     assert licenses.license_scan(none).count() == lm_scoring.cross_entropy_difference(none, none).count() == 0
     assert html_tree.extract_main_text(given(spark, "pages").limit(0)).count() == 0
