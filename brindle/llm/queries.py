@@ -10,7 +10,7 @@ from .ann import nearest_neighbours
 from .html_tree import extract_main_text
 from .isolation import quality_rules
 from .jaccard import ngram_jaccard_join
-from .licenses import license_scan
+from .licenses import COPYRIGHT_LINE, KNOWN_TEXTS, SPELLINGS, license_scan
 from .lm_scoring import cross_entropy_difference
 from .mixing import mixture_report
 from .packing import pack
@@ -67,4 +67,30 @@ def op10_isolation_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_cross_entropy_difference, op2_license_scan, op3_quality_discriminant, op4_harmonic_packing, op5_mixing_sources, op6_ngram_jaccard_join, op7_substring_dedup, op8_site_style_tree, op9_cross_polytope_neighbours, op10_isolation_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"trim(regexp_replace(regexp_replace(lower({text}), '{COPYRIGHT_LINE}', ' ', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    for old, new in SPELLINGS:
+        out = f"regexp_replace({out}, '(^| ){old}( |$)', '\\1{new}\\2', 'g')"
+    return f"sha256({out})"
+
+
+_KNOWN = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN_TEXTS)
+ORACLE_SQL: dict[str, str] = {
+    "op1_cross_entropy_difference": """WITH t AS (SELECT doc_id, text, false AS target FROM documents UNION ALL SELECT NULL, text, true FROM benchmark),
+ w AS (SELECT doc_id, target, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM t),
+ vocabulary AS (SELECT count(DISTINCT x) AS v FROM (SELECT unnest(w) AS x FROM w)),
+ pairs AS (SELECT doc_id, target, unnest(w[1:len(w) - 1]) AS a, unnest(w[2:]) AS b FROM w WHERE len(w) > 1),
+ pc AS (SELECT a, b, count(*) FILTER (target) AS ct, count(*) FILTER (NOT target) AS cb FROM pairs GROUP BY a, b),
+ fc AS (SELECT a, sum(ct)::DOUBLE AS ft, sum(cb)::DOUBLE AS fb FROM pc GROUP BY a),
+ s AS (SELECT doc_id, count(*) AS n, avg(ln(ct + 0.01::DOUBLE) - ln(ft + 0.01::DOUBLE * v) - ln(cb + 0.01::DOUBLE) + ln(fb + 0.01::DOUBLE * v)) AS score
+  FROM pairs JOIN pc USING (a, b) JOIN fc USING (a), vocabulary WHERE NOT target GROUP BY doc_id)
+ SELECT DISTINCT d.doc_id, coalesce(n, 0)::BIGINT AS n_tokens, round(coalesce(score, 0), 6) AS score FROM documents d LEFT JOIN s USING (doc_id)""",
+    "op2_license_scan": f"""WITH known AS (SELECT {_canonical_sql('x')} AS digest, min(name) AS license FROM (VALUES {_KNOWN}) k(name, x) GROUP BY 1),
+ lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+ found AS (SELECT doc_id, license FROM (SELECT doc_id, {_canonical_sql('line')} AS digest FROM lines WHERE regexp_matches(lower(line), 'licen[sc]e')) JOIN known USING (digest)),
+ notices AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM found GROUP BY doc_id),
+ d AS (SELECT doc_id, {_canonical_sql('text')} AS digest FROM documents)
+ SELECT d.doc_id, d.digest, license, coalesce(n, 0)::BIGINT AS n_notices, coalesce(names, '') AS notices FROM d LEFT JOIN known USING (digest) LEFT JOIN notices ON d.doc_id = notices.doc_id""",
+}
