@@ -3,7 +3,8 @@
 The global order of n-grams is the order of their fingerprints. It is cut into fragments, so many for sets of a size that
 two sets above the threshold must agree on a whole non-empty fragment (pigeonhole over their largest possible difference).
 Equal sets are first collapsed to one representative. Documents that share a fragment meet in a star around the first of
-them; stars are compared in blocks, where overlaps are counted fragment by fragment and summed for each pair.
+them. Stars are compared in blocks: bitmaps first, which bound what sets have in common, then, for members that may link,
+whole sets, where overlaps are counted fragment by fragment and summed for each pair.
 """
 
 from __future__ import annotations
@@ -104,23 +105,53 @@ def _links(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> list[tuple[int, in
     return out
 
 
+def parity_bits(s: np.ndarray) -> bytes:
+    """A bitmap of a set: a bit is the parity of the members it stands for; 2 to 4 bits a member, a power of two."""
+    size = max(64, 1 << (2 * len(s) - 1).bit_length())
+    return np.packbits((np.bincount((s & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(maps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps as rows of `size` bytes: halves of longer ones are added modulo 2, which gives the bitmap of that size."""
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(m, dtype=np.uint8).reshape(-1, size), axis=0) for m in maps]).view(U64)
+
+
+def near_rows(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of two blocks (doc_id, n, bits) may link with one of the other.
+
+    Bitmaps differ in at most as many bits as sets differ in members, so pairs that link always pass.
+    """
+    size = min(map(len, [*a["bits"], *b["bits"]]))
+    left, right = _folded(a["bits"].tolist(), size), _folded(b["bits"].tolist(), size)
+    n, m = a["n"].to_numpy(np.int64), b["n"].to_numpy(np.int64)
+    ids, others = a["doc_id"].to_numpy(np.int64), b["doc_id"].to_numpy(np.int64)
+    near, met = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
+    for i, row in enumerate(left):
+        apart = np.bitwise_count(right ^ row).sum(axis=1, dtype=np.int64)
+        both = n[i] + m
+        hit = ((100 + percent) * (both - apart) >= 2 * percent * both) & (others != ids[i])
+        near[i] = hit.any()
+        met |= hit
+    return near, met
+
+
 def shingle_table(docs: DataFrame, n: int, percent: int, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, n_shingles, signature, keys) of each row: its set's size, a 128-bit signature of the set and its fragment keys."""
+    """(doc_id, n_shingles, signature, keys, bits) of each row: its set's size, a 128-bit signature of the set, its fragment keys and parity bits."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for i, text in zip(frame["doc_id"], frame["text"]):
                 s = shingle_set(words(text), n)
-                rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, fragment_keys(s, percent).tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "signature", "keys"])
+                rows.append((i, len(s), *((xxhash.xxh3_128_digest(s.tobytes()), fragment_keys(s, percent).tobytes(), parity_bits(s)) if len(s) else (None, None, None))))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "signature", "keys", "bits"])
 
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("doc_id IS NOT NULL")
-    return source.mapInPandas(run, "doc_id long, n_shingles long, signature binary, keys binary")
+    return source.mapInPandas(run, "doc_id long, n_shingles long, signature binary, keys binary, bits binary")
 
 
 def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percent: int, id_column: str, text_column: str) -> DataFrame:
-    """(a, b): links that connect what links connect among representatives (doc_id, keys) of different sets."""
+    """(a, b): links that connect what links connect among representatives (doc_id, keys, n, bits) of different sets."""
     spark = docs.sparkSession
     parts = partitions(spark)
     buckets = 4 * parts
@@ -143,52 +174,81 @@ def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percen
     sized = materialize(stars.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / BLOCK).alias("blocks")), "sized")
     # A member goes to its block; the pivot to each block, so that all who link to it are tied in this first pass.
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    placed = stars.join(sized, "pivot").select("doc_id", F.struct("pivot", block.alias("block")).alias("place"))
-    placed = placed.unionByName(sized.select(F.col("pivot").alias("doc_id"), F.explode(F.transform(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")), lambda b: F.struct(F.col("pivot"), b.alias("block")))).alias("place")))
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), squeezed(F.col(text_column).cast("string")).alias("z")).where("z IS NOT NULL")
-    placed = placed.groupBy("doc_id").agg(F.collect_list("place").alias("places")).join(texts, "doc_id").dropDuplicates(["doc_id"])
+    members = stars.join(sized, "pivot").select("pivot", F.lit(-1).alias("column"), block.alias("block"), F.lit(0).alias("side"), "doc_id")
+    blocks = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block")
+    pivots = sized.select("pivot", F.lit(-1).alias("column"), blocks, F.lit(0).alias("side"), F.col("pivot").alias("doc_id"))
+    bits = representatives.select("doc_id", "n", "bits")
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("text IS NOT NULL")
+
+    def links(placed: DataFrame, name: str) -> DataFrame:
+        return materialize(_exact(_near(placed, bits, percent, parts), texts, n, percent, parts), name)
+
+    first = links(members.unionByName(pivots), "links")
+    return first.unionByName(links(_across(members, sized, first), "across"))
+
+
+#: A place is a block of a star, or a pair of blocks (column, block); its rows are compared with each other, or those of side 0 with those of side 1.
+PLACE = ["pivot", "column", "block"]
+
+
+def _sides(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
+    for group in groups(frames, PLACE):
+        if group["column"].iloc[0] < 0:
+            yield group, group
+        else:
+            a, b = group[group["side"] == 0], group[group["side"] == 1]
+            if len(a) and len(b):
+                yield a, b
+
+
+def _near(placed: DataFrame, bits: DataFrame, percent: int, parts: int) -> DataFrame:
+    """The rows of placed (PLACE, side, doc_id) whose bitmap comes near that of another row of their place."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for a, b in _sides(frames):
+            near, met = near_rows(a, b, percent)
+            found = a[near | met] if a is b else pd.concat([a[near], b[met]])
+            yield found[[*PLACE, "side", "doc_id"]]
+
+    dealt = placed.join(bits, "doc_id").repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "side", "doc_id")
+    return dealt.select(*PLACE, "side", "doc_id", "n", "bits").mapInPandas(run, "pivot long, column int, block int, side int, doc_id long")
+
+
+def _exact(placed: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
+    """(a, b): a spanning forest of the links in each place. Sets are made anew from texts (doc_id, text), which are smaller."""
+    places = placed.groupBy("doc_id").agg(F.collect_set(F.struct(*PLACE, "side")).alias("places"))
+    wanted = places.join(texts.withColumn("z", squeezed("text")).drop("text"), "doc_id").dropDuplicates(["doc_id"])
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in portions(frames, "z", growth=3):
             members = [shingle_set(t.split(), n).tobytes() for t in released(frame["z"])]
-            rows = [(p["pivot"], p["block"], i, s) for i, s, places in zip(frame["doc_id"], members, frame["places"]) for p in places]
-            yield pd.DataFrame(rows, columns=["pivot", "block", "doc_id", "members"])
-
-    shipped = materialize(placed.mapInPandas(sets, "pivot long, block int, doc_id long, members binary"), "sets")
+            rows = [(p["pivot"], p["column"], p["block"], p["side"], i, s) for i, s, own in zip(frame["doc_id"], members, frame["places"]) for p in own]
+            yield pd.DataFrame(rows, columns=[*PLACE, "side", "doc_id", "members"])
 
-    def within(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in groups(frames, ["pivot", "block"]):
-            yield pd.DataFrame(_links(group, group, percent), columns=["a", "b"], dtype=np.int64)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for a, b in _sides(frames):
+            yield pd.DataFrame(_links(a, b, percent), columns=["a", "b"], dtype=np.int64)
 
-    first = shipped.repartition(parts, "pivot", "block").sortWithinPartitions("pivot", "block", "doc_id").mapInPandas(within, "a long, b long").where("a <> b")
-    first = materialize(first, "links")
-    return first.unionByName(_across(shipped, sized, first, percent, parts))
+    shipped = wanted.mapInPandas(sets, "pivot long, column int, block int, side int, doc_id long, members binary")
+    return shipped.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "side", "doc_id").mapInPandas(run, "a long, b long").where("a <> b")
 
 
-def _across(shipped: DataFrame, sized: DataFrame, first: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Links between blocks of the same star, for members that the first pass has not tied to the star's pivot.
+def _across(members: DataFrame, sized: DataFrame, first: DataFrame) -> DataFrame:
+    """Places for members of several blocks that the first pass has not tied to the star's pivot.
 
     Those are dealt into blocks of their own; each meets every block of the star. If all are tied, no row is made here.
     """
-    large = sized.where("blocks > 1")
-    members = shipped.join(large, "pivot").where("doc_id <> pivot")
+    members = members.join(sized.where("blocks > 1"), "pivot").drop("column", "side")
     tied = components(first)
     named = members.join(tied.select(F.col("id").alias("doc_id"), F.col("component").alias("c")), "doc_id", "left")
     named = named.join(tied.select(F.col("id").alias("pivot"), F.col("component").alias("pc")), "pivot", "left")
-    loose = materialize(named.where("c IS NULL OR pc IS NULL OR c <> pc").select("pivot", "block", "doc_id", "members"), "loose")
+    loose = materialize(named.where("c IS NULL OR pc IS NULL OR c <> pc").select("pivot", "blocks", "doc_id"), "loose")
     counts = loose.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("columns"))
     column = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("columns")).cast("int")
-    left = loose.join(counts, "pivot").join(sized, "pivot").select("pivot", column.alias("column"), F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block"), F.lit(0).alias("side"), "doc_id", "members")
-    right = members.join(counts, "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"), "block", F.lit(1).alias("side"), "doc_id", "members")
-
-    def between(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in groups(frames, ["pivot", "column", "block"]):
-            a, b = group[group["side"] == 0], group[group["side"] == 1]
-            if len(a) and len(b):
-                yield pd.DataFrame(_links(a, b, percent), columns=["a", "b"], dtype=np.int64)
-
-    dealt = left.unionByName(right).repartition(parts, "pivot", "column", "block").sortWithinPartitions("pivot", "column", "block", "side", "doc_id")
-    return dealt.mapInPandas(between, "a long, b long").where("a <> b")
+    each = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))
+    left = loose.join(counts, "pivot").select("pivot", column.alias("column"), each.alias("block"), F.lit(0).alias("side"), "doc_id")
+    right = members.join(counts, "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"), "block", F.lit(1).alias("side"), "doc_id")
+    return left.unionByName(right)
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -202,14 +262,16 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, id_column
     repeated rows give repeated results. Other columns are ignored. Any percent from 1 to 100 is exact.
     """
     table = materialize(shingle_table(docs, n, percent, id_column, text_column), "shingles")
-    classes = materialize(table.where("signature IS NOT NULL").groupBy("signature").agg(F.min(F.struct("doc_id", "keys")).alias("least")).select("signature", "least.*"), "classes")
-    links = materialize(similarity_links(docs, classes.select("doc_id", "keys"), n, percent, id_column, text_column), "alllinks")
+    classes = table.where("signature IS NOT NULL").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
+    classes = materialize(classes, "classes")
+    least = table.select("doc_id", "signature", F.col("n_shingles").alias("n"), "keys", "bits").join(classes, ["doc_id", "signature"], "left_semi").dropDuplicates(["doc_id", "signature"])
+    links = materialize(similarity_links(docs, least, n, percent, id_column, text_column), "alllinks")
     tied = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("degree"))
     names = classes.select("signature", F.col("doc_id").alias("representative"))
     names = names.join(tied.select(F.col("id").alias("representative"), "component"), "representative", "left").join(degree.withColumnRenamed("doc_id", "representative"), "representative", "left")
     names = materialize(names, "names")
-    out = table.drop("keys").join(names, "signature", "left")
+    out = table.drop("keys", "bits").join(names, "signature", "left")
     return out.select(
         "doc_id",
         "n_shingles",
