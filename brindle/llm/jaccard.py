@@ -135,6 +135,35 @@ def near_rows(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> tuple[np.ndarra
     return near, met
 
 
+#: Bytes of a key within its bucket. Keys that agree by chance only add candidates, which are verified.
+KEY_BYTES = 5
+
+
+def shortened(frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """packed() rows for the shuffle: keys without what their bucket tells, in KEY_BYTES bytes; docs as runs (documents, then lengths)."""
+    keys, docs = [], []
+    for k, d in zip(frame["keys"], frame["docs"]):
+        rest = np.frombuffer(k, dtype=U64) // U64(buckets)
+        keys.append(rest.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes())
+        d = np.frombuffer(d, dtype=np.int64)
+        at = np.r_[0, np.nonzero(np.diff(d))[0] + 1]
+        docs.append(d[at].tobytes() + np.diff(np.r_[at, len(d)]).astype(np.uint32).tobytes())
+    return frame.assign(keys=keys, docs=docs)
+
+
+def lengthened(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """shortened() rows with keys and docs of eight bytes again."""
+    for frame in frames:
+        keys, docs = [], []
+        for k, d in zip(frame["keys"], frame["docs"]):
+            wide = np.zeros((len(k) // KEY_BYTES, 8), dtype=np.uint8)
+            wide[:, :KEY_BYTES] = np.frombuffer(k, dtype=np.uint8).reshape(-1, KEY_BYTES)
+            keys.append(wide.tobytes())
+            runs = len(d) // 12
+            docs.append(np.repeat(np.frombuffer(d, dtype=np.int64, count=runs), np.frombuffer(d, dtype=np.uint32, offset=8 * runs)).tobytes())
+        yield frame.assign(keys=keys, docs=docs)
+
+
 def shingle_table(docs: DataFrame, n: int, percent: int, id_column: str, text_column: str) -> DataFrame:
     """(doc_id, n_shingles, signature, keys, bits) of each row: its set's size, a 128-bit signature of the set, its fragment keys and parity bits."""
 
@@ -158,11 +187,11 @@ def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percen
 
     def post(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield packed([np.frombuffer(k, dtype=U64) for k in frame["keys"]], frame["doc_id"].tolist(), buckets)
+            yield shortened(packed([np.frombuffer(k, dtype=U64) for k in frame["keys"]], frame["doc_id"].tolist(), buckets), buckets)
 
     def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, bucket = FirstSeen(), None
-        for b, keys, ids in unpacked(frames):
+        for b, keys, ids in unpacked(lengthened(frames)):
             if b != bucket:
                 seen, bucket = FirstSeen(), b
             _, owner, member = seen.feed(keys, ids)
