@@ -3,8 +3,9 @@
 The global order of n-grams is the order of their fingerprints. It is cut into fragments, so many for sets of a size that
 two sets above the threshold must agree on a whole non-empty fragment (pigeonhole over their largest possible difference).
 Equal sets are first collapsed to one representative. Documents that share a fragment meet in a star around the first of
-them. Stars are compared in blocks: bitmaps first, which bound what sets have in common, then, for members that may link,
-whole sets, where overlaps are counted fragment by fragment and summed for each pair.
+them. Each document is first compared in the star with which it shares most keys; what these links do not connect is then
+compared in every other star. Stars are compared in blocks: bitmaps first, which bound what sets have in common, then, for
+members that may link, whole sets, where overlaps are counted fragment by fragment and summed for each pair.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .storage import materialize, partitions
-from .text import PACKED, U64, FirstSeen, groups, hash_words, mix, ngrams, packed, portions, released, squeezed, unpacked, words
+from .text import PACKED, U64, FirstSeen, groups, hash_words, mix, ngrams, packed, squeezed, unpacked, words
 
 #: Members of a star that are compared with each other in one task.
 BLOCK = 256
@@ -82,12 +84,17 @@ def _incidence(sets: list[np.ndarray], part: np.ndarray) -> np.ndarray:
     return out
 
 
-def _links(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between two blocks (or within one, if they are the same)."""
-    left, right = ([np.frombuffer(x, dtype=U64) for x in f["members"]] for f in (a, b))
-    n, m = (np.array([len(s) for s in x]) for x in (left, right))
+def _unsqueezed(z: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(z)
+
+
+def _links(a: pd.DataFrame, b: pd.DataFrame, n: int, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two blocks (or within one, if they are the same) of rows (doc_id, z), whose sets are made here."""
+    left = [shingle_set(t.split(), n) for t in map(_unsqueezed, a["z"])]
+    right = left if a is b else [shingle_set(t.split(), n) for t in map(_unsqueezed, b["z"])]
+    size, other = (np.array([len(s) for s in x]) for x in (left, right))
     both = overlaps(left, right)
-    i, j = np.nonzero(100 * both >= percent * (n[:, None] + m[None, :] - both))
+    i, j = np.nonzero(100 * both >= percent * (size[:, None] + other[None, :] - both))
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -117,21 +124,26 @@ def _folded(maps: list[bytes], size: int) -> np.ndarray:
 
 
 def near_rows(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which rows of two blocks (doc_id, n, bits) may link with one of the other.
+    """Which rows of two blocks (component, n, bits) may link with one of the other that is not known to be in their component.
 
-    Bitmaps differ in at most as many bits as sets differ in members, so pairs that link always pass.
+    Bitmaps differ in at most as many bits as sets differ in members, so pairs that link always pass. Bitmaps of two sizes
+    are compared at the smaller one.
     """
-    size = min(map(len, [*a["bits"], *b["bits"]]))
-    left, right = _folded(a["bits"].tolist(), size), _folded(b["bits"].tolist(), size)
     n, m = a["n"].to_numpy(np.int64), b["n"].to_numpy(np.int64)
-    ids, others = a["doc_id"].to_numpy(np.int64), b["doc_id"].to_numpy(np.int64)
+    own, other = a["component"].to_numpy(np.int64), b["component"].to_numpy(np.int64)
     near, met = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
-    for i, row in enumerate(left):
-        apart = np.bitwise_count(right ^ row).sum(axis=1, dtype=np.int64)
-        both = n[i] + m
-        hit = ((100 + percent) * (both - apart) >= 2 * percent * both) & (others != ids[i])
-        near[i] = hit.any()
-        met |= hit
+    sizes, widths = a["bits"].map(len).to_numpy(), b["bits"].map(len).to_numpy()
+    for size in np.unique(sizes):
+        rows = np.nonzero(sizes == size)[0]
+        for width in np.unique(widths):
+            columns = np.nonzero(widths == width)[0]
+            left, right = (_folded(f["bits"].iloc[at].tolist(), min(size, width)) for f, at in ((a, rows), (b, columns)))
+            for i, row in zip(rows, left):
+                apart = np.bitwise_count(right ^ row).sum(axis=1, dtype=np.int64)
+                both = n[i] + m[columns]
+                hit = ((100 + percent) * (both - apart) >= 2 * percent * both) & (100 * np.minimum(n[i], m[columns]) >= percent * np.maximum(n[i], m[columns])) & (other[columns] != own[i])
+                near[i] |= hit.any()
+                met[columns[hit]] = True
     return near, met
 
 
@@ -195,25 +207,29 @@ def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percen
             if b != bucket:
                 seen, bucket = FirstSeen(), b
             _, owner, member = seen.feed(keys, ids)
-            pairs = np.unique(np.stack([owner, member], axis=1), axis=0) if len(owner) else np.empty((0, 2), dtype=np.int64)
-            yield pd.DataFrame({"pivot": pairs[:, 0], "doc_id": pairs[:, 1]})
+            pairs, shared = np.unique(np.stack([owner, member], axis=1), axis=0, return_counts=True) if len(owner) else (np.empty((0, 2), dtype=np.int64), [])
+            yield pd.DataFrame({"pivot": pairs[:, 0], "doc_id": pairs[:, 1], "shared": shared})
 
-    stars = representatives.mapInPandas(post, PACKED).repartition(parts, "bucket").sortWithinPartitions("bucket", "lo", F.xxhash64("keys")).mapInPandas(meet, "pivot long, doc_id long").distinct()
+    posted = representatives.mapInPandas(post, PACKED).repartition(parts, "bucket").sortWithinPartitions("bucket", "lo", F.xxhash64("keys"))
+    stars = posted.mapInPandas(meet, "pivot long, doc_id long, shared long").groupBy("pivot", "doc_id").agg(F.sum("shared").alias("shared"))
     stars = materialize(stars, "stars")
-    sized = materialize(stars.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / BLOCK).alias("blocks")), "sized")
-    # A member goes to its block; the pivot to each block, so that all who link to it are tied in this first pass.
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    members = stars.join(sized, "pivot").select("pivot", F.lit(-1).alias("column"), block.alias("block"), F.lit(0).alias("side"), "doc_id")
-    blocks = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block")
-    pivots = sized.select("pivot", F.lit(-1).alias("column"), blocks, F.lit(0).alias("side"), F.col("pivot").alias("doc_id"))
     bits = representatives.select("doc_id", "n", "bits")
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("text IS NOT NULL")
 
     def links(placed: DataFrame, name: str) -> DataFrame:
         return materialize(_exact(_near(placed, bits, percent, parts), texts, n, percent, parts), name)
 
-    first = links(members.unionByName(pivots), "links")
-    return first.unionByName(links(_across(members, sized, first), "across"))
+    first = links(_closest(stars), "links")
+    return first.unionByName(links(_across(stars, components(first)), "across"))
+
+
+def _closest(stars: DataFrame) -> DataFrame:
+    """Places for each document in the star of the pivot with which it shares most keys, in blocks; the pivot is in each block."""
+    own = materialize(stars.groupBy("doc_id").agg(F.max_by("pivot", F.struct("shared", -F.col("pivot"))).alias("pivot")), "closest")
+    sized = own.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("blocks"))
+    members = own.join(sized, "pivot").select("pivot", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "doc_id")
+    pivots = sized.select("pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("pivot").alias("doc_id"))
+    return members.unionByName(pivots).select("pivot", F.lit(-1).alias("column"), "block", F.lit(0).alias("side"), "doc_id", F.col("doc_id").alias("component"))
 
 
 #: A place is a block of a star, or a pair of blocks (column, block); its rows are compared with each other, or those of side 0 with those of side 1.
@@ -231,7 +247,7 @@ def _sides(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.Da
 
 
 def _near(placed: DataFrame, bits: DataFrame, percent: int, parts: int) -> DataFrame:
-    """The rows of placed (PLACE, side, doc_id) whose bitmap comes near that of another row of their place."""
+    """The rows of placed (PLACE, side, doc_id, component) whose bitmap comes near that of a row of their place in another component."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, b in _sides(frames):
@@ -240,43 +256,43 @@ def _near(placed: DataFrame, bits: DataFrame, percent: int, parts: int) -> DataF
             yield found[[*PLACE, "side", "doc_id"]]
 
     dealt = placed.join(bits, "doc_id").repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "side", "doc_id")
-    return dealt.select(*PLACE, "side", "doc_id", "n", "bits").mapInPandas(run, "pivot long, column int, block int, side int, doc_id long")
+    return dealt.select(*PLACE, "side", "doc_id", "component", "n", "bits").mapInPandas(run, "pivot long, column int, block int, side int, doc_id long")
 
 
 def _exact(placed: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
-    """(a, b): a spanning forest of the links in each place. Sets are made anew from texts (doc_id, text), which are smaller."""
+    """(a, b): a spanning forest of the links in each place. Squeezed texts (doc_id, text) are shipped, a quarter of their sets."""
     places = placed.groupBy("doc_id").agg(F.collect_set(F.struct(*PLACE, "side")).alias("places"))
     wanted = places.join(texts.withColumn("z", squeezed("text")).drop("text"), "doc_id").dropDuplicates(["doc_id"])
 
-    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in portions(frames, "z", growth=3):
-            members = [shingle_set(t.split(), n).tobytes() for t in released(frame["z"])]
-            rows = [(p["pivot"], p["column"], p["block"], p["side"], i, s) for i, s, own in zip(frame["doc_id"], members, frame["places"]) for p in own]
-            yield pd.DataFrame(rows, columns=[*PLACE, "side", "doc_id", "members"])
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, b in _sides(frames):
-            yield pd.DataFrame(_links(a, b, percent), columns=["a", "b"], dtype=np.int64)
+            yield pd.DataFrame(_links(a, b, n, percent), columns=["a", "b"], dtype=np.int64)
 
-    shipped = wanted.mapInPandas(sets, "pivot long, column int, block int, side int, doc_id long, members binary")
+    shipped = wanted.select(F.explode("places").alias("place"), "doc_id", "z").select("place.*", "doc_id", "z")
     return shipped.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "side", "doc_id").mapInPandas(run, "a long, b long").where("a <> b")
 
 
-def _across(members: DataFrame, sized: DataFrame, first: DataFrame) -> DataFrame:
-    """Places for members of several blocks that the first pass has not tied to the star's pivot.
+def _across(stars: DataFrame, tied: DataFrame) -> DataFrame:
+    """Places for the members of all stars that are not known to be in the component of the star's pivot.
 
-    Those are dealt into blocks of their own; each meets every block of the star. If all are tied, no row is made here.
+    Those are dealt into columns; each meets every block of the star, pivot included. If all are tied, no row is made here.
     """
-    members = members.join(sized.where("blocks > 1"), "pivot").drop("column", "side")
-    tied = components(first)
-    named = members.join(tied.select(F.col("id").alias("doc_id"), F.col("component").alias("c")), "doc_id", "left")
-    named = named.join(tied.select(F.col("id").alias("pivot"), F.col("component").alias("pc")), "pivot", "left")
-    loose = materialize(named.where("c IS NULL OR pc IS NULL OR c <> pc").select("pivot", "blocks", "doc_id"), "loose")
-    counts = loose.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("columns"))
-    column = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("columns")).cast("int")
-    each = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))
-    left = loose.join(counts, "pivot").select("pivot", column.alias("column"), each.alias("block"), F.lit(0).alias("side"), "doc_id")
-    right = members.join(counts, "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"), "block", F.lit(1).alias("side"), "doc_id")
+    named = stars.select("pivot", "doc_id").join(tied.select(F.col("id").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
+    named = named.join(tied.select(F.col("id").alias("pivot"), F.col("component").alias("centre")), "pivot", "left")
+    named = named.select("pivot", "doc_id", F.coalesce("own", "doc_id").alias("component"), F.coalesce("centre", "pivot").alias("centre"))
+    named = materialize(named, "named")
+    loose = F.col("component") != F.col("centre")
+    sized = named.groupBy("pivot").agg(
+        F.first("centre").alias("component"),
+        F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.count_if(loose) / BLOCK).cast("int").alias("columns"),
+    )
+    sized = materialize(sized.where("columns > 0"), "sized")
+    each, every = (F.explode(F.sequence(F.lit(0), F.col(x) - 1)) for x in ("blocks", "columns"))
+    counts = sized.drop("component")
+    left = named.where(loose).join(counts, "pivot").select("pivot", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("columns")).cast("int").alias("column"), each.alias("block"), F.lit(0).alias("side"), "doc_id", "component")
+    members = named.select("pivot", "doc_id", "component").unionByName(sized.select("pivot", F.col("pivot").alias("doc_id"), "component")).join(counts, "pivot")
+    right = members.select("pivot", every.alias("column"), F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("side"), "doc_id", "component")
     return left.unionByName(right)
 
 
