@@ -113,8 +113,8 @@ def _links(a: pd.DataFrame, b: pd.DataFrame, n: int, percent: int) -> list[tuple
 
 
 def parity_bits(s: np.ndarray) -> bytes:
-    """A bitmap of a set: a bit is the parity of the members it stands for; 2 to 4 bits a member, a power of two."""
-    size = max(64, 1 << (2 * len(s) - 1).bit_length())
+    """A bitmap of a set: a bit is the parity of the members it stands for; 1 to 2 bits a member, a power of two."""
+    size = max(64, 1 << (len(s) - 1).bit_length())
     return np.packbits((np.bincount((s & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
@@ -206,12 +206,15 @@ def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percen
         for b, keys, ids in unpacked(lengthened(frames)):
             if b != bucket:
                 seen, bucket = FirstSeen(), b
-            _, owner, member = seen.feed(keys, ids)
-            pairs, shared = np.unique(np.stack([owner, member], axis=1), axis=0, return_counts=True) if len(owner) else (np.empty((0, 2), dtype=np.int64), [])
-            yield pd.DataFrame({"pivot": pairs[:, 0], "doc_id": pairs[:, 1], "shared": shared})
+            again, owner, member = seen.feed(keys, ids)
+            if len(owner):
+                pairs, which, shared = np.unique(np.stack([owner, member], axis=1), axis=0, return_inverse=True, return_counts=True)
+                mask = np.zeros(len(pairs), dtype=U64)
+                np.bitwise_or.at(mask, which.ravel(), U64(1) << (again % U64(64)))
+                yield pd.DataFrame({"pivot": pairs[:, 0], "doc_id": pairs[:, 1], "shared": shared, "mask": mask.view(np.int64)})
 
     posted = representatives.mapInPandas(post, PACKED).repartition(parts, "bucket").sortWithinPartitions("bucket", "lo", F.xxhash64("keys"))
-    stars = posted.mapInPandas(meet, "pivot long, doc_id long, shared long").groupBy("pivot", "doc_id").agg(F.sum("shared").alias("shared"))
+    stars = posted.mapInPandas(meet, "pivot long, doc_id long, shared long, mask long").groupBy("pivot", "doc_id").agg(F.sum("shared").alias("shared"), F.bit_or("mask").alias("mask"))
     stars = materialize(stars, "stars")
     bits = representatives.select("doc_id", "n", "bits")
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("text IS NOT NULL")
@@ -229,11 +232,11 @@ def _closest(stars: DataFrame) -> DataFrame:
     sized = own.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("blocks"))
     members = own.join(sized, "pivot").select("pivot", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "doc_id")
     pivots = sized.select("pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("pivot").alias("doc_id"))
-    return members.unionByName(pivots).select("pivot", F.lit(-1).alias("column"), "block", F.lit(0).alias("side"), "doc_id", F.col("doc_id").alias("component"))
+    return members.unionByName(pivots).select("pivot", F.lit(0).alias("ray"), F.lit(-1).alias("column"), "block", F.lit(0).alias("side"), "doc_id", F.col("doc_id").alias("component"))
 
 
-#: A place is a block of a star, or a pair of blocks (column, block); its rows are compared with each other, or those of side 0 with those of side 1.
-PLACE = ["pivot", "column", "block"]
+#: A place is a block of a star's ray (column -1), or a pair of blocks (column, block); its rows are compared with each other, or those of side 0 with those of side 1.
+PLACE = ["pivot", "ray", "column", "block"]
 
 
 def _sides(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
@@ -256,7 +259,7 @@ def _near(placed: DataFrame, bits: DataFrame, percent: int, parts: int) -> DataF
             yield found[[*PLACE, "side", "doc_id"]]
 
     dealt = placed.join(bits, "doc_id").repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "side", "doc_id")
-    return dealt.select(*PLACE, "side", "doc_id", "component", "n", "bits").mapInPandas(run, "pivot long, column int, block int, side int, doc_id long")
+    return dealt.select(*PLACE, "side", "doc_id", "component", "n", "bits").mapInPandas(run, "pivot long, ray int, column int, block int, side int, doc_id long")
 
 
 def _exact(placed: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
@@ -275,24 +278,32 @@ def _exact(placed: DataFrame, texts: DataFrame, n: int, percent: int, parts: int
 def _across(stars: DataFrame, tied: DataFrame) -> DataFrame:
     """Places for the members of all stars that are not known to be in the component of the star's pivot.
 
-    Those are dealt into columns; each meets every block of the star, pivot included. If all are tied, no row is made here.
+    A star falls into 64 rays by its keys: members that share a key share a ray. In a ray, the members not tied are dealt
+    into columns; each meets every block of the ray, pivot included. A ray of one block is compared as it is. If all
+    are tied, no row is made here.
     """
-    named = stars.select("pivot", "doc_id").join(tied.select(F.col("id").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
+    named = stars.select("pivot", "doc_id", "mask").join(tied.select(F.col("id").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
     named = named.join(tied.select(F.col("id").alias("pivot"), F.col("component").alias("centre")), "pivot", "left")
-    named = named.select("pivot", "doc_id", F.coalesce("own", "doc_id").alias("component"), F.coalesce("centre", "pivot").alias("centre"))
+    named = named.select("pivot", "doc_id", "mask", F.coalesce("own", "doc_id").alias("component"), F.coalesce("centre", "pivot").alias("centre"))
     named = materialize(named, "named")
     loose = F.col("component") != F.col("centre")
-    sized = named.groupBy("pivot").agg(
+    wanted = named.where(loose).groupBy("pivot").agg(F.bit_or("mask").alias("wanted"))
+    rays = F.explode(F.expr("filter(sequence(0, 63), x -> shiftright(mask & wanted, x) & 1 = 1)")).alias("ray")
+    met = materialize(named.join(wanted, "pivot").select("pivot", rays, "doc_id", "component", "centre"), "met")
+    sized = met.groupBy("pivot", "ray").agg(
         F.first("centre").alias("component"),
         F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("blocks"),
         F.ceil(F.count_if(loose) / BLOCK).cast("int").alias("columns"),
     )
-    sized = materialize(sized.where("columns > 0"), "sized")
-    each, every = (F.explode(F.sequence(F.lit(0), F.col(x) - 1)) for x in ("blocks", "columns"))
-    counts = sized.drop("component")
-    left = named.where(loose).join(counts, "pivot").select("pivot", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("columns")).cast("int").alias("column"), each.alias("block"), F.lit(0).alias("side"), "doc_id", "component")
-    members = named.select("pivot", "doc_id", "component").unionByName(sized.select("pivot", F.col("pivot").alias("doc_id"), "component")).join(counts, "pivot")
-    right = members.select("pivot", every.alias("column"), F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("side"), "doc_id", "component")
+    sized = materialize(sized, "sized")
+    counts = sized.select("pivot", "ray", "blocks", "columns")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    every = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("columns") - 1))).alias("column")
+    column = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("columns")).cast("int").alias("column")
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block")
+    left = met.where(loose).join(counts.where("blocks > 1"), ["pivot", "ray"]).select("pivot", "ray", column, each, F.lit(0).alias("side"), "doc_id", "component")
+    members = met.drop("centre").unionByName(sized.select("pivot", "ray", F.col("pivot").alias("doc_id"), "component")).join(counts, ["pivot", "ray"])
+    right = members.select("pivot", "ray", every, block, F.lit(1).alias("side"), "doc_id", "component")
     return left.unionByName(right)
 
 
