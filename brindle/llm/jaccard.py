@@ -263,7 +263,7 @@ def _near(placed: DataFrame, bits: DataFrame, percent: int, parts: int) -> DataF
 
 
 def _exact(placed: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
-    """(a, b): a spanning forest of the links in each place. Squeezed texts (doc_id, text) are shipped, a quarter of their sets."""
+    """(a, b): a spanning forest of the links in each place. Texts (doc_id, text) are shipped squeezed; sets are made where they are compared."""
     places = placed.groupBy("doc_id").agg(F.collect_set(F.struct(*PLACE, "side")).alias("places"))
     wanted = places.join(texts.withColumn("z", squeezed("text")).drop("text"), "doc_id").dropDuplicates(["doc_id"])
 
