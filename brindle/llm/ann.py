@@ -2,7 +2,9 @@
 
 Unit vectors are turned by fast Hadamard pseudo-rotations (three rounds of random signs and a Walsh-Hadamard transform); the
 nearest signed axis is the hash. A table joins as many hashes, the last of fewer axes, as make cells of about CELL
-vectors. A query probes the cells whose axes are nearest in each table; candidates are ranked by exact distance there.
+vectors. A query probes the cells whose axes are nearest in each table; candidates are ranked by exact distance there. How many
+cells is measured on each table: SAMPLE queries are compared with every vector, and probes double until the cells that
+they name hold RECALL of the true neighbours, at most all cells. Cells of many members or queries are split into blocks.
 """
 
 from __future__ import annotations
@@ -18,9 +20,14 @@ from pyspark.sql.window import Window
 
 from .storage import materialize, partitions
 
+#: Tables, probes to begin with, and vectors of a cell.
 TABLES, PROBES, CELL = 12, 40, 32
-#: Vectors of a cell that are compared at once.
-CHUNK = 4096
+#: Share of true neighbours that the probed cells must hold, and queries on which it is measured.
+RECALL, SAMPLE = 0.95, 128
+#: Members and queries of a block; a cell of more is split, and each block of members meets each block of queries.
+MEMBERS, QUERIES = 4096, 1024
+#: Vectors of a cell that are compared at once; cells that are ranked, and rows that are sent, at once.
+CHUNK, WORK, ROWS = 4096, 1_000_000, 50_000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -67,6 +74,10 @@ class Polytopes:
 
     def probes(self, x: np.ndarray, most: int) -> list[np.ndarray]:
         """The `most` cells of each row whose axes together are nearest; all cells, if there are no more."""
+        step = max(1, WORK // (min(most, self.cells) * 2 * max(self.axes, default=1)))
+        return [cells for a in range(0, len(x), step) for cells in self._probes(x[a : a + step], most)]
+
+    def _probes(self, x: np.ndarray, most: int) -> list[np.ndarray]:
         cells, loss = np.zeros((len(x), 1), dtype=np.int64), np.zeros((len(x), 1))
         for n, sides in self._turned(x):
             gap = sides.max(axis=1, keepdims=True) - sides
@@ -114,29 +125,141 @@ def _classes(vectors: DataFrame, k: int) -> DataFrame:
     return vectors.mapInPandas(batch, schema).repartition(parts, "signature").sortWithinPartitions("signature").mapInPandas(join, schema).drop("signature")
 
 
+def _matrix(column: pd.Series, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=float).reshape(len(column), width)
+
+
+def _bodies(column: pd.Series) -> list[bytes]:
+    return [np.asarray(v, dtype=float).tobytes() for v in column]
+
+
+def _probes_for(queries: DataFrame, classes: DataFrame, width: int, count: int, k: int, tables: int, probes: int) -> int:
+    """The probes, `probes` doubled as often as it takes, whose cells hold RECALL of the true neighbours of SAMPLE queries."""
+    made = [Polytopes(width, count, t) for t in range(tables)]
+    most = min(probes, made[0].cells)
+    if most == made[0].cells:
+        return most
+    sample = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    ids, q = [r["vec_id"] for r in sample], np.array([r["vector"] for r in sample], dtype=float).reshape(len(sample), width)
+
+    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: list[list] = [[] for _ in ids]
+        for frame in frames:
+            x = _matrix(frame["vector"], width)
+            rough = (x * x).sum(axis=1)[None, :] - 2 * q @ x.T
+            bodies, members = frame["vector"].tolist(), frame["ids"].tolist()
+            for i, own in enumerate(ids):
+                near = np.argpartition(rough[i], k)[: k + 1].tolist() if len(x) > k + 1 else range(len(x))
+                found = [(float(rough[i, j]), m, bodies[j]) for j in near for m in members[j] if m != own]
+                best[i] = sorted(best[i] + found, key=lambda f: f[:2])[:k]
+        yield pd.DataFrame([(i, *f) for i, found in enumerate(best) for f in found], columns=["row", "apart", "id", "vector"])
+
+    nearest = F.row_number().over(Window.partitionBy("row").orderBy("apart", "id"))
+    true = classes.mapInPandas(scan, "row int, apart double, id long, vector binary").withColumn("rank", nearest).where(F.col("rank") <= k).select("row", "vector").toPandas()
+    if not len(true):
+        return most
+    x, row = _matrix(true["vector"], width), true["row"].to_numpy()
+    homes = [p.cell(x) for p in made]
+    while most < made[0].cells:
+        held = np.zeros(len(x), dtype=bool)
+        for p, home in zip(made, homes):
+            # One query's cells at a time: with many probes all of them would fill the driver.
+            for i in np.unique(row):
+                mine = row == i
+                held[mine] |= np.isin(home[mine], p.probes(q[i : i + 1], most)[0])
+        if held.mean() >= RECALL:
+            break
+        most = min(2 * most, made[0].cells)
+    return most
+
+
+def _blocks(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the cells with more members or queries than a block: their numbers in order, and the blocks of both."""
+    full = F.ceil(F.col("members") / MEMBERS).alias("members"), F.ceil(F.col("queries") / QUERIES).alias("queries")
+    hot = counts.groupBy("cell").agg(F.sum("members").alias("members"), F.sum("queries").alias("queries"))
+    # A cell that only one side has is compared with nothing.
+    hot = hot.where((F.col("members") > 0) & (F.col("queries") > 0) & ((F.col("members") > MEMBERS) | (F.col("queries") > QUERIES)))
+    found = hot.select("cell", *full).orderBy("cell").toPandas()
+    return tuple(found[c].to_numpy(np.int64) for c in ("cell", "members", "queries"))
+
+
+def _spread(cells: np.ndarray, names: np.ndarray, side: int, hot: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(row, block) for each block of its cell where a row goes: members to their own row of blocks, queries to their own column."""
+    high, wide = np.ones(len(cells), dtype=np.int64), np.ones(len(cells), dtype=np.int64)
+    if len(hot[0]):
+        at = np.minimum(np.searchsorted(hot[0], cells), len(hot[0]) - 1)
+        known = hot[0][at] == cells
+        high[known], wide[known] = hot[1][at[known]], hot[2][at[known]]
+    copies = wide if side else high
+    row = np.repeat(np.arange(len(cells)), copies)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies)
+    if side:
+        return row, (names % high)[row] * wide[row] + other
+    return row, other * wide[row] + (names % wide)[row]
+
+
 def _search(queries: DataFrame, classes: DataFrame, width: int, count: int, k: int, tables: int, probes: int | None) -> DataFrame:
     """(query_id, vec_id, score): the k nearest of each cell that a query probes; probes None: every cell."""
     parts = partitions(queries.sparkSession)
-    schema = "cell long, side int, id long, vector binary, ids array<long>"
+    schema = "cell long, block long, side int, id long, vector binary, ids array<long>"
 
     def matrix(column: pd.Series) -> np.ndarray:
-        return np.frombuffer(b"".join(column), dtype=float).reshape(len(column), width)
+        return _matrix(column, width)
+
+    def names(bodies) -> np.ndarray:
+        return np.fromiter((xxhash.xxh64_intdigest(b) >> 1 for b in bodies), dtype=np.int64, count=len(bodies))
+
+    def homes(frame: pd.DataFrame, made: list[Polytopes]) -> Iterator[np.ndarray]:
+        x = matrix(frame["vector"])
+        for t, p in enumerate(made):
+            yield t * p.cells + p.cell(x)
+
+    def asked_of(x: np.ndarray, made: list[Polytopes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for t, p in enumerate(made):
+            most = min(probes or p.cells, p.cells)
+            step = max(1, ROWS // most)
+            for a in range(0, len(x), step):
+                found = p.probes(x[a : a + step], most)
+                yield np.repeat(np.arange(a, a + len(found)), [len(c) for c in found]), t * p.cells + np.concatenate(found)
+
+    def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made = [Polytopes(width, count, t) for t in range(tables)]
+        for frame in frames:
+            for cells in homes(frame, made):
+                cell, n = np.unique(cells, return_counts=True)
+                yield pd.DataFrame({"cell": cell, "members": n, "queries": 0})
+
+    def tally_asked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made = [Polytopes(width, count, t) for t in range(tables)]
+        for frame in frames:
+            for _, cells in asked_of(matrix(pd.Series(_bodies(frame["vector"]))), made):
+                cell, n = np.unique(cells, return_counts=True)
+                yield pd.DataFrame({"cell": cell, "members": 0, "queries": n})
+
+    numbers = "cell long, members long, queries long"
+    hot = _blocks(classes.mapInPandas(tally, numbers).unionByName(queries.mapInPandas(tally_asked, numbers)))
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = [Polytopes(width, count, t) for t in range(tables)]
         for frame in frames:
-            x = matrix(frame["vector"])
-            for t, p in enumerate(made):
-                yield pd.DataFrame({"cell": t * p.cells + p.cell(x), "side": 1, "id": 0, "vector": frame["vector"], "ids": frame["ids"]})
+            own = names(frame["vector"])
+            for cells in homes(frame, made):
+                row, block = _spread(cells, own, 1, hot)
+                for a in range(0, len(row), ROWS):
+                    r = row[a : a + ROWS]
+                    yield pd.DataFrame({"cell": cells[r], "block": block[a : a + ROWS], "side": 1, "id": 0, "vector": frame["vector"].to_numpy()[r], "ids": frame["ids"].to_numpy()[r]})
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = [Polytopes(width, count, t) for t in range(tables)]
         for frame in frames:
-            bodies = [np.asarray(v, dtype=float).tobytes() for v in frame["vector"]]
-            x = matrix(pd.Series(bodies))
-            for t, p in enumerate(made):
-                rows = [(t * p.cells + c, 0, i, b, None) for i, b, cells in zip(frame["vec_id"].tolist(), bodies, p.probes(x, probes or p.cells)) for c in cells.tolist()]
-                yield pd.DataFrame(rows, columns=["cell", "side", "id", "vector", "ids"])
+            bodies = np.array(_bodies(frame["vector"]), dtype=object)
+            ids = frame["vec_id"].to_numpy(np.int64)
+            own = names([i.tobytes() for i in ids])
+            for at, cells in asked_of(matrix(pd.Series(bodies)), made):
+                row, block = _spread(cells, own[at], 0, hot)
+                for a in range(0, len(row), ROWS):
+                    r = row[a : a + ROWS]
+                    yield pd.DataFrame({"cell": cells[r], "block": block[a : a + ROWS], "side": 0, "id": ids[at[r]], "vector": bodies[at[r]], "ids": None})
 
     def nearest(ids: np.ndarray, q: np.ndarray, x: np.ndarray, members: list) -> list[tuple]:
         rows = []
@@ -156,12 +279,12 @@ def _search(queries: DataFrame, classes: DataFrame, width: int, count: int, k: i
         cell, ids, asked = None, [], []
         for frame in frames:
             rows = []
-            values, side = frame["cell"].to_numpy(), frame["side"].to_numpy()
-            cuts = np.r_[0, np.nonzero((values[1:] != values[:-1]) | (side[1:] != side[:-1]))[0] + 1, len(frame)]
+            values, side = frame[["cell", "block"]].to_numpy(), frame["side"].to_numpy()
+            cuts = np.r_[0, np.nonzero((values[1:] != values[:-1]).any(axis=1) | (side[1:] != side[:-1]))[0] + 1, len(frame)]
             for a, b in zip(cuts, cuts[1:]):
                 part = frame.iloc[a:b]
-                if values[a] != cell:
-                    cell, ids, asked = values[a], [], []
+                if tuple(values[a]) != cell:
+                    cell, ids, asked = tuple(values[a]), [], []
                 if side[a] == 0:
                     ids.append(part["id"].to_numpy())
                     asked.append(matrix(part["vector"]))
@@ -173,13 +296,14 @@ def _search(queries: DataFrame, classes: DataFrame, width: int, count: int, k: i
             yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
     dealt = classes.mapInPandas(deal, schema).unionByName(queries.mapInPandas(ask, schema))
-    return dealt.repartition(parts, "cell").sortWithinPartitions("cell", "side").mapInPandas(compare, "query_id long, vec_id long, score double")
+    return dealt.repartition(parts, "cell", "block").sortWithinPartitions("cell", "block", "side").mapInPandas(compare, "query_id long, vec_id long, score double")
 
 
 def nearest_neighbours(embeddings: DataFrame, k: int = 10, every: int = 100, tables: int = TABLES, probes: int = PROBES, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, the k nearest others that are found.
 
-    score is the Euclidean distance of the original vectors in double precision; ties go to the smaller id. A query that finds
+    score is the Euclidean distance of the original vectors in double precision; ties go to the smaller id. `probes` cells of each table, or as many
+    more as RECALL takes on a sample, are compared; where that is every cell, one table does, and the result is exact. A query that finds
     fewer than k though there are more is compared with every cell. Vectors that are null, zero, hold null or non-finite
     components, or have not the most frequent length, and rows without an id take no part. Equal vectors are one class, so
     large groups of copies cost one row. Of rows that repeat an id the nearest counts. Empty tables give no rows.
@@ -193,6 +317,9 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 10, every: int = 100, tab
     classes = materialize(_classes(vectors, k), "classes")
     count = classes.count()
     queries = vectors.where(F.col("vec_id") % every == 0)
+    probes = _probes_for(queries, classes, width, count, k, tables, probes)
+    if probes >= Polytopes(width, count, 0).cells:
+        tables = 1
     found = materialize(_search(queries, classes, width, count, k, tables, probes).groupBy("query_id", "vec_id").agg(F.min("score").alias("score")), "found")
     others = vectors.select("vec_id").distinct().count() - 1
     short = queries.select("vec_id").distinct().join(found.groupBy(F.col("query_id").alias("vec_id")).count(), "vec_id", "left").where(F.coalesce("count", F.lit(0)) < min(k, others))

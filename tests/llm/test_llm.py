@@ -253,6 +253,22 @@ def test_neighbours(spark):
     assert [r["vec_id"] for r in ann.nearest_neighbours(few).collect()] and ann.nearest_neighbours(few.limit(0)).count() == 0
 
 
+def test_neighbours_of_many_cells(spark, monkeypatch):
+    """Where the first two of 512 cells hold few of the neighbours, more are probed; split cells give the same rows."""
+    base = np.random.default_rng(5).normal(size=(20_000, 64))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(base)], "vec_id long, embedding array<double>").repartition(4)
+    found = lambda: {(r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest_neighbours(df, every=400, probes=2).collect()}
+    got, hit = found(), 0
+    for q in range(0, 20_000, 400):
+        apart = ((base - base[q]) ** 2).sum(axis=1)
+        apart[q] = np.inf
+        hit += len(set(np.argsort(apart)[:10].tolist()) & {v for i, _, v in got if i == q})
+    assert len(got) == 500 and hit >= 450
+    monkeypatch.setattr(ann, "MEMBERS", 30)
+    monkeypatch.setattr(ann, "QUERIES", 3)
+    assert found() == got
+
+
 def test_empty_tables(spark):
     none, labels = docs(spark).limit(0), given(spark, "labels").limit(0)
     assert jaccard.ngram_jaccard_join(none).count() == substring.substring_dedup(none).count() == packing.pack(none, *queries.TOKENIZER).count() == 0
