@@ -4,6 +4,7 @@ Every window of `length` words belongs to a shard: the smallest hash among its r
 fall in equal shards wherever they are. Only shards whose anchor two documents have are read further; from those come the
 pieces of text (maximal runs of windows with one anchor), equal pieces collapsed. In each shard the pieces pass in order of
 their first documents: matching statistics against the suffix automaton of the pieces before, then insertion of what is new.
+A shard of more than SHARD distinct pieces is split by a second key: its pieces fall into windows, and equal windows meet by name.
 A corpus that is its own reference has as many shards as it has data, so pieces are shuffled to their shard; broadcasting
 each shard's automaton to every document would make the work grow with the square of the corpus.
 """
@@ -25,6 +26,8 @@ from .text import PACKED, U64, FirstSeen, hash_words, ngrams, packed_flat, porti
 
 #: Words of an anchor, and windows of a piece at most (its marks fit a long).
 ANCHOR, PIECE = 4, 40
+#: Distinct pieces of a shard that one automaton holds at most, and pieces that share a window in one task.
+SHARD = 2_000
 
 
 class SuffixAutomaton:
@@ -158,6 +161,36 @@ def _judge(pieces: list[tuple[bytes, list[bytes], int]], length: int) -> list[tu
     return out
 
 
+def large_shards(pieces: DataFrame) -> DataFrame:
+    """The anchors of more than SHARD distinct pieces."""
+    # Most anchors have too few rows, which the anchors alone tell.
+    likely = pieces.groupBy("anchor").count().where(F.col("count") > SHARD).select("anchor")
+    bodies = pieces.join(F.broadcast(likely), "anchor").select("anchor", "piece").distinct()
+    return bodies.groupBy("anchor").count().where(F.col("count") > SHARD).select("anchor")
+
+
+def _judge_windows(bodies: DataFrame, length: int) -> DataFrame:
+    """What _judge() finds, of bodies (doc_id, piece, body) of any number: each window by its 128-bit name, and the smallest id that has it."""
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for piece, doc, body in zip(frame["piece"], frame["doc_id"].tolist(), frame["body"]):
+                items = body.split()
+                rows += [(piece, doc, i, xxhash.xxh3_128_digest(b" ".join(items[i : i + length]))) for i in range(len(items) - length + 1)]
+            yield pd.DataFrame(rows, columns=["piece", "doc_id", "at", "window"])
+
+    windows = materialize(bodies.select("piece", "doc_id", "body").mapInPandas(cut, "piece binary, doc_id long, at int, window binary"), "windows")
+    firsts = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
+    firsts = materialize(firsts, "firsts")
+    # A window that many pieces have would be one task of a join; there are few such windows, so they go to the pieces.
+    common = F.broadcast(firsts.where(F.col("n") > SHARD).select("window", "least"))
+    rest = windows.join(common, "window", "left_anti").join(firsts.where(F.col("n") <= SHARD).select("window", "least"), "window", "left")
+    again = F.when(F.col("least") < F.col("doc_id"), F.expr("shiftleft(1L, at)")).otherwise(F.lit(0).cast("long"))
+    masks = windows.join(common, "window").unionByName(rest).groupBy("piece", "doc_id").agg(F.bit_or(again).alias("mask"))
+    return masks.groupBy("piece").agg(F.min(F.struct("doc_id", "mask")).alias("m")).select("piece", F.col("m.doc_id").alias("first"), "m.mask")
+
+
 def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
     """(doc_id, starts, masks) of documents (doc_id, text): bit i of a mask tells that the window at start + i also starts in one of smaller id."""
     parts = partitions(docs.sparkSession)
@@ -177,8 +210,12 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
             out = []
         yield pd.DataFrame(_judge(shard_pieces, length), columns=["piece", "first", "mask"])
 
+    large = materialize(large_shards(pieces), "large")
     bodies = pieces.where("body IS NOT NULL").select("anchor", "doc_id", "piece", "body")
-    judged = bodies.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "piece").mapInPandas(stream, "piece binary, first long, mask long")
+    small = bodies.join(F.broadcast(large), "anchor", "left_anti")
+    judged = small.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "piece").mapInPandas(stream, "piece binary, first long, mask long")
+    if large.limit(1).count():
+        judged = judged.unionByName(_judge_windows(bodies.join(F.broadcast(large), "anchor"), length))
     judged = materialize(judged, "judged")
     full = F.expr("shiftleft(1L, windows) - 1L")
     hits = pieces.select("piece", "doc_id", "start", "windows").join(judged, "piece").withColumn("mask", F.when(F.col("doc_id") > F.col("first"), full).otherwise(F.col("mask"))).where("mask <> 0")

@@ -106,6 +106,23 @@ def test_substring(spark, table):
     assert all(len(words(r["text"])) == r["n_words"] - r["n_removed"] for r in kept.collect())
 
 
+def test_substring_passage_in_many_contexts(spark):
+    """A passage between words of each document's own: no automaton holds the pieces of all of them."""
+    passage = " ".join(f"p{k}" for k in range(15))
+    rows = [(k, " ".join([*(f"a{k}x{i}" for i in range(12)), passage, *(f"b{k % 1500}x{i}" for i in range(12))]), "en", "a") for k in range(2 * 2_100)]
+    df = docs(spark, rows)
+    assert substring.large_shards(substring._pieces_of(df.select("doc_id", "text"), 13)).count() > 0
+    got = {r["doc_id"]: r["text"] for r in substring.substring_dedup(df).collect()}
+    seen, want = set(), {}
+    for i, t, *_ in rows:
+        w = t.split()
+        windows = [tuple(w[k : k + 13]) for k in range(len(w) - 12)]
+        gone = {k + j for k, x in enumerate(windows) if x in seen for j in range(13)}
+        seen.update(windows)
+        want[i] = " ".join(x for k, x in enumerate(w) if k not in gone)
+    assert got == want
+
+
 @pytest.mark.parametrize("table", ["odd", "given"])
 def test_packing(spark, table):
     df = docs(spark) if table == "odd" else given(spark, "documents")
