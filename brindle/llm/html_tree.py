@@ -26,20 +26,26 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 SILENT = frozenset("script style noscript template svg math iframe object canvas audio video head title select textarea button".split())
 ASIDE = frozenset("nav header footer aside form dialog menu".split())
 BLOCK = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address hr br center details summary fieldset".split())
-#: Words of class, id and role names of what surrounds an article.
-NAMED = re.compile(r"(?:^|[-_\s])(?:ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|sidebar|side|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|header|masthead|footer|cookie|cookies|consent|notice|notices|popup|modal|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|comment|comments|respond|replies|disqus|widget|pagination|pager|copyright|legal|complementary|contentinfo|alert)(?:$|[-_\s\d])", re.I)
+#: Words that name, alone or as the last part of a class, id or role, what surrounds an article.
+NAMED = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs header masthead footer cookie cookies consent notice notices popup modal newsletter subscribe subscription signup login search share sharing social related recommended comment comments respond replies disqus widget pagination pager copyright legal complementary contentinfo alert".split())
+#: Last parts that say where or in what form the first part is; parts by which a name tells of something else than its node; owners of a header.
+PLACES = frozenset("left right top bottom area wrapper wrap container box bar list section block slot links buttons inner outer widget widgets text form posts primary secondary main".split())
+ABOUT = frozenset("has no not with without by is show hide".split())
+OWNERS = frozenset("entry post article story content page".split())
 #: Importance from which a node of a tree stays, and pages that must have it before their agreement counts.
 LEAST, PAGES = 0.2, 3
 _SPACE = re.compile(r"\s+")
+_PARTS = re.compile(r"[-_]+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "children", "parent", "key")
+    __slots__ = ("tag", "names", "children", "parent", "key", "size", "holds")
 
     def __init__(self, tag: str, names: str, parent: "Node | None") -> None:
         self.tag, self.names, self.parent = tag, names, parent
         self.children: list[Node | str] = []
-        self.key = 0
+        self.key = self.size = 0
+        self.holds = False
 
 
 class _Builder(HTMLParser):
@@ -96,9 +102,48 @@ def tree_of(html: str) -> Node:
     return builder.root
 
 
-def surrounds(node: Node) -> bool:
-    """Whether the markup itself says that a node is not part of an article."""
-    return node.tag in SILENT or node.tag in ASIDE and not (node.tag == "header" and _within(node, "article")) or node.names.startswith("hidden ") or bool(node.names and node.tag not in ("html", "body", "article", "main") and NAMED.search(node.names))
+def weigh(root: Node) -> None:
+    """Sets size, the length of a node's visible words, and holds, whether a non-empty article or main is in it."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.tag not in SILENT and not node.names.startswith("hidden "):
+            order.append(node)
+            todo.extend(c for c in node.children if isinstance(c, Node))
+    for node in reversed(order):
+        inner = [c for c in node.children if isinstance(c, Node)]
+        node.size = sum(c.size for c in inner) + sum(len(_SPACE.sub("", c)) for c in node.children if isinstance(c, str))
+        node.holds = any(c.holds or c.tag in ("article", "main") and c.size for c in inner)
+
+
+def named(names: str) -> set[str]:
+    """The words of NAMED that a class, id or role says its node is."""
+    out = set()
+    for token in names.lower().split():
+        parts = [p for p in _PARTS.split(token.rstrip("0123456789")) if p]
+        if not parts or ABOUT & set(parts[:-1]):
+            continue
+        if parts[-1] in NAMED and not (parts[-1] == "header" and parts[0] in OWNERS):
+            out.add(parts[-1])
+        elif len(parts) > 1 and parts[0] in NAMED and parts[-1] in PLACES:
+            out.add(parts[0])
+    if names.lower().split() == ["side"]:
+        out.add("side")
+    return out
+
+
+def surrounds(node: Node, total: int) -> bool:
+    """Whether the markup itself says that a node is not part of an article; a branch that holds one, or most of the page's text, is not cut."""
+    if node.tag in SILENT or node.names.startswith("hidden "):
+        return True
+    words = named(node.names) if node.tag not in ("html", "body", "article", "main") else set()
+    if node.tag == "header" and not OWNERS & {t.split("-")[0].split("_")[0] for t in node.names.lower().split() if t.endswith("header")}:
+        words.add("header")
+    if node.tag == "header" or words == {"header"}:
+        words -= {"header"} if _within(node, "article") else set()
+    if not words and (node.tag not in ASIDE or node.tag == "header"):
+        return False
+    return not node.holds and 2 * node.size <= total
 
 
 def _within(node: Node, tag: str) -> bool:
@@ -156,15 +201,17 @@ def main_text(html: str | None, low: set[int]) -> str:
     if not html:
         return ""
     root = tree_of(html)
-    found = blocks(root, surrounds)
+    weigh(root)
+    found = blocks(root, lambda n: surrounds(n, root.size))
     # What is marked as article stays, though a host may have copies of a page.
     found = [(n, t) for n, t in found if n.key not in low or _within(n, "article") or _within(n, "main")]
-    # Where the page marks its article, only what lies in it is the article.
-    for tag in ("article", "main"):
-        inside = [(n, t) for n, t in found if _within(n, tag)]
-        if inside:
-            found = inside
-            break
+    # Where the page marks its article, only what lies in it is the article; a card beside or in a longer main is not.
+    inside = {tag: [(n, t) for n, t in found if _within(n, tag)] for tag in ("article", "main")}
+    size = {tag: sum(len(t) for _, t in inside[tag]) for tag in inside}
+    if size["article"] and 2 * size["article"] >= size["main"]:
+        found = inside["article"]
+    elif size["main"]:
+        found = inside["main"]
     return "\n".join(t for _, t in found)
 
 

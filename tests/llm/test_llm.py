@@ -251,6 +251,26 @@ def test_html(spark):
     assert got[11] == "Own 1" and got[20] == got[21] == "" and got[22].startswith("plain < text") and got[23] == "deep" and got[None] == "a"
 
 
+TEXT = "The text of this page goes on for a while."
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<body><article><header class='entry-header'><h1>Title</h1></header><p>{TEXT}</p></article></body>", f"Title\n{TEXT}"),
+        (f"<body><div class='layout no-sidebar'><p>{TEXT}</p></div><div class='sidebar'>Ad</div></body>", TEXT),
+        (f"<body><div id='page' class='has-sidebar'><p>{TEXT}</p><div class='site-footer'>Foot</div></div></body>", TEXT),
+        (f"<body><form id='login'><div class='side-by-side'><p>{TEXT}</p></div><nav>Menu</nav></form></body>", TEXT),
+        (f"<body><div class='banner'><article><p>{TEXT}</p></article></div><p>{TEXT}</p></body>", TEXT),
+        (f"<body><main><p>{TEXT}</p></main><article>Card</article></body>", TEXT),
+        (f"<body><main><p>{TEXT}</p><article>Card</article></main></body>", f"{TEXT}\nCard"),
+        (f"<body><p>{TEXT}</p><div class='comments-area'>Hi</div><div class='ad-1 x'>Buy</div><div class='main-nav'>Go</div></body>", TEXT),
+    ],
+)
+def test_html_names(html, want):
+    assert html_tree.main_text(html, set()) == want
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(700, 16))
