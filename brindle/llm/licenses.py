@@ -48,7 +48,7 @@ def license_scan(docs: DataFrame, known: tuple[tuple[str, str], ...] = KNOWN_TEX
     """(doc_id, digest, license, n_notices, notices) of each row.
 
     license names the known text, of the same canonical digest, that the entire text is; null if none. notices are the licences
-    of the single lines that are known texts, sorted, and n_notices counts these lines. A null text has a null digest and no notices. Null ids, repeated rows and
+    of the single lines, of any length, that have the word license or licence and are known texts, sorted, and n_notices counts these lines. A null text has a null digest and no notices. Null ids, repeated rows and
     empty tables pass; other columns are ignored. The known digests, one row for each text of `known`, are broadcast.
     """
     spark = docs.sparkSession
@@ -56,9 +56,8 @@ def license_scan(docs: DataFrame, known: tuple[tuple[str, str], ...] = KNOWN_TEX
     names = {r["digest"]: r["license"] for r in listed.collect()}
     table = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair])
     text = F.col(text_column).cast("string")
-    # Only lines that could be a notice by their length are normalised.
-    longest = max((len(line) for _, t in known for line in t.split("\n")), default=0) * 2
-    lines = F.filter(F.split(text, "\n"), lambda line: (F.length(line) <= longest) & F.lower(line).rlike("licen[sc]e"))
+    # As in the SQL, lines of any length that name a licence are normalised.
+    lines = F.filter(F.split(text, "\n"), lambda line: F.lower(line).rlike("licen[sc]e"))
     notices = F.filter(F.transform(lines, lambda line: F.try_element_at(table, digest(line))), lambda name: name.isNotNull())
     scanned = docs.select(F.col(id_column).alias("doc_id"), digest(text).alias("digest"), F.coalesce(notices, F.array().cast("array<string>")).alias("found"))
     joined = scanned.join(F.broadcast(listed), "digest", "left")

@@ -238,6 +238,12 @@ def test_licenses(spark):
     assert got[5]["notices"] == "MIT" and got[4]["digest"] is None and got[3]["n_notices"] == 0
 
 
+def test_license_lines_of_any_length(spark):
+    lines = [" ".join(licenses.MIT.split()), "=" * 1500 + " Released under the MIT License. " + " " * 1500]
+    got = licenses.license_scan(docs(spark, [(k, "prose\n" + line, "", "") for k, line in enumerate(lines)])).collect()
+    assert [(r["n_notices"], r["notices"]) for r in got] == [(1, "MIT")] * 2
+
+
 def page(nav, body):
     return f"<html><head><title>t</title><script>x<1</script></head><body><nav><a>{nav}</a></nav><div class='top'>Same on all</div><article><header><h1>Head</h1></header><p>{body}<p>Two &amp; <b>bold</b>\n x<br>new</article><div class='comments'>hi</div><footer>f</footer></body></html>"
 
