@@ -23,16 +23,17 @@ def mask(reads: DataFrame, intervals: DataFrame, keep: str = "outside", bin_size
     """Reads (chrom, start, end) that overlap none of the intervals (keep="outside") or at least one ("inside").
 
     The mask is counted first: one of SMALL_MASK rows or fewer is broadcast; a larger one, and the reads, are dealt out by bins of
-    the chrom, and the reads that meet an interval are matched by their rows' numbers.
+    the chrom, and the reads that meet an interval are matched by their rows' numbers. In both, a read and an interval overlap if each
+    starts before the other's end, so an empty one overlaps what it lies within.
     """
     how = {"outside": "left_anti", "inside": "left_semi"}[keep]
     m = intervals.select(F.col("chrom").alias("m_chrom"), F.col("start").alias("m_start"), F.col("end").alias("m_end"))
     meet = (F.col("chrom") == F.col("m_chrom")) & (F.col("start") < F.col("m_end")) & (F.col("m_start") < F.col("end"))
     if m.limit(SMALL_MASK + 1).count() <= SMALL_MASK:
         return reads.join(F.broadcast(m), meet, how)
-    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_size), F.floor((F.col(b) - 1) / bin_size)))
-    spans = reads.select("chrom", "start", "end").where("start < end").distinct().withColumn("bin", bins("start", "end"))
-    hits = spans.join(m.where("m_start < m_end").withColumn("m_bin", bins("m_start", "m_end")), meet & (F.col("bin") == F.col("m_bin"))).select("chrom", "start", "end").distinct()
+    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_size), F.floor(F.greatest(F.col(b) - 1, F.col(a)) / bin_size)))
+    spans = reads.select("chrom", "start", "end").distinct().withColumn("bin", bins("start", "end"))
+    hits = spans.join(m.withColumn("m_bin", bins("m_start", "m_end")), meet & (F.col("bin") == F.col("m_bin"))).select("chrom", "start", "end").distinct()
     return reads.join(hits, ["chrom", "start", "end"], how)
 
 

@@ -56,6 +56,15 @@ def test_intervals(spark):
     assert rows(intervals.hard_mask(lines, cuts), "offset", "seq") == [(0, "ACNNACGN"), (8, "NNGT")]
 
 
+def test_mask_of_empty_intervals_by_either_join(spark, monkeypatch):
+    reads = spark.createDataFrame([("a", 5, 5), ("a", 10, 10), ("a", 20, 30), ("a", 40, 40), ("b", 5, 5)], "chrom string, start long, end long")
+    cover = spark.createDataFrame([("a", 0, 10), ("a", 25, 25)], "chrom string, start long, end long")
+    for small in (100_000, 0):
+        monkeypatch.setattr(intervals, "SMALL_MASK", small)
+        kept = {how: sorted((r["chrom"], r["start"]) for r in intervals.mask(reads, cover, how, bin_size=10).collect()) for how in ("outside", "inside")}
+        assert kept == {"outside": [("a", 10), ("a", 40), ("b", 5)], "inside": [("a", 5), ("a", 20)]}
+
+
 def test_barcodes(spark):
     assert len(barcode.hamming_ball("ACGTACGTACGTACG", 2)) == 1741
     config = settings.parse_barcodes("READ1 = DPM\nREAD2 = Y|SPACER|ODD\n# x\nDPM\tDPM1\tAAAA\t0\nY\tY1\tCC\t0\nY\tY2\tCCG\t0\nODD\tO1\tTTTT\t1\n")
