@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -112,11 +113,12 @@ def weigh(root: Node) -> None:
             todo.extend(c for c in node.children if isinstance(c, Node))
     for node in reversed(order):
         inner = [c for c in node.children if isinstance(c, Node)]
-        node.size = sum(c.size for c in inner) + sum(len(_SPACE.sub("", c)) for c in node.children if isinstance(c, str))
+        node.size = sum(c.size for c in inner) + sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
         node.holds = any(c.holds or c.tag in ("article", "main") and c.size for c in inner)
 
 
-def named(names: str) -> set[str]:
+@lru_cache(maxsize=10_000)
+def named(names: str) -> frozenset[str]:
     """The words of NAMED that a class, id or role says its node is."""
     out = set()
     for token in names.lower().split():
@@ -129,14 +131,14 @@ def named(names: str) -> set[str]:
             out.add(parts[0])
     if names.lower().split() == ["side"]:
         out.add("side")
-    return out
+    return frozenset(out)
 
 
 def surrounds(node: Node, total: int) -> bool:
     """Whether the markup itself says that a node is not part of an article; a branch that holds one, or most of the page's text, is not cut."""
     if node.tag in SILENT or node.names.startswith("hidden "):
         return True
-    words = named(node.names) if node.tag not in ("html", "body", "article", "main") else set()
+    words = set(named(node.names)) if node.names and node.tag not in ("html", "body", "article", "main") else set()
     if node.tag == "header" and not OWNERS & {t.split("-")[0].split("_")[0] for t in node.names.lower().split() if t.endswith("header")}:
         words.add("header")
     if node.tag == "header" or words == {"header"}:
