@@ -10,7 +10,7 @@ from .storage import materialize
 
 def _hooked(arcs: DataFrame, own: bool) -> DataFrame:
     """arcs (u, v): each v, if not own only those above u, is tied to the smallest of u and u's neighbours; own: u too."""
-    least = materialize(arcs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "star")
+    least = arcs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     tied = (arcs if own else arcs.where("v > u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if own:
         tied = tied.unionByName(least.select("u", F.col("m").alias("v")))

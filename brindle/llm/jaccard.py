@@ -1,16 +1,18 @@
 """Set-similarity join on word n-grams by vertical partitioning.
 
-The global order of n-grams is the order of their fingerprints. It is cut into fragments, so many for sets of a size that
-two sets above the threshold must agree on a whole non-empty fragment (pigeonhole over their largest possible difference).
-Equal sets are first collapsed to one representative. Documents that share a fragment meet in a star around the first of
-them. Each document is first compared in the star with which it shares most keys; what these links do not connect is then
-compared in every other star. Stars are compared in blocks: bitmaps first, which bound what sets have in common, then, for
-members that may link, whole sets, where overlaps are counted fragment by fragment and summed for each pair.
+The global order of n-grams is the order of their fingerprints, and fragments are ranges of it. A set is cut into so many
+that two sets above the threshold must agree on a whole non-empty fragment (pigeonhole over their largest possible
+difference). Equal sets are first collapsed to one representative. Documents that share a fragment meet in a star around the
+first of them, in blocks. Parity bitmaps tell which members of a block may link. The sets of these are dealt out by fragment:
+each (block, fragment) counts partial overlaps of all its pairs on its own, and a shuffle sums them for each pair. Each
+document is first compared in the star with which it shares most keys; what these links do not connect is then compared in
+every other star.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,80 +23,89 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .storage import materialize, partitions
-from .text import PACKED, U64, FirstSeen, groups, hash_words, mix, ngrams, packed, squeezed, unpacked, words
+from .text import PACKED, PORTION, U64, FirstSeen, groups, hash_words, mix, ngrams, packed, portions, released, squeezed, unpacked, words
 
 #: Members of a star that are compared with each other in one task.
 BLOCK = 256
-#: Columns of a partial overlap count.
-FRAGMENT = 8192
+#: Fragments of a block at least, and members of a fragment of its largest set at most, where overlaps are counted.
+FRAGMENTS, FRAGMENT = 4, 2048
+#: Columns of an incidence matrix.
+COLUMNS = 4096
 
 
 def shingle_set(items: list[bytes], n: int) -> np.ndarray:
     """Sorted distinct fingerprints of the n-word shingles, A-Z in lower case; of fewer words, one of their whole sequence."""
-    h = hash_words([w.lower() for w in items])
+    h = hash_words(b" ".join(items).lower().split())
     if 0 < len(h) < n:
         return np.array([xxhash.xxh64_intdigest(h.tobytes(), seed=len(h))], dtype=U64)
     return np.unique(ngrams(h, n))
 
 
+@lru_cache(maxsize=4096)
+def _cut(g: int, percent: int) -> tuple[int, int]:
+    """(fragments, empty ones allowed) of the sets of size class g: of these, as many more must agree as any set may leave empty."""
+    ratio = percent / 100
+    high = int(ratio ** -(g + 1) + 1e-6)
+    apart = 2 * high * (100 - percent) // (100 + percent)
+    if not apart:
+        return 1, 0
+    low = max(1.0, ratio ** (1 - g))
+    spare = 0
+    while spare < apart:
+        empty = (apart + 2 + spare) * np.exp(-low / (apart + 2 + spare))
+        if empty + 4 * np.sqrt(empty) <= spare + 1:
+            break
+        spare += 1 + spare // 16
+    return apart + 2 + spare, spare + 1
+
+
 def fragment_keys(s: np.ndarray, percent: int) -> np.ndarray:
     """One key for each non-empty fragment of a sorted set, for its own class of sizes and the next.
 
     Sizes fall in classes of ratio percent/100, so sets that link are in the same class or in neighbouring ones. Sets of up
-    to `high` members that link differ in at most d = 2 * high * (100 - percent) / (100 + percent) members; of d + 2
-    fragments at least two then agree, and one of those is not empty unless a set has two empty fragments. Such sets, which
-    are rare, also give keys for their empty fragments.
+    to `high` members that link differ in at most d = 2 * high * (100 - percent) / (100 + percent) members; of d + e + 1
+    fragments at least e + 1 then agree, and one of those is not empty unless a set has more than e empty fragments. e is so
+    large that hardly any set has; those few also give keys for their empty fragments.
     """
     n = len(s)
     if not n:
         return s
-    ratio = percent / 100
-    size_class = int(np.floor(np.log(n) / -np.log(ratio) + 1e-9)) if percent < 100 else n
+    size_class = int(np.floor(np.log(n) / -np.log(percent / 100) + 1e-9)) if percent < 100 else n
     sums = np.r_[U64(0), np.cumsum(mix(s + U64(7)))]
     out = []
     for g in (size_class, size_class + 1):
-        high = int(ratio ** -(g + 1) + 1e-6) if percent < 100 else n
-        apart = 2 * high * (100 - percent) // (100 + percent)
-        count = apart + 2 if apart else 1
+        count, allowed = _cut(g, percent) if percent < 100 else (1, 0)
         which = (((s >> U64(32)) * U64(count)) >> U64(32)).astype(np.int64)
         sizes = np.bincount(which, minlength=count)
         ends = np.cumsum(sizes)
         digest = sums[ends] - sums[ends - sizes]
         keys = mix(mix(digest + np.arange(count, dtype=U64)) + np.full(count, g, dtype=U64) * U64(0xC2B2AE3D27D4EB4F))
-        out.append(keys[sizes > 0] if (sizes == 0).sum() < 2 else keys)
+        out.append(keys[sizes > 0] if (sizes == 0).sum() <= allowed else keys)
     return np.unique(np.concatenate(out))
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of two blocks of sets: partial counts of each fragment of the members that both blocks have, summed."""
-    common = np.intersect1d(np.concatenate(left), np.concatenate(right))
-    total = np.zeros((len(left), len(right)), dtype=np.int64)
-    for at in range(0, len(common), FRAGMENT):
-        part = common[at : at + FRAGMENT]
-        total += np.rint(_incidence(left, part) @ _incidence(right, part).T).astype(np.int64)
+def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of all intersections of two blocks of sets; of one block with itself, but for its diagonal, if right is None."""
+    sets = left + (right or [])
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    if right is None:
+        shared = np.bincount(at, minlength=len(values)) > 1
+    else:
+        shared = (np.bincount(at[row < len(left)], minlength=len(values)) > 0) & (np.bincount(at[row >= len(left)], minlength=len(values)) > 0)
+    used = shared[at]
+    row, column = row[used], (np.cumsum(shared) - 1)[at[used]]
+    total = np.zeros((len(left), len(sets) - len(left) if right is not None else len(left)), dtype=np.int64)
+    for start in range(0, int(shared.sum()), COLUMNS):
+        own = (column >= start) & (column < start + COLUMNS)
+        part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        part[row[own], column[own] - start] = 1
+        total += np.rint(part[: len(left)] @ (part[len(left) :] if right is not None else part).T).astype(np.int64)
     return total
 
 
-def _incidence(sets: list[np.ndarray], part: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(sets), len(part)), dtype=np.float32)
-    for i, s in enumerate(sets):
-        s = s[np.searchsorted(s, part[0]) : np.searchsorted(s, part[-1], side="right")]
-        at = np.searchsorted(part, s)
-        out[i, at[part[np.minimum(at, len(part) - 1)] == s]] = 1
-    return out
-
-
-def _unsqueezed(z: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(z)
-
-
-def _links(a: pd.DataFrame, b: pd.DataFrame, n: int, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between two blocks (or within one, if they are the same) of rows (doc_id, z), whose sets are made here."""
-    left = [shingle_set(t.split(), n) for t in map(_unsqueezed, a["z"])]
-    right = left if a is b else [shingle_set(t.split(), n) for t in map(_unsqueezed, b["z"])]
-    size, other = (np.array([len(s) for s in x]) for x in (left, right))
-    both = overlaps(left, right)
-    i, j = np.nonzero(100 * both >= percent * (size[:, None] + other[None, :] - both))
+def spanning(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of pairs, those that connect what no pair before them connects."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -104,7 +115,7 @@ def _links(a: pd.DataFrame, b: pd.DataFrame, n: int, percent: int) -> list[tuple
         return x
 
     out = []
-    for x, y in zip(a["doc_id"].to_numpy()[i].tolist(), b["doc_id"].to_numpy()[j].tolist()):
+    for x, y in pairs:
         p, q = find(x), find(y)
         if p != q:
             root[p] = q
@@ -180,7 +191,7 @@ def shingle_table(docs: DataFrame, n: int, percent: int, id_column: str, text_co
     """(doc_id, n_shingles, signature, keys, bits) of each row: its set's size, a 128-bit signature of the set, its fragment keys and parity bits."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in portions(frames, "text"):
             rows = []
             for i, text in zip(frame["doc_id"], frame["text"]):
                 s = shingle_set(words(text), n)
@@ -206,105 +217,145 @@ def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percen
         for b, keys, ids in unpacked(lengthened(frames)):
             if b != bucket:
                 seen, bucket = FirstSeen(), b
-            again, owner, member = seen.feed(keys, ids)
+            _, owner, member = seen.feed(keys, ids)
             if len(owner):
-                pairs, which, shared = np.unique(np.stack([owner, member], axis=1), axis=0, return_inverse=True, return_counts=True)
-                mask = np.zeros(len(pairs), dtype=U64)
-                np.bitwise_or.at(mask, which.ravel(), U64(1) << (again % U64(64)))
-                yield pd.DataFrame({"pivot": pairs[:, 0], "doc_id": pairs[:, 1], "shared": shared, "mask": mask.view(np.int64)})
+                pairs, shared = np.unique(np.stack([owner, member], axis=1), axis=0, return_counts=True)
+                yield pd.DataFrame({"pivot": pairs[:, 0], "doc_id": pairs[:, 1], "shared": shared})
 
     posted = representatives.mapInPandas(post, PACKED).repartition(parts, "bucket").sortWithinPartitions("bucket", "lo", F.xxhash64("keys"))
-    stars = posted.mapInPandas(meet, "pivot long, doc_id long, shared long, mask long").groupBy("pivot", "doc_id").agg(F.sum("shared").alias("shared"), F.bit_or("mask").alias("mask"))
-    stars = materialize(stars, "stars")
+    stars = materialize(posted.mapInPandas(meet, "pivot long, doc_id long, shared long").groupBy("pivot", "doc_id").agg(F.sum("shared").alias("shared")), "stars")
     bits = representatives.select("doc_id", "n", "bits")
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("text IS NOT NULL")
+    members = stars.select(F.explode(F.array("pivot", "doc_id")).alias("doc_id")).distinct()
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), squeezed(F.col(text_column).cast("string")).alias("z")).where("z IS NOT NULL")
+    # A repeated id may have several texts: each of them is compared.
+    texts = materialize(texts.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id", "z"]), "texts")
 
     def links(placed: DataFrame, name: str) -> DataFrame:
-        return materialize(_exact(_near(placed, bits, percent, parts), texts, n, percent, parts), name)
+        near = materialize(_near(placed, bits, percent, parts), f"near-{name}")
+        return materialize(_exact(near, texts, n, percent, parts), name)
 
     first = links(_closest(stars), "links")
     return first.unionByName(links(_across(stars, components(first)), "across"))
 
 
+#: A place is a block of a star (column -1), or a pair of blocks (column, block); its rows are compared with each other, or those of side 0 with those of side 1.
+PLACE = ["pivot", "column", "block"]
+_PLACE = "pivot long, column int, block int"
+
+
 def _closest(stars: DataFrame) -> DataFrame:
     """Places for each document in the star of the pivot with which it shares most keys, in blocks; the pivot is in each block."""
     own = materialize(stars.groupBy("doc_id").agg(F.max_by("pivot", F.struct("shared", -F.col("pivot"))).alias("pivot")), "closest")
     sized = own.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("blocks"))
     members = own.join(sized, "pivot").select("pivot", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "doc_id")
     pivots = sized.select("pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("pivot").alias("doc_id"))
-    return members.unionByName(pivots).select("pivot", F.lit(0).alias("ray"), F.lit(-1).alias("column"), "block", F.lit(0).alias("side"), "doc_id", F.col("doc_id").alias("component"))
+    return members.unionByName(pivots).select("pivot", F.lit(-1).alias("column"), "block", F.lit(0).alias("side"), "doc_id", F.col("doc_id").alias("component"))
 
 
-#: A place is a block of a star's ray (column -1), or a pair of blocks (column, block); its rows are compared with each other, or those of side 0 with those of side 1.
-PLACE = ["pivot", "ray", "column", "block"]
+def _across(stars: DataFrame, tied: DataFrame) -> DataFrame:
+    """Places for stars with members that are not known to be in the component of the star's pivot.
+
+    Those members are dealt into columns; each column meets every block of the star, pivot included. A star of one block is
+    compared as it is. If all are tied, no row is made here.
+    """
+    named = stars.select("pivot", "doc_id").join(tied.select(F.col("id").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
+    named = named.join(tied.select(F.col("id").alias("pivot"), F.col("component").alias("centre")), "pivot", "left")
+    named = materialize(named.select("pivot", "doc_id", F.coalesce("own", "doc_id").alias("component"), F.coalesce("centre", "pivot").alias("centre")), "named")
+    loose = F.col("component") != F.col("centre")
+    sized = named.groupBy("pivot").agg(
+        F.first("centre").alias("component"),
+        F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.count_if(loose) / BLOCK).cast("int").alias("columns"),
+    )
+    sized = materialize(sized.where("columns > 0"), "sized")
+    counts = sized.select("pivot", "blocks", "columns")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    every = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("columns") - 1))).alias("column")
+    column = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("columns")).cast("int").alias("column")
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block")
+    left = named.where(loose).join(counts.where("blocks > 1"), "pivot").select("pivot", column, each, F.lit(0).alias("side"), "doc_id", "component")
+    members = named.drop("centre").unionByName(sized.select("pivot", F.col("pivot").alias("doc_id"), "component")).join(counts, "pivot")
+    right = members.select("pivot", every, block, F.lit(1).alias("side"), "doc_id", "component")
+    return left.unionByName(right)
 
 
-def _sides(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
-    for group in groups(frames, PLACE):
+def _sides(frames: Iterator[pd.DataFrame], keys: list[str] = PLACE) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
+    """The two sides of each place, with at least two rows; both are the same for a block with itself."""
+    for group in groups(frames, keys):
         if group["column"].iloc[0] < 0:
-            yield group, group
+            if len(group) > 1:
+                yield group, group
         else:
-            a, b = group[group["side"] == 0], group[group["side"] == 1]
-            if len(a) and len(b):
-                yield a, b
+            side = group["side"].to_numpy()
+            if 0 < side.sum() < len(side):
+                yield group[side == 0], group[side == 1]
 
 
 def _near(placed: DataFrame, bits: DataFrame, percent: int, parts: int) -> DataFrame:
-    """The rows of placed (PLACE, side, doc_id, component) whose bitmap comes near that of a row of their place in another component."""
+    """The rows of placed (PLACE, side, doc_id, component) whose bitmap comes near that of a row of their place in another component, with cuts: fragments for the place."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, b in _sides(frames):
             near, met = near_rows(a, b, percent)
             found = a[near | met] if a is b else pd.concat([a[near], b[met]])
-            yield found[[*PLACE, "side", "doc_id"]]
+            if len(found):
+                cuts = max(FRAGMENTS, -(-int(found["n"].max()) // FRAGMENT))
+                yield found[[*PLACE, "side", "doc_id"]].assign(cuts=cuts)
 
     dealt = placed.join(bits, "doc_id").repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "side", "doc_id")
-    return dealt.select(*PLACE, "side", "doc_id", "component", "n", "bits").mapInPandas(run, "pivot long, ray int, column int, block int, side int, doc_id long")
-
-
-def _exact(placed: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
-    """(a, b): a spanning forest of the links in each place. Texts (doc_id, text) are shipped squeezed; sets are made where they are compared."""
-    places = placed.groupBy("doc_id").agg(F.collect_set(F.struct(*PLACE, "side")).alias("places"))
-    wanted = places.join(texts.withColumn("z", squeezed("text")).drop("text"), "doc_id").dropDuplicates(["doc_id"])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for a, b in _sides(frames):
-            yield pd.DataFrame(_links(a, b, n, percent), columns=["a", "b"], dtype=np.int64)
-
-    shipped = wanted.select(F.explode("places").alias("place"), "doc_id", "z").select("place.*", "doc_id", "z")
-    return shipped.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "side", "doc_id").mapInPandas(run, "a long, b long").where("a <> b")
+    return dealt.select(*PLACE, "side", "doc_id", "component", "n", "bits").mapInPandas(run, f"{_PLACE}, side int, doc_id long, cuts int")
 
 
-def _across(stars: DataFrame, tied: DataFrame) -> DataFrame:
-    """Places for the members of all stars that are not known to be in the component of the star's pivot.
+def _exact(near: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
+    """(a, b): a spanning forest of the links in each place, of near (PLACE, side, doc_id, cuts) and texts (doc_id, z).
 
-    A star falls into 64 rays by its keys: members that share a key share a ray. In a ray, the members not tied are dealt
-    into columns; each meets every block of the ray, pivot included. A ray of one block is compared as it is. If all
-    are tied, no row is made here.
+    Sets go to their places fragment by fragment. A (place, fragment) counts the partial overlaps of all its pairs, as one
+    matrix; the matrices of a place are summed, and the sums compared with the threshold.
     """
-    named = stars.select("pivot", "doc_id", "mask").join(tied.select(F.col("id").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
-    named = named.join(tied.select(F.col("id").alias("pivot"), F.col("component").alias("centre")), "pivot", "left")
-    named = named.select("pivot", "doc_id", "mask", F.coalesce("own", "doc_id").alias("component"), F.coalesce("centre", "pivot").alias("centre"))
-    named = materialize(named, "named")
-    loose = F.col("component") != F.col("centre")
-    wanted = named.where(loose).groupBy("pivot").agg(F.bit_or("mask").alias("wanted"))
-    rays = F.explode(F.expr("filter(sequence(0, 63), x -> shiftright(mask & wanted, x) & 1 = 1)")).alias("ray")
-    met = materialize(named.join(wanted, "pivot").select("pivot", rays, "doc_id", "component", "centre"), "met")
-    sized = met.groupBy("pivot", "ray").agg(
-        F.first("centre").alias("component"),
-        F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("blocks"),
-        F.ceil(F.count_if(loose) / BLOCK).cast("int").alias("columns"),
-    )
-    sized = materialize(sized, "sized")
-    counts = sized.select("pivot", "ray", "blocks", "columns")
-    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    every = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("columns") - 1))).alias("column")
-    column = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("columns")).cast("int").alias("column")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block")
-    left = met.where(loose).join(counts.where("blocks > 1"), ["pivot", "ray"]).select("pivot", "ray", column, each, F.lit(0).alias("side"), "doc_id", "component")
-    members = met.drop("centre").unionByName(sized.select("pivot", "ray", F.col("pivot").alias("doc_id"), "component")).join(counts, ["pivot", "ray"])
-    right = members.select("pivot", "ray", every, block, F.lit(1).alias("side"), "doc_id", "component")
-    return left.unionByName(right)
+    places = near.groupBy("doc_id").agg(F.collect_set(F.struct(*PLACE, "side", "cuts")).alias("places"))
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in portions(frames, "z", growth=3):
+            rows, size = [], 0
+            for doc, z, found in zip(frame["doc_id"].tolist(), released(frame["z"]), frame["places"]):
+                s = shingle_set(z.split(), n)
+                mark = int(s[:1].view(np.int64).sum())
+                for p in found:
+                    ends = np.searchsorted(((s >> U64(32)) * U64(p["cuts"])) >> U64(32), np.arange(p["cuts"] + 1, dtype=U64))
+                    rows += [(p["pivot"], p["column"], p["block"], k, p["side"], doc, mark, len(s), s[a:b].tobytes()) for k, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist()))]
+                    size += 8 * len(s)
+                    if size > PORTION:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+            yield pd.DataFrame(rows, columns=names)
+
+    names = [*PLACE, "fragment", "side", "doc_id", "mark", "n", "part"]
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for a, b in _sides(frames, [*PLACE, "fragment"]):
+            left = [np.frombuffer(x, dtype=U64) for x in a["part"]]
+            both = overlaps(left) if a is b else overlaps(left, [np.frombuffer(x, dtype=U64) for x in b["part"]])
+            if both.any():
+                ids = [f[c].to_numpy(np.int64).tobytes() for f in (a, b) for c in ("doc_id", "n")]
+                yield pd.DataFrame([(*(int(a[c].iloc[0]) for c in PLACE), a is b, squeeze(b"".join(ids)), len(a), squeeze(both.astype(np.uint32).tobytes()))], columns=[*PLACE, "same", "ids", "height", "counts"])
+
+    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in groups(frames, PLACE):
+            parts_ = [np.frombuffer(x, dtype=np.uint32) for x in released(group["counts"])]
+            height, same = int(group["height"].iloc[0]), bool(group["same"].iloc[0])
+            both = np.sum(parts_, axis=0, dtype=np.int64).reshape(height, -1)
+            width = both.shape[1]
+            ids = np.frombuffer(released(group["ids"].iloc[:1])[0], dtype=np.int64)
+            left, size, right, other = np.split(ids, [height, 2 * height, 2 * height + width])
+            linked = 100 * both >= percent * (size[:, None] + other[None, :] - both)
+            i, j = np.nonzero(np.triu(linked, 1) if same else linked)
+            yield pd.DataFrame(spanning(zip(left[i].tolist(), right[j].tolist())), columns=["a", "b"], dtype=np.int64)
+
+    dealt = places.join(texts, "doc_id").select("doc_id", "z", "places").mapInPandas(cut, f"{_PLACE}, fragment int, side int, doc_id long, mark long, n long, part binary")
+    dealt = dealt.repartition(parts, *PLACE, "fragment").sortWithinPartitions(*PLACE, "fragment", "side", "doc_id", "mark")
+    partial = dealt.mapInPandas(count, f"{_PLACE}, same boolean, ids binary, height int, counts binary")
+    return partial.repartition(parts, *PLACE).sortWithinPartitions(*PLACE).mapInPandas(summed, "a long, b long").where("a <> b")
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -314,17 +365,22 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, id_column
     smallest doc_id reachable by links, the row's own if none. n_links counts the links that were used to connect the
     document (a spanning set; equal texts count one to their representative).
 
-    Null and empty texts have n_shingles 0 and link with nothing. Rows whose id is null cannot be named and are left out;
-    repeated rows give repeated results. Other columns are ignored. Any percent from 1 to 100 is exact.
+    Null and empty texts have n_shingles 0 and link with nothing. Rows whose id is null cannot be named and are left out.
+    Rows that repeat an id are one document, which links by any of its texts; each has its own result row. Other columns are
+    ignored. Any percent from 1 to 100 is exact.
     """
     table = materialize(shingle_table(docs, n, percent, id_column, text_column), "shingles")
     classes = table.where("signature IS NOT NULL").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
     classes = materialize(classes, "classes")
     least = table.select("doc_id", "signature", F.col("n_shingles").alias("n"), "keys", "bits").join(classes, ["doc_id", "signature"], "left_semi").dropDuplicates(["doc_id", "signature"])
-    links = materialize(similarity_links(docs, least, n, percent, id_column, text_column), "alllinks")
+    links = similarity_links(docs, least, n, percent, id_column, text_column)
+    names = classes.select("signature", F.col("doc_id").alias("representative"))
+    # An id of several texts ties their representatives.
+    several = table.groupBy("doc_id").agg(F.min("signature").alias("low"), F.max("signature").alias("high")).where("low <> high").select("doc_id")
+    same = table.join(several, "doc_id", "left_semi").join(names, "signature").select(F.col("doc_id").alias("a"), F.col("representative").alias("b")).where("a <> b")
+    links = materialize(links.unionByName(same), "alllinks")
     tied = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("degree"))
-    names = classes.select("signature", F.col("doc_id").alias("representative"))
     names = names.join(tied.select(F.col("id").alias("representative"), "component"), "representative", "left").join(degree.withColumnRenamed("doc_id", "representative"), "representative", "left")
     names = materialize(names, "names")
     out = table.drop("keys", "bits").join(names, "signature", "left")
