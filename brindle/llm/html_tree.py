@@ -1,14 +1,17 @@
 """Main text of web pages with site style trees.
 
-Pages of a host are merged into one tree: a node is a path of tags, classes and ids from the root. Its presentation importance is
-the entropy of the child sequences that pages have there, its content importance the entropy of its texts, so that what a
-host repeats on its pages has little of either. Branches of low importance,
-and those that their markup itself names as not the article, are removed from each page.
+Pages of a host are merged into one tree: a node is a path of tags and of class and id words without digits. What its pages
+have there is compared: presentation by the sequence of child tags, content by sentences. Presentation importance is the entropy of
+the sequences over the pages, content importance falls with the entropy of each sentence over the pages: a sentence that
+many pages have says little. Both are carried up to the branches that hold them, and a branch's noise is the share of
+repeated content, less where presentation varies. What the markup itself says of a node (a menu, an advert, an article) is one
+more part of it. A branch whose noise is well above that of the sibling that holds most original text is removed.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -16,11 +19,11 @@ from html.parser import HTMLParser
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import materialize
-from .text import released, squeezed
+from .text import portions, released, squeezed
 
 # Elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param keygen frame".split())
@@ -32,21 +35,39 @@ NAMED = frozenset("ad ads advert adverts advertisement advertising banner sponso
 #: Last parts that say where or in what form the first part is; parts by which a name tells of something else than its node; owners of a header.
 PLACES = frozenset("left right top bottom area wrapper wrap container box bar list section block slot links buttons inner outer widget widgets text form posts primary secondary main".split())
 ABOUT = frozenset("has no not with without by is show hide".split())
+CLOSERS = frozenset("p li dt dd tr td th option".split())
+HOLDERS = frozenset("ul ol dl table div article section blockquote body".split())
 OWNERS = frozenset("entry post article story content page".split())
-#: Importance from which a node of a tree stays, and pages that must have it before their agreement counts.
-LEAST, PAGES = 0.2, 3
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Pages that must have a node before their agreement counts.
+PAGES = 3
+#: Noise added to nodes that markup names as surroundings, and to those beside a marked article.
+NAME, BESIDE = 1.0, 0.06
+#: A branch goes if its noise is more than SLACK + RATIO times that of the sibling with most original text.
+SLACK, RATIO = 0.05, 1.5
+#: Branches above a node, from the nearest on, to which its importance is carried.
+LEVELS = 64
+#: Bytes of the lists of removed nodes up to which they are broadcast, and parts of a host in the join beyond.
+SMALL, SALTS = 64_000_000, 64
 _SPACE = re.compile(r"\s+")
 _PARTS = re.compile(r"[-_]+")
+_DIGITS = re.compile(r"[0-9]+")
+_SENTENCE = re.compile(r"(?<=[.!?;:\u00b7|])\s+")
+_MASK = 2**64 - 1
 
 
 class Node:
-    __slots__ = ("tag", "names", "children", "parent", "key", "size", "holds")
+    __slots__ = ("tag", "names", "children", "parent", "key", "size", "holds", "inside")
 
     def __init__(self, tag: str, names: str, parent: "Node | None") -> None:
         self.tag, self.names, self.parent = tag, names, parent
         self.children: list[Node | str] = []
         self.key = self.size = 0
         self.holds = False
+        self.inside = parent is not None and (parent.inside or parent.tag == "article")
+
+    def silent(self) -> bool:
+        return self.tag in SILENT or self.names.startswith("hidden ")
 
 
 class _Builder(HTMLParser):
@@ -55,66 +76,71 @@ class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", "", None)
-        self.muted = 0
+        self.open: Counter[str] = Counter()
+
+    def _leave(self, node: Node) -> None:
+        """The element that holds node is the open one."""
+        while self.at is not node.parent:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         known = dict(attrs)
         names = " ".join(str(known.get(a) or "") for a in ("class", "id", "role"))
         hidden = "hidden" in known or known.get("aria-hidden") == "true"
-        if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or (tag in BLOCK and tag != "br" and self.at.tag == "p"):
+        if (tag in CLOSERS or (tag in BLOCK and tag != "br" and self.at.tag == "p")) and (self.open[tag] or self.open["p"]):
             like = self.at
-            while like.parent is not None and like.tag not in ("ul", "ol", "dl", "table", "div", "article", "section", "body", "blockquote") and like.tag not in (tag, "p"):
+            while like.parent is not None and like.tag not in HOLDERS and like.tag not in (tag, "p"):
                 like = like.parent
             if like.parent is not None and like.tag in (tag, "p"):
-                self.at = like.parent
+                self._leave(like)
         node = Node(tag, ("hidden " if hidden else "") + names, self.at)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
         if self.at.tag == tag and tag in ("svg", "math"):
-            self.at = self.at.parent
+            self._leave(self.at)
 
     def handle_endtag(self, tag: str) -> None:
-        at = self.at
-        while at.parent is not None and at.tag != tag:
-            at = at.parent
-        if at.parent is not None:
-            self.at = at.parent
+        if self.open[tag] > 0:
+            at = self.at
+            while at.tag != tag:
+                at = at.parent
+            self._leave(at)
 
     def handle_data(self, data: str) -> None:
         self.at.children.append(data)
 
 
+@lru_cache(maxsize=10_000)
+def stable(names: str) -> str:
+    """Class, id and role words of a node without digits, by which pages of a host share nodes."""
+    return " ".join(sorted({w for w in _DIGITS.sub("", names).split() if w}))
+
+
 def tree_of(html: str) -> Node:
-    """The tree of a page; each node's key names its path of tags and class names."""
+    """The tree of a page: each node's key names its path, size is the length of its visible words, and holds tells whether a non-empty article or main is in it."""
     builder = _Builder()
     builder.feed(html)
     builder.close()
-    todo = [builder.root]
+    order, todo = [], [builder.root]
     while todo:
         node = todo.pop()
-        for child in node.children:
-            if isinstance(child, Node):
-                child.key = xxhash.xxh64_intdigest(f"{child.tag} {child.names}".encode("utf-8", "surrogatepass"), seed=node.key & (2**64 - 1))
-                todo.append(child)
-    return builder.root
-
-
-def weigh(root: Node) -> None:
-    """Sets size, the length of a node's visible words, and holds, whether a non-empty article or main is in it."""
-    order, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        if node.tag not in SILENT and not node.names.startswith("hidden "):
+        if not node.silent():
             order.append(node)
-            todo.extend(c for c in node.children if isinstance(c, Node))
+            for child in node.children:
+                if isinstance(child, Node):
+                    child.key = xxhash.xxh64_intdigest(f"{child.tag} {stable(child.names)}".encode("utf-8", "surrogatepass"), seed=node.key)
+                    todo.append(child)
     for node in reversed(order):
         inner = [c for c in node.children if isinstance(c, Node)]
         node.size = sum(c.size for c in inner) + sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
-        node.holds = any(c.holds or c.tag in ("article", "main") and c.size for c in inner)
+        node.holds = node.size > 0 and (node.tag in ("article", "main") or any(c.holds for c in inner))
+    return builder.root
 
 
 @lru_cache(maxsize=10_000)
@@ -134,26 +160,14 @@ def named(names: str) -> frozenset[str]:
     return frozenset(out)
 
 
-def surrounds(node: Node, total: int) -> bool:
-    """Whether the markup itself says that a node is not part of an article; a branch that holds one, or most of the page's text, is not cut."""
-    if node.tag in SILENT or node.names.startswith("hidden "):
-        return True
+def surrounds(node: Node) -> bool:
+    """Whether the markup says that a node is not part of an article."""
     words = set(named(node.names)) if node.names and node.tag not in ("html", "body", "article", "main") else set()
     if node.tag == "header" and not OWNERS & {t.split("-")[0].split("_")[0] for t in node.names.lower().split() if t.endswith("header")}:
         words.add("header")
-    if node.tag == "header" or words == {"header"}:
-        words -= {"header"} if _within(node, "article") else set()
-    if not words and (node.tag not in ASIDE or node.tag == "header"):
-        return False
-    return not node.holds and 2 * node.size <= total
-
-
-def _within(node: Node, tag: str) -> bool:
-    while node is not None:
-        if node.tag == tag:
-            return True
-        node = node.parent
-    return False
+    if (node.tag == "header" or words == {"header"}) and node.inside:
+        words -= {"header"}
+    return bool(words) or (node.tag in ASIDE and node.tag != "header")
 
 
 def blocks(root: Node, removed) -> list[tuple[Node, str]]:
@@ -186,70 +200,155 @@ def blocks(root: Node, removed) -> list[tuple[Node, str]]:
     return out
 
 
-def page_nodes(html: str) -> list[tuple[int, int, int]]:
-    """(node, style, content) of a page: fingerprints of each path, of its sequence of child paths and of its own texts."""
-    merged: dict[int, list] = {}
-    for owner, text in blocks(tree_of(html), lambda n: n.tag in SILENT):
-        merged.setdefault(owner.key, [owner, []])[1].append(text)
-    out = []
-    for key, (owner, texts) in merged.items():
-        style = xxhash.xxh64_intdigest(" ".join(str(c.key) for c in owner.children if isinstance(c, Node)))
-        out.append((key, style, xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "surrogatepass"))))
+#: Kinds of counted facts of a node: its parent (with its own text's length), child sequences, sentences, branches it is in, pages where it holds an article, pages where it is named as surroundings.
+INFO, STYLE, TEXT, WITHIN, HOLDS, NAMES = range(6)
+#: In place of a parent, for headings and for inline elements.
+HEADING, INLINE = -1, -2
+#: The key of every root.
+ROOT = 0
+
+
+def page_nodes(html: str) -> dict[tuple[int, int, int], list[int]]:
+    """Facts (node, kind, value) of a page with [n, mass], of the nodes that have visible text."""
+    root = tree_of(html)
+    out: dict[tuple[int, int, int], list[int]] = {}
+
+    def told(node: int, kind: int, value: int, once: bool, mass: int = 0) -> None:
+        fact = out.setdefault((node, kind, value), [0, 0])
+        fact[0] = 1 if once else fact[0] + 1
+        fact[1] += mass
+
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        inner = [c for c in node.children if isinstance(c, Node) and not c.silent()]
+        texts = [c for c in node.children if isinstance(c, str) and not c.isspace()]
+        told(node.key, INFO, node.parent.key if node.parent else 0, True, sum(len("".join(t.split())) for t in texts))
+        told(node.key, STYLE, xxhash.xxh64_intdigest(" ".join(c.tag for c in inner)), False)
+        for text in texts:
+            for sentence in _SENTENCE.split(_SPACE.sub(" ", text).strip()):
+                told(node.key, TEXT, xxhash.xxh64_intdigest(sentence.encode("utf-8", "surrogatepass")), True)
+        if texts or len(inner) > 1:
+            branch = node
+            for _ in range(LEVELS):
+                told(node.key, WITHIN, branch.key, True)
+                branch = branch.parent
+                if branch is None:
+                    break
+        if node.holds:
+            told(node.key, HOLDS, 0, True)
+        elif 2 * node.size <= root.size and surrounds(node):
+            told(node.key, NAMES, 0, True)
+        # Headings say the same on many pages and are text all the same; inline parts go with their block.
+        if node.tag in HEADINGS:
+            told(node.key, INFO, HEADING, True)
+        elif node.tag not in BLOCK and node.tag not in ASIDE:
+            told(node.key, INFO, INLINE, True)
+        todo.extend(c for c in inner if c.size)
     return out
 
 
 def main_text(html: str | None, low: set[int]) -> str:
-    """The page's text without branches that surround the article and blocks of low importance (keys in low)."""
+    """The page's text without the branches whose keys are in low."""
     if not html:
         return ""
-    root = tree_of(html)
-    weigh(root)
-    found = blocks(root, lambda n: surrounds(n, root.size))
-    # What is marked as article stays, though a host may have copies of a page.
-    found = [(n, t) for n, t in found if n.key not in low or _within(n, "article") or _within(n, "main")]
-    # Where the page marks its article, only what lies in it is the article; a card beside or in a longer main is not.
-    inside = {tag: [(n, t) for n, t in found if _within(n, tag)] for tag in ("article", "main")}
-    size = {tag: sum(len(t) for _, t in inside[tag]) for tag in inside}
-    if size["article"] and 2 * size["article"] >= size["main"]:
-        found = inside["article"]
-    elif size["main"]:
-        found = inside["main"]
-    return "\n".join(t for _, t in found)
+    return "\n".join(t for _, t in blocks(tree_of(html), lambda n: n.silent() or n.key in low))
 
 
 def host_of(url_column: str):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url_column).cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def low_nodes(pages: DataFrame) -> DataFrame:
-    """(host, low): of pages (host, html), the nodes of each host's tree with a composite importance under LEAST.
-
-    Presentation importance is the entropy of child sequences over the node's m pages to the base m, content importance that of
-    its texts: 1 if every page has its own, 0 if all agree. The larger of both counts. Nodes that fewer than PAGES pages
-    have are important.
-    """
+def node_facts(pages: DataFrame) -> DataFrame:
+    """(host, node, kind, value, n, mass): the facts of page_nodes() summed over the pages (host, html) of a host."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(h, *n) for h, p in zip(frame["host"], frame["html"]) if p for n in page_nodes(p)]
-            out = pd.DataFrame(rows, columns=["host", "node", "style", "content"])
-            both = [out.rename(columns={c: "value"})[["host", "node", "value"]].assign(kind=k) for k, c in enumerate(("style", "content"))]
-            long = pd.concat(both).groupby(["host", "node", "kind", "value"], as_index=False).size()
-            yield pd.DataFrame({"host": long["host"], "node": long["node"].to_numpy(np.uint64).view(np.int64), "kind": long["kind"].astype(np.int32), "value": long["value"].to_numpy(np.uint64).view(np.int64), "n": long["size"].astype(np.int64)})
+        for frame in portions(frames, "html"):
+            found: dict[tuple, list[int]] = {}
+            for host, html in zip(frame["host"], frame["html"]):
+                for fact, (n, mass) in page_nodes(html).items() if html else ():
+                    total = found.setdefault((host, *fact), [0, 0])
+                    total[0] += n
+                    total[1] += mass
+            hosts = [k[0] for k in found]
+            ids = np.array([(k[1] & _MASK, k[3] & _MASK) for k in found], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+            sums = np.array(list(found.values()), dtype=np.int64).reshape(-1, 2)
+            yield pd.DataFrame({"host": hosts, "node": ids[:, 0], "kind": np.array([k[2] for k in found], dtype=np.int32), "value": ids[:, 1], "n": sums[:, 0], "mass": sums[:, 1]})
+
+    facts = pages.mapInPandas(run, "host string, node long, kind int, value long, n long, mass long")
+    return facts.groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"))
+
+
+def importances(facts: DataFrame) -> DataFrame:
+    """(host, node, parent, mass, own, marked, named, noise) of each node of facts: noise is its branch's share of repeated content, less where presentation varies."""
+
+    def total(kind: int, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, value)), F.lit(0))
+
+    n, nlogn = F.col("n"), F.col("n") * F.log("n")
+    parent = ~F.col("value").isin(HEADING, INLINE)
+    nodes = facts.groupBy("host", "node").agg(
+        total(INFO, F.when(parent, n)).alias("m"),
+        total(INFO, F.col("mass")).alias("own"),
+        F.max(F.when((F.col("kind") == INFO) & parent, F.col("value"))).alias("parent"),
+        *[F.max((F.col("kind") == INFO) & (F.col("value") == mark)).alias(name) for mark, name in ((HEADING, "heading"), (INLINE, "inline"))],
+        total(STYLE, n).alias("styles"),
+        total(STYLE, nlogn).alias("style_log"),
+        total(TEXT, n).alias("texts"),
+        total(TEXT, nlogn).alias("text_log"),
+        total(HOLDS, n).alias("holds"),
+        total(NAMES, n).alias("names"),
+    )
+    many = F.col("m") >= PAGES
+    # Entropy of n_i out of s is log s - sum(n_i log n_i) / s; of a sentence on n of m pages it is log n.
+    varied = F.when(many, 1 - F.col("style_log") / (F.col("styles") * F.log("styles"))).otherwise(0.0)
+    repeated = F.when(many & ~F.col("heading"), F.col("text_log") / F.log("m")).otherwise(0.0)
+    nodes = materialize(nodes.withColumn("varied", varied).withColumn("repeated", repeated).drop("styles", "style_log", "text_log"), "nodes")
+    up = facts.where(F.col("kind") == WITHIN).select("host", "node", F.col("value").alias("branch"))
+    own = nodes.select("host", "node", "texts", "repeated", "varied", F.col("own").alias("mass"))
+    branches = up.join(own, ["host", "node"]).groupBy("host", F.col("branch").alias("node"))
+    branches = branches.agg(F.sum("texts").alias("all"), F.sum("repeated").alias("loss"), F.max("varied").alias("varied"), F.sum("mass").alias("mass"))
+    joined = nodes.drop("varied", "repeated", "texts").join(branches, ["host", "node"])
+    noise = F.when(~F.col("heading") & ~F.col("inline") & (F.col("all") > 0), F.col("loss") / F.col("all") * (1 - F.col("varied"))).otherwise(0.0)
+    return joined.select("host", "node", "parent", "mass", "own", (2 * F.col("holds") > F.col("m")).alias("marked"), (2 * F.col("names") > F.col("m")).alias("named"), noise.alias("noise"))
+
 
-    counts = pages.mapInPandas(run, "host string, node long, kind int, value long, n long").groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"))
-    # Entropy of n_i out of m is log m - sum(n_i log n_i) / m, so one pass of sums does.
-    kinds = counts.groupBy("host", "node", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
-    importance = F.when(F.col("m") < PAGES, 1.0).otherwise(1 - F.col("nlogn") / (F.col("m") * F.log("m")))
-    nodes = kinds.groupBy("host", "node").agg(F.max(importance).alias("importance"))
-    return nodes.where(F.col("importance") < LEAST).groupBy("host").agg(F.array_sort(F.collect_set("node")).alias("low"))
+def low_nodes(pages: DataFrame) -> DataFrame:
+    """(host, low): of pages (host, html), the nodes of each host's tree whose branches are removed, where there are any.
+
+    A node's noise is that of importances(), NAME more if most of its pages name it as surroundings, and BESIDE more if it does
+    not hold a marked article and a sibling does (of marked siblings, those with half the text of the largest count). Siblings are compared
+    with the one of most original text, mass * (1 - noise); the parent's own text is one of them, without noise.
+    """
+    tree = materialize(importances(materialize(node_facts(pages), "facts")), "tree")
+    marks = tree.where(F.col("node") != ROOT).groupBy("host", "parent").agg(F.max(F.when(F.col("marked"), F.col("mass"))).alias("most"))
+    nodes = tree.where(F.col("node") != ROOT)
+    beside = F.col("most").isNotNull() & ~(F.col("marked") & (2 * F.col("mass") >= F.col("most")))
+    judged = nodes.join(marks, ["host", "parent"]).withColumn("noise", F.col("noise") + F.when(F.col("named"), NAME).otherwise(0.0) + F.when(beside, BESIDE).otherwise(0.0))
+    weight = F.col("mass") * F.greatest(1 - F.col("noise"), F.lit(0.0))
+    best = judged.groupBy("host", "parent").agg(F.max(F.struct(weight.alias("weight"), "mass", F.col("node"), F.col("noise").alias("noise"))).alias("best"))
+    best = best.join(tree.select("host", F.col("node").alias("parent"), F.col("own")), ["host", "parent"], "left")
+    base = F.when(F.coalesce("own", F.lit(0)) > F.col("best.weight"), 0.0).otherwise(F.col("best.noise"))
+    low = judged.drop("own").join(best.select("host", "parent", base.alias("base")), ["host", "parent"]).where(F.col("noise") > SLACK + RATIO * F.col("base"))
+    return low.groupBy("host").agg(F.array_sort(F.collect_set("node")).alias("low"))
+
+
+def _with_low(source: DataFrame, low: DataFrame) -> DataFrame:
+    """source with the list of its host: broadcast up to SMALL bytes, else joined in SALTS parts of each host, so that a large host is many tasks."""
+    size = low.agg(F.sum(8 * F.size("low") + F.octet_length("host"))).first()[0] or 0
+    if size <= SMALL:
+        return source.join(F.broadcast(low), "host", "left")
+    parts = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = source.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
+    return salted.join(parts, ["host", "salt"], "left").drop("salt")
 
 
 def extract_main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of each page.
 
     Null html is empty; a null or odd url is the host "". Character references are decoded, white space in a block is one space,
-    blocks are trimmed and joined by line feeds in page order; nothing else is dropped or cut. Null ids and repeated rows pass; an empty table gives no rows.
+    blocks are trimmed and joined by line feeds in page order; nothing else is dropped or cut. Null ids and repeated rows pass
+    (a repeated page counts again in its host's tree); other columns are ignored; an empty table gives no rows.
     """
     source = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).cast("string").alias("html"), host_of(url_column).alias("host"))
     low = materialize(low_nodes(source.select("host", "html")), "low")
@@ -259,12 +358,11 @@ def extract_main_text(pages: DataFrame, id_column: str = "page_id", url_column:
         sets: dict[bytes, set] = {}
         out = []
         for z, nodes in zip(released(html), low):
-            mask = 2**64 - 1
             key = b"" if nodes is None else np.asarray(nodes).tobytes()
             if key not in sets:
-                sets[key] = set() if nodes is None else {int(n) & mask for n in nodes}
+                sets[key] = set() if nodes is None else {int(n) & _MASK for n in nodes}
             out.append(main_text(z.decode("utf-8", "surrogatepass") if z is not None else None, sets[key]))
         return pd.Series(out, dtype=object)
 
-    joined = source.select("page_id", "url", squeezed("html").alias("html"), "host").join(low, "host", "left")
+    joined = _with_low(source.select("page_id", "url", squeezed("html").alias("html"), "host"), low)
     return joined.select("page_id", "url", extract("html", "low").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
