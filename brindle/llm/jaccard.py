@@ -11,7 +11,7 @@ every other star.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,8 +25,8 @@ from .components import components
 from .storage import materialize, partitions
 from .text import PACKED, PORTION, U64, FirstSeen, groups, hash_words, mix, ngrams, packed, portions, released, squeezed, unpacked, words
 
-#: Members of a star that are compared with each other in one task.
-BLOCK = 256
+#: Members of a star whose bitmaps are compared with each other in one task, and members whose sets are.
+WIDE, BLOCK = 4096, 256
 #: Fragments of a block at least, and members of a fragment of its largest set at most, where overlaps are counted.
 FRAGMENTS, FRAGMENT = 4, 2048
 #: Columns of an incidence matrix.
@@ -135,26 +135,27 @@ def _folded(maps: list[bytes], size: int) -> np.ndarray:
 
 
 def near_rows(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which rows of two blocks (component, n, bits) may link with one of the other that is not known to be in their component.
+    """For each row of two lists (component, n, bits), the blocks of BLOCK rows of the other with one that it may link with and that is not known to be in its component.
 
     Bitmaps differ in at most as many bits as sets differ in members, so pairs that link always pass. Bitmaps of two sizes
     are compared at the smaller one.
     """
     n, m = a["n"].to_numpy(np.int64), b["n"].to_numpy(np.int64)
     own, other = a["component"].to_numpy(np.int64), b["component"].to_numpy(np.int64)
-    near, met = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
+    near, met = (np.zeros((len(x), -(-len(y) // BLOCK)), dtype=bool) for x, y in ((a, b), (b, a)))
     sizes, widths = a["bits"].map(len).to_numpy(), b["bits"].map(len).to_numpy()
     for size in np.unique(sizes):
         rows = np.nonzero(sizes == size)[0]
         for width in np.unique(widths):
             columns = np.nonzero(widths == width)[0]
             left, right = (_folded(f["bits"].iloc[at].tolist(), min(size, width)) for f, at in ((a, rows), (b, columns)))
-            for i, row in zip(rows, left):
+            for i, row in zip(rows.tolist(), left):
                 apart = np.bitwise_count(right ^ row).sum(axis=1, dtype=np.int64)
                 both = n[i] + m[columns]
                 hit = ((100 + percent) * (both - apart) >= 2 * percent * both) & (100 * np.minimum(n[i], m[columns]) >= percent * np.maximum(n[i], m[columns])) & (other[columns] != own[i])
-                near[i] |= hit.any()
-                met[columns[hit]] = True
+                if hit.any():
+                    near[i, columns[hit] // BLOCK] = True
+                    met[columns[hit], i // BLOCK] = True
     return near, met
 
 
@@ -240,13 +241,15 @@ def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percen
 
 #: A place is a block of a star (column -1), or a pair of blocks (column, block); its rows are compared with each other, or those of side 0 with those of side 1.
 PLACE = ["pivot", "column", "block"]
-_PLACE = "pivot long, column int, block int"
+#: A part of a place is a pair of blocks of BLOCK of its rows, or one block, if both are the same.
+PART = [*PLACE, "low", "high"]
+_PART = "pivot long, column int, block int, low int, high int"
 
 
 def _closest(stars: DataFrame) -> DataFrame:
     """Places for each document in the star of the pivot with which it shares most keys, in blocks; the pivot is in each block."""
     own = materialize(stars.groupBy("doc_id").agg(F.max_by("pivot", F.struct("shared", -F.col("pivot"))).alias("pivot")), "closest")
-    sized = own.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("blocks"))
+    sized = own.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / WIDE).cast("int").alias("blocks"))
     members = own.join(sized, "pivot").select("pivot", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), "doc_id")
     pivots = sized.select("pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("pivot").alias("doc_id"))
     return members.unionByName(pivots).select("pivot", F.lit(-1).alias("column"), "block", F.lit(0).alias("side"), "doc_id", F.col("doc_id").alias("component"))
@@ -264,8 +267,8 @@ def _across(stars: DataFrame, tied: DataFrame) -> DataFrame:
     loose = F.col("component") != F.col("centre")
     sized = named.groupBy("pivot").agg(
         F.first("centre").alias("component"),
-        F.ceil((F.count("*") + 1) / BLOCK).cast("int").alias("blocks"),
-        F.ceil(F.count_if(loose) / BLOCK).cast("int").alias("columns"),
+        F.ceil((F.count("*") + 1) / WIDE).cast("int").alias("blocks"),
+        F.ceil(F.count_if(loose) / WIDE).cast("int").alias("columns"),
     )
     sized = materialize(sized.where("columns > 0"), "sized")
     counts = sized.select("pivot", "blocks", "columns")
@@ -279,10 +282,10 @@ def _across(stars: DataFrame, tied: DataFrame) -> DataFrame:
     return left.unionByName(right)
 
 
-def _sides(frames: Iterator[pd.DataFrame], keys: list[str] = PLACE) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
-    """The two sides of each place, with at least two rows; both are the same for a block with itself."""
+def _sides(frames: Iterator[pd.DataFrame], keys: list[str], within: Callable[[pd.DataFrame], bool]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
+    """The two sides of each group, with at least two rows; both are the same where `within` tells that the group is compared with itself."""
     for group in groups(frames, keys):
-        if group["column"].iloc[0] < 0:
+        if within(group):
             if len(group) > 1:
                 yield group, group
         else:
@@ -292,27 +295,35 @@ def _sides(frames: Iterator[pd.DataFrame], keys: list[str] = PLACE) -> Iterator[
 
 
 def _near(placed: DataFrame, bits: DataFrame, percent: int, parts: int) -> DataFrame:
-    """The rows of placed (PLACE, side, doc_id, component) whose bitmap comes near that of a row of their place in another component, with cuts: fragments for the place."""
+    """The rows of placed (PLACE, side, doc_id, component) whose bitmap comes near that of a row of their place in another component: PART, side, doc_id, and cuts, the fragments of the part."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for a, b in _sides(frames):
+        for a, b in _sides(frames, PLACE, lambda g: g["column"].iloc[0] < 0):
             near, met = near_rows(a, b, percent)
-            found = a[near | met] if a is b else pd.concat([a[near], b[met]])
-            if len(found):
-                cuts = max(FRAGMENTS, -(-int(found["n"].max()) // FRAGMENT))
-                yield found[[*PLACE, "side", "doc_id"]].assign(cuts=cuts)
+            size = max(a["n"].max(), b["n"].max())
+            for low, high in np.argwhere([[near[k : k + BLOCK, j].any() for j in range(near.shape[1])] for k in range(0, len(a), BLOCK)]).tolist():
+                same = a is b and low == high
+                if a is b and low > high:
+                    continue
+                left, right = low * BLOCK + np.nonzero(near[low * BLOCK : (low + 1) * BLOCK, high])[0], high * BLOCK + np.nonzero(met[high * BLOCK : (high + 1) * BLOCK, low])[0]
+                found = a.iloc[np.union1d(left, right)].assign(side=0) if same else pd.concat([a.iloc[left].assign(side=0), b.iloc[right].assign(side=1)])
+                yield found.assign(low=low, high=high, cuts=max(FRAGMENTS, -(-int(size) // FRAGMENT)))[[*PART, "side", "doc_id", "cuts"]]
 
     dealt = placed.join(bits, "doc_id").repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "side", "doc_id")
-    return dealt.select(*PLACE, "side", "doc_id", "component", "n", "bits").mapInPandas(run, f"{_PLACE}, side int, doc_id long, cuts int")
+    return dealt.select(*PLACE, "side", "doc_id", "component", "n", "bits").mapInPandas(run, f"{_PART}, side int, doc_id long, cuts int")
+
+
+def _alone(group: pd.DataFrame) -> bool:
+    return group["column"].iloc[0] < 0 and group["low"].iloc[0] == group["high"].iloc[0]
 
 
 def _exact(near: DataFrame, texts: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
-    """(a, b): a spanning forest of the links in each place, of near (PLACE, side, doc_id, cuts) and texts (doc_id, z).
+    """(a, b): a spanning forest of the links in each part, of near (PART, side, doc_id, cuts) and texts (doc_id, z).
 
-    Sets go to their places fragment by fragment. A (place, fragment) counts the partial overlaps of all its pairs, as one
-    matrix; the matrices of a place are summed, and the sums compared with the threshold.
+    Sets go to their parts fragment by fragment. A (part, fragment) counts the partial overlaps of all its pairs, as one
+    matrix; the matrices of a part are summed, and the sums compared with the threshold.
     """
-    places = near.groupBy("doc_id").agg(F.collect_set(F.struct(*PLACE, "side", "cuts")).alias("places"))
+    places = near.groupBy("doc_id").agg(F.collect_set(F.struct(*PART, "side", "cuts")).alias("places"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in portions(frames, "z", growth=3):
@@ -322,26 +333,26 @@ def _exact(near: DataFrame, texts: DataFrame, n: int, percent: int, parts: int)
                 mark = int(s[:1].view(np.int64).sum())
                 for p in found:
                     ends = np.searchsorted(((s >> U64(32)) * U64(p["cuts"])) >> U64(32), np.arange(p["cuts"] + 1, dtype=U64))
-                    rows += [(p["pivot"], p["column"], p["block"], k, p["side"], doc, mark, len(s), s[a:b].tobytes()) for k, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist()))]
+                    rows += [(*(p[c] for c in PART), k, p["side"], doc, mark, len(s), s[a:b].tobytes()) for k, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist()))]
                     size += 8 * len(s)
                     if size > PORTION:
                         yield pd.DataFrame(rows, columns=names)
                         rows, size = [], 0
             yield pd.DataFrame(rows, columns=names)
 
-    names = [*PLACE, "fragment", "side", "doc_id", "mark", "n", "part"]
+    names = [*PART, "fragment", "side", "doc_id", "mark", "n", "part"]
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
-        for a, b in _sides(frames, [*PLACE, "fragment"]):
+        for a, b in _sides(frames, [*PART, "fragment"], _alone):
             left = [np.frombuffer(x, dtype=U64) for x in a["part"]]
             both = overlaps(left) if a is b else overlaps(left, [np.frombuffer(x, dtype=U64) for x in b["part"]])
             if both.any():
                 ids = [f[c].to_numpy(np.int64).tobytes() for f in (a, b) for c in ("doc_id", "n")]
-                yield pd.DataFrame([(*(int(a[c].iloc[0]) for c in PLACE), a is b, squeeze(b"".join(ids)), len(a), squeeze(both.astype(np.uint32).tobytes()))], columns=[*PLACE, "same", "ids", "height", "counts"])
+                yield pd.DataFrame([(*(int(a[c].iloc[0]) for c in PART), a is b, squeeze(b"".join(ids)), len(a), squeeze(both.astype(np.uint32).tobytes()))], columns=[*PART, "same", "ids", "height", "counts"])
 
     def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in groups(frames, PLACE):
+        for group in groups(frames, PART):
             parts_ = [np.frombuffer(x, dtype=np.uint32) for x in released(group["counts"])]
             height, same = int(group["height"].iloc[0]), bool(group["same"].iloc[0])
             both = np.sum(parts_, axis=0, dtype=np.int64).reshape(height, -1)
@@ -352,10 +363,10 @@ def _exact(near: DataFrame, texts: DataFrame, n: int, percent: int, parts: int)
             i, j = np.nonzero(np.triu(linked, 1) if same else linked)
             yield pd.DataFrame(spanning(zip(left[i].tolist(), right[j].tolist())), columns=["a", "b"], dtype=np.int64)
 
-    dealt = places.join(texts, "doc_id").select("doc_id", "z", "places").mapInPandas(cut, f"{_PLACE}, fragment int, side int, doc_id long, mark long, n long, part binary")
-    dealt = dealt.repartition(parts, *PLACE, "fragment").sortWithinPartitions(*PLACE, "fragment", "side", "doc_id", "mark")
-    partial = dealt.mapInPandas(count, f"{_PLACE}, same boolean, ids binary, height int, counts binary")
-    return partial.repartition(parts, *PLACE).sortWithinPartitions(*PLACE).mapInPandas(summed, "a long, b long").where("a <> b")
+    dealt = places.join(texts, "doc_id").select("doc_id", "z", "places").mapInPandas(cut, f"{_PART}, fragment int, side int, doc_id long, mark long, n long, part binary")
+    dealt = dealt.repartition(parts, *PART, "fragment").sortWithinPartitions(*PART, "fragment", "side", "doc_id", "mark")
+    partial = dealt.mapInPandas(count, f"{_PART}, same boolean, ids binary, height int, counts binary")
+    return partial.repartition(parts, *PART).sortWithinPartitions(*PART).mapInPandas(summed, "a long, b long").where("a <> b")
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
