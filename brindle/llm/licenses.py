@@ -40,6 +40,12 @@ def canonical(text: Column) -> Column:
     return out
 
 
+def marker(canonical_text: str) -> str:
+    """The longest word of a canonical text that no other spelling can stand for: each text of that form has it."""
+    spelt = {w for pair in SPELLINGS for side in pair for w in side.split()}
+    return max((w for w in canonical_text.split() if w not in spelt), key=lambda w: (len(w), w), default="")
+
+
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
@@ -48,16 +54,18 @@ def license_scan(docs: DataFrame, known: tuple[tuple[str, str], ...] = KNOWN_TEX
     """(doc_id, digest, license, n_notices, notices) of each row.
 
     license names the known text, of the same canonical digest, that the entire text is; null if none. notices are the licences
-    of the single lines, of any length, that have the word license or licence and are known texts, sorted, and n_notices counts these lines. A null text has a null digest and no notices. Null ids, repeated rows and
+    of the single lines, of any length, that are known texts, sorted, and n_notices counts these lines. A null text has a null digest and no notices. Null ids, repeated rows and
     empty tables pass; other columns are ignored. The known digests, one row for each text of `known`, are broadcast.
     """
     spark = docs.sparkSession
-    listed = spark.createDataFrame(list(known), "license string, text string").select(digest(F.col("text")).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+    forms = spark.createDataFrame(list(known), "license string, text string").select(canonical(F.col("text")).alias("form"), "license")
+    listed = forms.select(F.sha2("form", 256).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
     names = {r["digest"]: r["license"] for r in listed.collect()}
-    table = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair])
+    table = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair]) if names else F.create_map().cast("map<string,string>")
     text = F.col(text_column).cast("string")
-    # As in the SQL, lines of any length that name a licence are normalised.
-    lines = F.filter(F.split(text, "\n"), lambda line: F.lower(line).rlike("licen[sc]e"))
+    # Only lines that have the marker of a known text can be one; the others need no canonical form.
+    markers = "|".join(sorted({marker(r["form"]) for r in forms.collect()}))
+    lines = F.filter(F.split(text, "\n"), lambda line: F.lower(line).rlike(markers))
     notices = F.filter(F.transform(lines, lambda line: F.try_element_at(table, digest(line))), lambda name: name.isNotNull())
     scanned = docs.select(F.col(id_column).alias("doc_id"), digest(text).alias("digest"), F.coalesce(notices, F.array().cast("array<string>")).alias("found"))
     joined = scanned.join(F.broadcast(listed), "digest", "left")

@@ -89,7 +89,7 @@ ORACLE_SQL: dict[str, str] = {
  SELECT DISTINCT d.doc_id, coalesce(n, 0)::BIGINT AS n_tokens, round(coalesce(score, 0), 6) AS score FROM documents d LEFT JOIN s USING (doc_id)""",
     "op2_license_scan": f"""WITH known AS (SELECT {_canonical_sql('x')} AS digest, min(name) AS license FROM (VALUES {_KNOWN}) k(name, x) GROUP BY 1),
  lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
- found AS (SELECT doc_id, license FROM (SELECT doc_id, {_canonical_sql('line')} AS digest FROM lines WHERE regexp_matches(lower(line), 'licen[sc]e')) JOIN known USING (digest)),
+ found AS (SELECT doc_id, license FROM (SELECT doc_id, {_canonical_sql('line')} AS digest FROM lines) JOIN known USING (digest)),
  notices AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM found GROUP BY doc_id),
  d AS (SELECT doc_id, {_canonical_sql('text')} AS digest FROM documents)
  SELECT d.doc_id, d.digest, license, coalesce(n, 0)::BIGINT AS n_notices, coalesce(names, '') AS notices FROM d LEFT JOIN known USING (digest) LEFT JOIN notices ON d.doc_id = notices.doc_id""",
