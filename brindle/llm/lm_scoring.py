@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from .storage import materialize, partitions
 from .text import U64, hash_words, ngrams, portions, words
 
-#: Parts in which a bucket is scored.
+#: Bigrams of a bucket, about, and parts in which a bucket is scored.
+BUCKET = 1_000_000
 SLICES = 8
 _ENTRIES = "bucket long, target boolean, docs binary, firsts binary, runs binary, pairs binary, which binary, counts binary"
 _SUMS = "bucket long, docs binary, gain binary"
@@ -64,6 +65,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
     rows = rows.unionByName(target.select(F.lit(None).cast("long").alias("doc_id"), F.lit(True).alias("target"), F.col(text_column).cast("string").alias("text")))
     vocabulary = _contexts(rows)
     size, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum(F.col("n_target") + F.col("n_background")), F.lit(0))).first()
+    # A bucket is held by one task, so there are as many as the data need.
+    parts = max(parts, int(total) // BUCKET)
     # At most 4 * parts words can each have more than a 4 * parts-th of all bigrams.
     hot = vocabulary.where((F.col("n_target") + F.col("n_background")) * 4 * parts > total).orderBy("word").toPandas()
     hot_word = hot["word"].to_numpy(np.int64).view(U64)
