@@ -27,7 +27,7 @@ from .text import PACKED, U64, FirstSeen, hash_words, ngrams, packed_flat, porti
 #: Words of an anchor, and windows of a piece at most (its marks fit a long).
 ANCHOR, PIECE = 4, 40
 #: Distinct pieces of a shard that one automaton holds at most, and pieces that share a window in one task.
-SHARD = 2_000
+SHARD = 500
 
 
 class SuffixAutomaton:
