@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .isolation import statistics
-from .storage import materialize
+from .storage import materialize, sampled
 
 #: Shrinkage of a class covariance: towards the pooled one, then towards its mean variance.
 POOL, RIDGE = 0.3, 0.05
@@ -90,7 +90,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     table = statistics(docs, id_column, text_column).drop("base_failed").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
     table = materialize(table, "statistics")
     marked = labels.where("quality IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
-    known = table.where("NOT held_out").join(marked, "doc_id")
+    known = materialize(table.where("NOT held_out").join(marked, "doc_id"), "known")
 
     def moments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -111,7 +111,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     flat = sum(n for c, (n, _, _) in found.items() if c == 1) / max(sum(n for n, _, _ in found.values()), 1) if found else 0.5
     slope, level = 1.0, 0.0
     if model:
-        sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SCALE_ROWS).toPandas()
+        sample = sampled(known, SCALE_ROWS, 0)
         slope, level = scale_fit(margin(model, transformed(sample)), sample["quality"].to_numpy(float))
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,13 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where it is unset, as in local tests, a temporary folder."""
+    """spark.checkpoint.dir; only where it is unset, as in local tests, a temporary folder, which executors of a cluster would not share."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = getattr(shared_folder, "own", None) or tempfile.mkdtemp(prefix="spark-tables-")
         shared_folder.own = folder
     return folder.rstrip("/")
@@ -24,6 +28,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sampled(rows: DataFrame, most: int, seed: int) -> pd.DataFrame:
+    """At most `most` rows (doc_id and others) on the driver: those of smallest hashed id.
+
+    Hashes are uniform, so those below a threshold are a few more than `most` rows; only they reach the driver, whatever the
+    number of partitions. A repeated id may bring more rows; of them too, no more than `most` stay.
+    """
+    total = rows.count()
+    share = (most + 10 * most**0.5 + 100) / max(total, 1)
+    key = F.xxhash64("doc_id", F.lit(seed))
+    # Where ids repeat, fewer or more rows than expected lie below the threshold; it is widened until there are enough.
+    while share < 1:
+        part = rows.where(key < F.lit(int(-(2**63) + share * 2**64)))
+        if part.count() >= most:
+            rows = part
+            break
+        share *= 2
+    return rows.withColumn("_order", key).orderBy("_order", "doc_id").limit(most).drop("_order").toPandas()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
