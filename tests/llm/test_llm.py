@@ -70,6 +70,23 @@ def test_jaccard(spark, table, n, percent):
     assert got == {(i, len(sets[i]), want[i]) for i in sets}
 
 
+def test_fragments_of_strangers():
+    """Unrelated sets share no key, also where some of their fragments are empty."""
+    rng, seen = np.random.default_rng(4), {}
+    for percent, size in ((80, 60), (80, 1000), (80, 3000), (90, 300)):
+        for k in range(20):
+            for key in jaccard.fragment_keys(np.unique(rng.integers(0, 2**64, size, dtype=np.uint64)), percent).tolist():
+                assert seen.setdefault(key, (size, k, percent)) == (size, k, percent)
+
+
+def test_jaccard_ids_of_several_texts(spark):
+    """A repeated id links by any of its texts."""
+    other = " ".join(f"o{k}" for k in range(60))
+    rows = [(1, BASE, "", ""), (5, BASE + " x", "", ""), (5, other, "", ""), (9, other + " y", "", ""), (20, "z z z z", "", "")]
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard.ngram_jaccard_join(docs(spark, rows), 3, 90).collect())
+    assert got == [(1, 1), (5, 1), (5, 1), (9, 1), (20, 20)]
+
+
 def test_jaccard_large_group_of_near_copies(spark):
     rng = np.random.default_rng(1)
     rows = []
@@ -78,11 +95,11 @@ def test_jaccard_large_group_of_near_copies(spark):
         for k in rng.choice(120, int(rng.integers(1, 4)), replace=False):
             w[k] = f"n{i}_{k}"
         rows.append((i, " ".join(w), "en", "a"))
-    block, jaccard.BLOCK = jaccard.BLOCK, 64
+    block, wide, jaccard.BLOCK, jaccard.WIDE = jaccard.BLOCK, jaccard.WIDE, 16, 64
     try:
         got = {r["doc_id"]: r["component_id"] for r in jaccard.ngram_jaccard_join(docs(spark, rows), 3, 90).collect()}
     finally:
-        jaccard.BLOCK = block
+        jaccard.BLOCK, jaccard.WIDE = block, wide
     assert got == components({i: shingles(t, 3) for i, t, *_ in rows}, 90)
 
 
@@ -164,8 +181,8 @@ def test_mixing(spark, table):
         taken[d["source"]] += r["taken"]
     assert target == {s: {t} for s, t in want.items()}
     assert all(abs(taken[s] - want[s]) <= max(1, sizes[s] / 4096) for s in names)
-    if table == "given":
-        assert sum(len(words(r["text"])) for r in mixing.mixed_documents(df).collect()) == sum(taken.values())
+    mixed = mixing.mixed_documents(df)
+    assert mixed.columns == df.columns and sum(len(words(r["text"])) for r in mixed.collect()) == sum(taken.values())
 
 
 def test_quota_tree():
@@ -244,6 +261,12 @@ def test_license_lines_of_any_length(spark):
     assert [(r["n_notices"], r["notices"]) for r in got] == [(1, "MIT")] * 2
 
 
+def test_license_notices_without_the_word(spark):
+    rows = [(1, "prose\nUnder the WTFPL.\nmore", "", ""), (2, " ".join(licenses.ISC.split()), "", ""), (3, "x\nReleased under the MIT License." + " " * 5000, "", "")]
+    got = {r["doc_id"]: (r["n_notices"], r["notices"]) for r in licenses.license_scan(docs(spark, rows), (*licenses.KNOWN_TEXTS, ("WTFPL", "Under the WTFPL."))).collect()}
+    assert got == {1: (1, "WTFPL"), 2: (1, "ISC"), 3: (1, "MIT")}
+
+
 def page(nav, body):
     return f"<html><head><title>t</title><script>x<1</script></head><body><nav><a>{nav}</a></nav><div class='top'>Same on all</div><article><header><h1>Head</h1></header><p>{body}<p>Two &amp; <b>bold</b>\n x<br>new</article><div class='comments'>hi</div><footer>f</footer></body></html>"
 
@@ -260,21 +283,94 @@ def test_html(spark):
 TEXT = "The text of this page goes on for a while."
 
 
-@pytest.mark.parametrize(
-    "html, want",
-    [
-        (f"<body><article><header class='entry-header'><h1>Title</h1></header><p>{TEXT}</p></article></body>", f"Title\n{TEXT}"),
-        (f"<body><div class='layout no-sidebar'><p>{TEXT}</p></div><div class='sidebar'>Ad</div></body>", TEXT),
-        (f"<body><div id='page' class='has-sidebar'><p>{TEXT}</p><div class='site-footer'>Foot</div></div></body>", TEXT),
-        (f"<body><form id='login'><div class='side-by-side'><p>{TEXT}</p></div><nav>Menu</nav></form></body>", TEXT),
-        (f"<body><div class='banner'><article><p>{TEXT}</p></article></div><p>{TEXT}</p></body>", TEXT),
-        (f"<body><main><p>{TEXT}</p></main><article>Card</article></body>", TEXT),
-        (f"<body><main><p>{TEXT}</p><article>Card</article></main></body>", f"{TEXT}\nCard"),
-        (f"<body><p>{TEXT}</p><div class='comments-area'>Hi</div><div class='ad-1 x'>Buy</div><div class='main-nav'>Go</div></body>", TEXT),
-    ],
-)
-def test_html_names(html, want):
-    assert html_tree.main_text(html, set()) == want
+NAMED_PAGES = [
+    (f"<body><article><header class='entry-header'><h1>Title</h1></header><p>{TEXT}</p></article></body>", f"Title\n{TEXT}"),
+    (f"<body><div class='layout no-sidebar'><p>{TEXT}</p></div><div class='sidebar'>Ad</div></body>", TEXT),
+    (f"<body><div id='page' class='has-sidebar'><p>{TEXT}</p><div class='site-footer'>Foot</div></div></body>", TEXT),
+    (f"<body><form id='login'><div class='side-by-side'><p>{TEXT}</p></div><nav>Menu</nav></form></body>", TEXT),
+    (f"<body><div class='banner'><article><p>{TEXT}</p></article></div><p>{TEXT}</p></body>", TEXT),
+    (f"<body><main><p>{TEXT}</p></main><article>Card</article></body>", TEXT),
+    (f"<body><main><p>{TEXT}</p><article>Card</article></main></body>", f"{TEXT}\nCard"),
+    (f"<body><p>{TEXT}</p><div class='comments-area'>Hi</div><div class='ad-1 x'>Buy</div><div class='main-nav'>Go</div></body>", TEXT),
+]
+
+
+def test_html_names(spark):
+    """Pages alone on their host: what their markup names decides."""
+    rows = [(k, f"http://h{k}.example/", html) for k, (html, _) in enumerate(NAMED_PAGES)]
+    got = {r["page_id"]: r["text"] for r in html_tree.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: want for k, (_, want) in enumerate(NAMED_PAGES)}
+
+
+def plain_tree(pages):
+    """The keys that go, of the pages of one host as nested lists (name, children): the rule written out over the whole tree at once."""
+    at = collections.defaultdict(list)
+
+    def walk(path, node, page):
+        at[path].append((page, node))
+        for c in node[1]:
+            if not isinstance(c, str):
+                walk(path + (c[0],), c, page)
+
+    for k, page in enumerate(pages):
+        walk((page[0],), page, k)
+    m = {p: len({k for k, _ in found}) for p, found in at.items()}
+    own, loss, varied, mass = {}, {}, {}, {}
+    for p, found in at.items():
+        texts = collections.Counter()
+        for k in {k for k, _ in found}:
+            texts.update({c for kk, n in found if kk == k for c in n[1] if isinstance(c, str)})
+        styles = collections.Counter(tuple(c[0] for c in n[1] if not isinstance(c, str)) for _, n in found)
+        own[p] = sum(len(c.replace(" ", "")) for _, n in found for c in n[1] if isinstance(c, str))
+        many, s = m[p] >= 3, sum(styles.values())
+        loss[p] = (sum(texts.values()), sum(n * np.log(n) for n in texts.values()) / np.log(m[p]) if many and p[-1] != "h1" else 0)
+        varied[p] = sum(-n / s * np.log(n / s) for n in styles.values()) / np.log(s) if many else 0
+    noise = {}
+    for p in at:
+        below = [q for q in at if q[: len(p)] == p]
+        total, lost = (sum(loss[q][i] for q in below) for i in (0, 1))
+        mass[p] = sum(own[q] for q in below)
+        noise[p] = 0 if p[-1] == "h1" or not total else lost / total * (1 - max(varied[q] for q in below))
+    gone = set()
+    for p in at:
+        if len(p) > 1:
+            beside = [q for q in at if q[:-1] == p[:-1]]
+            best = max(beside, key=lambda q: (mass[q] * max(1 - noise[q], 0), mass[q]))
+            base = 0 if own[p[:-1]] > mass[best] * max(1 - noise[best], 0) else noise[best]
+            if noise[p] > 0.05 + 1.5 * base:
+                gone.add(p)
+    return gone
+
+
+def test_html_tree(spark):
+    """Pages whose markup names nothing, against the rule written out: repeated blocks in several places, in two hosts of different templates."""
+    rng, pages = np.random.default_rng(2), {}
+    for host in range(2):
+        made = []
+        for k in range(24):
+            text = [("p", [f"words {host} {k} {j} {rng.integers(10**6)}"]) for j in range(rng.integers(1, 6))]
+            menu = ("div", [("table", [("tr", [f"entry {rng.integers(5)}"]) for _ in range(3)])])
+            side = ("section", [("blockquote", [f"buy {rng.integers(4)}"]), ("pre", [f"item {k}"])][: 2 - host])
+            made.append(("body", [menu, ("center", [("h1", ["Same title"]), *text]), side, ("address", ["All rights reserved"])]))
+        pages[host] = made
+
+    def html(node):
+        return f"<{node[0]}>" + "".join(c if isinstance(c, str) else html(c) for c in node[1]) + f"</{node[0]}>"
+
+    def kept(path, node, gone):
+        return [x for c in node[1] for x in ([c] if isinstance(c, str) else [] if path + (c[0],) in gone else kept(path + (c[0],), c, gone))]
+
+    rows = [(100 * h + k, f"http://{h}.example/{k}", html(p)) for h, made in pages.items() for k, p in enumerate(made)]
+    df = spark.createDataFrame([(*r, 1, "clash") for r in rows], "page_id long, url string, html string, n int, mass string")
+    got = {r["page_id"]: r["text"] for r in html_tree.extract_main_text(df).collect()}
+    want = {}
+    for h, made in pages.items():
+        gone = plain_tree(made)
+        assert gone
+        want |= {100 * h + k: "\n".join(kept(("body",), p, gone)) for k, p in enumerate(made)}
+    assert got == want and "Same title" in got[0] and "rights" not in got[0] and "entry" not in got[0]
+    twice = html_tree.extract_main_text(df.unionByName(df)).collect()
+    assert len(twice) == 2 * len(rows)
 
 
 def test_neighbours(spark):
