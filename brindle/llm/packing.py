@@ -1,8 +1,9 @@
 """Harmonic packing of tokenised documents into sequences of fixed capacity.
 
-Piece lengths fall in reciprocal-capacity classes: class k has pieces of capacity / k tokens and a bin takes k of them. Since
-documents may be cut freely, each is cut to whole sequences and then to lengths that divide a power-of-two capacity, so
-that a full bin has no padding. Every task fills the bins of its own documents, class by class, with no shuffle.
+A document gives whole sequences and a remainder. Remainders fall in reciprocal-capacity classes: class k has lengths above
+capacity / (k + 1) and up to capacity / k, and a bin takes k of them. What is then left of the bin is shorter than any
+member of the class, so the next one is cut to fill it, and its rest is a remainder of a smaller class: a full bin has no
+padding, and a remainder is cut at most where a bin closes. Every task fills the bins of its own documents, with no shuffle.
 """
 
 from __future__ import annotations
@@ -59,40 +60,64 @@ def _encoder(path: str, ranks: str | None, pattern: str | None) -> Encoder:
     return Encoder(path, ranks, pattern)
 
 
-def cuts(tokens: int, capacity: int) -> list[int]:
-    """Lengths of a document's pieces: whole sequences, then the powers of two in what remains, the largest first."""
-    rest = tokens % capacity
-    return [capacity] * (tokens // capacity) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
-
-
 class Bins:
-    """Open bins of one task: one for each class. Sequence ids carry the task's number, so tasks need not agree."""
+    """Open bins of one task: one for each class. A piece is (doc_id, start, ids, tokens of its document). Sequence ids carry the task's number, so tasks need not agree."""
 
     def __init__(self, task: int, capacity: int) -> None:
         self.capacity, self.next = capacity, task << 33
         self.open: dict[int, list[tuple]] = {}
 
-    def _close(self, pieces: list[tuple], length: int) -> list[tuple]:
-        at = self.next
+    def _close(self, pieces: list[tuple]) -> list[tuple]:
+        """Pieces with their sequence and offset."""
+        out, at = [], 0
+        for piece in pieces:
+            out.append((*piece, self.next, at))
+            at += len(piece[2])
         self.next += 1
-        return [(*p, at, k * length) for k, p in enumerate(pieces)]
+        return out
 
-    def put(self, piece: tuple, length: int) -> list[tuple]:
-        held = self.open.setdefault(length, [])
-        held.append(piece)
-        if len(held) * length < self.capacity:
-            return []
-        self.open[length] = []
-        return self._close(held, length)
+    @staticmethod
+    def _cut(piece: tuple, at: int) -> tuple[tuple, tuple]:
+        doc, start, ids, tokens = piece
+        return (doc, start, ids[:at], tokens), (doc, start + at, ids[at:], tokens)
 
-    def rest(self) -> list[tuple]:
-        """What is left of a class, in sequences of a power of two each, which need no padding."""
+    def put(self, piece: tuple) -> list[tuple]:
+        """The pieces of the sequences that a document's ids fill, the remainders held before included."""
         out = []
-        for length, held in sorted(self.open.items()):
-            for b in range(len(held).bit_length() - 1, -1, -1):
-                if len(held) >> b & 1:
-                    out += self._close(held[: 1 << b], length)
-                    held = held[1 << b :]
+        while len(piece[2]) >= self.capacity:
+            head, piece = self._cut(piece, self.capacity)
+            out += self._close([head])
+        while len(piece[2]):
+            k = self.capacity // len(piece[2])
+            held = self.open.setdefault(k, [])
+            if len(held) < k:
+                held.append(piece)
+                if sum(len(p[2]) for p in held) < self.capacity:
+                    break
+                piece = (None, 0, (), 0)
+            else:
+                head, piece = self._cut(piece, self.capacity - sum(len(p[2]) for p in held))
+                held.append(head)
+            self.open[k] = []
+            out += self._close(held)
+        return out
+
+    def rest(self) -> list[tuple]:
+        """What is left in open bins, one after another, in sequences of the capacity and then of smaller powers of two, which need no padding."""
+        held = [p for k in sorted(self.open) for p in self.open[k]]
+        total, out = sum(len(p[2]) for p in held), []
+        while total:
+            room = min(self.capacity, 1 << (total.bit_length() - 1))
+            total -= room
+            pieces = []
+            while room:
+                piece = held.pop(0)
+                if len(piece[2]) > room:
+                    piece, later = self._cut(piece, room)
+                    held.insert(0, later)
+                pieces.append(piece)
+                room -= len(piece[2])
+            out += self._close(pieces)
         return out
 
 
@@ -104,8 +129,8 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str
 
     A document has the ids of its text (null: empty) and one id 0 at its end. tokenizer is the path of a file of the
     tokenizers library on the executors; ranks and pattern are its vocabulary and pre-tokenizer, if it is byte-level BPE.
-    Offsets of a sequence are gapless from 0. A sequence holds `capacity` ids, a power of two, or a smaller power of
-    two: none has padding. Null ids give rows with a null doc_id; repeated rows are packed as often as they occur; an empty
+    Offsets of a sequence are gapless from 0. A sequence holds `capacity` ids, a power of two, or, of what is left at the end
+    of a task, a smaller power of two: none has padding. Null ids give rows with a null doc_id; repeated rows are packed as often as they occur; an empty
     table gives none. Sequence ids are unique, and the same on each run over the same input partitions.
     """
     if capacity < 1 or capacity & (capacity - 1):
@@ -115,22 +140,18 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, bins = _encoder(tokenizer, ranks, pattern), Bins(TaskContext.get().partitionId(), capacity)
 
-        def frame_of(rows: list[tuple]) -> pd.DataFrame:
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset"])
+        def frame_of(pieces: list[tuple]) -> pd.DataFrame:
+            rows = [(doc, start, len(ids), zlib.crc32(part := ids.tobytes()), tokens, at, offset, part) for doc, start, ids, tokens, at, offset in pieces]
+            out = pd.DataFrame(rows, columns=[*names, "ids"])
             out["doc_id"] = out["doc_id"].astype("Int64")
-            return out[[*names, "ids"] if with_ids else names]
+            return out if with_ids else out[names]
 
         for frame in portions(frames, "text"):
-            rows = []
+            pieces = []
             for i, text in zip(frame["doc_id"].astype("Int64").tolist(), frame["text"]):
-                i = None if i is pd.NA else i
                 ids = np.array([*(encoder.ids(text) if isinstance(text, str) else ()), 0], dtype="<u4")
-                start = 0
-                for length in cuts(len(ids), capacity):
-                    part = ids[start : start + length].tobytes()
-                    rows += bins.put((i, start, length, zlib.crc32(part), len(ids), part if with_ids else None), length)
-                    start += length
-            yield frame_of(rows)
+                pieces += bins.put((None if i is pd.NA else i, 0, ids, len(ids)))
+            yield frame_of(pieces)
         yield frame_of(bins.rest())
 
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))

@@ -185,6 +185,24 @@ def test_mixing(spark, table):
     assert mixed.columns == df.columns and sum(len(words(r["text"])) for r in mixed.collect()) == sum(taken.values())
 
 
+def test_harmonic_bins():
+    """Bins of every class are full, few remainders are cut, and all ids come out once."""
+    rng, bins, out = np.random.default_rng(6), packing.Bins(3, 1024), []
+    sizes = [int(x) for x in rng.integers(1, 3000, 4000)]
+    for k, n in enumerate(sizes):
+        out += bins.put((k, 0, np.arange(n, dtype="<u4"), n))
+    full = len(out)
+    out += bins.rest()
+    seen, lengths = collections.defaultdict(list), collections.Counter()
+    for doc, start, ids, tokens, at, offset in out:
+        assert ids.tolist() == list(range(start, start + len(ids))) and tokens == sizes[doc] and offset == lengths[at]
+        seen[doc] += ids.tolist()
+        lengths[at] += len(ids)
+    assert {d: sorted(x) for d, x in seen.items()} == {d: list(range(n)) for d, n in enumerate(sizes)}
+    assert sum(n == 1024 for n in lengths.values()) >= len(lengths) - 11 and all(not n & (n - 1) for n in lengths.values())
+    assert full <= sum(n // 1024 for n in sizes) + 2.5 * len(sizes)
+
+
 def test_quota_tree():
     got = mixing.split_quotas([100, 7, 0, 3000], 8, 1)
     assert got.sum(axis=0).tolist() == [100, 7, 0, 3000] and max(got.sum(axis=1)) - min(got.sum(axis=1)) <= 1 and (got >= 0).all()
