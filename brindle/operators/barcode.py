@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import hamming
+
 NOT_FOUND = "NOT_FOUND"
 TAG = r"\[([a-zA-Z0-9_\-]+)\]"
 LETTERS = "ACGTN"
@@ -82,7 +84,7 @@ def route(reads: DataFrame, rounds: dict[str, list[int]] | None = None) -> DataF
     wrong = F.lit(False)
     if rounds is not None:
         book = F.create_map(*[x for tag, places in sorted(rounds.items()) for x in (F.lit(tag), F.array(*[F.lit(p) for p in places]))])
-        later = F.slice(tags, 2, 1_000)
+        later = F.slice(tags, F.lit(2), F.greatest(F.size(tags), F.lit(0)))
         wrong = F.exists(F.transform(later, lambda t, i: ~F.coalesce(F.array_contains(F.try_element_at(book, t), (i + 1).cast("int")), F.lit(False))), lambda bad: bad)
     known = F.when(F.contains("qname", F.lit("DPM")), "dpm").when(F.contains("qname", F.lit("BEAD")), "bpm").otherwise(F.raise_error(F.concat(F.lit("no read type in "), F.col("qname"))))
     return reads.withColumn("route", F.when(F.array_contains(tags, NOT_FOUND), "short").when(wrong, "other").otherwise(known))
@@ -163,3 +165,26 @@ def trim_quality(reads: DataFrame, cutoff: int = 20, base: int = 33) -> DataFram
 
     out = reads.withColumn("_keep", F.length("seq") - F.when(F.length("qual") > 0, F.aggregate(F.filter(points, lambda x: x.isNotNull()), start, step)["k"]).otherwise(0))
     return out.withColumn("seq", F.expr("substring(seq, 1, _keep)")).withColumn("qual", F.expr("substring(qual, 1, _keep)")).drop("_keep")
+
+
+def close_tags(tags: DataFrame, radius: int, name: str = "name", sequence: str = "seq") -> DataFrame:
+    """(one, two, apart) of tags of one length within a Hamming distance, one < two.
+
+    Sequences that differ in at most `radius` letters agree in one of radius + 1 parts, so tags meet by their parts, not each with each.
+    """
+    length = F.length(sequence)
+    part = lambda k: F.substring(F.col(sequence), F.floor(k * length / (radius + 1)).cast("int") + 1, (F.floor((k + 1) * length / (radius + 1)) - F.floor(k * length / (radius + 1))).cast("int"))
+    keys = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), part(k).alias("piece")) for k in range(radius + 1)])).alias("key")
+    parts = tags.select(F.col(name).alias("name"), F.col(sequence).alias("seq"), keys)
+    one, two = parts.select("key", F.col("name").alias("one"), F.col("seq").alias("a")), parts.select("key", F.col("name").alias("two"), F.col("seq").alias("b"))
+    apart = hamming(F.col("a"), F.col("b")).cast("long").alias("apart")
+    return one.join(two, "key").where("one < two").select("one", "two", apart).where(F.col("apart") <= radius).distinct()
+
+
+def efficiency_report(counts: DataFrame, n_tags: int) -> DataFrame:
+    """(line_no, line) of a text report: how many reads have each number of tags (counts: n_found, n_reads), from none to all."""
+    every = counts.sparkSession.range(n_tags + 1).select(F.col("id").cast("int").alias("n_found"))
+    known = every.join(counts.select("n_found", "n_reads"), "n_found", "left").withColumn("n_reads", F.coalesce("n_reads", F.lit(0)))
+    total = counts.agg(F.sum("n_reads").alias("all"))
+    share = F.format_string("%.1f", F.coalesce(100 * F.col("n_reads") / F.col("all"), F.lit(0.0)))
+    return known.crossJoin(F.broadcast(total)).select(F.col("n_found").alias("line_no"), F.concat(F.col("n_reads").cast("string"), F.lit(" ("), share, F.lit("%) reads found with "), F.col("n_found").cast("string"), F.lit(" tags")).alias("line"))

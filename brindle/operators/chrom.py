@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNMAPPED, SECONDARY = 4, 256
@@ -51,3 +51,30 @@ def rename_intervals(intervals: DataFrame, names: DataFrame) -> DataFrame:
 def join_sizes(names: DataFrame, sizes: DataFrame) -> DataFrame:
     """(chrom, length) of names (old, new, sort_order) and sizes (chrom, length), in the order of names."""
     return names.join(sizes.withColumnRenamed("chrom", "old"), "old").orderBy("sort_order").select(F.col("new").alias("chrom"), "length")
+
+
+def rename_fasta(records: DataFrame, names: DataFrame) -> DataFrame:
+    """FASTA records (chrom, seq) of the chromosomes in names (old, new, sort_order), under their new names alone."""
+    return rename_chromosomes(records.withColumnRenamed("chrom", "rname"), names).withColumnRenamed("rname", "chrom")
+
+
+def size_totals(index: DataFrame, names: DataFrame) -> DataFrame:
+    """(n_index, bases_index, n_kept, bases_kept): sequences and bases of an index (chrom, length), and of those that names (old) keeps."""
+    kept = index.join(names.select(F.col("old").alias("chrom"), F.lit(True).alias("kept")).distinct(), "chrom", "left")
+    own = F.col("kept").isNotNull()
+    return kept.agg(F.count("*").alias("n_index"), F.sum("length").alias("bases_index"), F.count_if(own).alias("n_kept"), F.sum(F.when(own, F.col("length")).otherwise(0)).alias("bases_kept"))
+
+
+def version_order(name: Column) -> list[Column]:
+    """Sort keys by which chr2 comes before chr10: the letters before the first number, the number, the rest."""
+    found = lambda k: F.regexp_extract(name, r"^(\D*)(\d*)(.*)$", k)
+    return [found(1), F.coalesce(found(2).try_cast("long"), F.lit(-1)), found(3)]
+
+
+def mask_chromosomes(mask: DataFrame, known: DataFrame) -> DataFrame:
+    """(chrom, n, known) of a mask's chromosomes: those not in known (chrom) are reported; a mask without any known one is an error."""
+    counts = mask.groupBy("chrom").agg(F.count("*").alias("n"))
+    out = counts.join(known.select("chrom", F.lit(True).alias("known")).distinct(), "chrom", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    if not out.where("known").limit(1).count():
+        raise ValueError("the mask has no known chromosome")
+    return out

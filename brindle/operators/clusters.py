@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,7 +13,7 @@ OLIGO = "BEAD_"
 
 def target_of(read_type: Column, prefix: str = OLIGO) -> Column:
     """The target that an oligo read names; null for other reads."""
-    return F.when(read_type.startswith(prefix), F.substring(read_type, len(prefix) + 1, 1_000_000))
+    return F.when(read_type.startswith(prefix), read_type.substr(F.lit(len(prefix) + 1), F.length(read_type)))
 
 
 def label_of(n_dpm: Column, n_oligo: Column, mode_count: Column, mode: Column, min_oligos: int, proportion: float, max_size: int) -> Column:
@@ -63,12 +64,16 @@ def reads_per_cluster(clusters: DataFrame) -> DataFrame:
 
 
 def max_representation(clusters: DataFrame) -> DataFrame:
-    """(label, metric, value, n_clusters): counts of the most frequent target, and its share in hundredths, rounded down."""
-    kinds = F.array(
-        F.struct(F.lit("count").alias("metric"), F.col("mode_count").alias("value")),
-        F.struct(F.lit("proportion").alias("metric"), F.when(F.col("n_oligo") > 0, F.expr("100 * mode_count div n_oligo")).otherwise(0).alias("value")),
-    )
-    return clusters.select("label", F.inline(kinds)).groupBy("label", "metric", "value").agg(F.count("*").alias("n_clusters"))
+    """(label, metric, value, n_clusters): counts of the most frequent target, and its share, rounded to hundredths as Python rounds it, in hundredths."""
+
+    @F.pandas_udf("long")
+    def hundredths(most: pd.Series, total: pd.Series) -> pd.Series:
+        return pd.Series([round(100 * round(a / b, 2)) if b else 0 for a, b in zip(most, total)], dtype="int64")
+
+    # Only distinct pairs of counts pass Python.
+    pairs = clusters.groupBy("label", "mode_count", "n_oligo").agg(F.count("*").alias("n")).withColumn("share", hundredths("mode_count", "n_oligo"))
+    kinds = F.array(F.struct(F.lit("count").alias("metric"), F.col("mode_count").alias("value")), F.struct(F.lit("proportion").alias("metric"), F.col("share").alias("value")))
+    return pairs.select("label", "n", F.inline(kinds)).groupBy("label", "metric", "value").agg(F.sum("n").alias("n_clusters"))
 
 
 def label_reads(reads: DataFrame, clusters: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -136,3 +141,25 @@ def representation_change(before: DataFrame, after: DataFrame, key: str = "targe
 def resolved_share(clusters: DataFrame, *by: str) -> DataFrame:
     """The share of chromatin reads in clusters with a target for label."""
     return clusters.groupBy(*by).agg(F.round(F.sum(F.when(~F.col("label").isin(*UNASSIGNED), F.col("n_dpm")).otherwise(0)) / F.nullif(F.sum("n_dpm"), F.lit(0)), 6).alias("resolved"))
+
+
+def read_groups(spark: SparkSession, targets: list[str], sample: str) -> DataFrame:
+    """(id, sm): the read groups of a header: one for each target in order of names, and one for each label of clusters without a target."""
+    return spark.createDataFrame([(label, sample) for label in (*sorted(set(targets)), *UNASSIGNED)], "id string, sm string")
+
+
+def concatenated(samples: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """The clusters of samples, name -> (records, chromosome sizes), as one table with the sample; all must have the same chromosomes and lengths."""
+    (first, (out, sizes)), *rest = samples.items()
+    out = out.withColumn("sample", F.lit(first))
+    for name, (records, other) in rest:
+        if sizes.exceptAll(other).limit(1).count() or other.exceptAll(sizes).limit(1).count():
+            raise ValueError(f"samples {first} and {name} have other chromosomes")
+        out = out.unionByName(records.withColumn("sample", F.lit(name)))
+    return out
+
+
+def write_summaries(clusters: DataFrame, path: str) -> None:
+    """Cluster summaries as CSV, and the distribution of labels as gzip JSON lines."""
+    clusters.write.csv(f"{path}/clusters", header=True)
+    clusters.groupBy("label").agg(F.count("*").alias("n_clusters")).coalesce(1).write.json(f"{path}/labels", compression="gzip")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,11 +22,17 @@ def parse_keys(expression: str) -> list[list[str]]:
 def deduplicate(reads: DataFrame, by: str, within: list[str] | tuple[str, ...] = (), order: tuple[str, ...] = ("idx",), keep_unkeyed: bool = True) -> DataFrame:
     """The first read of each key in `order`, with dc, the reads that have it. Reads with a null key stay with dc 1, or go.
 
+    `start` and `end` are positions on a chromosome: where the reads have a column rname, it belongs to these keys.
+
     One alternative is a window over the key; several are judged in order, read by read, for each group of `within`: a
     read is a copy if an earlier kept read has one of its keys, and copies give no keys. Groups stream through in
     partitions sorted by `within` and order; memory follows the keys of one group.
     """
     alternatives = parse_keys(by)
+    if "rname" in reads.columns:
+        alternatives = [["rname", *(k for k in part if k != "rname")] if {"start", "end"} & set(part) else part for part in alternatives]
+    if len(alternatives) > 1 and not within:
+        raise ValueError("alternatives are judged within groups, which must be named")
     keys = list(dict.fromkeys(k for part in alternatives for k in part))
     complete = F.lit(True)
     for key in keys:
@@ -41,30 +48,35 @@ def deduplicate(reads: DataFrame, by: str, within: list[str] | tuple[str, ...] =
 
 def _greedy(reads: DataFrame, alternatives: list[list[str]], within: list[str], order: list[str]) -> DataFrame:
     columns = reads.columns
+    at = {c: k for k, c in enumerate(columns)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, kept, seen, schema = None, [], {}, None
+
+        def made(rows: list[list]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, kept, seen = object(), [], {}
-        for frame in frames:
+        for batch in batches:
+            schema = batch.schema.append(pa.field("dc", pa.int64()))
             done: list[list] = []
-            names = list(zip(*(frame[c].tolist() for c in within))) if within else [()] * len(frame)
-            parts = [list(zip(*(frame[c].tolist() for c in part))) for part in alternatives]
-            for k, row in enumerate(frame[columns].itertuples(index=False, name=None)):
-                if names[k] != group:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                name = tuple(row[at[c]] for c in within)
+                if name != group:
                     done += kept
-                    group, kept, seen = names[k], [], {}
-                own = [(a, part[k]) for a, part in enumerate(parts)]
+                    group, kept, seen = name, [], {}
+                own = [(a, *(row[at[c]] for c in part)) for a, part in enumerate(alternatives)]
                 hit = next((seen[key] for key in own if key in seen), None)
                 if hit is None:
                     kept.append([*row, 1])
                     seen.update((key, kept[-1]) for key in own)
                 else:
                     hit[-1] += 1
-            yield pd.DataFrame(done, columns=[*columns, "dc"])
-        yield pd.DataFrame(kept, columns=[*columns, "dc"])
+            yield made(done)
+        if schema is not None:
+            yield made(kept)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in reads.schema.fields) + ", dc long"
-    sorted_ = (reads.repartition(*within) if within else reads.coalesce(1)).sortWithinPartitions(*within, *order)
-    return sorted_.mapInPandas(run, schema)
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in reads.schema.fields) + ", dc long"
+    return reads.repartition(*within).sortWithinPartitions(*within, *order).mapInArrow(run, out)
 
 
 def multiplicity(reads: DataFrame) -> DataFrame:

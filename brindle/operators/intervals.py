@@ -10,13 +10,21 @@ from pyspark.sql.window import Window
 SMALL_MASK = 100_000
 
 
-def merge_intervals(intervals: DataFrame, gap: int = 0) -> DataFrame:
-    """Intervals of a chrom joined where they overlap or touch (or are at most gap apart)."""
-    ordered = Window.partitionBy("chrom").orderBy("start", "end")
+def _islands(intervals: DataFrame, gap: int, *by: str) -> DataFrame:
+    ordered = Window.partitionBy(*by).orderBy("start", "end")
     reach = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    marked = intervals.select("chrom", "start", "end", F.coalesce((F.col("start") > reach + gap).cast("int"), F.lit(0)).alias("new"))
+    marked = intervals.withColumn("new", F.coalesce((F.col("start") > reach + gap).cast("int"), F.lit(0)))
     islands = marked.withColumn("island", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy("chrom", "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
+    return islands.groupBy(*by, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
+
+
+def merge_intervals(intervals: DataFrame, gap: int = 0, span: int = 1_000_000) -> DataFrame:
+    """Intervals of a chrom joined where they overlap or touch (or are at most gap apart).
+
+    Those that start in the same span are joined first, so that no task has all intervals of a chrom; what is left is joined across spans.
+    """
+    near = _islands(intervals.select("chrom", "start", "end", F.expr(f"start div {span}").alias("span")), gap, "chrom", "span")
+    return _islands(near.drop("span"), gap, "chrom")
 
 
 def mask(reads: DataFrame, intervals: DataFrame, keep: str = "outside", bin_size: int = 10_000) -> DataFrame:
@@ -70,10 +78,14 @@ def unmasked_bases(sequences: DataFrame, column: str = "seq", alphabet: str = "A
     return sequences.agg(F.coalesce(F.sum(F.length(column) - F.length(F.translate(column, alphabet, ""))), F.lit(0)).alias("n_bases"))
 
 
-def hard_mask(lines: DataFrame, intervals: DataFrame) -> DataFrame:
-    """FASTA lines (chrom, offset, seq) with N where an interval covers a base; only covered lines meet intervals."""
-    m = merge_intervals(intervals).select("chrom", F.col("start").alias("m_start"), F.col("end").alias("m_end"))
-    near = lines.join(m, "chrom").where((F.col("m_start") < F.col("offset") + F.length("seq")) & (F.col("m_end") > F.col("offset")))
-    spans = near.groupBy("chrom", "offset").agg(F.array_sort(F.collect_list(F.struct("m_start", "m_end"))).alias("spans"))
-    cut = F.aggregate("spans", F.col("seq"), lambda seq, s: F.overlay(seq, F.repeat(F.lit("N"), (F.least(s["m_end"] - F.col("offset"), F.length("seq")) - F.greatest(s["m_start"] - F.col("offset"), F.lit(0))).cast("int")), (F.greatest(s["m_start"] - F.col("offset"), F.lit(0)) + 1).cast("int")))
+def hard_mask(lines: DataFrame, intervals: DataFrame, bin_size: int = 10_000) -> DataFrame:
+    """FASTA lines (chrom, offset, seq) with N where an interval covers a base; lines and intervals meet by bins of the chrom."""
+    bins = lambda a, b: F.explode(F.sequence(F.floor(a / bin_size), F.floor(F.greatest(b - 1, a) / bin_size))).alias("bin")
+    m = merge_intervals(intervals).select("chrom", F.col("start").alias("m_start"), F.col("end").alias("m_end"), bins(F.col("start"), F.col("end")))
+    placed = lines.select("chrom", "offset", F.length("seq").alias("n"), bins(F.col("offset"), F.col("offset") + F.length("seq")))
+    near = placed.join(m, ["chrom", "bin"]).where((F.col("m_start") < F.col("offset") + F.col("n")) & (F.col("m_end") > F.col("offset")))
+    spans = near.groupBy("chrom", "offset").agg(F.array_sort(F.collect_set(F.struct("m_start", "m_end"))).alias("spans"))
+    low = lambda s: F.greatest(s["m_start"] - F.col("offset"), F.lit(0))
+    width = lambda s: (F.least(s["m_end"] - F.col("offset"), F.length("seq")) - low(s)).cast("int")
+    cut = F.aggregate("spans", F.col("seq"), lambda seq, s: F.overlay(seq, F.repeat(F.lit("N"), width(s)), (low(s) + 1).cast("int")))
     return lines.join(spans, ["chrom", "offset"], "left").select("chrom", "offset", F.when(F.col("spans").isNull(), F.col("seq")).otherwise(cut).alias("seq"))

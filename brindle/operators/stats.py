@@ -54,3 +54,44 @@ def well(name: Column) -> Column:
     """The well in `...-A1` as A01."""
     found = F.regexp_extract(name, r"([^-]+)$", 1)
     return F.when(F.length(found) == 2, F.concat(F.substring(found, 1, 1), F.lit("0"), F.substring(found, 2, 1))).otherwise(found)
+
+
+def ratio(parts: DataFrame, wholes: DataFrame, by: tuple[str, ...], value: str = "n") -> DataFrame:
+    """(by, efficiency): each group's part of its whole; null without a whole."""
+    joined = wholes.select(*by, F.col(value).alias("_whole")).join(parts.select(*by, F.col(value).alias("_part")), list(by), "left")
+    return joined.select(*by, F.round(F.coalesce("_part", F.lit(0)) / F.nullif(F.col("_whole"), F.lit(0)), 6).alias("efficiency"))
+
+
+def counters(records: DataFrame, skipped: dict[str, Column]) -> DataFrame:
+    """One row with n_read, n_written and, for each reason in turn, n_<reason>: a record counts under the first reason that holds."""
+    left, out = F.lit(True), [F.count("*").alias("n_read")]
+    for reason, holds in skipped.items():
+        holds = F.coalesce(holds, F.lit(False))
+        out.append(F.count_if(left & holds).alias(f"n_{reason}"))
+        left = left & ~holds
+    return records.agg(*out, F.count_if(left).alias("n_written"))
+
+
+def ranked(rows: DataFrame, column: str, order: list[str]) -> DataFrame:
+    """rows with rank, the place of column's value in a custom order; other values come after all, by name."""
+    table = rows.sparkSession.createDataFrame([(v, k) for k, v in enumerate(order)], f"`{column}` string, rank int")
+    return rows.join(F.broadcast(table), column, "left").withColumn("rank", F.coalesce("rank", F.lit(len(order))))
+
+
+def product(*dimensions: DataFrame) -> DataFrame:
+    """All combinations of the distinct rows of small dimensions."""
+    out, *rest = (d.distinct() for d in dimensions)
+    for d in rest:
+        out = out.crossJoin(F.broadcast(d))
+    return out
+
+
+def path_counts(paths: DataFrame, path: str, value: str) -> DataFrame:
+    """(sample, target, n) of counts named by paths `<sample>.<...>/<target>.<...>`; a path without a folder counts for all samples."""
+    found = F.regexp_extract(F.col(path), r"^(?:([^/.]+)[^/]*/)?([^/.]+)[^/]*$", 1), F.regexp_extract(F.col(path), r"^(?:[^/.]+[^/]*/)?([^/.]+)[^/]*$", 1)
+    return paths.select(F.coalesce(F.nullif(found[0], F.lit("")), F.lit("all")).alias("sample"), found[1].alias("target"), F.col(value).alias("n"))
+
+
+def zoomed(rows: DataFrame, column: str, most: int) -> DataFrame:
+    """The part of a plot's data up to a value."""
+    return rows.where(F.col(column) <= most)

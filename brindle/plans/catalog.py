@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ..functions import day_number, hamming, pseudo_dna
 from ..operators import barcode, chrom, clusters, dedup, funnel, interactions, intervals, stats
+from ..sources import folder, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -78,7 +79,7 @@ def reads_per_cluster_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.reads_per_cluster(_clusters(spark, sf_dir))
 
 
-@query(_cte("SELECT label, metric, value, count(*) AS n_clusters FROM (SELECT label, unnest(['count', 'proportion']) AS metric, unnest([mode_count, CASE WHEN n_oligo > 0 THEN 100 * mode_count // n_oligo ELSE 0 END]) AS value FROM clusters) GROUP BY ALL"))
+@query(_cte("SELECT label, metric, value, count(*) AS n_clusters FROM (SELECT label, unnest(['count', 'proportion']) AS metric, unnest([mode_count::BIGINT, CASE WHEN n_oligo > 0 THEN round(100 * round_even(mode_count / n_oligo, 2))::BIGINT ELSE 0 END]) AS value FROM clusters) GROUP BY ALL"))
 def bpm_max_rep_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.max_representation(_clusters(spark, sf_dir))
 
@@ -316,37 +317,40 @@ def umi_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return barcode.oligo_records(reads.withColumn("qual", F.col("seq")), 3, 8).select("c_custkey", "RX", "seq", "RT", "CB", "flag")
 
 
-def _tags(spark: SparkSession, sf_dir: str, length: int, most: int) -> list[tuple[str, str, str, int]]:
-    """Tags of a fixed number of suppliers: a tag list is settings, read on the driver."""
-    rows = _table(spark, sf_dir, "supplier").where(F.col("s_suppkey") <= most).select("s_suppkey", F.substring(pseudo_dna(F.col("s_name")), 1, length).alias("seq")).orderBy("s_suppkey").collect()
-    return [("Y", f"Y{r['s_suppkey']}", r["seq"], 1) for r in rows]
+def _tags(spark: SparkSession, sf_dir: str, length: int) -> list[tuple[str, str, str, int]]:
+    """A tag for each nation: a tag list is settings, read on the driver from a table of fixed size."""
+    rows = _table(spark, sf_dir, "nation").select("n_nationkey", F.substring(pseudo_dna(F.col("n_name")), 1, length).alias("seq")).orderBy("n_nationkey").collect()
+    return [("Y", f"Y{r['n_nationkey']}", r["seq"], 1) for r in rows]
 
 
-@query(f"""SELECT c_custkey, max_by('Y' || s_suppkey, s_suppkey) AS tag FROM (SELECT c_custkey, {_DNA.format('c_name')}[1:6] AS a FROM customer) c JOIN (SELECT s_suppkey, {_DNA.format('s_name')}[1:6] AS b FROM supplier WHERE s_suppkey <= 20) s ON hamming(a, b) <= 1 GROUP BY c_custkey""")
+@query(f"""SELECT c_custkey, max_by('Y' || n_nationkey, n_nationkey) AS tag FROM (SELECT c_custkey, {_DNA.format('c_name')}[1:6] AS a FROM customer) c JOIN (SELECT n_nationkey, {_DNA.format('n_name')}[1:6] AS b FROM nation) s ON hamming(a, b) <= 1 GROUP BY c_custkey""")
 def hamming_tag_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = barcode.expand_tags(spark, _tags(spark, sf_dir, 6, 20))
+    book = barcode.expand_tags(spark, _tags(spark, sf_dir, 6))
     reads = _table(spark, sf_dir, "customer").select("c_custkey", F.substring(pseudo_dna(F.col("c_name")), 1, 6).alias("seq"))
     return reads.join(book, "seq").select("c_custkey", F.col("name").alias("tag"))
 
 
-@query(f"""SELECT a.s_suppkey AS one, b.s_suppkey AS two, hamming(a.s, b.s) AS apart FROM (SELECT s_suppkey, {_DNA.format('s_name')}[1:8] AS s FROM supplier WHERE s_suppkey <= 50) a JOIN (SELECT s_suppkey, {_DNA.format('s_name')}[1:8] AS s FROM supplier WHERE s_suppkey <= 50) b ON a.s_suppkey < b.s_suppkey AND a.s[1:2] = b.s[1:2]""")
+@query(f"WITH t AS (SELECT s_suppkey AS k, {_DNA.format('s_name')}[1:8] AS s FROM supplier) SELECT a.k AS one, b.k AS two, hamming(a.s, b.s) AS apart FROM t a JOIN t b ON a.k < b.k AND hamming(a.s, b.s) <= 2")
 def hamming_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tags = _table(spark, sf_dir, "supplier").where("s_suppkey <= 50").select("s_suppkey", F.substring(pseudo_dna(F.col("s_name")), 1, 8).alias("s")).withColumn("head", F.substring("s", 1, 2))
-    a, b = tags.alias("a"), tags.alias("b")
-    return a.join(b, (F.col("a.head") == F.col("b.head")) & (F.col("a.s_suppkey") < F.col("b.s_suppkey"))).select(F.col("a.s_suppkey").alias("one"), F.col("b.s_suppkey").alias("two"), hamming(F.col("a.s"), F.col("b.s")).cast("long").alias("apart"))
+    return barcode.close_tags(_table(spark, sf_dir, "supplier").select("s_suppkey", F.substring(pseudo_dna(F.col("s_name")), 1, 8).alias("seq")), 2, "s_suppkey")
 
 
-@query(f"""WITH t AS (SELECT s_suppkey, {_DNA.format('s_name')}[1:5] AS s FROM supplier WHERE s_suppkey <= 20), c AS (SELECT c_custkey, {_DNA.format('c_name')} AS d FROM customer),
- h AS (SELECT c_custkey, o, max(s_suppkey) AS k FROM c, (SELECT unnest(range(7)) AS o), t WHERE hamming(d[10 + o:14 + o], s) <= 1 GROUP BY ALL)
+@query(f"""WITH t AS (SELECT n_nationkey, {_DNA.format('n_name')}[1:5] AS s FROM nation), c AS (SELECT c_custkey, {_DNA.format('c_name')} AS d FROM customer),
+ h AS (SELECT c_custkey, o, max(n_nationkey) AS k FROM c, (SELECT unnest(range(7)) AS o), t WHERE hamming(d[10 + o:14 + o], s) <= 1 GROUP BY ALL)
  SELECT c.c_custkey, coalesce('Y' || min_by(k, o), 'NOT_FOUND') AS tag FROM c LEFT JOIN h USING (c_custkey) GROUP BY c.c_custkey""")
 def barcode_scan_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads = _table(spark, sf_dir, "customer").select("c_custkey", F.lit("A").alias("seq1"), F.concat(F.lit("GGG"), F.substring(pseudo_dna(F.col("c_name")), 4, 32)).alias("seq2"))
-    tags = [("DPM", "D", "GGGGGG", 0), *_tags(spark, sf_dir, 5, 20)]
+    tags = [("DPM", "D", "GGGGGG", 0), *_tags(spark, sf_dir, 5)]
     # A first category that fits nowhere moves on by its six bases and the laxity of 0, and the spacer by three more.
     found = barcode.identify(reads, {"READ2": ["DPM", "SPACER", "Y"]}, tags, spacer=3, laxity=6)
     return found.select("c_custkey", F.element_at("tags", -1).alias("tag"))
 
 
+@query(f"WITH {_NAMED}, n AS (SELECT len(list_filter(tags, lambda t: t <> 'NOT_FOUND'))::INT AS k, count(*) AS n FROM tagged GROUP BY 1) SELECT i::INT AS line_no, coalesce(n, 0) || ' (' || printf('%.1f', 100 * coalesce(n, 0) / (SELECT sum(n) FROM n)) || '%) reads found with ' || i || ' tags' AS line FROM range(4) r(i) LEFT JOIN n ON k = i")
+def efficiency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return barcode.efficiency_report(barcode.tags_found(_named(spark, sf_dir)), 3)
+
+
 @query(f"SELECT s AS seq, count(*) AS n_names FROM (SELECT {_DNA.format('s_name')}[1:3] AS s FROM supplier) GROUP BY s HAVING count(*) > 1")
 def ambiguous_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = _table(spark, sf_dir, "supplier").select(F.substring(pseudo_dna(F.col("s_name")), 1, 3).alias("seq"))
@@ -356,9 +360,15 @@ def ambiguous_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Chromosomes and intervals.
 
 
-@query("SELECT s_suppkey, n_name AS rname, n_nationkey AS sort_order FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 3 = 0")
+def _kept_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name table that keeps the nations of two regions."""
+    nation = _table(spark, sf_dir, "nation").join(_table(spark, sf_dir, "region").where("r_name IN ('ASIA', 'EUROPE')"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return nation.select(F.col("n_nationkey").cast("string").alias("old"), F.col("n_name").alias("new"), F.col("n_nationkey").alias("sort_order"))
+
+
+@query("SELECT s_suppkey, n_name AS rname, n_nationkey AS sort_order FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE')")
 def chrom_rename_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = _table(spark, sf_dir, "nation").where("n_nationkey % 3 = 0").select(F.col("n_nationkey").cast("string").alias("old"), F.col("n_name").alias("new"), F.col("n_nationkey").alias("sort_order"))
+    names = _kept_names(spark, sf_dir)
     records = _table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("rname"))
     return chrom.rename_chromosomes(records, names)
 
@@ -519,10 +529,12 @@ def funnel_fracs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, CASE WHEN (SELECT ceil(count(*) / ceil(count(*) / 7)) FROM orders) = 7 THEN i // (SELECT ceil(count(*) / 7)::BIGINT FROM orders) ELSE least(6, i // (SELECT count(*) // 7 FROM orders)) END AS chunk FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders)")
 def chunk_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey")
-    ranged = orders.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id() % (1 << 33))
-    sizes = ranged.groupBy("part").agg(F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    indexed = ranged.join(F.broadcast(sizes), "part").select("o_orderkey", (F.col("base") + F.col("at")).alias("idx"))
+    """Rows are numbered in ranges of keys: each range's rows by a window, ranges by their counts."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey").withColumn("part", F.expr("o_orderkey div 10000"))
+    sizes = orders.groupBy("part").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    at = F.row_number().over(Window.partitionBy("part").orderBy("o_orderkey")) - 1
+    indexed = orders.withColumn("at", at).join(sizes.select("part", "base"), "part").select("o_orderkey", (F.col("base") + F.col("at")).alias("idx"))
     return funnel.chunks(indexed, 7, count=orders.count()).select("o_orderkey", F.col("chunk").cast("long").alias("chunk"))
 
 
@@ -539,3 +551,143 @@ def distinct_ordered_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_brand, p_size, p_partkey, p_retailprice FROM part")
 def coordinate_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "part").select("p_brand", "p_size", "p_partkey", "p_retailprice").orderBy("p_brand", "p_size", "p_partkey")
+
+
+# Positions, counters, orders, dimensions.
+
+
+@query("SELECT l_linestatus AS rname, date_diff('day', DATE '1970-01-01', l_shipdate::DATE) AS \"start\", date_diff('day', DATE '1970-01-01', l_shipdate::DATE) + l_quantity::BIGINT AS \"end\", l_returnflag, count(*) AS dc FROM lineitem GROUP BY ALL")
+def dedup_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = _spans(spark, sf_dir).withColumnsRenamed({"chrom": "rname", "target": "l_returnflag"})
+    return dedup.deduplicate(reads, "start&end", ("l_returnflag",), ("l_orderkey", "l_linenumber")).select("rname", "start", "end", "l_returnflag", "dc")
+
+
+@query("SELECT n_name AS chrom, c_custkey, n_nationkey AS sort_order FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE')")
+def fasta_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("chrom"))
+    return chrom.rename_fasta(records, _kept_names(spark, sf_dir)).select("chrom", "c_custkey", "sort_order")
+
+
+@query("SELECT count(*) AS n_index, sum(length)::BIGINT AS bases_index, count(*) FILTER (kept) AS n_kept, coalesce(sum(length) FILTER (kept), 0)::BIGINT AS bases_kept FROM (SELECT s_suppkey AS length, r_name IN ('ASIA', 'EUROPE') AS kept FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)")
+def genome_size_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = _table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("string").alias("chrom"), F.col("s_suppkey").alias("length"))
+    return chrom.size_totals(index, _kept_names(spark, sf_dir))
+
+
+@query("SELECT o_orderstatus AS chrom, count(*) AS n, o_orderstatus IN (SELECT l_linestatus FROM lineitem) AS known FROM orders GROUP BY 1")
+def mask_chromosomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chrom.mask_chromosomes(_table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("chrom")), _table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("chrom")))
+
+
+@query("SELECT p_brand, row_number() OVER (ORDER BY regexp_extract(p_brand, '^(\\D*)', 1), regexp_extract(p_brand, '^\\D*(\\d+)', 1)::BIGINT) AS place FROM (SELECT DISTINCT p_brand FROM part)")
+def version_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = _table(spark, sf_dir, "part").select("p_brand").distinct()
+    return names.withColumn("place", F.row_number().over(Window.orderBy(*chrom.version_order(F.col("p_brand")))).cast("long"))
+
+
+@query("SELECT count(*) AS n_read, count(*) FILTER (l_quantity < 20) AS n_low, count(*) FILTER (l_quantity >= 20 AND l_returnflag = 'R') AS n_returned, count(*) FILTER (l_quantity >= 20 AND l_returnflag <> 'R') AS n_written FROM lineitem")
+def read_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.counters(_table(spark, sf_dir, "lineitem"), {"low": F.col("l_quantity") < 20, "returned": F.col("l_returnflag") == "R"})
+
+
+@query("SELECT event_type, count(*) AS n, CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END AS rank FROM events GROUP BY event_type")
+def rank_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = _table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    return stats.ranked(counts, "event_type", ["purchase", "click"]).orderBy("rank", "event_type")
+
+
+@query("SELECT user_id % 4 AS sample, round(count(*) FILTER (event_type = 'click') / count(*), 6) AS efficiency FROM events GROUP BY 1")
+def overall_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = _table(spark, sf_dir, "events").select((F.col("user_id") % 4).alias("sample"), "event_type")
+    counted = lambda df: df.groupBy("sample").agg(F.count("*").alias("n"))
+    return stats.ratio(counted(reads.where("event_type = 'click'")), counted(reads), ("sample",))
+
+
+@query("SELECT sample, event_type FROM (SELECT DISTINCT user_id % 4 AS sample FROM events), (SELECT DISTINCT event_type FROM events)")
+def dimension_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events")
+    return stats.product(events.select((F.col("user_id") % 4).alias("sample")), events.select("event_type"))
+
+
+@query("SELECT DISTINCT p_brand AS label FROM part UNION SELECT unnest(['none', 'filtered', 'uncertain', 'ambiguous'])")
+def label_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = [r["p_brand"] for r in _table(spark, sf_dir, "part").select("p_brand").distinct().limit(10_001).collect()]
+    if len(targets) > 10_000:
+        raise ValueError("more targets than a header holds")
+    return clusters.read_groups(spark, targets, "s").select(F.col("id").alias("label"))
+
+
+@query("SELECT coalesce('s' || (CASE WHEN user_id % 5 < 4 THEN user_id % 5 END), 'all') AS sample, event_type AS target, event_id AS n FROM events")
+def path_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = F.when(F.col("user_id") % 5 < 4, F.concat(F.lit("s"), (F.col("user_id") % 5).cast("string"), F.lit(".labelled/"))).otherwise("")
+    return stats.path_counts(_table(spark, sf_dir, "events").select(F.concat(folder, "event_type", F.lit(".bam")).alias("path"), "event_id"), "path", "event_id")
+
+
+@query("""SELECT p_partkey, replace(p_brand, '#', '_') AS replaced, (length(p_name) - length(replace(p_name, 'a', '')))::INT AS occurrences, lpad(p_size::VARCHAR, 4, '0') AS padded,
+ regexp_extract(p_brand, '#(\\d)(\\d)', 1) AS one, regexp_extract(p_brand, '#(\\d)(\\d)', 2) AS two, greatest(p_size / 100, 0.1)::DOUBLE AS floored FROM part""")
+def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    brand = F.col("p_brand")
+    return _table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.replace(brand, F.lit("#"), F.lit("_")).alias("replaced"),
+        F.regexp_count("p_name", F.lit("a")).alias("occurrences"),
+        F.lpad(F.col("p_size").cast("string"), 4, "0").alias("padded"),
+        F.regexp_extract(brand, r"#(\d)(\d)", 1).alias("one"),
+        F.regexp_extract(brand, r"#(\d)(\d)", 2).alias("two"),
+        F.greatest(F.nanvl(F.col("p_size") / 100, F.lit(0.0)), F.lit(0.1)).alias("floored"),
+    )
+
+
+# Files, written to the shared folder and read again.
+
+
+@query("SELECT 'r' || l_orderkey || '.' || l_linenumber AS qname, l_linenumber::INT AS flag, l_returnflag AS rname, l_suppkey::BIGINT AS pos, l_quantity::INT AS mapq, l_suppkey::BIGINT - 1 AS ref_start, l_suppkey::BIGINT + 1 + l_linenumber AS ref_end, l_partkey::VARCHAR AS nm, 'iZ' AS kinds, l_linestatus AS rt FROM lineitem")
+def sam_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star, none = F.lit("*"), F.lit(0).cast("long")
+    records = _table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("r"), F.col("l_orderkey").cast("string"), F.lit("."), F.col("l_linenumber").cast("string")).alias("qname"),
+        F.col("l_linenumber").cast("int").alias("flag"), F.col("l_returnflag").alias("rname"), F.col("l_suppkey").cast("long").alias("pos"), F.col("l_quantity").cast("int").alias("mapq"),
+        F.concat(F.col("l_linenumber").cast("string"), F.lit("M2D3S")).alias("cigar"), star.alias("rnext"), none.alias("pnext"), none.alias("tlen"), star.alias("seq"), star.alias("qual"),
+        F.create_map(F.lit("NM"), F.col("l_partkey").cast("string"), F.lit("RT"), "l_linestatus").alias("tags"), F.create_map(F.lit("NM"), F.lit("i"), F.lit("RT"), F.lit("Z")).alias("types"),
+    )
+    path = folder.fresh(spark, "sam")
+    text.write_sam(records, ["@HD\tVN:1.6", "@SQ\tSN:R\tLN:1000"], path)
+    back = text.read_sam(spark, path)
+    kinds = F.concat(F.element_at("types", "NM"), F.element_at("types", "RT"))
+    return back.select("qname", "flag", "rname", "pos", "mapq", "ref_start", "ref_end", F.element_at("tags", "NM").alias("nm"), kinds.alias("kinds"), F.element_at("tags", "RT").alias("rt"))
+
+
+@query(f'WITH {_SPANS} SELECT chrom, s AS "start", e AS "end", count(*) AS n FROM spans GROUP BY ALL')
+def bed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folder.fresh(spark, "bed")
+    text.write_bed(_spans(spark, sf_dir), path)
+    return text.read_bed(spark, path).groupBy("chrom", "start", "end").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT c_custkey::VARCHAR AS chrom, {_DNA.format('c_name')} AS seq FROM customer")
+def fasta_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folder.fresh(spark, "fasta")
+    text.write_fasta(_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("chrom"), pseudo_dna(F.col("c_name")).alias("seq")), path, 10)
+    return text.read_fasta(spark, path)
+
+
+@query("SELECT count(*) AS n_reads FROM customer")
+def fastq_read_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folder.fresh(spark, "fastq")
+    dna = pseudo_dna(F.col("c_name"))
+    text.write_fastq(_table(spark, sf_dir, "customer").select(F.col("c_name").alias("qname"), dna.alias("seq"), F.repeat(F.lit("I"), F.length(dna)).alias("qual")), path)
+    return text.fastq_reads(spark, path)
+
+
+@query(f"WITH {_COVER} SELECT chrom, bin * 30 AS \"start\", (bin + 1) * 30 AS \"end\", sum(n)::DOUBLE AS value FROM bins GROUP BY chrom, bin")
+def bedgraph_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folder.fresh(spark, "bedgraph")
+    text.write_bedgraph(intervals.coverage(_spans(spark, sf_dir), 30), 30, path)
+    return spark.read.csv(path, sep="\t", schema="chrom string, start long, end long, value double")
+
+
+@query(_cte("SELECT cluster, n_dpm, n_oligo, label FROM clusters"))
+def cluster_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folder.fresh(spark, "summaries")
+    clusters.write_summaries(_clusters(spark, sf_dir).select("cluster", "n_dpm", "n_oligo", "label"), path)
+    return spark.read.csv(f"{path}/clusters", header=True, schema="cluster string, n_dpm long, n_oligo long, label string")

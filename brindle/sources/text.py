@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
+#: Records of an Arrow batch.
+BATCH = 10_000
+
+
 class _File(InputPartition):
     def __init__(self, path: str) -> None:
         self.path = path
@@ -41,19 +45,28 @@ class _FastqReader(DataSourceReader):
     def read(self, partition: _File):
         import gzip
 
+        import pyarrow as pa
+
         with open(partition.path, "rb") as probe:
             zipped = probe.read(2) == b"\x1f\x8b"
+        names = ["file", "idx", "qname", "seq", "plus", "qual"]
+        kinds = [pa.string(), pa.int64(), *[pa.string()] * 4]
         with (gzip.open if zipped else open)(partition.path, "rt") as file:
-            index = 0
+            index, rows = 0, []
             while True:
-                lines = [file.readline().rstrip() for _ in range(4)]
-                if not all(lines[:3]):
-                    return  # a record cut short at the end is dropped
-                name, seq, plus, qual = lines
-                if name[0] != "@" or plus[0] != "+" or len(seq) != len(qual):
+                raw = [file.readline() for _ in range(4)]
+                if not raw[3]:
+                    break  # the end; a record that it cuts short is dropped, an empty read before it is a record
+                name, seq, plus, qual = (line.rstrip("\r\n") for line in raw)
+                if name[:1] != "@" or plus[:1] != "+" or len(seq) != len(qual):
                     raise ValueError(f"{partition.path}: record {index} is no FASTQ record")
-                yield partition.path, index, name[1:], seq, plus, qual
+                rows.append((partition.path, index, name[1:], seq, plus, qual))
                 index += 1
+                if len(rows) == BATCH:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
 def read_fastq(spark: SparkSession, *paths: str) -> DataFrame:
@@ -82,29 +95,51 @@ SAM = ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """Records of SAM text: the eleven columns, tags map<string,string> (TAG -> value), ref_start, ref_end (half-open)."""
+    """Records of SAM text: the eleven columns, tags and types map<string,string> (TAG -> value, TAG -> type letter), ref_start, ref_end (half-open)."""
     lines = spark.read.text(path).where("value NOT LIKE '@%' AND value <> ''")
     parts = F.split("value", "\t")
-    out = lines.select(*[parts[k].alias(c) for k, c in enumerate(SAM)], F.slice(parts, 12, 1_000).alias("extra"))
+    out = lines.select(*[parts[k].alias(c) for k, c in enumerate(SAM)], F.slice(parts, F.lit(12), F.size(parts)).alias("extra"))
     for c in ("flag", "mapq"):
         out = out.withColumn(c, F.col(c).cast("int"))
     for c in ("pos", "pnext", "tlen"):
         out = out.withColumn(c, F.col(c).cast("long"))
     span = F.aggregate(F.regexp_extract_all("cigar", F.lit(r"(\d+)[MDN=X]"), F.lit(1)), F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
-    tags = F.map_from_entries(F.transform("extra", lambda t: F.struct(F.split(t, ":", 3)[0], F.split(t, ":", 3)[2])))
-    return out.withColumn("tags", tags).drop("extra").withColumn("ref_start", F.col("pos") - 1).withColumn("ref_end", F.col("pos") - 1 + span)
+    field = lambda k: F.map_from_entries(F.transform("extra", lambda t: F.struct(F.split(t, ":", 3)[0], F.split(t, ":", 3)[k])))
+    return out.withColumn("tags", field(2)).withColumn("types", field(1)).drop("extra").withColumn("ref_start", F.col("pos") - 1).withColumn("ref_end", F.col("pos") - 1 + span)
+
+
+def read_sam_header(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the header lines of SAM text."""
+    return spark.read.text(path).where("value LIKE '@%'")
+
+
+def header_sizes(header: DataFrame) -> DataFrame:
+    """(chrom, length) of the @SQ lines of a header."""
+    return header.where("value LIKE '@SQ\t%'").select(F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("chrom"), F.regexp_extract("value", r"\tLN:(\d+)", 1).cast("long").alias("length"))
 
 
 def sam_lines(records: DataFrame) -> DataFrame:
-    """(value): SAM text of records; tags are written as strings, in order of their names."""
-    tags = F.transform(F.array_sort(F.map_keys("tags")), lambda k: F.concat(k, F.lit(":Z:"), F.element_at("tags", k)))
+    """(value): SAM text of records; tags in order of their names, with their types, strings where a type is not known."""
+    typed = "types" in records.columns
+    tags = F.transform(F.array_sort(F.map_keys("tags")), lambda k: F.concat(k, F.lit(":"), F.coalesce(F.try_element_at("types", k), F.lit("Z")) if typed else F.lit("Z"), F.lit(":"), F.element_at("tags", k)))
     fields = F.concat_ws("\t", *[F.col(c).cast("string") for c in SAM])
     return records.select(F.when(F.size("tags") > 0, F.concat_ws("\t", fields, F.array_join(tags, "\t"))).otherwise(fields).alias("value"))
 
 
+def write_sam(records: DataFrame, header: list[str], path: str) -> None:
+    """SAM text of records; the header lines are the first part, so that the parts in order are one SAM file."""
+    lines = sam_lines(records)
+    if header:
+        lines = records.sparkSession.createDataFrame([(line,) for line in header], "value string").coalesce(1).unionByName(lines)
+    lines.write.text(path)
+
+
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, start, end) of BED text, plain or .gz."""
-    return spark.read.csv(path, sep="\t", comment="#", schema="chrom string, start long, end long", mode="DROPMALFORMED", enforceSchema=True)
+    """(chrom, start, end) of BED text, plain or .gz. Comments, track and browser lines and blank ones are passed over; any other line that is no interval is an error."""
+    lines = spark.read.text(path).where("trim(value) <> '' AND NOT value RLIKE '^(#|track|browser)'")
+    parts = F.split("value", "\t")
+    number = lambda k: F.coalesce(F.get(parts, F.lit(k)).try_cast("long"), F.raise_error(F.concat(F.lit("no BED line: "), "value")).cast("long"))
+    return lines.select(parts[0].alias("chrom"), number(1).alias("start"), number(2).alias("end"))
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -118,6 +153,29 @@ def read_sizes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", schema="chrom string, length long")
 
 
+def read_index_summary(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, length) of an aligner's index summary: lines `Sequence-<k>`, name, length; a name ends at white space."""
+    found = F.regexp_extract("value", r"^Sequence-\d+\t([^\t\s]+)[^\t]*\t(\d+)", 1), F.regexp_extract("value", r"^Sequence-\d+\t[^\t]*\t(\d+)", 1)
+    return spark.read.text(path).where("value LIKE 'Sequence-%'").select(found[0].alias("chrom"), found[1].cast("long").alias("length"))
+
+
+def write_bed(spans: DataFrame, path: str) -> None:
+    """(chrom, start, end) as BED lines."""
+    spans.select(F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string")).alias("value")).write.text(path)
+
+
+def write_fasta(records: DataFrame, path: str, width: int = 60) -> None:
+    """(chrom, seq) as FASTA records, `width` letters a line."""
+    lines = F.regexp_replace("seq", f"(.{{{width}}})(?=.)", "$1\n")
+    records.select(F.concat(F.lit(">"), "chrom", F.lit("\n"), lines).alias("value")).write.text(path)
+
+
+def fastq_reads(spark: SparkSession, path: str) -> DataFrame:
+    """(n_reads) of FASTQ text: a fourth of its lines, which must be a whole number."""
+    lines = spark.read.text(path).agg(F.count("*").alias("n"))
+    return lines.select(F.when(F.col("n") % 4 == 0, F.expr("n div 4")).otherwise(F.raise_error(F.concat(F.col("n").cast("string"), F.lit(" lines are no FASTQ"))).cast("long")).alias("n_reads"))
+
+
 def read_statistics(spark: SparkSession, paths: list[str]) -> DataFrame:
     """TSV tables with headers, with sample: the file's name up to its first dot."""
     return spark.read.csv(paths, sep="\t", header=True, inferSchema=True).withColumn("sample", F.split_part(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("."), F.lit(1)))

@@ -126,3 +126,85 @@ def test_settings():
         settings.parse_chrom_map("a\tb\na\tc\n")
     with pytest.raises(ValueError):
         settings.Settings(num_chunks=100)
+
+
+def test_fastq_keeps_what_follows_an_empty_read(spark, tmp_path):
+    path = tmp_path / "a.fq"
+    path.write_text("@r1\nAC\n+\nII\n@r2\n\n+\n\n@r3\nG\n+\nI\n\n")
+    assert rows(text.read_fastq(spark, str(path)), "qname", "seq") == [("r1", "AC"), ("r2", ""), ("r3", "G")]
+    path.write_text("@r1\nAC\n+\nI\n")
+    with pytest.raises(Exception, match="no FASTQ record"):
+        text.read_fastq(spark, str(path)).collect()
+
+
+def test_bed_lines_are_intervals_or_errors(spark, tmp_path):
+    path = tmp_path / "a.bed"
+    path.write_text("track name=x\n#c\nchr1\t1\t5\textra\n\n")
+    assert rows(text.read_bed(spark, str(path))) == [("chr1", 1, 5)]
+    path.write_text("chr1\t1\n")
+    with pytest.raises(Exception, match="no BED line"):
+        text.read_bed(spark, str(path)).collect()
+
+
+def test_index_summary_and_header(spark, tmp_path):
+    path = tmp_path / "s.txt"
+    path.write_text("Colorspace\t0\nSequence-1\tchr1 some words\t195\nSequence-2\tchr2\t20\n")
+    assert rows(text.read_index_summary(spark, str(path))) == [("chr1", 195), ("chr2", 20)]
+    path.write_text("@HD\tVN:1.6\n@SQ\tSN:chr1\tLN:195\n")
+    assert rows(text.header_sizes(text.read_sam_header(spark, str(path)))) == [("chr1", 195)]
+
+
+def test_positions_belong_to_a_chromosome(spark):
+    reads = spark.createDataFrame([(1, "c", "chr1", 5, 9), (2, "c", "chr2", 5, 9), (3, "c", "chr2", 5, 9)], "idx int, CB string, rname string, start int, end int")
+    assert rows(dedup.deduplicate(reads, "start&end", ("CB",)), "idx", "dc") == [(1, 1), (2, 2)]
+    assert rows(dedup.deduplicate(reads, "start|end", ("CB",)), "idx", "dc") == [(1, 1), (2, 2)]
+    with pytest.raises(ValueError):
+        dedup.deduplicate(reads, "start|end")
+
+
+def test_large_ids_stay_beside_nulls(spark):
+    big = 2**53 + 1
+    reads = spark.createDataFrame([(1, "c", 1, 1, big), (2, "c", 2, 2, None)], "idx int, CB string, a int, b int, other long")
+    assert rows(dedup.deduplicate(reads, "a|b", ("CB",)), "idx", "other", "dc") == [(1, big, 1), (2, None, 1)]
+
+
+def test_dedup_by_alternatives_is_brute_force(spark):
+    from brindle.plans.catalog import QUERIES
+
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").collect()
+    order = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    want, groups = [], {}
+    for r in sorted(lines, key=lambda r: tuple(r[c] for c in order)):
+        groups.setdefault(r["l_orderkey"], []).append(r)
+    for found in groups.values():
+        kept = []
+        for r in found:
+            hit = next((k for k in kept if k[0]["l_suppkey"] == r["l_suppkey"]), None) or next((k for k in kept if k[0]["l_partkey"] == r["l_partkey"]), None)
+            if hit is None:
+                kept.append([r, 1])
+            else:
+                hit[1] += 1
+        want += [(k["l_orderkey"], *(k[c] for c in order), n) for k, n in kept]
+    got = QUERIES["dedup_or_keys"](spark, "/root/testdata/sf0.001")
+    assert rows(got, "l_orderkey", *order, "dc") == sorted(want)
+
+
+def test_share_is_rounded(spark):
+    made = spark.createDataFrame([("x", 2, 3), ("x", 5, 6), ("x", 6, 7), ("x", 1, 8), ("x", 1, 40), ("y", 0, 0)], "label string, mode_count long, n_oligo long")
+    got = {(label, value): n for label, metric, value, n in rows(clusters.max_representation(made)) if metric == "proportion"}
+    assert got == {("x", 67): 1, ("x", 83): 1, ("x", 86): 1, ("x", round(100 * round(1 / 8, 2))): 1, ("x", round(100 * round(1 / 40, 2))): 1, ("y", 0): 1}
+
+
+def test_merge_across_spans_and_hard_mask(spark):
+    spans = spark.createDataFrame([("a", 0, 25), ("a", 8, 9), ("a", 20, 30), ("a", 31, 35), ("b", 5, 6)], "chrom string, start long, end long")
+    for span in (10, 1_000_000):
+        assert rows(intervals.merge_intervals(spans, span=span), "chrom", "start", "end") == [("a", 0, 30), ("a", 31, 35), ("b", 5, 6)]
+    lines = spark.createDataFrame([("a", 24, "acgtacgtac"), ("b", 0, "acgt"), ("c", 0, "ac")], "chrom string, offset long, seq string")
+    assert rows(intervals.hard_mask(lines, spans, bin_size=4)) == [("a", 24, "NNNNNNgNNN"), ("b", 0, "acgt"), ("c", 0, "ac")]
+
+
+def test_concatenated_samples_have_one_genome(spark):
+    records, sizes = spark.createDataFrame([("r",)], "qname string"), spark.createDataFrame([("chr1", 5)], "chrom string, length long")
+    assert rows(clusters.concatenated({"a": (records, sizes), "b": (records, sizes)})) == [("r", "a"), ("r", "b")]
+    with pytest.raises(ValueError):
+        clusters.concatenated({"a": (records, sizes), "b": (records, sizes.limit(0))})
