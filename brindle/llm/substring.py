@@ -161,12 +161,12 @@ def _judge(pieces: list[tuple[bytes, list[bytes], int]], length: int) -> list[tu
     return out
 
 
-def large_shards(pieces: DataFrame) -> DataFrame:
-    """The anchors of more than SHARD distinct pieces."""
+def large_shards(bodies: DataFrame) -> DataFrame:
+    """The anchors of more than SHARD distinct pieces, of bodies (anchor, piece); each piece is there at least once."""
     # Most anchors have too few rows, which the anchors alone tell.
-    likely = pieces.groupBy("anchor").count().where(F.col("count") > SHARD).select("anchor")
-    bodies = pieces.join(F.broadcast(likely), "anchor").select("anchor", "piece").distinct()
-    return bodies.groupBy("anchor").count().where(F.col("count") > SHARD).select("anchor")
+    likely = bodies.groupBy("anchor").count().where(F.col("count") > SHARD).select("anchor")
+    distinct = bodies.join(F.broadcast(likely), "anchor", "left_semi").select("anchor", "piece").distinct()
+    return distinct.groupBy("anchor").count().where(F.col("count") > SHARD).select("anchor")
 
 
 def _judge_windows(bodies: DataFrame, length: int) -> DataFrame:
@@ -210,12 +210,12 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
             out = []
         yield pd.DataFrame(_judge(shard_pieces, length), columns=["piece", "first", "mask"])
 
-    large = materialize(large_shards(pieces), "large")
     bodies = pieces.where("body IS NOT NULL").select("anchor", "doc_id", "piece", "body")
+    large = materialize(large_shards(bodies), "large")
     small = bodies.join(F.broadcast(large), "anchor", "left_anti")
     judged = small.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "piece").mapInPandas(stream, "piece binary, first long, mask long")
     if large.limit(1).count():
-        judged = judged.unionByName(_judge_windows(bodies.join(F.broadcast(large), "anchor"), length))
+        judged = judged.unionByName(_judge_windows(bodies.join(F.broadcast(large), "anchor", "left_semi"), length))
     judged = materialize(judged, "judged")
     full = F.expr("shiftleft(1L, windows) - 1L")
     hits = pieces.select("piece", "doc_id", "start", "windows").join(judged, "piece").withColumn("mask", F.when(F.col("doc_id") > F.col("first"), full).otherwise(F.col("mask"))).where("mask <> 0")
