@@ -21,8 +21,15 @@ from .text import U64, hash_words, ngrams, portions, words
 #: Bigrams of a bucket, about, and parts in which a bucket is scored.
 BUCKET = 1_000_000
 SLICES = 8
-_ENTRIES = "bucket long, target boolean, docs binary, firsts binary, runs binary, pairs binary, which binary, counts binary"
-_SUMS = "bucket long, docs binary, gain binary"
+#: Buckets whose sums meet in one task at the end; a sum is small beside the bigrams behind it.
+GATHERED = 16
+_ENTRIES = "bucket long, target boolean, docs binary, firsts binary, runs binary, pairs binary, pair_runs binary, which binary, counts binary"
+_SUMS = "bucket long, docs binary, gain binary, counts binary"
+
+
+def _place(n: int) -> type:
+    """The integers that hold a place among n documents, and numbers up to n."""
+    return np.uint16 if n < 2**16 else np.uint32
 
 
 def _bigrams(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,6 +74,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
     size, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum(F.col("n_target") + F.col("n_background")), F.lit(0))).first()
     # A bucket is held by one task, so there are as many as the data need.
     parts = max(parts, int(total) // BUCKET)
+    goals = max(partitions(spark), parts // GATHERED)
     # At most 4 * parts words can each have more than a 4 * parts-th of all bigrams.
     hot = vocabulary.where((F.col("n_target") + F.col("n_background")) * 4 * parts > total).orderBy("word").toPandas()
     hot_word = hot["word"].to_numpy(np.int64).view(U64)
@@ -96,19 +104,22 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
                 cuts = np.r_[0, np.nonzero(np.diff(b))[0] + 1, len(b)] if len(b) else np.array([0])
                 for lo, hi in zip(cuts, cuts[1:]):
                     heads = np.r_[0, np.nonzero(np.diff(f[lo:hi]))[0] + 1]
+                    pair_heads = np.r_[0, np.nonzero(np.diff(p[lo:hi]))[0] + 1]
                     used, local = np.unique(t[lo:hi], return_inverse=True)
+                    small = _place(len(used))
                     named = np.where(known[used], ids[used], np.iinfo(np.int64).min)
-                    out.append((int(b[lo]), target_side, named.tobytes(), f[lo:hi][heads].tobytes(), np.diff(np.r_[heads, hi - lo]).astype(np.uint32).tobytes(), p[lo:hi].tobytes(), local.astype(np.uint32).tobytes(), c[lo:hi].tobytes()))
+                    runs, pair_runs = (np.diff(np.r_[h, hi - lo]) for h in (heads, pair_heads))
+                    out.append((int(b[lo]), target_side, named.tobytes(), f[lo:hi][heads].tobytes(), runs.astype(np.uint32).tobytes(), p[lo:hi][pair_heads].tobytes(), pair_runs.astype(small).tobytes(), local.astype(small).tobytes(), c[lo:hi].tobytes()))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in _ENTRIES.split(", ")])
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
         for frame in frames:
             for r in frame.itertuples(index=False):
-                if held and r.bucket != held[0][0]:
+                if held and r.bucket != held[0].bucket:
                     yield judged(held)
                     held = []
-                held.append(tuple(r))
+                held.append(r)
         if held:
             yield judged(held)
 
@@ -124,10 +135,10 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
         return count * (np.log(pairs[0] + alpha) - np.log(firsts[0][at] + room) - np.log(pairs[1] + alpha) + np.log(firsts[1][at] + room))
 
     def judged(held: list[tuple]) -> pd.DataFrame:
-        side = np.concatenate([np.full(len(r[5]) // 8, r[1]) for r in held])
-        first = np.concatenate([np.repeat(np.frombuffer(r[3], U64), np.frombuffer(r[4], np.uint32)) for r in held])
-        pair = np.concatenate([np.frombuffer(r[5], U64) for r in held])
-        count = np.concatenate([np.frombuffer(r[7], np.uint32) for r in held])
+        side = np.concatenate([np.full(len(r.counts) // 4, r.target) for r in held])
+        first = np.concatenate([np.repeat(np.frombuffer(r.firsts, U64), np.frombuffer(r.runs, np.uint32)) for r in held])
+        pair = np.concatenate([np.repeat(np.frombuffer(r.pairs, U64), np.frombuffer(r.pair_runs, _place(len(r.docs) // 8))) for r in held])
+        count = np.concatenate([np.frombuffer(r.counts, np.uint32) for r in held])
         # A slice of the bucket at a time, so that temporary arrays stay small; a slice has all of a first word, or of a pair.
         part = ((np.where(is_hot(first), pair, first) >> U64(40)) % U64(SLICES)).astype(np.uint8)
         gain = np.zeros(len(pair))
@@ -136,35 +147,39 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, alpha: float =
             gain[own] = difference(side[own], first[own], pair[own], count[own].astype(float))
         docs_, sums, counts, start = [], [], [], 0
         for r in held:
-            n = len(r[5]) // 8
-            if not r[1]:
-                ids, which = np.frombuffer(r[2], np.int64), np.frombuffer(r[6], np.uint32)
+            n = len(r.counts) // 4
+            if not r.target:
+                ids = np.frombuffer(r.docs, np.int64)
+                which = np.frombuffer(r.which, _place(len(ids)))
                 docs_.append(ids)
                 sums.append(np.bincount(which, gain[start : start + n], len(ids)))
                 counts.append(np.bincount(which, count[start : start + n], len(ids)))
             start += n
         if not docs_:
-            return pd.DataFrame([], columns=["bucket", "docs", "gain"])
+            return pd.DataFrame([], columns=["bucket", "docs", "gain", "counts"])
         ids, total_gain, total_count = np.concatenate(docs_), np.concatenate(sums), np.concatenate(counts)
         chosen = ids != np.iinfo(np.int64).min
         ids, total_gain, total_count = ids[chosen], total_gain[chosen], total_count[chosen]
-        goal = ids % parts
+        # Documents of several batches add up here, so each goes on once.
+        ids, at = np.unique(ids, return_inverse=True)
+        total_gain, total_count = np.bincount(at, total_gain, len(ids)), np.bincount(at, total_count, len(ids)).astype(np.uint32)
+        goal = ids % goals
         order = np.lexsort((ids, goal))
-        ids, goal, both = ids[order], goal[order], np.stack([total_gain[order], total_count[order]], axis=1)
+        ids, goal, total_gain, total_count = ids[order], goal[order], total_gain[order], total_count[order]
         cuts = np.r_[0, np.nonzero(np.diff(goal))[0] + 1, len(goal)] if len(goal) else np.array([0])
-        return pd.DataFrame([(int(goal[a]), ids[a:b].tobytes(), both[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])], columns=["bucket", "docs", "gain"])
+        return pd.DataFrame([(int(goal[a]), ids[a:b].tobytes(), total_gain[a:b].tobytes(), total_count[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])], columns=["bucket", "docs", "gain", "counts"])
 
     def total_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, both = np.empty(0, np.int64), np.empty((0, 2))
         for frame in frames:
             ids = np.concatenate([ids, *(np.frombuffer(d, np.int64) for d in frame["docs"])])
-            both = np.concatenate([both, *(np.frombuffer(g, float).reshape(-1, 2) for g in frame["gain"])])
+            both = np.concatenate([both, *(np.stack([np.frombuffer(g, float), np.frombuffer(c, np.uint32)], axis=1) for g, c in zip(frame["gain"], frame["counts"]))])
             ids, at = np.unique(ids, return_inverse=True)
             both = np.stack([np.bincount(at, both[:, k], len(ids)) for k in (0, 1)], axis=1)
         yield pd.DataFrame({"doc_id": ids, "n_tokens": both[:, 1].astype(np.int64), "score": both[:, 0] / np.maximum(both[:, 1], 1)})
 
     entries = rows.mapInPandas(post, _ENTRIES).repartition(parts, "bucket").sortWithinPartitions("bucket", "target", F.xxhash64("docs", "pairs"))
-    sums = entries.mapInPandas(score, _SUMS).repartition(parts, "bucket").sortWithinPartitions("bucket", F.xxhash64("docs", "gain"))
+    sums = entries.mapInPandas(score, _SUMS).repartition(goals, "bucket").sortWithinPartitions("bucket", F.xxhash64("docs", "gain"))
     scored = sums.mapInPandas(total_of, "doc_id long, n_tokens long, score double")
     every = rows.where("NOT target AND doc_id IS NOT NULL").select("doc_id").distinct()
     return every.join(scored, "doc_id", "left").select("doc_id", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.coalesce("score", F.lit(0.0)).alias("score"))
