@@ -55,8 +55,8 @@ class _FastqReader(DataSourceReader):
             index, rows = 0, []
             while True:
                 raw = [file.readline() for _ in range(4)]
-                if not raw[3] and not "".join(raw).strip():
-                    break  # the end; an empty read before it is a record, a record that it cuts short is none and an error
+                if not raw[3]:
+                    break  # the end; a record that it cuts short is dropped, an empty read before it is a record
                 name, seq, plus, qual = (line.rstrip("\r\n") for line in raw)
                 if name[:1] != "@" or plus[:1] != "+" or len(seq) != len(qual):
                     raise ValueError(f"{partition.path}: record {index} is no FASTQ record")
