@@ -10,6 +10,9 @@ from dataclasses import dataclass, field
 # The categories of barcode tags and the normalisations of coverage.
 CATEGORIES = ("EVEN", "ODD", "Y", "RPM", "DPM", "LIGTAG", "SPACER")
 NORMALIZATIONS = ("None", "CPM", "RPKM", "BPM", "RPGC")
+# How files of reads end, and how gzip files begin.
+READ_FILES = (".fastq.gz", ".fq.gz", ".bam")
+GZIP = b"\x1f\x8b"
 
 
 @dataclass
@@ -27,6 +30,13 @@ class BarcodeConfig:
         return list(dict.fromkeys(name[5:] for _, name, _, _ in self.tags if name.startswith("BEAD_")))
 
 
+def well_named(category: str, name: str) -> bool:
+    """DPM tags are chromatin, with DPM in their name, or oligos that begin with BEAD_; no other tag has DPM or BEAD in its name."""
+    if category == "DPM":
+        return name.startswith("BEAD_") or "DPM" in name and "BEAD" not in name
+    return "DPM" not in name and "BEAD" not in name
+
+
 def parse_barcodes(text: str) -> BarcodeConfig:
     """`READ1 = A|B`, `READ2 = ...`, `SPACER = n`, `LAXITY = n` and rows of category, name, sequence, mismatches; # comments."""
     out = BarcodeConfig()
@@ -45,6 +55,8 @@ def parse_barcodes(text: str) -> BarcodeConfig:
                 raise ValueError(f"line {number}: not a tag: {line!r}")
             if not re.match(r"[a-zA-Z0-9_\-]+$", cells[1]):
                 raise ValueError(f"line {number}: tag name {cells[1]!r}")
+            if not well_named(cells[0], cells[1]):
+                raise ValueError(f"line {number}: {cells[1]!r} is no name of a {cells[0]} tag")
             out.tags.append((cells[0], cells[1], cells[2].strip().upper(), int(cells[3])))
     if not out.layout:
         raise ValueError("no layout")
@@ -93,6 +105,35 @@ def parse_samples(text: str) -> dict[str, dict[str, list[str]]]:
     return out
 
 
+def not_gzip(samples: dict[str, dict[str, list[str]]]) -> list[str]:
+    """The paths of samples whose files do not begin as gzip does."""
+    out = []
+    for sides in samples.values():
+        for path in sides["R1"] + sides["R2"]:
+            with open(path, "rb") as file:
+                if file.read(len(GZIP)) != GZIP:
+                    out.append(path)
+    return out
+
+
+def level_faults(levels: dict[str, dict]) -> list[str]:
+    """What is wrong with levels of a pipeline (path as a list of parts, parent, base): each has a path, but for data, that ends as a file of reads does, and names levels."""
+    out = []
+    for level, facts in levels.items():
+        path = facts.get("path")
+        if level != "data" and "path" not in facts:
+            out.append(f"{level} has no path")
+        if path and not path[-1].endswith(READ_FILES):
+            out.append(f"{level} has a path of no known kind: {path[-1]}")
+        out += [f"{level} has the unknown {role} {facts[role]}" for role in ("parent", "base") if facts.get(role) is not None and facts[role] not in levels]
+    return out
+
+
+def missing_keys(config: dict, required: tuple[str, ...]) -> list[str]:
+    """The required keys that a configuration lacks, in order."""
+    return [key for key in required if key not in config]
+
+
 def discover_samples(folder: str) -> dict[str, dict[str, list[str]]]:
     """FASTQ files below a folder, by the sample that their names begin with."""
     out: dict[str, dict[str, list[str]]] = {}
