@@ -2,7 +2,7 @@
 
 The global order of n-grams is the order of their fingerprints, and fragments are ranges of it. A set is cut into so many
 that two sets above the threshold must agree on a whole non-empty fragment (pigeonhole over their largest possible
-difference). Equal sets are first collapsed to one representative. Documents that share a fragment meet in a star around the
+difference). Equal sets count as one, their representative. Documents that share a fragment meet in a star around the
 first of them, in blocks. Parity bitmaps tell which members of a block may link. The sets of these are dealt out by fragment:
 each (block, fragment) counts partial overlaps of all its pairs on its own, and a shuffle sums them for each pair. Each
 document is first compared in the star with which it shares most keys; what these links do not connect is then compared in
@@ -203,15 +203,29 @@ def shingle_table(docs: DataFrame, n: int, percent: int, id_column: str, text_co
     return source.mapInPandas(run, "doc_id long, n_shingles long, signature binary, keys binary, bits binary")
 
 
-def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percent: int, id_column: str, text_column: str) -> DataFrame:
-    """(a, b): links that connect what links connect among representatives (doc_id, keys, n, bits) of different sets."""
+def similarity_links(docs: DataFrame, table: DataFrame, classes: DataFrame, n: int, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """(a, b): links that connect what links connect among the representatives of different sets, of classes (signature, doc_id) of table, the shingle_table() of docs.
+
+    Rows post their keys from where they lie; equal sets post one code, a hash of the signature, so a set never meets its
+    copies, and only the few codes that met are exchanged for representatives. Should two sets have one code, both are
+    compared with what either of them met.
+    """
     spark = docs.sparkSession
     parts = partitions(spark)
     buckets = 4 * parts
+    code = F.xxhash64("signature")
 
     def post(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield shortened(packed([np.frombuffer(k, dtype=U64) for k in frame["keys"]], frame["doc_id"].tolist(), buckets), buckets)
+        seen: set[int] = set()
+        for frame in portions(frames, "keys"):
+            # Of copies, each task posts one; it has as many codes as its part of the table has rows at most.
+            frame = frame[~frame["code"].isin(seen) & ~frame["code"].duplicated()]
+            if not len(frame):
+                continue
+            seen.update(frame["code"].tolist())
+            rows = packed([np.frombuffer(k, dtype=U64) for k in frame["keys"]], frame["code"].tolist(), buckets)
+            # Sets come in one order to all buckets, so that most of a group's keys name the same pivot.
+            yield shortened(rows.assign(lo=frame["doc_id"].min()), buckets)
 
     def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, bucket = FirstSeen(), None
@@ -221,12 +235,16 @@ def similarity_links(docs: DataFrame, representatives: DataFrame, n: int, percen
             _, owner, member = seen.feed(keys, ids)
             if len(owner):
                 pairs, shared = np.unique(np.stack([owner, member], axis=1), axis=0, return_counts=True)
-                yield pd.DataFrame({"pivot": pairs[:, 0], "doc_id": pairs[:, 1], "shared": shared})
+                yield pd.DataFrame({"first": pairs[:, 0], "member": pairs[:, 1], "shared": shared})
 
-    posted = representatives.mapInPandas(post, PACKED).repartition(parts, "bucket").sortWithinPartitions("bucket", "lo", F.xxhash64("keys"))
-    stars = materialize(posted.mapInPandas(meet, "pivot long, doc_id long, shared long").groupBy("pivot", "doc_id").agg(F.sum("shared").alias("shared")), "stars")
-    bits = representatives.select("doc_id", "n", "bits")
+    posted = table.where("signature IS NOT NULL").select("doc_id", code.alias("code"), "keys").mapInPandas(post, PACKED)
+    posted = posted.repartition(parts, "bucket").sortWithinPartitions("bucket", "lo", F.xxhash64("keys"))
+    met = posted.mapInPandas(meet, "first long, member long, shared long").groupBy("first", "member").agg(F.sum("shared").alias("shared"))
+    met = met.join(classes.select(code.alias("first"), F.col("doc_id").alias("pivot")), "first").join(classes.select(code.alias("member"), "doc_id"), "member")
+    stars = materialize(met.where("pivot <> doc_id").groupBy("pivot", "doc_id").agg(F.sum("shared").alias("shared")), "stars")
     members = stars.select(F.explode(F.array("pivot", "doc_id")).alias("doc_id")).distinct()
+    bits = table.select("doc_id", "signature", F.col("n_shingles").alias("n"), "bits").where("signature IS NOT NULL").join(members, "doc_id", "left_semi")
+    bits = materialize(bits.dropDuplicates(["doc_id", "signature"]).drop("signature"), "bits")
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), squeezed(F.col(text_column).cast("string")).alias("z")).where("z IS NOT NULL")
     # A repeated id may have several texts: each of them is compared.
     texts = materialize(texts.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id", "z"]), "texts")
@@ -383,8 +401,7 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 3, percent: int = 90, id_column
     table = materialize(shingle_table(docs, n, percent, id_column, text_column), "shingles")
     classes = table.where("signature IS NOT NULL").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
     classes = materialize(classes, "classes")
-    least = table.select("doc_id", "signature", F.col("n_shingles").alias("n"), "keys", "bits").join(classes, ["doc_id", "signature"], "left_semi").dropDuplicates(["doc_id", "signature"])
-    links = similarity_links(docs, least, n, percent, id_column, text_column)
+    links = similarity_links(docs, table, classes, n, percent, id_column, text_column)
     names = classes.select("signature", F.col("doc_id").alias("representative"))
     # An id of several texts ties their representatives.
     several = table.groupBy("doc_id").agg(F.min("signature").alias("low"), F.max("signature").alias("high")).where("low <> high").select("doc_id")
