@@ -203,6 +203,22 @@ def shingle_table(docs: DataFrame, n: int, percent: int, id_column: str, text_co
     return source.mapInPandas(run, "doc_id long, n_shingles long, signature binary, keys binary, bits binary")
 
 
+#: Words of 64 marks by which the ids that met are told from others; a broadcast has so many rows at most, whatever the input.
+WORDS = 1 << 20
+
+
+def _marked(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """rows (doc_id and others) whose id may be among members (doc_id): all that are, and as many others as share a mark with one.
+
+    Members set marks by their hashed ids. Few others pass up to some ten million members; with far more all rows do, and the
+    join that follows does the work alone.
+    """
+    hashed = F.xxhash64("doc_id")
+    place = {"word": F.pmod(hashed, F.lit(WORDS)), "mark": F.pmod(F.shiftright(hashed, 32), F.lit(64)).cast("int")}
+    marks = members.withColumns(place).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, mark)")).alias("marks"))
+    return rows.withColumns(place).join(F.broadcast(marks), "word").where("getbit(marks, mark) = 1").select(*rows.columns)
+
+
 def similarity_links(docs: DataFrame, table: DataFrame, classes: DataFrame, n: int, percent: int, id_column: str, text_column: str) -> DataFrame:
     """(a, b): links that connect what links connect among the representatives of different sets, of classes (signature, doc_id) of table, the shingle_table() of docs.
 
@@ -243,9 +259,11 @@ def similarity_links(docs: DataFrame, table: DataFrame, classes: DataFrame, n: i
     met = met.join(classes.select(code.alias("first"), F.col("doc_id").alias("pivot")), "first").join(classes.select(code.alias("member"), "doc_id"), "member")
     stars = materialize(met.where("pivot <> doc_id").groupBy("pivot", "doc_id").agg(F.sum("shared").alias("shared")), "stars")
     members = stars.select(F.explode(F.array("pivot", "doc_id")).alias("doc_id")).distinct()
-    bits = table.select("doc_id", "signature", F.col("n_shingles").alias("n"), "bits").where("signature IS NOT NULL").join(members, "doc_id", "left_semi")
+    bits = table.select("doc_id", "signature", F.col("n_shingles").alias("n"), "bits").where("signature IS NOT NULL")
+    bits = _marked(bits, members).join(members, "doc_id", "left_semi")
     bits = materialize(bits.dropDuplicates(["doc_id", "signature"]).drop("signature"), "bits")
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), squeezed(F.col(text_column).cast("string")).alias("z")).where("z IS NOT NULL")
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("text IS NOT NULL")
+    texts = _marked(texts, members).select("doc_id", squeezed("text").alias("z"))
     # A repeated id may have several texts: each of them is compared.
     texts = materialize(texts.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id", "z"]), "texts")
 
