@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest_neighbours
+from .fim import fim_report
 from .html_tree import extract_main_text
 from .isolation import quality_rules
 from .jaccard import ngram_jaccard_join
@@ -66,7 +67,11 @@ def op10_isolation_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
-QUERIES = {f.__name__: f for f in (op1_cross_entropy_difference, op2_license_scan, op3_quality_discriminant, op4_harmonic_packing, op5_mixing_sources, op6_ngram_jaccard_join, op7_substring_dedup, op8_site_style_tree, op9_cross_polytope_neighbours, op10_isolation_quality_rules)}
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_report(table(spark, sf_dir, "documents"), seed=1)
+
+
+QUERIES = {f.__name__: f for f in (op1_cross_entropy_difference, op2_license_scan, op3_quality_discriminant, op4_harmonic_packing, op5_mixing_sources, op6_ngram_jaccard_join, op7_substring_dedup, op8_site_style_tree, op9_cross_polytope_neighbours, op10_isolation_quality_rules, op12_fill_in_middle)}
 
 
 def _canonical_sql(text: str) -> str:
@@ -93,4 +98,11 @@ ORACLE_SQL: dict[str, str] = {
  notices AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM found GROUP BY doc_id),
  d AS (SELECT doc_id, {_canonical_sql('text')} AS digest FROM documents)
  SELECT d.doc_id, d.digest, license, coalesce(n, 0)::BIGINT AS n_notices, coalesce(names, '') AS notices FROM d LEFT JOIN known USING (digest) LEFT JOIN notices ON d.doc_id = notices.doc_id""",
+    "op12_fill_in_middle": """WITH t AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+ u AS (SELECT *, ('0x' || h[1:8])::UBIGINT % (n + 1) AS h1, ('0x' || h[9:16])::UBIGINT % (n + 1) AS h2, ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM t),
+ f AS (SELECT *, least(h1, h2)::BIGINT AS a, greatest(h1, h2)::BIGINT AS b, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+ p AS (SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM f)
+ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+ sha256(t) AS restored_sha256 FROM p""",
 }
