@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import alignment_report
 from .ann import nearest_neighbours
 from .fim import fim_report
 from .html_tree import extract_main_text
@@ -22,6 +23,7 @@ from .substring import substring_dedup
 
 #: The public byte-level BPE files that the machines carry; their folder is a parameter.
 TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,11 +69,15 @@ def op10_isolation_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(table(spark, sf_dir, "documents"), *TOKENIZER, PIECES, size_b=32_000)
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_report(table(spark, sf_dir, "documents"), seed=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_cross_entropy_difference, op2_license_scan, op3_quality_discriminant, op4_harmonic_packing, op5_mixing_sources, op6_ngram_jaccard_join, op7_substring_dedup, op8_site_style_tree, op9_cross_polytope_neighbours, op10_isolation_quality_rules, op12_fill_in_middle)}
+QUERIES = {f.__name__: f for f in (op1_cross_entropy_difference, op2_license_scan, op3_quality_discriminant, op4_harmonic_packing, op5_mixing_sources, op6_ngram_jaccard_join, op7_substring_dedup, op8_site_style_tree, op9_cross_polytope_neighbours, op10_isolation_quality_rules, op11_tokenizer_alignment, op12_fill_in_middle)}
 
 
 def _canonical_sql(text: str) -> str:
