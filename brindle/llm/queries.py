@@ -19,6 +19,7 @@ from .packing import pack
 from .quality_qda import quality_scores
 from .storage import table
 from .substring import substring_dedup
+from .warc import archive_report
 
 
 #: The public byte-level BPE files that the machines carry; their folder is a parameter.
@@ -77,7 +78,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_report(table(spark, sf_dir, "documents"), seed=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_cross_entropy_difference, op2_license_scan, op3_quality_discriminant, op4_harmonic_packing, op5_mixing_sources, op6_ngram_jaccard_join, op7_substring_dedup, op8_site_style_tree, op9_cross_polytope_neighbours, op10_isolation_quality_rules, op11_tokenizer_alignment, op12_fill_in_middle)}
+def op13_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op1_cross_entropy_difference, op2_license_scan, op3_quality_discriminant, op4_harmonic_packing, op5_mixing_sources, op6_ngram_jaccard_join, op7_substring_dedup, op8_site_style_tree, op9_cross_polytope_neighbours, op10_isolation_quality_rules, op11_tokenizer_alignment, op12_fill_in_middle, op13_warc_archives)}
 
 
 def _canonical_sql(text: str) -> str:
@@ -111,4 +116,8 @@ ORACLE_SQL: dict[str, str] = {
  SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
  sha256(t) AS restored_sha256 FROM p""",
+    "op13_warc_archives": """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+ q AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS original FROM p)
+ SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest, CASE WHEN n >= 1000 AND page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+ CASE WHEN n >= 1000 AND page_id < original THEN original END AS refers_to FROM q""",
 }
