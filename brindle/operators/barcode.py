@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations, product
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,13 +77,16 @@ def named(name: Column, tags: Column) -> Column:
     return F.concat(F.split_part(name, F.lit(" "), F.lit(1)), F.lit("::"), F.array_join(F.transform(tags, lambda t: F.concat(F.lit("["), t, F.lit("]"))), ""))
 
 
-def tags_of(name: Column) -> Column:
-    return F.regexp_extract_all(F.split(name, "::", 2).getItem(1), F.lit(TAG), F.lit(1))
+def tags_of(name: Column, whole: bool = False) -> Column:
+    """The tags behind the first `::` of a name. A name without it has none (null), or with whole those anywhere in it."""
+    behind = F.get(F.split(name, "::", 2), F.lit(1))
+    return F.regexp_extract_all(F.coalesce(behind, name) if whole else behind, F.lit(TAG), F.lit(1))
 
 
 def route(reads: DataFrame, rounds: dict[str, list[int]] | None = None) -> DataFrame:
-    """reads (qname) with route: short (a tag not found), other (a tag out of its round), dpm or bpm by the name; else an error."""
-    tags = tags_of(F.col("qname"))
+    """reads (qname) with route: short (a tag not found), other (a tag out of its round), dpm or bpm by the name; any other name, as one without `::`, is an error that shows it."""
+    nameless = F.raise_error(F.concat(F.lit("no barcode in "), F.coalesce("qname", F.lit("a null name")))).cast("array<string>")
+    tags = F.coalesce(tags_of(F.col("qname")), nameless)
     wrong = F.lit(False)
     if rounds is not None:
         book = F.create_map(*[x for tag, places in sorted(rounds.items()) for x in (F.lit(tag), F.array(*[F.lit(p) for p in places]))])
@@ -90,81 +96,71 @@ def route(reads: DataFrame, rounds: dict[str, list[int]] | None = None) -> DataF
     return reads.withColumn("route", F.when(F.array_contains(tags, NOT_FOUND), "short").when(wrong, "other").otherwise(known))
 
 
-def barcode_to_tags(reads: DataFrame, n_tags: int, prefixes: tuple[str, ...] = ("DPM", "BEAD_"), sample: str | None = None, reverse: bool = False, clean: bool = False) -> DataFrame:
-    """reads (qname) with RT (the first tag) and CB (the others, joined by dots, with the sample behind). Reads without exactly the tags, or of another type, go."""
-    found = tags_of(F.col("qname"))
-    rest = F.slice("_tags", 2, n_tags - 1)
-    barcode = F.array_join(F.reverse(rest) if reverse else rest, ".")
-    out = reads.withColumn("_tags", found).where(F.size("_tags") >= n_tags).withColumn("RT", F.col("_tags").getItem(0))
-    wanted = F.lit(False)
-    for prefix in prefixes:
-        wanted = wanted | F.col("RT").startswith(prefix)
-    out = out.where(wanted).withColumn("CB", F.concat(barcode, F.lit("." + sample)) if sample else barcode)
-    return (out.withColumn("qname", F.regexp_replace("qname", "::.*$", "")) if clean else out).drop("_tags")
+def barcode_pattern(n_tags: int) -> str:
+    """`::` and so many tags in brackets, one behind another."""
+    return "::" + n_tags * TAG
+
+
+def parse_tags(tags: Sequence[str]) -> list[tuple[str, str, str]]:
+    """(tag, type, value) of TAG:TYPE:VALUE."""
+    out = [tuple(t.split(":", 2)) for t in tags]
+    for t, parts in zip(tags, out):
+        if len(parts) != 3 or len(parts[0]) != 2:
+            raise ValueError(f"{t!r} is not TAG:TYPE:VALUE with a tag of two letters")
+    return out
+
+
+def barcode_faults(n_tags: int, prefixes: tuple[str, ...] = ("DPM", "BEAD_")) -> dict[str, Column]:
+    """Why reads (qname) are skipped by barcode_to_tags, for stats.counters or stats.observed: no barcode, or a first tag of no read type."""
+    first = F.regexp_extract("qname", barcode_pattern(n_tags), 1)
+    return {"no_barcode": F.coalesce(first == "", F.lit(True)), "other_type": ~_starts(first, prefixes)}
+
+
+def _starts(name: Column, prefixes: tuple[str, ...]) -> Column:
+    return reduce(or_, (name.startswith(p) for p in prefixes), F.lit(False))
+
+
+def barcode_to_tags(reads: DataFrame, n_tags: int, prefixes: tuple[str, ...] = ("DPM", "BEAD_"), sample: str | None = None, reverse: bool = False, clean: bool = True, add_tags: Sequence[str] = (), tag_type: str = "RT", tag_barcode: str = "CB") -> DataFrame:
+    """reads (qname) with RT (the first tag) and CB (the others, joined by dots, with the sample behind).
+
+    Names without `::` and n_tags tags behind it, and reads of another type, are left out; barcode_faults() tells how many.
+    clean takes the barcode out of the name, and leaves what stands behind it. add_tags (TAG:TYPE:VALUE) become columns of
+    their names; with a column `tags` (and `types`), as read_sam and read_bam give, all go into it instead.
+    """
+    pattern = barcode_pattern(n_tags)
+    found = [F.regexp_extract("qname", pattern, k + 1) for k in range(n_tags)]
+    rest = found[:0:-1] if reverse else found[1:]
+    barcode = F.concat_ws(".", *rest, *([F.lit(sample)] if sample is not None else []))
+    added = [(tag_type, "Z", found[0]), (tag_barcode, "Z", barcode), *((t, kind, F.lit(v)) for t, kind, v in parse_tags(add_tags))]
+    out = reads.where(F.regexp_like("qname", F.lit(pattern)) & _starts(found[0], prefixes))
+    if "tags" in reads.columns:
+        # Tags that a record has already are replaced.
+        names = [t for t, _, _ in added]
+        for c, values in (("tags", [v for _, _, v in added]), ("types", [F.lit(kind) for _, kind, _ in added])):
+            if c in reads.columns:
+                own = F.map_filter(F.coalesce(c, F.create_map().cast("map<string,string>")), lambda k, _: ~k.isin(names))
+                out = out.withColumn(c, F.map_concat(own, F.create_map(*[x for t, v in zip(names, values) for x in (F.lit(t), v)])))
+    else:
+        out = out.withColumns({t: v for t, _, v in added})
+    return out.withColumn("qname", F.regexp_replace("qname", pattern, "")) if clean else out
 
 
 def oligo_records(reads: DataFrame, n_tags: int, umi_length: int) -> DataFrame:
     """FASTQ rows (qname, seq, qual) of oligos as unmapped records with RT, CB, RX and QX."""
     n = umi_length
     umi = reads.withColumn("RX", F.substring("seq", 1, n)).withColumn("QX", F.substring("qual", 1, n)).withColumn("seq", F.expr(f"substring(seq, {n + 1})")).withColumn("qual", F.expr(f"substring(qual, {n + 1})"))
-    return barcode_to_tags(umi.withColumn("qname", F.ltrim(F.col("qname"), F.lit("@"))).withColumn("flag", F.lit(4)), n_tags, ("BEAD_",))
+    return barcode_to_tags(umi.withColumn("qname", F.ltrim(F.col("qname"), F.lit("@"))).withColumn("flag", F.lit(4)), n_tags, ("BEAD_",), clean=False)
 
 
 def tags_found(reads: DataFrame) -> DataFrame:
-    """(n_found, n_reads, share) of reads by their number of tags."""
-    counts = reads.groupBy(F.size(F.filter(tags_of(F.col("qname")), lambda t: t != NOT_FOUND)).alias("n_found")).agg(F.count("*").alias("n_reads"))
+    """(n_found, n_reads, share) of reads by their number of tags; a name without `::` is searched as a whole."""
+    counts = reads.groupBy(F.size(F.filter(tags_of(F.col("qname"), True), lambda t: t != NOT_FOUND)).alias("n_found")).agg(F.count("*").alias("n_reads"))
     return counts.crossJoin(F.broadcast(counts.agg(F.sum("n_reads").alias("all")))).select("n_found", "n_reads", F.round(F.col("n_reads") / F.col("all"), 6).alias("share"))
 
 
 def positions_found(reads: DataFrame) -> DataFrame:
-    """(position, n_reads): reads with a tag at each position."""
-    return reads.select(F.posexplode(tags_of(F.col("qname"))).alias("position", "tag")).where(F.col("tag") != NOT_FOUND).groupBy("position").agg(F.count("*").alias("n_reads"))
-
-
-def trim_anchored(reads: DataFrame, oligos: list[str]) -> DataFrame:
-    """reads (seq, qual) without an oligo of the list that they begin with; others pass. Of several the longest goes."""
-    cut = F.lit(0)
-    for oligo in sorted(oligos, key=len):
-        cut = F.when(F.col("seq").startswith(oligo), len(oligo)).otherwise(cut)
-    out = reads.withColumn("_cut", cut)
-    return out.withColumn("seq", F.expr("substring(seq, _cut + 1)")).withColumn("qual", F.expr("substring(qual, _cut + 1)")).drop("_cut")
-
-
-def trim_adapters(reads: DataFrame, adapters: list[str], error: float = 0.1, overlap: int = 3, least: int = 20) -> DataFrame:
-    """reads (seq, qual) cut at the best 3' adapter (most matches, then leftmost), mismatches within error, and of `least` bases at least."""
-
-    @F.pandas_udf("int")
-    def place(sequences: pd.Series) -> pd.Series:
-        def one(s: str) -> int:
-            best = (0, len(s))
-            for adapter in adapters:
-                for at in range(len(s) - overlap + 1):
-                    n = min(len(adapter), len(s) - at)
-                    wrong = sum(a != b for a, b in zip(adapter, s[at : at + n]))
-                    if wrong <= int(n * error) and n - wrong > best[0]:
-                        best = (n - wrong, at)
-            return best[1]
-
-        return pd.Series([one(s) if s else 0 for s in sequences])
-
-    out = reads.withColumn("_cut", place("seq"))
-    return out.withColumn("seq", F.expr("substring(seq, 1, _cut)")).withColumn("qual", F.expr("substring(qual, 1, _cut)")).drop("_cut").where(F.length("seq") >= least)
-
-
-def trim_quality(reads: DataFrame, cutoff: int = 20, base: int = 33) -> DataFrame:
-    """reads (seq, qual) without the 3' end where the running sum of cutoff less quality is largest."""
-    points = F.transform(F.reverse(F.split("qual", "")), lambda c: F.lit(cutoff + base) - F.ascii(c))
-    # The state is (sum, best sum, bases cut at the best, bases seen, stopped).
-    start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("b"), F.lit(0).alias("k"), F.lit(0).alias("i"), F.lit(False).alias("stop"))
-
-    def step(a: Column, x: Column) -> Column:
-        total = a["s"] + x
-        stop = a["stop"] | (total < 0)
-        better = ~stop & (total > a["b"])
-        return F.struct(F.when(stop, a["s"]).otherwise(total).alias("s"), F.when(better, total).otherwise(a["b"]).alias("b"), F.when(better, a["i"] + 1).otherwise(a["k"]).alias("k"), (a["i"] + 1).alias("i"), stop.alias("stop"))
-
-    out = reads.withColumn("_keep", F.length("seq") - F.when(F.length("qual") > 0, F.aggregate(F.filter(points, lambda x: x.isNotNull()), start, step)["k"]).otherwise(0))
-    return out.withColumn("seq", F.expr("substring(seq, 1, _keep)")).withColumn("qual", F.expr("substring(qual, 1, _keep)")).drop("_keep")
+    """(position, n_reads): reads with a tag at each position; a name without `::` is searched as a whole."""
+    return reads.select(F.posexplode(tags_of(F.col("qname"), True)).alias("position", "tag")).where(F.col("tag") != NOT_FOUND).groupBy("position").agg(F.count("*").alias("n_reads"))
 
 
 def close_tags(tags: DataFrame, radius: int, name: str = "name", sequence: str = "seq") -> DataFrame:

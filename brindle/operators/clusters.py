@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -77,9 +77,9 @@ def max_representation(clusters: DataFrame) -> DataFrame:
 
 
 def label_reads(reads: DataFrame, clusters: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """reads with RG (the label, on DPM reads), YG (the label, on oligo reads) and YC (DPM reads of the cluster, on oligo reads)."""
-    dpm = F.col("read_type").startswith("DPM")
-    joined = reads.join(clusters.select(cluster, "label", "n_dpm"), cluster)
+    """reads with RG (the label, on DPM reads), YG (the label, on oligo reads) and YC (DPM reads of the cluster, on oligo reads). Reads of any other type, or of none, are skipped."""
+    dpm, oligo = F.col("read_type").startswith("DPM"), F.col("read_type").startswith(OLIGO)
+    joined = reads.where(dpm | oligo).join(clusters.select(cluster, "label", "n_dpm"), cluster)
     return joined.withColumn("RG", F.when(dpm, F.col("label"))).withColumn("YG", F.when(~dpm, F.col("label"))).withColumn("YC", F.when(~dpm, F.col("n_dpm"))).drop("label", "n_dpm")
 
 
@@ -143,9 +143,11 @@ def resolved_share(clusters: DataFrame, *by: str) -> DataFrame:
     return clusters.groupBy(*by).agg(F.round(F.sum(F.when(~F.col("label").isin(*UNASSIGNED), F.col("n_dpm")).otherwise(0)) / F.nullif(F.sum("n_dpm"), F.lit(0)), 6).alias("resolved"))
 
 
-def read_groups(spark: SparkSession, targets: list[str], sample: str) -> DataFrame:
-    """(id, sm): the read groups of a header: one for each target in order of names, and one for each label of clusters without a target."""
-    return spark.createDataFrame([(label, sample) for label in (*sorted(set(targets)), *UNASSIGNED)], "id string, sm string")
+def read_groups(targets: DataFrame, sample: str) -> DataFrame:
+    """(id, sm): the read groups of a header: one for each target (of targets: target), and one for each label of clusters without a target."""
+    spark = targets.sparkSession
+    others = spark.createDataFrame([(label,) for label in UNASSIGNED], "id string")
+    return targets.select(F.col("target").alias("id")).where("id IS NOT NULL").unionByName(others).distinct().withColumn("sm", F.lit(sample))
 
 
 def concatenated(samples: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:

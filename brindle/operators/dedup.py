@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
+from ..sources.folder import removed, written
+
+#: Rows up to which groups, or what rounds have left undecided, are judged in order by one task. Larger groups go in rounds.
+IN_ORDER = 200_000
+POSITIONS = {"start": ("start", "ref_start"), "end": ("end", "ref_end")}
+
 
 def parse_keys(expression: str) -> list[list[str]]:
     """`a&b|c` as [[a, b], [c]]: alternatives of keys that must all agree."""
@@ -19,36 +27,72 @@ def parse_keys(expression: str) -> list[list[str]]:
     return out
 
 
+def _column(reads: DataFrame, key: str) -> str:
+    """The column of a key: `start` and `end` are ref_start and ref_end where the reads have no columns of their own names."""
+    for name in POSITIONS.get(key, (key,)):
+        if name in reads.columns:
+            return name
+    raise ValueError(f"reads have no column for the key {key}")
+
+
+def _value(reads: DataFrame, key: str) -> Column:
+    """A key's value, null where a read has none: a position needs a chromosome, and is not below 0; without either the read is unmapped."""
+    name = _column(reads, key)
+    if key not in POSITIONS or "rname" not in reads.columns:
+        return F.col(name)
+    return F.when((F.col("rname") != "*") & (F.col(name) >= 0), F.col(name))
+
+
+def _parts(reads: DataFrame, alternatives: list[list[str]]) -> list[Column]:
+    """Each alternative's key as an array of strings. Positions carry the chromosome and which end they are; values of other columns do not carry their column's name, so equal values of two columns of one kind are one key."""
+    out = []
+    for keys in alternatives:
+        parts = []
+        for key in keys:
+            if key in POSITIONS:
+                parts += ([F.col("rname")] if "rname" in reads.columns else []) + [F.col(_column(reads, key)).cast("string"), F.lit(f"@{key}")]
+            else:
+                kind = "#" if isinstance(reads.schema[key].dataType, NumericType) else "$"
+                parts.append(F.concat(F.lit(kind), F.col(key).cast("string")))
+        out.append(F.array(*parts))
+    return out
+
+
 def deduplicate(reads: DataFrame, by: str, within: list[str] | tuple[str, ...] = (), order: tuple[str, ...] = ("idx",), keep_unkeyed: bool = True) -> DataFrame:
-    """The first read of each key in `order`, with dc, the reads that have it. Reads with a null key stay with dc 1, or go.
+    """The first read of each key in `order`, with dc, the reads that have it. Reads without one of the keys stay with dc 1, or go.
 
-    `start` and `end` are positions on a chromosome: where the reads have a column rname, it belongs to these keys.
+    `start` and `end` are positions on a chromosome: where the reads have a column rname, it belongs to these keys, and reads of
+    the chromosome `*` or with a position below 0 are unmapped, that is without the key.
 
-    One alternative is a window over the key; several are judged in order, read by read, for each group of `within`: a
-    read is a copy if an earlier kept read has one of its keys, and copies give no keys. Groups stream through in
-    partitions sorted by `within` and order; memory follows the keys of one group.
+    One alternative is a window over the key. Several are judged in order: a read is a copy if an earlier kept read has one of
+    its keys; it counts for the first alternative's, and copies give no keys. Groups of `within` of IN_ORDER rows or fewer stream
+    through sorted partitions; larger ones, and a whole table without `within`, are judged in parallel rounds. Reads that `order` does
+    not tell apart are taken in any order.
     """
     alternatives = parse_keys(by)
-    if "rname" in reads.columns:
-        alternatives = [["rname", *(k for k in part if k != "rname")] if {"start", "end"} & set(part) else part for part in alternatives]
-    if len(alternatives) > 1 and not within:
-        raise ValueError("alternatives are judged within groups, which must be named")
-    keys = list(dict.fromkeys(k for part in alternatives for k in part))
-    complete = F.lit(True)
-    for key in keys:
-        complete = complete & F.col(key).isNotNull()
+    complete = reduce(lambda a, b: a & b, [_value(reads, key).isNotNull() for part in alternatives for key in part])
     keyed, rest = reads.where(complete), reads.where(~complete).withColumn("dc", F.lit(1).cast("long"))
     if len(alternatives) == 1:
+        (part,) = alternatives
+        keys = [*(["rname"] if "rname" in reads.columns and set(POSITIONS) & set(part) else []), *(_column(reads, k) for k in part)]
         window = Window.partitionBy(*within, *keys)
         out = keyed.withColumn("_first", F.row_number().over(window.orderBy(*order))).withColumn("dc", F.count("*").over(window)).where("_first = 1").drop("_first")
+    elif not within:
+        out = in_rounds(keyed, alternatives, [], list(order))
     else:
-        out = _greedy(keyed, alternatives, list(within), list(order))
+        large = written(keyed.groupBy(*[F.col(c).alias(f"_{c}") for c in within]).agg(F.count("*").alias("_n")).where(F.col("_n") > IN_ORDER).drop("_n"), "large")
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in within])
+        if large.isEmpty():
+            out = _greedy(keyed, alternatives, list(within), list(order))
+        else:
+            out = _greedy(keyed.join(large, same, "left_anti"), alternatives, list(within), list(order)).unionByName(in_rounds(keyed.join(large, same, "left_semi"), alternatives, list(within), list(order)))
     return out.unionByName(rest) if keep_unkeyed else out
 
 
 def _greedy(reads: DataFrame, alternatives: list[list[str]], within: list[str], order: list[str]) -> DataFrame:
-    columns = reads.columns
-    at = {c: k for k, c in enumerate(columns)}
+    """Judges each group in order, read by read, as it streams by in a sorted partition; memory follows the keys and kept reads of one group."""
+    keyed = reads.withColumn("_keys", F.array(*_parts(reads, alternatives)))
+    at = {c: k for k, c in enumerate(keyed.columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, kept, seen, schema = None, [], {}, None
@@ -57,17 +101,17 @@ def _greedy(reads: DataFrame, alternatives: list[list[str]], within: list[str],
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
         for batch in batches:
-            schema = batch.schema.append(pa.field("dc", pa.int64()))
+            schema = pa.schema([*list(batch.schema)[:-1], pa.field("dc", pa.int64())])
             done: list[list] = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 name = tuple(row[at[c]] for c in within)
                 if name != group:
                     done += kept
                     group, kept, seen = name, [], {}
-                own = [(a, *(row[at[c]] for c in part)) for a, part in enumerate(alternatives)]
+                own = [tuple(key) for key in row[-1]]
                 hit = next((seen[key] for key in own if key in seen), None)
                 if hit is None:
-                    kept.append([*row, 1])
+                    kept.append([*row[:-1], 1])
                     seen.update((key, kept[-1]) for key in own)
                 else:
                     hit[-1] += 1
@@ -76,7 +120,63 @@ def _greedy(reads: DataFrame, alternatives: list[list[str]], within: list[str],
             yield made(kept)
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in reads.schema.fields) + ", dc long"
-    return reads.repartition(*within).sortWithinPartitions(*within, *order).mapInArrow(run, out)
+    return keyed.repartition(*within).sortWithinPartitions(*within, *order).mapInArrow(run, out)
+
+
+def in_rounds(reads: DataFrame, alternatives: list[list[str]], within: list[str], order: list[str]) -> DataFrame:
+    """The reads that judging in order keeps, with dc, found for a whole table at once.
+
+    In each round, a read that is the first undecided one of all its keys is kept, and all others that share one of them are
+    copies: no read between them is left to decide otherwise. What remains goes into the next round; once it is
+    IN_ORDER rows or fewer, one task judges them in order. A key that very many reads share decides all of them in its first round, and its
+    rows are only aggregated and joined, never gathered.
+    """
+    spark = reads.sparkSession
+    numbered = written(reads.withColumn("_id", F.monotonically_increasing_id()), "reads")
+    group = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in within]
+    keys = F.array(*[F.concat(F.array(*group), key) if group else key for key in _parts(reads, alternatives)])
+    every = written(numbered.select(F.struct(*order, "_id").alias("at"), F.posexplode(keys).alias("place", "key")), "keys")
+    left, kept, used = every.select("at", "key").distinct(), None, []
+    while True:
+        left = written(left, "left")
+        used.append(left)
+        n = left.select(F.count_distinct("at")).first()[0]
+        if n <= IN_ORDER:
+            last = _in_order(left)
+            kept = last if kept is None else kept.unionByName(last)
+            break
+        first = left.groupBy("key").agg(F.min("at").alias("first"))
+        judged = left.join(first, "key").groupBy("at").agg(F.bool_and(F.col("first") == F.col("at")).alias("all_first"))
+        now = written(judged.where("all_first").select("at"), "kept")
+        kept = now if kept is None else kept.unionByName(now)
+        taken = left.join(now, "at", "left_semi").select("key").distinct()
+        gone = left.join(taken, "key", "left_semi").select("at").distinct()
+        left = left.join(gone, "at", "left_anti")
+    kept = written(kept, "primaries")
+    removed(*used)
+    owners = every.join(kept, "at", "left_semi").groupBy("key").agg(F.min("at").alias("owner"))
+    copies = every.join(kept, "at", "left_anti").join(owners, "key").where(F.col("owner") < F.col("at"))
+    counts = copies.groupBy("at").agg(F.min_by("owner", "place").alias("owner")).groupBy(F.col("owner._id").alias("_id")).agg(F.count("*").alias("_copies"))
+    out = numbered.join(kept.select(F.col("at._id").alias("_id")), "_id").join(counts, "_id", "left")
+    return out.withColumn("dc", 1 + F.coalesce("_copies", F.lit(0))).drop("_id", "_copies")
+
+
+def _in_order(left: DataFrame) -> DataFrame:
+    """The reads of (at, key), few enough for one task, that judging in order keeps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            keep = []
+            for keys in batch.column("keys").to_pylist():
+                own = [tuple(k) for k in keys]
+                keep.append(not any(k in seen for k in own))
+                if keep[-1]:
+                    seen.update(own)
+            yield batch.select(["at"]).filter(pa.array(keep, pa.bool_()))
+
+    whole = left.groupBy("at").agg(F.collect_list("key").alias("keys"))
+    return whole.repartition(1).sortWithinPartitions("at").mapInArrow(run, left.select("at").schema)
 
 
 def multiplicity(reads: DataFrame) -> DataFrame:
@@ -84,6 +184,11 @@ def multiplicity(reads: DataFrame) -> DataFrame:
     return reads.groupBy("dc").agg(F.count("*").alias("n_reads"))
 
 
+def write_multiplicity(reads: DataFrame, path: str) -> None:
+    """The histogram of multiplicity() as one file of `dc<tab>n_reads` lines in order, without a header."""
+    multiplicity(reads).coalesce(1).sortWithinPartitions("dc").write.csv(path, sep="\t", header=False)
+
+
 def duplication(reads: DataFrame, *by: str) -> DataFrame:
     """(by, n_written, n_total, rate) of kept reads with dc: rate is the share of reads that were copies."""
     return reads.groupBy(*by).agg(F.count("*").alias("n_written"), F.sum("dc").alias("n_total"), F.round(1 - F.count("*") / F.nullif(F.sum("dc"), F.lit(0)), 6).alias("rate"))
