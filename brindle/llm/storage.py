@@ -2,28 +2,61 @@
 
 from __future__ import annotations
 
-import tempfile
+import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.folder import shared
+
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; only where it is unset, as in local tests, a temporary folder, which executors of a cluster would not share."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = getattr(shared_folder, "own", None) or tempfile.mkdtemp(prefix="spark-tables-")
-        shared_folder.own = folder
-    return folder.rstrip("/")
+    return shared(spark)
+
+
+#: The tables written within each open or past scope(), by its name.
+_written: dict[str, list[str]] = {}
+_scopes: list[str] = []
+
+
+@contextmanager
+def scope(name: str) -> Iterator[None]:
+    """Tables that are materialized within belong to `name`, so that swept() can delete them."""
+    _scopes.append(name)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+
+
+def _roots(df: DataFrame) -> str:
+    """The folders that a plan reads, one behind another."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = [leaves.apply(k) for k in range(leaves.size())]
+    return " ".join(leaf.relation().location().rootPaths().mkString(" ") for leaf in found if leaf.getClass().getSimpleName() == "LogicalRelation")
+
+
+def swept(spark: SparkSession, name: str, unless: DataFrame) -> None:
+    """Deletes the tables of a scope, but not while `unless` still reads one of them, and lets Spark drop the shuffles of plans that are gone."""
+    session, read = spark.sparkContext, _roots(unless)
+    if not any(path.rsplit("/", 1)[1] in read for path in _written.get(name, [])):
+        for path in _written.pop(name, []):
+            at = session._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(session._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    session._jvm.System.gc()
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet in the shared folder and read again: a lost executor costs no recomputation beyond it."""
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """df written once as Parquet in the shared folder and read again: a lost executor costs no recomputation beyond it. With keep it belongs to no scope."""
     path = f"{shared_folder(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    if _scopes and not keep:
+        _written.setdefault(_scopes[-1], []).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import functions as F
@@ -44,6 +47,13 @@ def ngrams(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def released_memory() -> None:
+    """Gives back what a Python worker has freed, since it lives on and its memory counts beside that of others."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Bytes of text whose words a task holds at once; a longer text is held alone.
 PORTION = 4_000_000
 
@@ -56,6 +66,7 @@ def portions(frames: Iterator[pd.DataFrame], column: str, growth: int = 1) -> It
         cuts = [0, *(np.nonzero(np.diff(part))[0] + 1).tolist(), len(frame)]
         for a, b in zip(cuts, cuts[1:]):
             yield frame.iloc[a:b].reset_index(drop=True)
+    released_memory()
 
 
 @F.pandas_udf(BinaryType())
@@ -98,6 +109,7 @@ def groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataF
             last = key
     if held:
         yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+    released_memory()
 
 
 class FirstSeen:
@@ -158,3 +170,4 @@ def unpacked(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray,
             n += len(keys[-1])
     if keys:
         yield bucket, np.concatenate(keys), np.concatenate(docs)
+    released_memory()
