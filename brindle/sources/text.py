@@ -1,88 +1,14 @@
 """FASTQ, SAM, FASTA and BED as data frames, and back.
 
-Lines are read by Spark's text source, which keeps a file's lines in order within a split; records are put together by a
-line's number in its file. Gzip files are one split each, whatever their name, if read by `wholetext=False` with .gz names.
+SAM and BED lines are read by Spark's text source; FASTQ, pairs and FASTA windows by byte ranges, see ranges.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-
-#: Records of an Arrow batch.
-BATCH = 10_000
-
-
-class _File(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
-
-
-class FastqSource(DataSource):
-    """format("fastq"): one partition for each file of `path` (commas between); gzip is known by its first bytes."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "fastq"
-
-    def schema(self) -> str:
-        return "file string, idx long, qname string, seq string, plus string, qual string"
-
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _FastqReader(self.options)
-
-
-class _FastqReader(DataSourceReader):
-    def __init__(self, options: dict) -> None:
-        self.paths = options["path"].split(",")
-
-    def partitions(self) -> list[InputPartition]:
-        return [_File(p) for p in self.paths]
-
-    def read(self, partition: _File):
-        import gzip
-
-        import pyarrow as pa
-
-        with open(partition.path, "rb") as probe:
-            zipped = probe.read(2) == b"\x1f\x8b"
-        names = ["file", "idx", "qname", "seq", "plus", "qual"]
-        kinds = [pa.string(), pa.int64(), *[pa.string()] * 4]
-        with (gzip.open if zipped else open)(partition.path, "rt") as file:
-            index, rows = 0, []
-            while True:
-                raw = [file.readline() for _ in range(4)]
-                if not raw[3]:
-                    break  # the end; a record that it cuts short is dropped, an empty read before it is a record
-                name, seq, plus, qual = (line.rstrip("\r\n") for line in raw)
-                if name[:1] != "@" or plus[:1] != "+" or len(seq) != len(qual):
-                    raise ValueError(f"{partition.path}: record {index} is no FASTQ record")
-                rows.append((partition.path, index, name[1:], seq, plus, qual))
-                index += 1
-                if len(rows) == BATCH:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-
-
-def read_fastq(spark: SparkSession, *paths: str) -> DataFrame:
-    """FASTQ files on a file system that every executor mounts."""
-    spark.dataSource.register(FastqSource)
-    return spark.read.format("fastq").option("path", ",".join(paths)).load()
-
-
-def read_pairs(spark: SparkSession, one: list[str], two: list[str]) -> DataFrame:
-    """Pairs (pair, idx, qname, seq1, qual1, seq2, qual2) of files in turn, by position; a longer file's rest is left out."""
-    sides = []
-    for k, paths in ((1, one), (2, two)):
-        names = spark.createDataFrame(list(zip(paths, range(len(paths)))), "file string, pair int")
-        sides.append(read_fastq(spark, *paths).join(F.broadcast(names), "file").select("pair", "idx", F.col("qname").alias(f"qname{k}"), F.col("seq").alias(f"seq{k}"), F.col("qual").alias(f"qual{k}")))
-    return sides[0].join(sides[1], ["pair", "idx"]).drop("qname2").withColumnRenamed("qname1", "qname")
 
+from .ranges import read_fastq, read_pairs  # noqa: F401
 
 def write_fastq(reads: DataFrame, path: str, by: tuple[str, ...] = (), compression: str = "gzip") -> None:
     """Reads (qname, seq, qual) as FASTQ text, in folders by columns (such as a route)."""
@@ -104,7 +30,10 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     for c in ("pos", "pnext", "tlen"):
         out = out.withColumn(c, F.col(c).cast("long"))
     span = F.aggregate(F.regexp_extract_all("cigar", F.lit(r"(\d+)[MDN=X]"), F.lit(1)), F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
-    field = lambda k: F.map_from_entries(F.transform("extra", lambda t: F.struct(F.split(t, ":", 3)[0], F.split(t, ":", 3)[k])))
+    # Of a tag that a record repeats the first counts.
+    parts = F.transform("extra", lambda t: F.split(t, ":", 3))
+    own = F.filter(F.transform(parts, lambda t, k: F.struct(t.alias("t"), k.alias("k"))), lambda x: F.array_position(F.transform(parts, lambda t: t[0]), x["t"][0]) == x["k"] + 1)
+    field = lambda k: F.map_from_entries(F.transform(own, lambda x: F.struct(x["t"][0], x["t"][k])))
     return out.withColumn("tags", field(2)).withColumn("types", field(1)).drop("extra").withColumn("ref_start", F.col("pos") - 1).withColumn("ref_end", F.col("pos") - 1 + span)
 
 
@@ -143,10 +72,11 @@ def read_bed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, seq) of FASTA text: each record's lines joined; a name ends at white space."""
-    records = spark.read.option("lineSep", ">").text(path).where("trim(value) <> ''")
-    head = F.split(F.split("value", "\n", 2)[0], r"\s+")[0]
-    return records.select(head.alias("chrom"), F.regexp_replace(F.split("value", "\n", 2)[1], r"\s+", "").alias("seq"))
+    """(chrom, seq) of FASTA text with short records, each as one row: its lines joined; a name ends at white space. For chromosomes take read_fasta_windows."""
+    # A record begins at the begin of a line only, so `>` within a description is none.
+    records = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value")).where("trim(value) <> ''")
+    lines = F.split("value", "\n", 2)
+    return records.select(F.split(lines[0], r"\s+")[0].alias("chrom"), F.regexp_replace(F.coalesce(F.get(lines, F.lit(1)), F.lit("")), r"\s+", "").alias("seq"))
 
 
 def read_sizes(spark: SparkSession, path: str) -> DataFrame:
