@@ -31,8 +31,6 @@ from .text import portions
 BREAK = re.compile(r"(?<=\S) (?=\S)")
 #: Code points after which a text is cut at its next BREAK, so that no more is aligned at once.
 SEGMENT = 1 << 18
-#: Words of which a task remembers the tokens, and their length at most.
-WORDS, WORD_CHARS = 1 << 17, 40
 #: Pairs whose counts go to every task at most: those of the highest counts. The others are joined.
 FREQUENT = 1 << 18
 #: Entries that are counted at once.
@@ -75,37 +73,20 @@ class TwoTokenizers:
         # A text may be cut before a space only if no piece goes on over a space behind another character.
         self.divisible = not any("▁" in p.lstrip("▁") for p in names)
         self.size_a, self.size_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.known: dict[str, tuple] = {}
 
-    def _plain(self, text: str) -> tuple[list[int], list[int]]:
+    def _spelled(self, ids: list[int], raw: bytes, spell: list[bytes]) -> bool:
+        return b"".join(map(spell.__getitem__, ids)) == raw
+
+    def _tokens_a(self, text: str) -> list[int] | None:
         whole = " " + text
-        a = self.quick(whole) if self.quick is not None and PLAIN.fullmatch(text) else self.library.encode(whole, add_special_tokens=False).ids
-        return a, self.pieces.encode(text, num_threads=1)
-
-    def _word(self, word: str) -> tuple | None:
-        """The tokens of a word with a space before it, remembered; None if it may not stand for itself."""
-        if not word or word[0].isspace():
-            return None
-        found = tuple(map(tuple, self._plain(word)))
-        if len(word) <= WORD_CHARS:
-            if len(self.known) >= WORDS:
-                self.known.clear()
-            self.known[word] = found
-        return found
-
-    def _tokens(self, text: str) -> tuple[list[int], list[int]]:
-        if not self.divisible:
-            return self._plain(text)
-        a: list[int] = []
-        b: list[int] = []
-        known = self.known
-        for word in text.split(" "):
-            found = known.get(word) or self._word(word)
-            if found is None:
-                return self._plain(text)
-            a += found[0]
-            b += found[1]
-        return a, b
+        if self.quick is not None and PLAIN.fullmatch(text):
+            return self.quick(whole)  # ranks of bytes: it spells what it reads
+        ids = self.library.encode(whole, add_special_tokens=False).ids
+        return ids if self._spelled(ids, whole.encode("utf-8", "surrogatepass"), self.bytes_a) else None
+
+    def _tokens_b(self, text: str) -> list[int] | None:
+        ids = self.pieces.encode(text)
+        return ids if self._spelled(ids, b" " + text.encode("utf-8", "surrogatepass"), self.bytes_b) else None
 
     def segments(self, text: str) -> Iterator[tuple[list[int], list[int]] | None]:
         """The tokens of a text, which both read with a space before it, in parts that end where a token of both ends; None where a part's bytes are not the text's."""
@@ -114,59 +95,65 @@ class TwoTokenizers:
             cut = BREAK.search(text, start + SEGMENT) if self.divisible and len(text) - start > SEGMENT else None
             end = cut.start() if cut else len(text)
             part = text[start:end]
-            a, b = self._tokens(part)
-            raw = b" " + part.encode("utf-8", "surrogatepass")
-            if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+            a = self._tokens_a(part)
+            b = self._tokens_b(part) if a is not None else None
+            if a is None or b is None:
                 yield None
                 return
             yield a, b
             start = end + 1
 
 
-def diagonals(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int]]:
-    """(i, j, k, l): tokens i to k of A and j to l of B (half-open) lie between two next common ends, or are k - i one-to-one groups if both counts agree.
+def diagonals(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int, bool]]:
+    """Runs (i, j, k, l, straight): tokens i to k of A and j to l of B (half-open) are k - i one-to-one groups where straight, else one group.
 
-    The arrays are strictly rising and have the same last end. A group of several tokens on both sides is given as it is, also
-    where both have equally many; `irregular` in links() tells the two cases apart by the ends.
+    The arrays are strictly rising and have the same last end.
     """
     i = j = 0
-    n, m = len(ends_a), len(ends_b)
-    while i < n and j < m:
-        first, second, width = i, j, 1
-        # Runs of ends at this shift, each twice as long as the last; behind the first that differs, half as long each.
-        while i + width <= n and ends_a[i : i + width] == ends_b[j : j + width]:
-            i, j, width = i + width, j + width, 2 * width
-        while width > 1:
-            width >>= 1
-            if ends_a[i : i + width] == ends_b[j : j + width] and i + width <= n:
-                i, j = i + width, j + width
-        if i > first:
-            yield first, second, i, j
-        if i < n and j < m:
-            first, second = i, j
-            x, y = ends_a[i], ends_b[j]
-            while x != y:
-                if x < y:
-                    i += 1
-                    x = ends_a[i]
-                else:
-                    j += 1
-                    y = ends_b[j]
-            i, j = i + 1, j + 1
-            yield first, second, i, j
-
-
-def linked(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], list[tuple[int, int, int, int, bool]]]:
-    """(A's indexes, B's indexes) of all overlapping tokens, and the runs: (i, j, k, l, whether they are one-to-one groups)."""
+    n, runs = len(ends_a), []
+    while i < n:
+        x, y = ends_a[i], ends_b[j]
+        first, second = i, j
+        if x == y:
+            # Ends at this shift, in runs each twice as long as the last; behind the first that differs, half as long each.
+            i, j, width = i + 1, j + 1, 2
+            while ends_a[i : i + width] == ends_b[j : j + width] and i + width <= n:
+                i, j, width = i + width, j + width, 2 * width
+            while width > 1:
+                width >>= 1
+                if i + width <= n and ends_a[i : i + width] == ends_b[j : j + width]:
+                    i, j = i + width, j + width
+            runs.append((first, second, i, j, True))
+            if i == n:
+                break
+            first, second, x, y = i, j, ends_a[i], ends_b[j]
+        # An irregular group, up to the next common end; the shift is then another, or the same again.
+        while x != y:
+            if x < y:
+                i += 1
+                x = ends_a[i]
+            else:
+                j += 1
+                y = ends_b[j]
+        i, j = i + 1, j + 1
+        runs.append((first, second, i, j, False))
+    return runs
+
+
+def straight_tokens(runs: list[tuple[int, int, int, int, bool]]) -> tuple[np.ndarray, np.ndarray]:
+    """(A's indexes, B's indexes) of one-to-one groups."""
+    own = np.array([r[:4] for r in runs if r[4]], dtype=np.int64).reshape(-1, 4)
+    size = own[:, 2] - own[:, 0]
+    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    return np.repeat(own[:, 0], size) + within, np.repeat(own[:, 1], size) + within
+
+
+def irregular_links(ends_a: list[int], ends_b: list[int], runs: list[tuple[int, int, int, int, bool]]) -> tuple[list[int], list[int]]:
+    """(A's indexes, B's indexes) of overlapping tokens of the other groups, step by step through each."""
     a: list[int] = []
     b: list[int] = []
-    runs = []
-    for i, j, k, l in diagonals(ends_a, ends_b):
-        straight = ends_a[i] == ends_b[j]
-        runs.append((i, j, k, l, straight))
+    for i, j, k, l, straight in runs:
         if straight:
-            a += range(i, k)
-            b += range(j, l)
             continue
         a.append(i)
         b.append(j)
@@ -177,30 +164,33 @@ def linked(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int],
                 j += 1
             a.append(i)
             b.append(j)
-    return a, b, runs
+    return a, b
 
 
-def group_text(names_a: list[str], names_b: list[str], runs: list[tuple[int, int, int, int, bool]]) -> str:
-    """Groups as `a1,a2|b1;a3|b2,b3`."""
-    parts = []
-    for i, j, k, l, straight in runs:
-        if straight:
-            parts += map("|".join, zip(names_a[i:k], names_b[j:l]))
-        else:
-            parts.append(f"{','.join(names_a[i:k])}|{','.join(names_b[j:l])}")
-    return ";".join(parts)
+def names(size: int, last: str) -> np.ndarray:
+    """Decimal ids with a comma, and behind them the same with what stands behind the last of a group."""
+    return np.array([f"{k}{mark}" for mark in (",", last) for k in range(size)], dtype=object)
+
+
+def group_text(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, names_a: np.ndarray, names_b: np.ndarray) -> str:
+    """Groups as `a1,a2|b1;a3|b2,b3`: each token goes behind its own side's earlier ones and what the other side has up to its group."""
+    out = np.empty(len(a) + len(b), dtype=object)
+    end_a, end_b = np.flatnonzero(last_a) + 1, np.r_[0, np.flatnonzero(last_b) + 1]
+    out[np.arange(len(a)) + end_b[np.cumsum(last_a) - last_a]] = names_a[a + len(names_a) // 2 * last_a]
+    out[np.arange(len(b)) + end_a[np.cumsum(last_b) - last_b]] = names_b[b + len(names_b) // 2 * last_b]
+    return "".join(out.tolist())[:-1]
 
 
 @lru_cache(maxsize=2)
-def _tokenizers(*files: str | None) -> tuple[TwoTokenizers, list[str], list[str]]:
+def _tokenizers(*files: str | None) -> tuple[TwoTokenizers, np.ndarray, np.ndarray]:
     both = TwoTokenizers(*files)
-    return both, list(map(str, range(len(both.bytes_a)))), list(map(str, range(len(both.bytes_b))))
+    return both, names(len(both.bytes_a), "|"), names(len(both.bytes_b), ";")
 
 
 ALIGNED = "row long, doc_id string, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary"
 
 
-def _aligned(text: str | None, both: TwoTokenizers, names_a: list[str], names_b: list[str], with_groups: bool) -> tuple:
+def _aligned(text: str | None, both: TwoTokenizers, names_a: np.ndarray, names_b: np.ndarray, with_groups: bool) -> tuple:
     """(tokens of A, of B, groups, links, digest, pair codes and how often each is linked) of a text, and with_groups the groups."""
     nothing = (0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64), "")
     if not text:
@@ -211,26 +201,37 @@ def _aligned(text: str | None, both: TwoTokenizers, names_a: list[str], names_b:
         if part is None:
             return nothing
         a, b = np.array(part[0], dtype=np.int64), np.array(part[1], dtype=np.int64)
-        at_a, at_b, runs = linked(np.cumsum(both.size_a[a]).tolist(), np.cumsum(both.size_b[b]).tolist())
-        groups = group_text(list(map(names_a.__getitem__, part[0])), list(map(names_b.__getitem__, part[1])), runs)
+        ends_a, ends_b = np.cumsum(both.size_a[a]).tolist(), np.cumsum(both.size_b[b]).tolist()
+        runs = diagonals(ends_a, ends_b)
+        (one_a, one_b), (more_a, more_b) = straight_tokens(runs), irregular_links(ends_a, ends_b, runs)
+        last_a, last_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
+        last_a[one_a] = last_b[one_b] = True
+        crooked = np.array([r[2:4] for r in runs if not r[4]], dtype=np.int64).reshape(-1, 2) - 1
+        last_a[crooked[:, 0]] = last_b[crooked[:, 1]] = True
+        groups = group_text(a, b, last_a, last_b, names_a, names_b)
         state.update((";" * bool(n_a) + groups).encode())
         if with_groups:
             shown.append(groups)
-        codes.append(a[at_a] * len(names_b) + b[at_b])
-        n_a, n_b, n_links = n_a + len(a), n_b + len(b), n_links + len(at_a)
-        n_groups += sum(k - i if straight else 1 for i, _, k, _, straight in runs)
+        codes += [a[one_a] * len(both.bytes_b) + b[one_b], a[np.array(more_a, dtype=np.int64)] * len(both.bytes_b) + b[np.array(more_b, dtype=np.int64)]]
+        n_a, n_b, n_links, n_groups = n_a + len(a), n_b + len(b), n_links + len(one_a) + len(more_a), n_groups + int(last_a.sum())
     pairs, times = np.unique(np.concatenate(codes), return_counts=True)
     return n_a, n_b, n_groups, n_links, state.hexdigest(), pairs, times, ";".join(shown)
 
 
+@lru_cache(maxsize=1)
+def _squeezer() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One of each for a worker: a new one costs more than a document's pairs."""
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
 def _packed(pairs: np.ndarray, times: np.ndarray) -> bytes:
     """Sorted pair codes as steps, and their counts."""
     steps = np.diff(pairs, prepend=0).astype("<u8")
-    return zstandard.ZstdCompressor(level=3).compress(steps.tobytes() + times.astype("<u4").tobytes())
+    return _squeezer()[0].compress(steps.tobytes() + times.astype("<u4").tobytes())
 
 
 def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
+    raw = _squeezer()[1].decompress(data)
     n = len(raw) // 12
     return np.cumsum(np.frombuffer(raw, "<u8", n).astype(np.int64)), np.frombuffer(raw, "<u4", n, 8 * n).astype(np.int64)
 

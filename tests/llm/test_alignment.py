@@ -113,8 +113,9 @@ def test_diagonals_skip_runs_and_update_the_shift():
         more = lambda: sorted({*common, *rng.sample(range(1, common[-1] + 1), min(common[-1], rng.randrange(8)))})
         a, b = more(), more()
         cuts = []
-        for i, j, k, l in alignment.diagonals(a, b):
-            cuts += a[i:k] if a[i] == b[j] else [a[k - 1]]
+        for i, j, k, l, straight in alignment.diagonals(a, b):
+            assert straight == (a[i] == b[j])
+            cuts += a[i:k] if straight else [a[k - 1]]
             assert a[k - 1] == b[l - 1]
         assert cuts == sorted(set(a) & set(b))
 
