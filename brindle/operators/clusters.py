@@ -32,13 +32,14 @@ def target_counts(reads: DataFrame, cluster: str = "cluster") -> DataFrame:
     return reads.select(cluster, target_of(F.col("read_type")).alias("target")).where("target IS NOT NULL").groupBy(cluster, "target").agg(F.count("*").alias("n"))
 
 
-def summarize_clusters(reads: DataFrame, min_oligos: int = 2, proportion: float = 0.8, max_size: int = 10_000, cluster: str = "cluster") -> DataFrame:
-    """One row for each cluster: n_dpm, n_oligo, mode (smallest name on ties), mode_count, share, label.
-
-    Two partial aggregations, so a cluster of any size stays counts; read types other than DPM and oligos count in neither.
-    """
+def partial_counts(reads: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """(cluster, target, dpm, n): a cluster's reads by target, DPM reads among those without one. Counts of parts of the reads add up."""
     kind = F.when(F.col("read_type").startswith("DPM"), F.lit(None)).otherwise(target_of(F.col("read_type")))
-    counts = reads.select(cluster, kind.alias("target"), F.col("read_type").startswith("DPM").cast("long").alias("dpm")).groupBy(cluster, "target").agg(F.sum("dpm").alias("dpm"), F.count("*").alias("n"))
+    return reads.select(cluster, kind.alias("target"), F.col("read_type").startswith("DPM").cast("long").alias("dpm")).groupBy(cluster, "target").agg(F.sum("dpm").alias("dpm"), F.count("*").alias("n"))
+
+
+def summarize_counts(counts: DataFrame, min_oligos: int = 2, proportion: float = 0.8, max_size: int = 10_000, cluster: str = "cluster") -> DataFrame:
+    """One row for each cluster of partial counts, as summarize_clusters gives it."""
     oligo = F.when(F.col("target").isNotNull(), F.col("n"))
     best = F.max(F.when(F.col("target").isNotNull(), F.col("n"))).alias("mode_count")
     grouped = counts.groupBy(cluster).agg(
@@ -53,6 +54,14 @@ def summarize_clusters(reads: DataFrame, min_oligos: int = 2, proportion: float
     return grouped.withColumn("share", share).withColumn("label", label)
 
 
+def summarize_clusters(reads: DataFrame, min_oligos: int = 2, proportion: float = 0.8, max_size: int = 10_000, cluster: str = "cluster") -> DataFrame:
+    """One row for each cluster: n_dpm, n_oligo, mode (smallest name on ties), mode_count, share, label.
+
+    Two partial aggregations, so a cluster of any size stays counts; read types other than DPM and oligos count in neither.
+    """
+    return summarize_counts(partial_counts(reads, cluster), min_oligos, proportion, max_size, cluster)
+
+
 def reads_per_cluster(clusters: DataFrame) -> DataFrame:
     """(label, read_type, reads_per_cluster, n_clusters) for total, DPM and BPM reads."""
     kinds = F.array(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.folder import removed, written
+
 
 def depths(levels: list[tuple[str, str | None, str | None]]) -> list[tuple[str, str | None, str | None, str, int]]:
     """(level, parent, base, root, depth) of levels (level, parent, base)."""
@@ -20,6 +22,29 @@ def depths(levels: list[tuple[str, str | None, str | None]]) -> list[tuple[str,
     return out
 
 
+def closure(tree: DataFrame, node: str = "level", parent: str = "parent") -> DataFrame:
+    """(node, root, depth) of a parent table of any size; a node without a parent, or with one that is no node, is a root.
+
+    Each round every node takes its present ancestor's ancestor, so a depth of d takes about log2 d joins. Nodes must be distinct
+    and not null; one that is its own ancestor is an error.
+    """
+    nodes = tree.select(F.col(node).alias("node"), F.col(parent).alias("up"))
+    known = nodes.select(F.col("node").alias("up"))
+    first = nodes.join(known.withColumn("known", F.lit(1)), "up", "left")
+    at = written(first.select("node", F.when(F.col("known").isNotNull(), F.col("up")).otherwise(F.col("node")).alias("root"), F.when(F.col("known").isNotNull(), 1).otherwise(0).cast("long").alias("depth")), "closure")
+    total, rounds = at.count(), 0
+    while True:
+        above = at.select(F.col("node").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
+        after = written(at.join(above, "root").select("node", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth")), "closure")
+        moved = after.agg(F.sum("depth")).first()[0] != at.agg(F.sum("depth")).first()[0]
+        removed(at)
+        at, rounds = after, rounds + 1
+        if not moved:
+            return at.select(F.col("node").alias(node), "root", "depth")
+        if 2 ** (rounds - 1) > total:
+            raise ValueError("a node is its own ancestor")
+
+
 def funnel(counts: DataFrame, levels: list[tuple[str, str | None, str | None]]) -> DataFrame:
     """(sample, level, depth, n, frac_parent, frac_base, frac_root) of counts (sample, level, n); roots have no shares."""
     spark = counts.sparkSession

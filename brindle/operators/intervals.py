@@ -10,21 +10,28 @@ from pyspark.sql.window import Window
 SMALL_MASK = 100_000
 
 
-def _islands(intervals: DataFrame, gap: int, *by: str) -> DataFrame:
-    ordered = Window.partitionBy(*by).orderBy("start", "end")
-    reach = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    marked = intervals.withColumn("new", F.coalesce((F.col("start") > reach + gap).cast("int"), F.lit(0)))
-    islands = marked.withColumn("island", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy(*by, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
-
-
 def merge_intervals(intervals: DataFrame, gap: int = 0, span: int = 1_000_000) -> DataFrame:
     """Intervals of a chrom joined where they overlap or touch (or are at most gap apart).
 
-    Those that start in the same span are joined first, so that no task has all intervals of a chrom; what is left is joined across spans.
+    Intervals are put in spans by their start. How far those of earlier spans reach is known from one number for each span, so each
+    span finds its islands by itself. Only its first, where that goes on from before, and its last one meet those of other spans:
+    no task has all intervals, or all islands, of a chrom.
     """
-    near = _islands(intervals.select("chrom", "start", "end", F.expr(f"start div {span}").alias("span")), gap, "chrom", "span")
-    return _islands(near.drop("span"), gap, "chrom")
+    slim = intervals.select("chrom", "start", "end", F.expr(f"start div {span}").alias("span"))
+    ends = slim.groupBy("chrom", "span").agg(F.max("end").alias("far"))
+    spans = Window.partitionBy("chrom").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy("chrom", "span").orderBy("start", "end")
+    before = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    joined = slim.join(ends.select("chrom", "span", F.max("far").over(spans).alias("far")), ["chrom", "span"])
+    fresh = joined.withColumn("new", F.coalesce((F.col("start") > F.greatest("far", before) + gap).cast("int"), F.lit(1)))
+    islands = fresh.withColumn("island", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    own = islands.groupBy("chrom", "span", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    own = own.withColumn("last", F.max("island").over(Window.partitionBy("chrom", "span")))
+    # Island 0 of a span goes on from before; with it, only last ones can be continued.
+    edge = (F.col("island") == 0) | (F.col("island") == F.col("last"))
+    chain = F.sum((F.col("island") > 0).cast("int")).over(Window.partitionBy("chrom").orderBy("span", "island").rowsBetween(Window.unboundedPreceding, 0))
+    across = own.where(edge).withColumn("chain", chain).groupBy("chrom", "chain").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return own.where(~edge).select("chrom", "start", "end").unionByName(across.select("chrom", "start", "end"))
 
 
 def mask(reads: DataFrame, intervals: DataFrame, keep: str = "outside", bin_size: int = 10_000) -> DataFrame:

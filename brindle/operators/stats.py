@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,9 +30,9 @@ def share_within(rows: DataFrame, by: str, value: str, name: str = "share") -> D
 
 def with_all(rows: DataFrame, sample: str, keys: list[str], value: str) -> DataFrame:
     """Sums by sample and keys, and over samples under the name all."""
-    rows.createOrReplaceTempView("_rollup_rows")
-    listed = ", ".join(keys)
-    return rows.sparkSession.sql(f"SELECT coalesce(CAST({sample} AS STRING), 'all') AS {sample}, {listed}, sum({value}) AS {value} FROM _rollup_rows GROUP BY GROUPING SETS (({sample}, {listed}), ({listed}))")
+    sets = [[F.col(sample), *map(F.col, keys)], [F.col(k) for k in keys]]
+    summed = rows.groupingSets(sets, sample, *keys).agg(F.sum(value).alias(value))
+    return summed.select(F.coalesce(F.col(sample).cast("string"), F.lit("all")).alias(sample), *keys, value)
 
 
 def describe(rows: DataFrame, column: str) -> DataFrame:
@@ -62,14 +62,30 @@ def ratio(parts: DataFrame, wholes: DataFrame, by: tuple[str, ...], value: str =
     return joined.select(*by, F.round(F.coalesce("_part", F.lit(0)) / F.nullif(F.col("_whole"), F.lit(0)), 6).alias("efficiency"))
 
 
-def counters(records: DataFrame, skipped: dict[str, Column]) -> DataFrame:
-    """One row with n_read, n_written and, for each reason in turn, n_<reason>: a record counts under the first reason that holds."""
-    left, out = F.lit(True), [F.count("*").alias("n_read")]
+def _reasons(skipped: dict[str, Column]) -> tuple[list[Column], Column]:
+    """(a count for each reason, what is left): a record counts under the first reason that holds."""
+    left, out = F.lit(True), []
     for reason, holds in skipped.items():
         holds = F.coalesce(holds, F.lit(False))
         out.append(F.count_if(left & holds).alias(f"n_{reason}"))
         left = left & ~holds
-    return records.agg(*out, F.count_if(left).alias("n_written"))
+    return out, left
+
+
+def counters(records: DataFrame, skipped: dict[str, Column]) -> DataFrame:
+    """One row with n_read, n_written and, for each reason in turn, n_<reason>: a record counts under the first reason that holds."""
+    out, left = _reasons(skipped)
+    return records.agg(F.count("*").alias("n_read"), *out, F.count_if(left).alias("n_written"))
+
+
+def observed(records: DataFrame, skipped: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """(the records that no reason skips, their counters): the counters are taken by the job that uses the records, with no scan of its own.
+
+    `get` of the counters waits for that job. As counters(), with the same names.
+    """
+    out, left = _reasons(skipped)
+    seen = Observation()
+    return records.observe(seen, F.count(F.lit(1)).alias("n_read"), *out, F.count_if(left).alias("n_written")).where(left), seen
 
 
 def ranked(rows: DataFrame, column: str, order: list[str]) -> DataFrame:

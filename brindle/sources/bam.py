@@ -245,9 +245,11 @@ class _BamReader(DataSourceReader):
         self.files, self.split = json.loads(options["files"]), int(options["split"])
 
     def partitions(self) -> list[InputPartition]:
-        return [_Blocks(p, a, min(a + self.split, size)) for p in self.files for size in [os.path.getsize(p)] for a in range(0, size, self.split)]
+        return [_Blocks(p, a, min(a + self.split, size)) for p in self.files for size in [os.path.getsize(p)] for a in range(0, size, self.split)] or [_Blocks("", 0, 0)]
 
     def read(self, partition: _Blocks):
+        if not partition.path:
+            return
         rows: list[tuple] = []
         for row in records_of(partition.path, partition.start, partition.end):
             rows.append(row)

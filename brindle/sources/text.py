@@ -5,7 +5,7 @@ SAM and BED lines are read by Spark's text source; FASTQ, pairs and FASTA window
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ranges import read_fastq, read_pairs  # noqa: F401
@@ -116,9 +116,36 @@ def write_bedgraph(cover: DataFrame, bin_size: int, path: str) -> None:
     cover.select("chrom", (F.col("bin") * bin_size).alias("start"), ((F.col("bin") + 1) * bin_size).alias("end"), "value").write.csv(path, sep="\t")
 
 
-def write_by_target(records: DataFrame, path: str, by: tuple[str, ...] = ("sample", "target")) -> None:
-    """Records as Parquet in folders by target, sorted by chromosome order and position; null targets have their own folder."""
-    records.repartition(*by).sortWithinPartitions(*by, "sort_order", "ref_start").write.partitionBy(*by).parquet(path)
+def write_by_target(records: DataFrame, path: str, by: tuple[str, ...] = ("sample", "target"), tie: tuple[str, ...] = ()) -> None:
+    """Records as Parquet in folders by target, in the order of chromosomes and positions; null targets have their own folder.
+
+    Tasks take ranges of (target, chromosome, position), by sampled sizes: a large target is written by many tasks, small ones
+    share one. Within a folder, files in the order of their names are one order. Where very many records share a position, `tie` names
+    columns that tell them apart.
+    """
+    # A column of one constant would be left out of the order, and the writer then sort again by folders alone; nothing is added to it here, but of a column.
+    nothing = F.coalesce(F.substring(F.col("ref_start").cast("string"), 1, 0), F.lit(""))
+    records = records.withColumns({c: F.concat(F.col(c).cast("string"), nothing) for c in by})
+    order = [*by, "sort_order", "ref_start", *tie]
+    records.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy(*by).parquet(path)
+
+
+def read_target(spark: SparkSession, path: str, **target: str) -> DataFrame:
+    """Records of a target (column=value of write_by_target's folders), over all samples unless one is given: only its folders are listed and read."""
+    out = spark.read.parquet(path)
+    for column, value in target.items():
+        out = out.where(F.col(column) == value)
+    return out
+
+
+def write_routed(reads: DataFrame, path: str, skipped: dict[str, Column], rounds: dict[str, list[int]] | None = None, compression: str = "gzip") -> dict[str, int]:
+    """Reads (qname, seq, qual) as FASTQ in folders by route, without those that `skipped` names reasons for; returns n_read, n_<reason> and n_written, counted by the job that writes."""
+    from ..operators.barcode import route
+    from ..operators.stats import observed
+
+    kept, seen = observed(reads, skipped)
+    write_fastq(route(kept, rounds), path, ("route",), compression)
+    return seen.get
 
 
 def write_tsv(rows: DataFrame, path: str) -> None:
