@@ -30,11 +30,25 @@ def hamming_ball(sequence: str, radius: int) -> list[str]:
     return sorted(out)
 
 
+def expanded(tags: DataFrame) -> DataFrame:
+    """(category, seq, name, n_names) of a table of tags (category, name, seq, mismatches, place): every sequence within the mismatches of a tag; of several tags the one of the last place has it."""
+
+    @F.pandas_udf("array<string>")
+    def ball(sequences: pd.Series, radius: pd.Series) -> pd.Series:
+        return pd.Series([hamming_ball(s, r) for s, r in zip(sequences, radius)], dtype=object)
+
+    near = tags.select("category", "name", "place", F.explode(ball("seq", "mismatches")).alias("seq"))
+    return near.groupBy("category", "seq").agg(F.max_by("name", "place").alias("name"), F.count_distinct("name").alias("n_names"))
+
+
 def expand_tags(spark: SparkSession, tags: list[tuple[str, str, str, int]]) -> DataFrame:
     """(category, seq, name, n_names) of tags (category, name, sequence, mismatches): the last tag listed wins a collision."""
-    rows = [(category, near, name, k) for k, (category, name, sequence, radius) in enumerate(tags) for near in hamming_ball(sequence, radius)]
-    table = spark.createDataFrame(rows, "category string, seq string, name string, place int")
-    return table.groupBy("category", "seq").agg(F.max_by("name", "place").alias("name"), F.count_distinct("name").alias("n_names"))
+    return expanded(spark.createDataFrame([(*tag, k) for k, tag in enumerate(tags)], "category string, name string, seq string, mismatches int, place long"))
+
+
+def ambiguous(tags: DataFrame) -> DataFrame:
+    """(category, seq, n_names): sequences that more than one tag claims, to warn of."""
+    return expanded(tags).where("n_names > 1").select("category", "seq", "n_names")
 
 
 def identify(reads: DataFrame, layout: dict[str, list[str]], tags: list[tuple[str, str, str, int]], spacer: int = 6, laxity: int = 6) -> DataFrame:

@@ -72,6 +72,11 @@ def reads_per_cluster(clusters: DataFrame) -> DataFrame:
     return clusters.select("label", F.inline(kinds)).groupBy("label", "read_type", "reads_per_cluster").agg(F.count("*").alias("n_clusters"))
 
 
+def in_order(statistics: DataFrame) -> DataFrame:
+    """Rows of reads_per_cluster() or max_representation() by label, kind and value."""
+    return statistics.orderBy("label", *(c for c in ("read_type", "metric") if c in statistics.columns), *(c for c in ("reads_per_cluster", "value") if c in statistics.columns))
+
+
 def max_representation(clusters: DataFrame) -> DataFrame:
     """(label, metric, value, n_clusters): counts of the most frequent target, and its share, rounded to hundredths as Python rounds it, in hundredths."""
 
@@ -92,6 +97,15 @@ def label_reads(reads: DataFrame, clusters: DataFrame, cluster: str = "cluster")
     return joined.withColumn("RG", F.when(dpm, F.col("label"))).withColumn("YG", F.when(~dpm, F.col("label"))).withColumn("YC", F.when(~dpm, F.col("n_dpm"))).drop("label", "n_dpm")
 
 
+def counts_by_type(records: DataFrame, patterns: dict[str, str], tag: str = "RT") -> DataFrame:
+    """(kind, n): records whose tag (a column, or an entry of `tags`) begins as a pattern says, such as {"dpm": "^DPM", "bpm": "^BEAD"}; a record counts for each that fits."""
+    value = F.try_element_at("tags", F.lit(tag)) if "tags" in records.columns else F.col(tag)
+    kinds = F.array(*[F.when(F.coalesce(value.rlike(p), F.lit(False)), F.lit(kind)) for kind, p in patterns.items()])
+    found = records.select(F.explode(kinds).alias("kind")).where("kind IS NOT NULL").groupBy("kind").agg(F.count("*").alias("n"))
+    every = records.sparkSession.createDataFrame([(kind,) for kind in patterns], "kind string")
+    return every.join(found, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def counts_per_label(clusters: DataFrame) -> DataFrame:
     """(label, n_clusters, n_dpm, n_oligo, dpm_per_cluster, oligo_per_cluster)."""
     return clusters.groupBy("label").agg(F.count("*").alias("n_clusters"), F.sum("n_dpm").alias("n_dpm"), F.sum("n_oligo").alias("n_oligo"), F.round(F.avg("n_dpm"), 6).alias("dpm_per_cluster"), F.round(F.avg("n_oligo"), 6).alias("oligo_per_cluster"))
@@ -129,6 +143,15 @@ def count_signatures(reads: DataFrame, cluster: str = "cluster") -> DataFrame:
     return grouped.crossJoin(F.broadcast(own.agg(F.count("*").alias("all")))).select("signature", "n_clusters", F.round(F.col("n_clusters") / F.col("all"), 6).alias("share"))
 
 
+def signature_chromatin(reads: DataFrame, clusters: DataFrame, signature: str, cluster: str = "cluster") -> DataFrame:
+    """(n_dpm, n_clusters) of clusters whose targets' sorted counts are exactly a signature such as `1,3`."""
+    counts = [int(n) for n in signature.split(",")]
+    # Clusters with as many targets and the same sum come first, so that no long list is made of others.
+    own = target_counts(reads, cluster).groupBy(cluster).agg(F.count("*").alias("k"), F.sum("n").alias("total"), F.array_sort(F.collect_list(F.when(F.col("n") <= max(counts), F.col("n")))).alias("counts"))
+    own = own.where((F.col("k") == len(counts)) & (F.col("total") == sum(counts)) & (F.array_join("counts", ",") == signature))
+    return clusters.join(own.select(cluster), cluster).agg(F.sum("n_dpm").alias("n_dpm"), F.count("*").alias("n_clusters"))
+
+
 def interacting(clusters: DataFrame, min_count: int = 2, least: float = 0.1, max_dpm: int = 200, max_oligo: int = 30) -> DataFrame:
     """Clusters with chromatin, a repeated top target of a share, and sizes within bounds."""
     return clusters.where((F.col("n_dpm") > 0) & (F.col("n_dpm") <= max_dpm) & (F.col("mode_count") >= min_count) & (F.col("mode_count") >= least * F.col("n_oligo")) & (F.col("n_oligo") <= max_oligo))

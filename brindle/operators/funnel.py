@@ -65,6 +65,16 @@ def tree_text(rows: list, levels: list[tuple[str, str | None, str | None]]) -> s
     return "\n".join(f"{'  ' * depth}{level}\t{by[level]['n']}\t{show(by[level]['frac_parent'])}\t{show(by[level]['frac_root'])}" for level, _, _, _, depth in depths(levels) if level in by)
 
 
+def write_funnel(rows: DataFrame, path: str) -> None:
+    """Funnel rows as one CSV file, by sample, depth and level."""
+    rows.coalesce(1).sortWithinPartitions("sample", "depth", "level").write.csv(path, header=True)
+
+
+def write_counts(counts: DataFrame, path: str) -> None:
+    """The raw counts (level, path, count) that a funnel is made of, as one CSV file."""
+    counts.select("level", "path", "count").coalesce(1).sortWithinPartitions("level", "path").write.csv(path, header=True)
+
+
 def chunks(rows: DataFrame, n: int, index: str = "idx", count: int | None = None) -> DataFrame:
     """rows (with a gapless index from 0) with chunk: n contiguous parts of ceil(count / n), or where that makes fewer, of the floor with the rest in the last."""
     total = rows.count() if count is None else count

@@ -111,3 +111,32 @@ def path_counts(paths: DataFrame, path: str, value: str) -> DataFrame:
 def zoomed(rows: DataFrame, column: str, most: int) -> DataFrame:
     """The part of a plot's data up to a value."""
     return rows.where(F.col(column) <= most)
+
+
+def quartiles(rows: DataFrame, by: str, column: str) -> DataFrame:
+    """(by, q1, q2, q3): interpolated quartiles of each group.
+
+    Equal values are counted first, so a group is as many rows as it has distinct values; their running counts give the two
+    values that a quartile lies between.
+    """
+    counts = rows.where(F.col(column).isNotNull()).groupBy(by, column).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(by).orderBy(column).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumn("upto", upto).withColumn("all", F.sum("n").over(Window.partitionBy(by)))
+    out = []
+    for k in (1, 2, 3):
+        at = (F.col("all") - 1) * k / 4
+        # The first value whose rows reach a place is the value at that place.
+        value = lambda place: F.min(F.when(F.col("upto") > place, F.col(column)))
+        part = F.first(at - F.floor(at))
+        out.append(F.round(value(F.floor(at)) + part * (value(F.ceil(at)) - value(F.floor(at))), 6).alias(f"q{k}"))
+    return placed.groupBy(by).agg(*out)
+
+
+def first_seen(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, first): the distinct values in the order in which they first come."""
+    return rows.groupBy(key).agg(F.min(order).alias("first")).orderBy("first")
+
+
+def missing_keys(rows: DataFrame, others: DataFrame, key: str, other: str) -> DataFrame:
+    """(key): the keys of rows that others lacks."""
+    return rows.join(others, F.col(key) == F.col(other), "left_anti").select(key)

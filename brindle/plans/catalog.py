@@ -123,9 +123,7 @@ def count_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_cte("SELECT sum(n_dpm)::BIGINT AS n_dpm, count(*) AS n_clusters FROM clusters JOIN (SELECT cluster, string_agg(n::VARCHAR, ',' ORDER BY n) AS signature FROM counts WHERE target IS NOT NULL GROUP BY cluster) USING (cluster) WHERE signature = '1,3'"))
 def signature_chromatin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads = _reads(spark, sf_dir)
-    own = clusters.target_counts(reads).groupBy("cluster").agg(F.array_join(F.array_sort(F.collect_list("n")), ",").alias("signature")).where("signature = '1,3'")
-    return _clusters(spark, sf_dir).join(own, "cluster").agg(F.sum("n_dpm").alias("n_dpm"), F.count("*").alias("n_clusters"))
+    return clusters.signature_chromatin(_reads(spark, sf_dir), _clusters(spark, sf_dir), "1,3")
 
 
 @query(_cte("SELECT cluster, n_dpm, n_oligo, mode_count FROM clusters WHERE n_dpm > 0 AND n_dpm <= 200 AND mode_count >= 2 AND mode_count >= 0.1 * n_oligo AND n_oligo <= 30"))
@@ -192,8 +190,7 @@ def describe_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_cte("SELECT label, round(quantile_cont(size, 0.25), 6) AS q1, round(quantile_cont(size, 0.5), 6) AS q2, round(quantile_cont(size, 0.75), 6) AS q3 FROM sized GROUP BY label", _SIZED))
 def label_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = lambda p: F.round(F.percentile("size", F.lit(p)), 6)
-    return _sized(spark, sf_dir).groupBy("label").agg(q(0.25).alias("q1"), q(0.5).alias("q2"), q(0.75).alias("q3"))
+    return stats.quartiles(_sized(spark, sf_dir), "label", "size")
 
 
 @query(_cte("SELECT label, molecule, n, round(n / sum(n) OVER (PARTITION BY molecule), 6) AS share FROM (SELECT label, unnest(['n_dpm', 'n_oligo']) AS molecule, unnest([sum(n_dpm), sum(n_oligo)])::BIGINT AS n FROM clusters GROUP BY label)"))
@@ -355,8 +352,8 @@ def efficiency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT s AS seq, count(*) AS n_names FROM (SELECT {_DNA.format('s_name')}[1:3] AS s FROM supplier) GROUP BY s HAVING count(*) > 1")
 def ambiguous_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tags = _table(spark, sf_dir, "supplier").select(F.substring(pseudo_dna(F.col("s_name")), 1, 3).alias("seq"))
-    return tags.groupBy("seq").agg(F.count("*").alias("n_names")).where("n_names > 1")
+    tags = _table(spark, sf_dir, "supplier").select(F.lit("Y").alias("category"), F.col("s_name").alias("name"), F.substring(pseudo_dna(F.col("s_name")), 1, 3).alias("seq"), F.lit(0).alias("mismatches"), F.col("s_suppkey").alias("place"))
+    return barcode.ambiguous(tags).drop("category")
 
 
 # Chromosomes and intervals.
@@ -542,12 +539,12 @@ def chunk_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
 def validate_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer").join(_table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    return stats.missing_keys(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "orders"), "c_custkey", "o_custkey")
 
 
 @query("SELECT p_brand, min(p_partkey) AS first FROM part GROUP BY p_brand")
 def distinct_ordered_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").groupBy("p_brand").agg(F.min("p_partkey").alias("first")).orderBy("first")
+    return stats.first_seen(_table(spark, sf_dir, "part"), "p_brand", "p_partkey")
 
 
 @query("SELECT p_brand, p_size, p_partkey, p_retailprice FROM part")

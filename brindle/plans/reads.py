@@ -108,3 +108,9 @@ def dedup_or_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The two columns are alternatives of their own: equal numbers of both are no common key.
     marked = lines.withColumn("supp", F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))).withColumn("part", F.concat(F.lit("p"), F.col("l_partkey").cast("string")))
     return dedup.deduplicate(marked, "supp|part", (), ("l_orderkey", *_ORDER)).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "dc")
+
+
+@query(f"WITH {_ODD} SELECT unnest(['dpm', 'bpm', 'none']) AS kind, unnest([count(*) FILTER (l_linenumber % 5 > 2), 0, 0]) AS n FROM odd")
+def counts_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = barcode.barcode_to_tags(_odd(spark, sf_dir), 2)
+    return clusters.counts_by_type(tagged, {"dpm": "^DPM", "bpm": "^BEAD", "none": "^none"})

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 # The categories of barcode tags and the normalisations of coverage.
@@ -46,7 +47,9 @@ def parse_barcodes(text: str) -> BarcodeConfig:
             continue
         key, equal, value = line.partition(" = ")
         if equal and key in ("READ1", "READ2"):
-            out.layout[key] = [c.strip() for c in value.split("|")]
+            out.layout[key] = [c.strip().upper() for c in value.split("|")]
+            if unknown := [c for c in out.layout[key] if c != "SPACER" and c not in CATEGORIES]:
+                raise ValueError(f"line {number}: {unknown[0]!r} in {key} is no category of tags")
         elif equal and key in ("SPACER", "LAXITY"):
             setattr(out, key.lower(), int(value))
         else:
@@ -96,6 +99,40 @@ def parse_chrom_map(text: str) -> list[tuple[str, str]]:
     return rows
 
 
+def load_config(path: str) -> dict:
+    """A configuration in JSON, or in YAML where that library is there (it reads JSON too)."""
+    with open(path, encoding="utf-8") as file:
+        if path.endswith((".yaml", ".yml")):
+            try:
+                import yaml
+            except ImportError as missing:
+                raise ValueError(f"{path}: no library for YAML here, give JSON") from missing
+            return yaml.safe_load(file) or {}
+        return json.load(file)
+
+
+def write_config(config: dict, path: str) -> None:
+    """A snapshot of a configuration as JSON, for a run's records."""
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(config, file, indent=4, sort_keys=True)
+
+
+def long_names(samples: Iterable[str], targets: Iterable[str], split: bool = True) -> list[str]:
+    """What is wrong with names: targets of letters, digits, _ and -, samples of SAMPLE_CHARS at most, and with files by target, sample and target together of PAIR_CHARS."""
+    samples, targets = list(samples), list(targets)
+    out = [f"target {t!r} has other characters than letters, digits, _ and -" for t in targets if not re.fullmatch(r"[a-zA-Z0-9_\-]+", t)]
+    out += [f"sample {s!r} has more than {SAMPLE_CHARS} characters" for s in samples if len(s) > SAMPLE_CHARS]
+    longest = (max(samples, key=len, default=""), max(targets, key=len, default=""))
+    if split and sum(map(len, longest)) > PAIR_CHARS:
+        out.append(f"sample {longest[0]!r} and target {longest[1]!r} have together more than {PAIR_CHARS} characters")
+    return out
+
+
+def without(wildcards: dict[str, list[str]], exclude: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Each field's values but those that are excluded for it."""
+    return {field: [v for v in values if v not in set(exclude.get(field, ()))] for field, values in wildcards.items()}
+
+
 def parse_samples(text: str) -> dict[str, dict[str, list[str]]]:
     """Sample to the paths of R1 and R2."""
     out = json.loads(text)
@@ -144,6 +181,10 @@ def discover_samples(folder: str) -> dict[str, dict[str, list[str]]]:
     return out
 
 
+#: The longest names from which all files' names can be made.
+SAMPLE_CHARS, PAIR_CHARS = 214, 227
+
+
 @dataclass
 class Settings:
     """Parameters of the read pipeline, with the ranges they must lie in."""

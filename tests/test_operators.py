@@ -217,3 +217,38 @@ def test_concatenated_samples_have_one_genome(spark):
     assert rows(clusters.concatenated({"a": (records, sizes), "b": (records, sizes)})) == [("r", "a"), ("r", "b")]
     with pytest.raises(ValueError):
         clusters.concatenated({"a": (records, sizes), "b": (records, sizes.limit(0))})
+
+
+def test_configurations_and_names(tmp_path):
+    (tmp_path / "c.json").write_text('{"a": [1]}')
+    assert settings.load_config(str(tmp_path / "c.json")) == {"a": [1]}
+    (tmp_path / "c.yaml").write_text("a:\n- 1\n")
+    try:
+        assert settings.load_config(str(tmp_path / "c.yaml")) == {"a": [1]}
+    except ValueError as e:
+        assert "no library" in str(e)
+    settings.write_config({"b": 1, "a": None}, str(tmp_path / "d.json"))
+    assert settings.load_config(str(tmp_path / "d.json")) == {"a": None, "b": 1}
+    assert settings.long_names(["s" * 214], ["t" * 13]) == [] and len(settings.long_names(["s" * 215], ["t" * 13, "a b"])) == 3
+    assert settings.long_names(["s" * 214], ["t" * 14], split=False) == []
+    assert settings.without({"sample": ["a", "b"], "x": ["c"]}, {"sample": ["a"]}) == {"sample": ["b"], "x": ["c"]}
+    with pytest.raises(ValueError, match="no category"):
+        settings.parse_barcodes("READ1 = DPM|WRONG\nDPM\tDPM1\tAAAA\t0\n")
+
+
+def test_funnel_files_and_orders(spark, tmp_path):
+    levels = [("a", None, None), ("b", "a", "a")]
+    counts = spark.createDataFrame([("s", "b", 5), ("s", "a", 10)], "sample string, level string, n long")
+    funnel.write_funnel(funnel.funnel(counts, levels), str(tmp_path / "f"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "f")).collect()][:2] == ["sample,level,depth,n,frac_parent,frac_base,frac_root", "s,a,0,10,,,"]
+    funnel.write_counts(spark.createDataFrame([("b", "y", 2), ("a", "x", 1)], "level string, path string, count long"), str(tmp_path / "r"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "r")).collect()] == ["level,path,count", "a,x,1", "b,y,2"]
+    made = clusters.reads_per_cluster(spark.createDataFrame([("b", 1, 2), ("a", 3, 0)], "label string, n_dpm long, n_oligo long"))
+    order = [tuple(r)[:3] for r in clusters.in_order(made).collect()]
+    assert order == sorted(order)
+
+
+def test_tags_that_collide(spark):
+    tags = spark.createDataFrame([("Y", "Y1", "AC", 1, 0), ("Y", "Y2", "CC", 0, 1), ("Z", "Z1", "CC", 0, 2)], "category string, name string, seq string, mismatches int, place long")
+    assert rows(barcode.ambiguous(tags)) == [("Y", "CC", 2)]
+    assert {(r["category"], r["seq"]): r["name"] for r in barcode.expanded(tags).collect()}["Y", "CC"] == "Y2"
