@@ -24,8 +24,8 @@ BLOCKS = 4096
 RANGE = 20_000
 #: Shards at least and at most, and words of a shard from which there are more.
 SHARDS, MOST_SHARDS, SHARD_WORDS = 64, 4096, 100_000_000
-#: Sources up to which their plan is broadcast; beyond it the join shuffles.
-SMALL = 10_000
+#: Numbers (8 bytes: an edge for each source and shard, and a few more) up to which the sources' plan is broadcast; beyond it the join shuffles.
+MOST_NUMBERS = 1 << 22
 
 
 def targets(sizes: list[int], weights: list[float], most: float = 3.0) -> list[float]:
@@ -120,7 +120,7 @@ def mix_sources(measured: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0
     if shards is None:
         shards = shards_of(sum(r["source_size"] for r in sizes))
     facts = _plan(spark, sizes, weights, shards, seed)
-    if len(sizes) <= SMALL:
+    if len(sizes) * (shards + 4) <= MOST_NUMBERS:
         facts = F.broadcast(facts)
     known = _ranked(named, max((r["n"] for r in sizes), default=0), seed).join(facts, "name").drop("name")
 

@@ -61,6 +61,15 @@ def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few short columns that may be broadcast: some tens of MB.
+MOST_BROADCAST = 1 << 20
+
+
+def bounded(rows: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """A written table, to be broadcast if it has `most` rows at most, which are counted; else as it is, for a join that shuffles and whose hot keys Spark splits."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def sampled(rows: DataFrame, most: int, seed: int) -> pd.DataFrame:
     """At most `most` rows (doc_id and others) on the driver: those of smallest hashed id.
 

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize, partitions
+from .storage import bounded, materialize, partitions
 from .text import PACKED, U64, FirstSeen, hash_words, ngrams, packed_flat, portions, released, squeezed, unpacked, window_minimum, words
 
 #: Words of an anchor, and windows of a piece at most (its marks fit a long).
@@ -164,8 +164,8 @@ def _judge(pieces: list[tuple[bytes, list[bytes], int]], length: int) -> list[tu
 def large_shards(bodies: DataFrame) -> DataFrame:
     """The anchors of more than SHARD distinct pieces, of bodies (anchor, piece); each piece is there at least once."""
     # Most anchors have too few rows, which the anchors alone tell.
-    likely = bodies.groupBy("anchor").count().where(F.col("count") > SHARD).select("anchor")
-    distinct = bodies.join(F.broadcast(likely), "anchor", "left_semi").select("anchor", "piece").distinct()
+    likely = materialize(bodies.groupBy("anchor").count().where(F.col("count") > SHARD).select("anchor"), "likely")
+    distinct = bodies.join(bounded(likely), "anchor", "left_semi").select("anchor", "piece").distinct()
     return distinct.groupBy("anchor").count().where(F.col("count") > SHARD).select("anchor")
 
 
@@ -183,8 +183,8 @@ def _judge_windows(bodies: DataFrame, length: int) -> DataFrame:
     windows = materialize(bodies.select("piece", "doc_id", "body").mapInPandas(cut, "piece binary, doc_id long, at int, window binary"), "windows")
     firsts = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
     firsts = materialize(firsts, "firsts")
-    # A window that many pieces have would be one task of a join; there are few such windows, so they go to the pieces.
-    common = F.broadcast(firsts.where(F.col("n") > SHARD).select("window", "least"))
+    # A window that many pieces have would be one task of a join; as long as such windows are few, they go to the pieces.
+    common = bounded(firsts.where(F.col("n") > SHARD).select("window", "least"))
     rest = windows.join(common, "window", "left_anti").join(firsts.where(F.col("n") <= SHARD).select("window", "least"), "window", "left")
     again = F.when(F.col("least") < F.col("doc_id"), F.expr("shiftleft(1L, at)")).otherwise(F.lit(0).cast("long"))
     masks = windows.join(common, "window").unionByName(rest).groupBy("piece", "doc_id").agg(F.bit_or(again).alias("mask"))
@@ -212,10 +212,11 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
 
     bodies = pieces.where("body IS NOT NULL").select("anchor", "doc_id", "piece", "body")
     large = materialize(large_shards(bodies), "large")
-    small = bodies.join(F.broadcast(large), "anchor", "left_anti")
+    hot = bounded(large)
+    small = bodies.join(hot, "anchor", "left_anti")
     judged = small.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "piece").mapInPandas(stream, "piece binary, first long, mask long")
     if large.limit(1).count():
-        judged = judged.unionByName(_judge_windows(bodies.join(F.broadcast(large), "anchor", "left_semi"), length))
+        judged = judged.unionByName(_judge_windows(bodies.join(hot, "anchor", "left_semi"), length))
     judged = materialize(judged, "judged")
     full = F.expr("shiftleft(1L, windows) - 1L")
     hits = pieces.select("piece", "doc_id", "start", "windows").join(judged, "piece").withColumn("mask", F.when(F.col("doc_id") > F.col("first"), full).otherwise(F.col("mask"))).where("mask <> 0")

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -444,3 +445,104 @@ def test_pipeline(spark):
     assert set(left) <= set(plain) and len(left) >= 0.5 * len(plain)
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     assert {r["doc_id"] for r in rows} <= set(left) and min(r["length"] for r in rows) >= 1
+
+
+def test_stages_take_hostile_rows(spark):
+    """Null, empty, repeated, tied and very long rows, and columns of clashing names, through every stage."""
+    given_docs = docs(spark).drop("n_words", "label")
+    huge = "".join(f"u{k} " for k in range(200_000))
+    extra = spark.createDataFrame([(50, huge, "en", "a", 0), (51, huge + "tail", "en", "b", 0), (10, BASE + " other text of id ten", "en", "a", 0)], given_docs.schema)
+    kept = given_docs.unionByName(extra)
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        for table in (kept, kept.limit(0)):
+            out = stage(spark, table, FOLDER)
+            assert tuple(out.columns) == corpus_pipeline.COLUMNS, name
+            rows = out.collect()
+            assert table is kept or not rows, name
+            if table is kept:
+                by_id = collections.Counter(r["doc_id"] for r in rows)
+                if name == "n-gram Jaccard join":
+                    # Of equal texts the smallest id stays; an id with two texts gives one row.
+                    assert None not in by_id and max(by_id.values()) == 1 and 2 not in by_id and 51 not in by_id and {1, 4, 5, 6, 50} <= set(by_id)
+                if name == "substring dedup":
+                    left = {r["doc_id"]: r["text"] for r in rows if r["doc_id"] not in (10, None)}
+                    assert left[1] == BASE and 2 not in left and left[51].strip() == "tail" and len(left[50]) == len(huge)
+                if name == "mixing sources":
+                    assert rows and all(r["text"].split() for r in rows)
+    packed = corpus_pipeline.STAGES[4][1](spark, kept, FOLDER).collect()
+    assert sum(r["length"] for r in packed if r["doc_id"] == 4) == 1 and sum(r["length"] for r in packed if r["doc_id"] == 50) > 400_000
+
+
+def test_discriminant_is_the_difference_of_gaussian_densities():
+    """margin() by factors against densities written out, in the data's own units."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(200, 4)) @ rng.normal(size=(4, 4)) * np.array([1.0, 10.0, 0.1, 1.0])
+    y = (np.arange(200) % 3 == 0).astype(int)
+    x[y == 1] += 0.5
+    parts = {c: x[y == c] for c in (0, 1)}
+    model = quality_qda.discriminant({c: (float(len(p)), p.sum(axis=0), p.T @ p) for c, p in parts.items()})
+    spread = {c: (p - p.mean(axis=0)).T @ (p - p.mean(axis=0)) for c, p in parts.items()}
+    pooled = (spread[0] + spread[1]) / (len(x) - 2)
+    units = np.outer(np.sqrt(np.diag(pooled)), np.sqrt(np.diag(pooled)))
+
+    def log_density(row, c):
+        mixed = (1 - quality_qda.POOL) * spread[c] / (len(parts[c]) - 1) + quality_qda.POOL * pooled
+        ridge = np.trace(mixed / units) / 4
+        cov = (1 - quality_qda.RIDGE) * mixed + quality_qda.RIDGE * ridge * np.diag(np.diag(pooled))
+        d = row - parts[c].mean(axis=0)
+        return np.log(len(parts[c]) / len(x)) - 0.5 * (d @ np.linalg.inv(cov) @ d + np.linalg.slogdet(cov)[1])
+
+    assert np.allclose(quality_qda.margin(model, x), [log_density(r, 1) - log_density(r, 0) for r in x])
+
+
+def test_quality_scores_rank_held_out_rows_that_labels_never_reach(spark):
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")  # noqa: E731 (some 70 held-out labels; the smallest table has 3 bad ones)
+    scored = quality_qda.quality_scores(read("documents"), read("labels"))
+    known = {r["doc_id"]: r["quality"] for r in read("labels").collect()}
+    rows = scored.collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    held = [(r["score"], known[r["doc_id"]]) for r in rows if r["held_out"] and known.get(r["doc_id"]) in (0, 1)]
+    good, bad = [s for s, q in held if q == 1], [s for s, q in held if q == 0]
+    assert good and bad and np.mean([[g > b for b in bad] for g in good]) > 0.9
+    # Other labels of held-out rows change no score.
+    flipped = read("labels").withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = {r["doc_id"]: r["score"] for r in quality_qda.quality_scores(read("documents"), flipped).collect()}
+    assert all(abs(again[r["doc_id"]] - r["score"]) < 1e-9 for r in rows)
+
+
+def test_anomaly_is_the_recursive_path_length():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 5))
+    model = isolation.fit_forest(x, seed=3)
+
+    def path(tree, row, node=0):
+        feature, cut, left = tree
+        return cut[node] if feature[node] < 0 else path(tree, row, left[node] + (row[feature[node]] >= cut[node]))
+
+    want = [2 ** (-np.mean([path(t, row) for t in model["trees"]]) / model["norm"]) for row in x[:60]]
+    assert np.allclose(isolation.anomaly(model, x[:60]), want)
+    far = np.full((1, 5), 50.0)
+    assert isolation.anomaly(model, far)[0] > max(isolation.anomaly(model, x)) - 1e-9
+
+
+def test_threshold_is_brute_force():
+    rng = np.random.default_rng(2)
+    score, good = np.round(rng.random(80), 2), rng.random(80) < 0.7
+    at = isolation.calibrate(score, good)
+    gain = lambda t: (score[~good] > t).mean() - isolation.COST * (score[good] > t).mean()
+    assert abs(gain(at) - max(0, max(gain(t) for t in np.r_[score - 1e-6, score, 1.0]))) < 1e-9
+    assert isolation.calibrate(score, np.ones(80, bool)) == 1.0
+
+
+def test_targets_are_brute_force():
+    """Water filling by small steps: each source takes by weight until it is full."""
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        sizes = [int(s) for s in rng.integers(1, 1000, size=rng.integers(1, 9))]
+        weights = [(1.0, 2.0, 3.0)[k % 3] for k in range(len(sizes))]
+        # The level at which sum(min(3 size, weight * level)) is all words, by bisection.
+        low, high = 0.0, 1e7
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if sum(min(3 * s, w * middle) for s, w in zip(sizes, weights)) < sum(sizes) else (low, middle)
+        assert np.allclose(mixing.targets(sizes, weights), [min(3 * s, w * high) for s, w in zip(sizes, weights)], rtol=1e-6)
