@@ -255,7 +255,13 @@ def library_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.library_complexity(dedup.duplication(_dedup(spark, sf_dir), "l_linestatus"))
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS i FROM lineitem),
+ s(l_orderkey, i, supps, parts, kept) AS (SELECT l_orderkey, i, [l_suppkey], [l_partkey], true FROM r WHERE i = 1 UNION ALL
+  SELECT l_orderkey, i, CASE WHEN dup THEN supps ELSE list_append(supps, l_suppkey) END, CASE WHEN dup THEN parts ELSE list_append(parts, l_partkey) END, NOT dup
+  FROM (SELECT r.l_orderkey, r.i, supps, parts, l_suppkey, l_partkey, list_contains(supps, l_suppkey) OR list_contains(parts, l_partkey) AS dup FROM s JOIN r ON r.l_orderkey = s.l_orderkey AND r.i = s.i + 1)),
+ k AS (SELECT r.* FROM r JOIN s USING (l_orderkey, i) WHERE kept),
+ c AS (SELECT r.l_orderkey, coalesce(CASE WHEN a.i <= r.i THEN a.i END, CASE WHEN b.i <= r.i THEN b.i END) AS i FROM r LEFT JOIN k a ON a.l_orderkey = r.l_orderkey AND a.l_suppkey = r.l_suppkey LEFT JOIN k b ON b.l_orderkey = r.l_orderkey AND b.l_partkey = r.l_partkey)
+ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, count(*) AS dc FROM c JOIN k USING (l_orderkey, i) GROUP BY ALL""")
 def dedup_or_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", *_ORDER)
     # The two columns are alternatives of their own: equal numbers of both are no common key.
