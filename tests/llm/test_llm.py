@@ -546,3 +546,20 @@ def test_targets_are_brute_force():
             middle = (low + high) / 2
             low, high = (middle, high) if sum(min(3 * s, w * middle) for s, w in zip(sizes, weights)) < sum(sizes) else (low, middle)
         assert np.allclose(mixing.targets(sizes, weights), [min(3 * s, w * high) for s, w in zip(sizes, weights)], rtol=1e-6)
+
+
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_components_by_rounds_and_in_one_task(spark, monkeypatch, few):
+    from brindle.llm import components as module
+
+    monkeypatch.setattr(module, "FEW", few)
+    rng = np.random.default_rng(few)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 60, size=(45, 2))] + [(100 + k, 101 + k) for k in range(6)] + [(7, 7)]
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    frame = spark.createDataFrame([*edges, (None, 3)], "a long, b long")
+    got = {r["id"]: r["component"] for r in module.components(frame).collect()}
+    assert got == {x: root[x] for e in edges if e[0] != e[1] for x in e}
+    assert module.components(frame.limit(0)).count() == 0
