@@ -136,6 +136,17 @@ def calibrate(score: np.ndarray, good: np.ndarray) -> float:
     return float((s[k] + s[k + 1]) / 2) if k + 1 < len(s) else float(np.nextafter(s[k], 0))
 
 
+def fitted(table: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[str, float]:
+    """(forest as JSON, threshold) of a written table of statistics, from bounded samples."""
+    passed = table.where(~F.col("base_failed"))
+    sample = sampled(passed, fit_rows, 0)
+    marked = labels.where("quality IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
+    known = sampled(materialize(passed.join(marked, "doc_id"), "known"), fit_rows, 1)
+    names = [c.split()[0] for c in STATISTICS.split(", ")]
+    model = fit_forest(features(sample[names]))
+    return json.dumps(model), calibrate(anomaly(model, features(known)), known["quality"].to_numpy() == 1)
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """SCHEMA plus anomaly double and kept boolean for each row with an id; null texts count as empty.
 
@@ -146,14 +157,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     rows give repeated results; other columns are ignored.
     """
     table = materialize(statistics(docs, id_column, text_column), "statistics")
-    passed = table.where(~F.col("base_failed"))
-    names = [c.split()[0] for c in STATISTICS.split(", ")]
-    sample = sampled(passed, fit_rows, 0)
-    marked = labels.where("quality IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
-    known = sampled(materialize(passed.join(marked, "doc_id"), "known"), fit_rows, 1)
-    model = fit_forest(features(sample[names]))
-    threshold = calibrate(anomaly(model, features(known)), known["quality"].to_numpy() == 1)
-    text = json.dumps(model)
+    text, threshold = fitted(table, labels, fit_rows)
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forest = json.loads(text)
@@ -163,3 +167,22 @@ def quality_rules(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
             yield frame
 
     return table.mapInPandas(judge, SCHEMA + ", anomaly double, kept boolean")
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of docs that quality_rules keeps, with all their columns: each is judged by its own text where it lies, so no text is shuffled.
+
+    Rows without an id take no part in the fit, but are judged like others; rows that repeat an id are judged each by its own text.
+    """
+    text, threshold = fitted(materialize(statistics(docs, id_column, text_column), "statistics"), labels, fit_rows)
+    names = [c.split()[0] for c in STATISTICS.split(", ")][1:]
+
+    @F.pandas_udf("boolean")
+    def kept(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forest = json.loads(text)
+        for part in parts:
+            frame = pd.DataFrame([rule_statistics(t) for t in part], columns=names)
+            failed = (frame["n_words"] < 50) | (100 * frame["n_repeat_words"] > 50 * frame["n_words"])
+            yield ~failed & (anomaly(forest, features(frame)) <= threshold)
+
+    return docs.where(kept(F.col(text_column).cast("string")))

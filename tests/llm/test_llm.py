@@ -563,3 +563,12 @@ def test_components_by_rounds_and_in_one_task(spark, monkeypatch, few):
     got = {r["id"]: r["component"] for r in module.components(frame).collect()}
     assert got == {x: root[x] for e in edges if e[0] != e[1] for x in e}
     assert module.components(frame.limit(0)).count() == 0
+
+
+def test_kept_documents_are_those_of_quality_rules(spark):
+    documents, labels = given(spark, "documents"), given(spark, "labels")
+    judged = {r["doc_id"] for r in isolation.quality_rules(documents, labels).where("kept").collect()}
+    assert {r["doc_id"] for r in isolation.kept_documents(documents, labels).collect()} == judged
+    odd = isolation.kept_documents(docs(spark), labels)
+    assert odd.columns == docs(spark).columns and sorted(r["doc_id"] for r in odd.collect() if r["doc_id"] in (1, 2)) == [1, 2]
+    assert isolation.kept_documents(docs(spark).limit(0), labels).count() == 0
