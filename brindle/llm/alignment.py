@@ -60,7 +60,7 @@ class TwoTokenizers:
 
             with open(ranks, "rb") as file:
                 table = {base64.b64decode(x): int(y) for x, y in map(bytes.split, file)}
-            self.quick = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
+            self.quick = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_to_numpy
         letters = byte_letters()
         entries = self.library.get_vocab(with_added_tokens=True)
         self.bytes_a = [b""] * (max(entries.values()) + 1)
@@ -77,18 +77,18 @@ class TwoTokenizers:
     def _spelled(self, ids: list[int], raw: bytes, spell: list[bytes]) -> bool:
         return b"".join(map(spell.__getitem__, ids)) == raw
 
-    def _tokens_a(self, text: str) -> list[int] | None:
+    def _tokens_a(self, text: str) -> np.ndarray | None:
         whole = " " + text
         if self.quick is not None and PLAIN.fullmatch(text):
-            return self.quick(whole)  # ranks of bytes: it spells what it reads
+            return self.quick(whole, disallowed_special=()).astype(np.int64)  # ranks of bytes: it spells what it reads
         ids = self.library.encode(whole, add_special_tokens=False).ids
-        return ids if self._spelled(ids, whole.encode("utf-8", "surrogatepass"), self.bytes_a) else None
+        return np.array(ids, dtype=np.int64) if self._spelled(ids, whole.encode("utf-8", "surrogatepass"), self.bytes_a) else None
 
-    def _tokens_b(self, text: str) -> list[int] | None:
+    def _tokens_b(self, text: str) -> np.ndarray | None:
         ids = self.pieces.encode(text)
-        return ids if self._spelled(ids, b" " + text.encode("utf-8", "surrogatepass"), self.bytes_b) else None
+        return np.array(ids, dtype=np.int64) if self._spelled(ids, b" " + text.encode("utf-8", "surrogatepass"), self.bytes_b) else None
 
-    def segments(self, text: str) -> Iterator[tuple[list[int], list[int]] | None]:
+    def segments(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """The tokens of a text, which both read with a space before it, in parts that end where a token of both ends; None where a part's bytes are not the text's."""
         start = 0
         while start <= len(text):
@@ -104,18 +104,21 @@ class TwoTokenizers:
             start = end + 1
 
 
-def diagonals(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int, bool]]:
-    """Runs (i, j, k, l, straight): tokens i to k of A and j to l of B (half-open) are k - i one-to-one groups where straight, else one group.
+def diagonals(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, list[int], list[int], np.ndarray]:
+    """(straight, a, b, irregular) of two strictly rising arrays with the same last end.
 
-    The arrays are strictly rising and have the same last end.
+    straight are rows (i, j, n): n tokens from i of A and from j of B that go one to one. a and b are the indexes of overlapping
+    tokens of all other groups, and irregular rows (i, j) of the last tokens of each of these.
     """
     i = j = 0
-    n, runs = len(ends_a), []
+    n, straight, irregular = len(ends_a), [], []
+    link_a: list[int] = []
+    link_b: list[int] = []
     while i < n:
         x, y = ends_a[i], ends_b[j]
-        first, second = i, j
         if x == y:
             # Ends at this shift, in runs each twice as long as the last; behind the first that differs, half as long each.
+            first, second = i, j
             i, j, width = i + 1, j + 1, 2
             while ends_a[i : i + width] == ends_b[j : j + width] and i + width <= n:
                 i, j, width = i + width, j + width, 2 * width
@@ -123,11 +126,13 @@ def diagonals(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int,
                 width >>= 1
                 if i + width <= n and ends_a[i : i + width] == ends_b[j : j + width]:
                     i, j = i + width, j + width
-            runs.append((first, second, i, j, True))
+            straight += (first, second, i - first)
             if i == n:
                 break
-            first, second, x, y = i, j, ends_a[i], ends_b[j]
-        # An irregular group, up to the next common end; the shift is then another, or the same again.
+            x, y = ends_a[i], ends_b[j]
+        # An irregular group, end by end up to the next common one; the shift is then another, or the same again.
+        link_a.append(i)
+        link_b.append(j)
         while x != y:
             if x < y:
                 i += 1
@@ -135,36 +140,18 @@ def diagonals(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int,
             else:
                 j += 1
                 y = ends_b[j]
+            link_a.append(i)
+            link_b.append(j)
+        irregular += (i, j)
         i, j = i + 1, j + 1
-        runs.append((first, second, i, j, False))
-    return runs
+    return np.array(straight, dtype=np.int64).reshape(-1, 3), link_a, link_b, np.array(irregular, dtype=np.int64).reshape(-1, 2)
 
 
-def straight_tokens(runs: list[tuple[int, int, int, int, bool]]) -> tuple[np.ndarray, np.ndarray]:
+def straight_tokens(straight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(A's indexes, B's indexes) of one-to-one groups."""
-    own = np.array([r[:4] for r in runs if r[4]], dtype=np.int64).reshape(-1, 4)
-    size = own[:, 2] - own[:, 0]
+    size = straight[:, 2]
     within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    return np.repeat(own[:, 0], size) + within, np.repeat(own[:, 1], size) + within
-
-
-def irregular_links(ends_a: list[int], ends_b: list[int], runs: list[tuple[int, int, int, int, bool]]) -> tuple[list[int], list[int]]:
-    """(A's indexes, B's indexes) of overlapping tokens of the other groups, step by step through each."""
-    a: list[int] = []
-    b: list[int] = []
-    for i, j, k, l, straight in runs:
-        if straight:
-            continue
-        a.append(i)
-        b.append(j)
-        while i + 1 < k or j + 1 < l:
-            if ends_a[i] < ends_b[j]:
-                i += 1
-            else:
-                j += 1
-            a.append(i)
-            b.append(j)
-    return a, b
+    return np.repeat(straight[:, 0], size) + within, np.repeat(straight[:, 1], size) + within
 
 
 def names(size: int, last: str) -> np.ndarray:
@@ -200,14 +187,13 @@ def _aligned(text: str | None, both: TwoTokenizers, names_a: np.ndarray, names_b
     for part in both.segments(text):
         if part is None:
             return nothing
-        a, b = np.array(part[0], dtype=np.int64), np.array(part[1], dtype=np.int64)
+        a, b = part
         ends_a, ends_b = np.cumsum(both.size_a[a]).tolist(), np.cumsum(both.size_b[b]).tolist()
-        runs = diagonals(ends_a, ends_b)
-        (one_a, one_b), (more_a, more_b) = straight_tokens(runs), irregular_links(ends_a, ends_b, runs)
+        straight, more_a, more_b, irregular = diagonals(ends_a, ends_b)
+        one_a, one_b = straight_tokens(straight)
         last_a, last_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
         last_a[one_a] = last_b[one_b] = True
-        crooked = np.array([r[2:4] for r in runs if not r[4]], dtype=np.int64).reshape(-1, 2) - 1
-        last_a[crooked[:, 0]] = last_b[crooked[:, 1]] = True
+        last_a[irregular[:, 0]] = last_b[irregular[:, 1]] = True
         groups = group_text(a, b, last_a, last_b, names_a, names_b)
         state.update((";" * bool(n_a) + groups).encode())
         if with_groups:
@@ -221,7 +207,7 @@ def _aligned(text: str | None, both: TwoTokenizers, names_a: np.ndarray, names_b
 @lru_cache(maxsize=1)
 def _squeezer() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
     """One of each for a worker: a new one costs more than a document's pairs."""
-    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def _packed(pairs: np.ndarray, times: np.ndarray) -> bytes:

@@ -112,12 +112,19 @@ def test_diagonals_skip_runs_and_update_the_shift():
         common = sorted(rng.sample(range(1, 200), size))
         more = lambda: sorted({*common, *rng.sample(range(1, common[-1] + 1), min(common[-1], rng.randrange(8)))})
         a, b = more(), more()
+        straight, link_a, link_b, irregular = alignment.diagonals(a, b)
         cuts = []
-        for i, j, k, l, straight in alignment.diagonals(a, b):
-            assert straight == (a[i] == b[j])
-            cuts += a[i:k] if straight else [a[k - 1]]
-            assert a[k - 1] == b[l - 1]
-        assert cuts == sorted(set(a) & set(b))
+        for i, j, n in straight.tolist():
+            assert a[i : i + n] == b[j : j + n]
+            cuts += a[i : i + n]
+        for i, j in irregular.tolist():
+            assert a[i] == b[j]
+            cuts.append(a[i])
+        assert sorted(cuts) == sorted(set(a) & set(b))
+        one_a, one_b = (x.tolist() for x in alignment.straight_tokens(straight))
+        begin = lambda ends, k: ends[k - 1] if k else 0
+        want = [(k, m) for k in range(len(a)) for m in range(len(b)) if begin(a, k) < b[m] and begin(b, m) < a[k]]
+        assert sorted(zip(one_a + link_a, one_b + link_b)) == want
 
 
 def test_very_long_text_repeats_null_ids_and_empty_table(spark, whole):
