@@ -196,5 +196,6 @@ def efficiency_report(counts: DataFrame, n_tags: int) -> DataFrame:
     every = counts.sparkSession.range(n_tags + 1).select(F.col("id").cast("int").alias("n_found"))
     known = every.join(counts.select("n_found", "n_reads"), "n_found", "left").withColumn("n_reads", F.coalesce("n_reads", F.lit(0)))
     total = counts.agg(F.sum("n_reads").alias("all"))
+    # Fixed value: the wording of a line.
     share = F.format_string("%.1f", F.coalesce(100 * F.col("n_reads") / F.col("all"), F.lit(0.0)))
     return known.crossJoin(F.broadcast(total)).select(F.col("n_found").alias("line_no"), F.concat(F.col("n_reads").cast("string"), F.lit(" ("), share, F.lit("%) reads found with "), F.col("n_found").cast("string"), F.lit(" tags")).alias("line"))

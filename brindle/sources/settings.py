@@ -176,6 +176,7 @@ def discover_samples(folder: str) -> dict[str, dict[str, list[str]]]:
     out: dict[str, dict[str, list[str]]] = {}
     for top, _, names in os.walk(folder):
         for name in sorted(names):
+            # Fixed value: how the files of a sample are named.
             if found := re.fullmatch(r"(.+)_(R[12]).(fastq.gz|fq.gz|fastq|fq)", name):
                 out.setdefault(found[1], {}).setdefault(found[2], []).append(os.path.join(top, name))
     return out
