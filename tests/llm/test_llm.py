@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import json
 import re
 import zlib
 
@@ -525,6 +526,27 @@ def test_anomaly_is_the_recursive_path_length():
     assert isolation.anomaly(model, far)[0] > max(isolation.anomaly(model, x)) - 1e-9
 
 
+def test_forest_and_threshold_are_of_all_rows(spark):
+    """More rows than any bounded sample had, in partitions of any size, some of them empty."""
+    rows = spark.range(21_000).select(
+        F.col("id").alias("doc_id"),
+        (50 + F.col("id") % 97).alias("n_words"),
+        (300 + F.col("id") % 211).alias("word_chars"),
+        (F.pmod(F.xxhash64("id"), F.lit(7)) + F.when(F.col("id") == 20_001, 40).otherwise(0)).alias("n_symbols"),
+        (F.col("id") % 3).alias("n_marks"),
+        (F.col("id") % 90).alias("n_upper"),
+        *[F.lit(0).cast("long").alias(c) for c in ("n_dup_lines", "n_repeat_words", "n_distinct")],
+        (F.col("id") % 50 == 0).alias("base_failed"),
+    )
+    labels = rows.select("doc_id", F.when(F.col("n_symbols") > 4, 0).otherwise(1).alias("quality"))
+    text, threshold = isolation.fitted(rows.repartition(5).union(rows.limit(0)), labels)
+    frame = rows.where("NOT base_failed").toPandas()
+    x = isolation.features(frame)
+    whole = isolation.fit_forest(x)
+    assert json.loads(text) == whole
+    assert threshold == isolation.calibrate(isolation.anomaly(whole, x), frame["n_symbols"].to_numpy() <= 4) < 1
+
+
 def test_threshold_is_brute_force():
     rng = np.random.default_rng(2)
     score, good = np.round(rng.random(80), 2), rng.random(80) < 0.7
