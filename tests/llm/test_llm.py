@@ -205,6 +205,22 @@ def test_harmonic_bins():
     assert full <= sum(n // 1024 for n in sizes) + 2.5 * len(sizes)
 
 
+def test_pipeline_rules_learn_from_all_documents(spark, tmp_path):
+    n = 21_000
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(F.lit("w"), F.pmod(F.xxhash64("id", k), F.lit(1000) + F.pow(10, F.col("id") % 7).cast("long")))), " ")
+    text = F.concat(text, F.repeat(F.lit(" #|"), F.when(F.col("id") % 12 == 0, F.col("id") % 31).otherwise(F.pmod(F.xxhash64("id"), F.col("id") % 14 + 1)).cast("int")))
+    frame = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("a").alias("source"), F.lit(0).cast("long").alias("n_chars"))
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 12 == 0, 0).otherwise(1).alias("quality")).write.parquet(str(tmp_path / "labels.parquet"))
+    documents = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"] for r in corpus_pipeline.rules(spark, documents, str(tmp_path)).select("doc_id").collect()}
+    rows = isolation.statistics(documents).where("NOT base_failed").toPandas()
+    x = isolation.features(rows)
+    score = isolation.anomaly(isolation.fit_forest(x), x)
+    threshold = isolation.calibrate(score, rows["doc_id"].to_numpy() % 12 != 0)
+    assert got == set(rows["doc_id"][score <= threshold]) and 0 < len(got) < len(rows) and len(rows) > 20_000
+
+
 def test_quota_tree():
     got = mixing.split_quotas([100, 7, 0, 3000], 8, 1)
     assert got.sum(axis=0).tolist() == [100, 7, 0, 3000] and max(got.sum(axis=1)) - min(got.sum(axis=1)) <= 1 and (got >= 0).all()
