@@ -49,7 +49,8 @@ SLACK, RATIO = 0.05, 1.5
 LEVELS = 64
 #: Bytes of the lists of removed nodes up to which they are broadcast, and parts of a host in the join beyond.
 SMALL, SALTS = 64_000_000, 64
-_SPACE = re.compile(r"\s+")
+#: Tags of nothing but a name.
+_OPENING, _CLOSING = re.compile(r"<([a-zA-Z][a-zA-Z0-9]*)>"), re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)>")
 _PARTS = re.compile(r"[-_]+")
 _DIGITS = re.compile(r"[0-9]+")
 _SENTENCE = re.compile(r"(?<=[.!?;:\u00b7|])\s+")
@@ -57,12 +58,13 @@ _MASK = 2**64 - 1
 
 
 class Node:
-    __slots__ = ("tag", "names", "children", "parent", "key", "size", "holds", "inside")
+    __slots__ = ("tag", "names", "children", "parent", "key", "texts", "own", "size", "holds", "inside")
 
     def __init__(self, tag: str, names: str, parent: "Node | None") -> None:
         self.tag, self.names, self.parent = tag, names, parent
         self.children: list[Node | str] = []
-        self.key = self.size = 0
+        self.key = self.own = self.size = 0
+        self.texts: list[str] = []
         self.holds = False
         self.inside = parent is not None and (parent.inside or parent.tag == "article")
 
@@ -84,10 +86,31 @@ class _Builder(HTMLParser):
             self.open[self.at.tag] -= 1
             self.at = self.at.parent
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Lines are not counted."""
+        return j
+
+    def parse_starttag(self, i: int) -> int:
+        """Tags without attributes at once, but for those whose content is read otherwise."""
+        plain = _OPENING.match(self.rawdata, i)
+        if plain and (tag := plain[1].lower()) in BLOCK:
+            self.handle_starttag(tag, [])
+            return plain.end()
+        return super().parse_starttag(i)
+
+    def parse_endtag(self, i: int) -> int:
+        plain = _CLOSING.match(self.rawdata, i) if self.cdata_elem is None else None
+        if plain:
+            self.handle_endtag(plain[1].lower())
+            return plain.end()
+        return super().parse_endtag(i)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        known = dict(attrs)
-        names = " ".join(str(known.get(a) or "") for a in ("class", "id", "role"))
-        hidden = "hidden" in known or known.get("aria-hidden") == "true"
+        names, hidden = "", False
+        if attrs:
+            known = dict(attrs)
+            names = " ".join([str(known.get(a) or "") for a in ("class", "id", "role")])
+            hidden = "hidden" in known or known.get("aria-hidden") == "true"
         if (tag in CLOSERS or (tag in BLOCK and tag != "br" and self.at.tag == "p")) and (self.open[tag] or self.open["p"]):
             like = self.at
             while like.parent is not None and like.tag not in HOLDERS and like.tag not in (tag, "p"):
@@ -122,8 +145,13 @@ def stable(names: str) -> str:
     return " ".join(sorted({w for w in _DIGITS.sub("", names).split() if w}))
 
 
-def tree_of(html: str) -> Node:
-    """The tree of a page: each node's key names its path, size is the length of its visible words, and holds tells whether a non-empty article or main is in it."""
+@lru_cache(maxsize=10_000)
+def _label(tag: str, names: str) -> bytes:
+    return f"{tag} {stable(names)}".encode("utf-8", "surrogatepass")
+
+
+def _ordered(html: str) -> list[Node]:
+    """The visible nodes of a page, parents first; each node's key names its path."""
     builder = _Builder()
     builder.feed(html)
     builder.close()
@@ -134,13 +162,26 @@ def tree_of(html: str) -> Node:
             order.append(node)
             for child in node.children:
                 if isinstance(child, Node):
-                    child.key = xxhash.xxh64_intdigest(f"{child.tag} {stable(child.names)}".encode("utf-8", "surrogatepass"), seed=node.key)
+                    child.key = xxhash.xxh64_intdigest(_label(child.tag, child.names), seed=node.key)
                     todo.append(child)
+    return order
+
+
+def tree_of(html: str) -> list[Node]:
+    """The visible nodes of a page, parents first: texts are the node's own with single spaces, own is their length in visible letters and size that of the branch, and holds tells whether a non-empty article or main is in it."""
+    order = _ordered(html)
     for node in reversed(order):
-        inner = [c for c in node.children if isinstance(c, Node)]
-        node.size = sum(c.size for c in inner) + sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
-        node.holds = node.size > 0 and (node.tag in ("article", "main") or any(c.holds for c in inner))
-    return builder.root
+        for text in node.children:
+            if isinstance(text, str) and not text.isspace():
+                text = " ".join(text.split())
+                node.texts.append(text)
+                node.own += len(text) - text.count(" ")
+        node.size += node.own
+        node.holds = node.size > 0 and (node.holds or node.tag in ("article", "main"))
+        if node.parent is not None:
+            node.parent.size += node.size
+            node.parent.holds |= node.holds
+    return order
 
 
 @lru_cache(maxsize=10_000)
@@ -176,7 +217,7 @@ def blocks(root: Node, removed) -> list[tuple[Node, str]]:
     held: list[str] = []
 
     def flush(owner: Node) -> None:
-        text = _SPACE.sub(" ", "".join(held)).strip()
+        text = " ".join("".join(held).split())
         held.clear()
         if text:
             out.append((owner, text))
@@ -210,41 +251,47 @@ ROOT = 0
 
 def page_nodes(html: str) -> dict[tuple[int, int, int], list[int]]:
     """Facts (node, kind, value) of a page with [n, mass], of the nodes that have visible text."""
-    root = tree_of(html)
+    order = tree_of(html)
     out: dict[tuple[int, int, int], list[int]] = {}
+    placed: set[int] = set()
 
     def told(node: int, kind: int, value: int, once: bool, mass: int = 0) -> None:
-        fact = out.setdefault((node, kind, value), [0, 0])
-        fact[0] = 1 if once else fact[0] + 1
-        fact[1] += mass
-
-    todo = [root]
-    while todo:
-        node = todo.pop()
-        inner = [c for c in node.children if isinstance(c, Node) and not c.silent()]
-        texts = [c for c in node.children if isinstance(c, str) and not c.isspace()]
-        told(node.key, INFO, node.parent.key if node.parent else 0, True, sum(len("".join(t.split())) for t in texts))
-        told(node.key, STYLE, xxhash.xxh64_intdigest(" ".join(c.tag for c in inner)), False)
-        for text in texts:
-            for sentence in _SENTENCE.split(_SPACE.sub(" ", text).strip()):
-                told(node.key, TEXT, xxhash.xxh64_intdigest(sentence.encode("utf-8", "surrogatepass")), True)
-        if texts or len(inner) > 1:
+        fact = out.get((node, kind, value))
+        if fact is None:
+            out[node, kind, value] = [1, mass]
+        else:
+            fact[0] = 1 if once else fact[0] + 1
+            fact[1] += mass
+
+    for node in order:
+        # Of a branch without visible text only the root counts.
+        if not node.size and node.parent is not None:
+            continue
+        key = node.key
+        inner = [c.tag for c in node.children if isinstance(c, Node) and not c.silent()]
+        told(key, INFO, node.parent.key if node.parent else 0, True, node.own)
+        told(key, STYLE, xxhash.xxh64_intdigest(" ".join(inner)), False)
+        for text in node.texts:
+            for sentence in _SENTENCE.split(text):
+                told(key, TEXT, xxhash.xxh64_intdigest(sentence.encode("utf-8", "surrogatepass")), True)
+        # Nodes of one key have one path.
+        if (node.texts or len(inner) > 1) and key not in placed:
+            placed.add(key)
             branch = node
             for _ in range(LEVELS):
-                told(node.key, WITHIN, branch.key, True)
+                out[key, WITHIN, branch.key] = [1, 0]
                 branch = branch.parent
                 if branch is None:
                     break
         if node.holds:
-            told(node.key, HOLDS, 0, True)
-        elif 2 * node.size <= root.size and surrounds(node):
-            told(node.key, NAMES, 0, True)
+            told(key, HOLDS, 0, True)
+        elif 2 * node.size <= order[0].size and surrounds(node):
+            told(key, NAMES, 0, True)
         # Headings say the same on many pages and are text all the same; inline parts go with their block.
         if node.tag in HEADINGS:
-            told(node.key, INFO, HEADING, True)
+            told(key, INFO, HEADING, True)
         elif node.tag not in BLOCK and node.tag not in ASIDE:
-            told(node.key, INFO, INLINE, True)
-        todo.extend(c for c in inner if c.size)
+            told(key, INFO, INLINE, True)
     return out
 
 
@@ -252,7 +299,7 @@ def main_text(html: str | None, low: set[int]) -> str:
     """The page's text without the branches whose keys are in low."""
     if not html:
         return ""
-    return "\n".join(t for _, t in blocks(tree_of(html), lambda n: n.silent() or n.key in low))
+    return "\n".join(t for _, t in blocks(_ordered(html)[0], lambda n: n.silent() or n.key in low))
 
 
 def host_of(url_column: str):
@@ -264,16 +311,21 @@ def node_facts(pages: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in portions(frames, "html"):
-            found: dict[tuple, list[int]] = {}
+            found: dict[str, dict[tuple[int, int, int], list[int]]] = {}
             for host, html in zip(frame["host"], frame["html"]):
-                for fact, (n, mass) in page_nodes(html).items() if html else ():
-                    total = found.setdefault((host, *fact), [0, 0])
-                    total[0] += n
-                    total[1] += mass
-            hosts = [k[0] for k in found]
-            ids = np.array([(k[1] & _MASK, k[3] & _MASK) for k in found], dtype=np.uint64).reshape(-1, 2).view(np.int64)
-            sums = np.array(list(found.values()), dtype=np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"host": hosts, "node": ids[:, 0], "kind": np.array([k[2] for k in found], dtype=np.int32), "value": ids[:, 1], "n": sums[:, 0], "mass": sums[:, 1]})
+                known = found.setdefault(host, {})
+                for fact, sums in page_nodes(html).items() if html else ():
+                    total = known.get(fact)
+                    if total is None:
+                        known[fact] = sums
+                    else:
+                        total[0] += sums[0]
+                        total[1] += sums[1]
+            hosts = np.repeat(np.array(list(found), dtype=object), [len(known) for known in found.values()])
+            facts = [fact for known in found.values() for fact in known]
+            ids = [np.array([fact[k] & _MASK for fact in facts], dtype=np.uint64).view(np.int64) for k in (0, 2)]
+            sums = np.array([total for known in found.values() for total in known.values()], dtype=np.int64).reshape(-1, 2)
+            yield pd.DataFrame({"host": hosts, "node": ids[0], "kind": np.array([fact[1] for fact in facts], dtype=np.int32), "value": ids[1], "n": sums[:, 0], "mass": sums[:, 1]})
 
     facts = pages.mapInPandas(run, "host string, node long, kind int, value long, n long, mass long")
     return facts.groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"))

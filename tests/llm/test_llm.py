@@ -4,6 +4,7 @@ import collections
 import hashlib
 import json
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -563,6 +564,23 @@ def test_forest_and_threshold_are_of_all_rows(spark):
     assert threshold == isolation.calibrate(isolation.anomaly(whole, x), frame["n_symbols"].to_numpy() <= 4) < 1
 
 
+def test_a_page_is_read_in_few_calls():
+    """The cost of a page as Python calls, which do not vary: its tags are read at once, and nodes of one path tell it once."""
+    page = "<html><body><div><nav><ul>" + "<li>menu</li>" * 20 + "</ul></nav><article>" + "<p>Some <b>text</b> here.</p>" * 100 + "</article></div></body></html>"
+    calls = collections.Counter()
+
+    def count(frame, event, arg):
+        calls[event] += 1
+
+    for read in (html_tree.page_nodes, lambda html: html_tree.main_text(html, set())):
+        sys.setprofile(count)
+        try:
+            read(page)
+        finally:
+            sys.setprofile(None)
+    assert calls["call"] < 12_000
+
+
 def test_threshold_is_brute_force():
     rng = np.random.default_rng(2)
     score, good = np.round(rng.random(80), 2), rng.random(80) < 0.7
