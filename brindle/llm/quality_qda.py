@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .isolation import statistics
-from .storage import materialize, sampled
+from .storage import materialize
 
 #: Shrinkage of a class covariance: towards the pooled one, then towards its mean variance.
 POOL, RIDGE = 0.3, 0.05
-#: Labelled rows, of smallest hashed id, on which the scores are scaled to probabilities, at most.
-SCALE_ROWS = 50_000
+#: Newton steps at most that scale the scores to probabilities, and the length, as a share of the coefficients, below which a step is the last.
+STEPS, STILL = 30, 1e-9
 
 
 def transformed(frame: pd.DataFrame) -> np.ndarray:
@@ -67,23 +67,41 @@ def squash(z: np.ndarray) -> np.ndarray:
     return np.sign(z) * np.log1p(np.abs(z))
 
 
-def scale_fit(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve through squashed margins, by Newton steps with a little ridge."""
-    a = np.stack([squash(z), np.ones(len(z))], axis=1)
+def scale_fit(measure: Callable[[float, float], tuple[float, ...]]) -> tuple[float, float]:
+    """Slope and intercept of a logistic curve through squashed margins, by Newton steps with a little ridge.
+
+    measure gives the sums over all rows, at a slope and an intercept, of error * z, error, weight * z * z, weight * z and
+    weight: error is the probability less the label, weight its variance. It is asked once for each step.
+    """
     w = np.array([1.0, 0.0])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (p - y) + 1e-3 * w
-        curvature = (a * (p * (1 - p))[:, None]).T @ a + 1e-3 * np.eye(2)
-        w = w - np.linalg.solve(curvature, gradient)
+    for _ in range(STEPS):
+        ez, e, wzz, wz, ww = measure(float(w[0]), float(w[1]))
+        gradient = np.array([ez, e]) + 1e-3 * w
+        curvature = np.array([[wzz, wz], [wz, ww]]) + 1e-3 * np.eye(2)
+        step = np.linalg.solve(curvature, gradient)
+        w = w - step
+        if np.abs(step).max() <= STILL * (1 + np.abs(w).max()):
+            break
     return float(w[0]), float(w[1])
 
 
+def scaled(margins: DataFrame) -> tuple[float, float]:
+    """scale_fit() over all rows of a written table of squashed margins z and labels y; only five sums a step reach the driver."""
+
+    def measure(slope: float, level: float) -> tuple[float, ...]:
+        line = F.lit(slope) * F.col("z") + F.lit(level)
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), line))))
+        rows = margins.select("z", (p - F.col("y")).alias("e"), (p * (1 - p)).alias("w"))
+        return tuple(rows.agg(F.sum(F.expr("e * z")), F.sum("e"), F.sum(F.expr("w * z * z")), F.sum(F.expr("w * z")), F.sum("w")).first())
+
+    return scale_fit(measure)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row with an id: score is the probability of quality 1, predicted 1 from 0.3.
 
     Rows whose crc32(doc_id as text) mod 5 is 0 are held out: their labels are never read. Class moments are summed over
-    all other labelled rows; at most SCALE_ROWS of them scale the scores. Labels other than 0 and 1 are ignored, of
+    all other labelled rows, and all of them scale the scores. Labels other than 0 and 1 are ignored, of
     several for an id the larger counts. If a class has no label, every score is the share of label 1 (0.5 without
     labels). Null and empty texts are scored as texts without words. Repeated rows repeat; an empty table gives no rows.
     """
@@ -111,8 +129,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     flat = sum(n for c, (n, _, _) in found.items() if c == 1) / max(sum(n for n, _, _ in found.values()), 1) if found else 0.5
     slope, level = 1.0, 0.0
     if model:
-        sample = sampled(known, SCALE_ROWS, 0)
-        slope, level = scale_fit(margin(model, transformed(sample)), sample["quality"].to_numpy(float))
+
+        def margins(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yield pd.DataFrame({"z": squash(margin(model, transformed(frame))), "y": frame["quality"].to_numpy(float)})
+
+        slope, level = scaled(materialize(known.mapInPandas(margins, "z double, y double"), "margins"))
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,25 +69,6 @@ def bounded(rows: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
-def sampled(rows: DataFrame, most: int, seed: int) -> pd.DataFrame:
-    """At most `most` rows (doc_id and others) on the driver: those of smallest hashed id.
-
-    Hashes are uniform, so those below a threshold are a few more than `most` rows; only they reach the driver, whatever the
-    number of partitions. A repeated id may bring more rows; of them too, no more than `most` stay.
-    """
-    total = rows.count()
-    share = (most + 10 * most**0.5 + 100) / max(total, 1)
-    key = F.xxhash64("doc_id", F.lit(seed))
-    # Where ids repeat, fewer or more rows than expected lie below the threshold; it is widened until there are enough.
-    while share < 1:
-        part = rows.where(key < F.lit(int(-(2**63) + share * 2**64)))
-        if part.count() >= most:
-            rows = part
-            break
-        share *= 2
-    return rows.withColumn("_order", key).orderBy("_order", "doc_id").limit(most).drop("_order").toPandas()
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -528,6 +528,22 @@ def test_quality_scores_rank_held_out_rows_that_labels_never_reach(spark):
     assert all(abs(again[r["doc_id"]] - r["score"]) < 1e-9 for r in rows)
 
 
+def test_all_labelled_rows_scale_the_scores(spark):
+    """More labelled rows than any bounded sample had: over all of them the likelihood of the scores is at its top."""
+    hashed = F.pmod(F.xxhash64("id"), F.lit(10)).cast("int")
+    text = F.concat_ws(" ", F.repeat(F.lit("Word some, "), F.pmod(F.col("id"), F.lit(4)).cast("int") + 1), F.repeat(F.lit("#! "), F.when(hashed < 4, F.col("id") % 5).otherwise(0).cast("int")), hashed)
+    documents = spark.range(66_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    labels = spark.range(66_000).select(F.col("id").alias("doc_id"), (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(100)) < F.when(hashed < 4, 30).otherwise(70)).cast("int").alias("quality"))
+    rows = isolation.statistics(documents).join(quality_qda.quality_scores(documents, labels), "doc_id").join(labels, "doc_id").where("NOT held_out").toPandas()
+    x, y, p = quality_qda.transformed(rows), rows["quality"].to_numpy(), rows["score"].to_numpy()
+    parts = {c: x[y == c] for c in (0, 1)}
+    model = quality_qda.discriminant({c: (float(len(v)), v.sum(axis=0), v.T @ v) for c, v in parts.items()})
+    z = quality_qda.squash(quality_qda.margin(model, x))
+    slope, level = np.polyfit(z, np.log(p / (1 - p)), 1)
+    assert len(rows) > 50_000 and np.allclose(np.log(p / (1 - p)), slope * z + level)
+    assert abs(((p - y) * z).sum() + 1e-3 * slope) < 1e-3 and abs((p - y).sum() + 1e-3 * level) < 1e-3
+
+
 def test_anomaly_is_the_recursive_path_length():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(300, 5))
