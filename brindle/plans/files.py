@@ -13,7 +13,7 @@ from ..sources import bam, bigwig, folder, ranges, text
 from .catalog import _COVER, _DNA, _cte, _reads, _spans, _table, query
 from .reads import _ODD, _odd
 
-# Ranges are small here, so that the given tables' files have several.
+# Ranges are small here, so that the given tables' files have several; where the work follows the tables' size, they grow with the files.
 _SPLIT = 1 << 14
 
 
@@ -46,7 +46,7 @@ def fasta_hard_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     chrom, start = F.col("c_custkey").cast("string").alias("chrom"), F.col("c_nationkey") * 37 + 20
     text.write_fasta(customers.select(chrom, F.repeat(pseudo_dna(F.col("c_name")), F.lit(40)).alias("seq")), path)
     mask = customers.select(chrom, start.cast("long").alias("start"), (start + 100).cast("long").alias("end"))
-    masked = intervals.hard_mask(ranges.read_fasta_windows(spark, path, window=256, split=_SPLIT), mask)
+    masked = intervals.hard_mask(ranges.read_fasta_windows(spark, path, window=256, split=ranges.split_for(spark, path, least=_SPLIT)), mask)
     bases = lambda letters: F.sum(F.length("seq") - F.length(F.translate("seq", letters, ""))).alias("n_a" if letters == "A" else "n_bases")
     return masked.groupBy("chrom", F.expr("offset div 256").alias("block")).agg(bases("ACGT"), bases("A"))
 

@@ -27,6 +27,9 @@ SPLIT, WINDOW, BATCH = 32 << 20, 1 << 16, 10_000
 #: Bytes before a place in which the line that it lies in is looked for. A FASTA header is shorter.
 HEADER = 1 << 16
 BLOCK = 1 << 20
+#: Ranges for each core that split_for aims at.
+SHARES = 4
+WHITE = b" \t\n\r\x0b\x0c"
 
 
 def files_of(*paths: str) -> list[str]:
@@ -51,6 +54,12 @@ def cut(paths: list[str], split: int) -> list[tuple[int, str, int, int]]:
     return out
 
 
+def split_for(spark: SparkSession, *paths: str, least: int = 1 << 20, most: int = SPLIT) -> int:
+    """Bytes of a range so that files are SHARES ranges a core, but no less than `least`, nor more than `most`: small files have several ranges, and large ones no more than their bytes need."""
+    total = sum(map(os.path.getsize, files_of(*paths)))
+    return min(max(total // (SHARES * spark.sparkContext.defaultParallelism), least), max(least, most))
+
+
 def fastq_start(file, at: int, size: int) -> int:
     """The first byte at or behind `at` where a FASTQ record begins: a line that begins with @, two lines before one that begins with +. No sequence begins with either."""
     if at <= 0:
@@ -112,9 +121,13 @@ class _Source(DataSource):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.options = options
+        self.options = {k: v for k, v in options.items() if k != "ranges"}
         self.ranges = json.loads(options["ranges"])
 
+    def __getstate__(self) -> dict:
+        """Without the ranges: each task gets its own, so what is sent does not grow with their square."""
+        return {"options": self.options}
+
     def partitions(self) -> list[InputPartition]:
         return [_Range(r) for r in self.ranges]
 
@@ -266,21 +279,23 @@ def fasta_parts(path: str, start: int, end: int) -> Iterator[tuple[str | None, b
         with open(path, "rb") as file:
             (at, fresh), (last, _) = fasta_start(file, start, size), fasta_start(file, end, size)
     with _opened(path, at) as file:
-        while last is None or at < last:
-            line = file.readline(BLOCK if last is None else min(BLOCK, last - at))
-            if not line:
-                return
-            at += len(line)
-            if fresh and line[:1] == b">":
-                while not line.endswith(b"\n") and (more := file.readline(BLOCK)):
-                    line, at = line + more, at + len(more)
-                yield (line[1:].split() or [b""])[0].decode(), b""
-                fresh = True
-                continue
-            fresh = line.endswith(b"\n")
-            bases = b"".join(line.split())
-            if bases:
-                yield None, bases
+        while (last is None or at < last) and (data := file.read(BLOCK if last is None else min(BLOCK, last - at))):
+            at, place = at + len(data), 0
+            while place < len(data):
+                if fresh and data[place : place + 1] == b">":
+                    behind = data.find(b"\n", place) + 1
+                    line = data[place + 1 : behind or len(data)]
+                    while not line.endswith(b"\n") and (more := file.readline(BLOCK)):
+                        line, at = line + more, at + len(more)
+                    place = behind or len(data)
+                    yield (line.split() or [b""])[0].decode(), b""
+                    continue
+                # All lines up to the next header at once.
+                behind = data.find(b"\n>", place) + 1 or len(data)
+                bases = data[place:behind].translate(None, WHITE)
+                fresh, place = data[behind - 1 : behind] == b"\n", behind
+                if bases:
+                    yield None, bases
 
 
 def fasta_range(path: str, start: int, end: int) -> tuple[int, str | None, int]:
@@ -311,10 +326,11 @@ class _FastaReader(_Reader):
                     continue
                 if chrom is None:
                     raise ValueError(f"{path}: bases before the first header")
-                held += bases
-                while len(held) >= (room := window - at % window):
-                    yield chrom, at, held[:room]
-                    at, held = at + room, held[room:]
+                held, place = held + bases, 0
+                while len(held) - place >= (room := window - at % window):
+                    yield chrom, at, held[place : place + room]
+                    at, place = at + room, place + room
+                held = held[place:]
             if held:
                 yield chrom, at, held
 

@@ -1,6 +1,8 @@
 """Files by ranges: the same records however a file is cut."""
 
 import gzip
+import json
+import pickle
 import random
 
 import pyarrow as pa
@@ -74,6 +76,39 @@ def test_fasta_windows(spark, tmp_path):
         ranges.read_fasta_windows(spark, str(plain)).collect()
 
 
+def test_fasta_is_cut_anywhere(tmp_path, monkeypatch):
+    rng = random.Random(4)
+    made = [(f"c{k}", "".join(rng.choice("ACGTacgtN") for _ in range(rng.randrange(60)))) for k in range(40)]
+    body = "".join(f">{n} x>y {'about ' * (k % 9)}\r\n" + "".join(s[i : i + 7] + rng.choice(["\n", "\r\n", " \n\n"]) for i in range(0, len(s), 7)) for k, (n, s) in enumerate(made))
+    path = tmp_path / "a.fa"
+    path.write_bytes(body.rstrip().encode())
+    for block in (1, 3, 17, 1 << 20):
+        monkeypatch.setattr(ranges, "BLOCK", block)
+        for split in (1, 2, 13, 64, 10**6):
+            found = []
+            for _, p, a, b in ranges.cut([str(path)], split):
+                for name, bases in ranges.fasta_parts(p, a, b):
+                    found.append([name, ""]) if name is not None else found[-1].__setitem__(1, found[-1][1] + bases.decode())
+            assert [tuple(x) for x in found] == made, (block, split)
+
+
+def test_ranges_grow_with_files_and_tasks_get_their_own(spark, tmp_path, monkeypatch):
+    from brindle.plans import files
+
+    cores, path = spark.sparkContext.defaultParallelism, tmp_path / "a.fa"
+    for size, n in ((1 << 14, 1), (1 << 16, 4), (3 << 20, ranges.SHARES * cores)):
+        path.write_bytes(b">a\n" + b"A" * (size - 3))
+        assert len(ranges.cut([str(path)], ranges.split_for(spark, str(path), least=1 << 14))) in (n, n + 1)
+    assert ranges.split_for(spark, str(path), least=1, most=100) == 100
+    sent = [len(pickle.dumps(ranges._FastaReader({"ranges": json.dumps([("/a", k, k + 1, None, 0) for k in range(n)]), "window": "256"}))) for n in (1, 10_000)]
+    assert sent[0] == sent[1]
+    seen, read = [], ranges.read_fasta_windows
+    monkeypatch.setattr(ranges, "read_fasta_windows", lambda *a, **b: seen.append(read(*a, **b)) or seen[-1])
+    files.fasta_hard_mask(spark, "/root/testdata/sf0.1")
+    # Every file written ends a range, too.
+    assert seen[0].rdd.getNumPartitions() <= (ranges.SHARES + 1) * cores
+
+
 HEADER = ["@HD\tVN:1.6", "@SQ\tSN:chr1\tLN:100000", "@SQ\tSN:chr2\tLN:50"]
 TYPED = {"NM": ("i", "-3"), "XU": ("i", "4000000000"), "XF": ("f", "1.5"), "XA": ("A", "q"), "XZ": ("Z", "two words"), "XH": ("H", "1AE3"), "XB": ("B", "c,-1,2"), "XG": ("B", "f,0.5,2"), "XS": ("B", "S,1,65535")}
 
