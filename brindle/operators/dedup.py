@@ -16,6 +16,8 @@ from ..sources.folder import removed, written
 
 #: Rows up to which groups, or what rounds have left undecided, are judged in order by one task. Larger groups go in rounds.
 IN_ORDER = 200_000
+#: Keys, and hashes of keys, that are broadcast at most.
+BROADCAST, HASHES = 1 << 18, 1 << 20
 POSITIONS = {"start": ("start", "ref_start"), "end": ("end", "ref_end")}
 
 
@@ -126,43 +128,96 @@ def _greedy(reads: DataFrame, alternatives: list[list[str]], within: list[str],
 def in_rounds(reads: DataFrame, alternatives: list[list[str]], within: list[str], order: list[str]) -> DataFrame:
     """The reads that judging in order keeps, with dc, found for a whole table at once.
 
+    The first round is made by the first alternative: its keys' first reads are looked up, and those are kept that no read with one of their other keys comes before. All reads
+    of a kept one's first key are then its copies, and are only counted, by key. What the other keys leave over goes into rounds, if none of its keys
+    has an owner. Thus only summaries of keys are shuffled, and the reads left over; all reads are, if the keys that tell them apart are too many to be broadcast.
+    """
+    numbered = written(reads.withColumn("_id", F.monotonically_increasing_id()), "reads")
+    group = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in within]
+    keys = F.array(*[F.concat(F.array(*group), key) if group else key for key in _parts(reads, alternatives)])
+    slim = numbered.select(F.struct(*order, "_id").alias("at"), keys.alias("keys"), F.struct(*numbered.columns).alias("row"))
+    if numbered.count() <= IN_ORDER:
+        kept = written(_rounds(slim.select("at", "keys")), "kept")
+        waiting, origin, sums = slim, slim, None
+    else:
+        places = [slim.withColumn("key", F.get("keys", F.lit(k))) for k in range(len(alternatives))]
+        firsts = written(places[0].groupBy("key").agg(F.min("at").alias("at"), F.count("*").alias("n")), "firsts")
+        ids = firsts.select(F.col("at._id").alias("_first"))
+        ids = F.broadcast(ids) if firsts.count() <= HASHES else ids
+        candidates = written(slim.join(ids, F.col("at._id") == F.col("_first"), "left_semi"), "candidates")
+        own = candidates.select("at", F.explode(F.array_distinct("keys")).alias("key"))
+        others = reduce(DataFrame.unionByName, [_among(rows.select("at", "key"), own.select("key").distinct()) for rows in places[1:]]).groupBy("key").agg(F.min("at").alias("at"))
+        first = firsts.select("key", "at").unionByName(others).groupBy("key").agg(F.min("at").alias("first"))
+        chosen = own.join(first, "key").groupBy("at").agg(F.bool_and(F.col("first") == F.col("at")).alias("all_first")).where("all_first").select("at")
+        now = written(candidates.join(chosen, "at", "left_semi"), "kept")
+        owners = _owners(now)
+        found = written(firsts.select("key", "n").join(owners, "key", "left"), "found")
+        owned, free = found.where("owner IS NOT NULL"), found.where("owner IS NULL")
+        rest = places[0]
+        if owned.count() < free.count():
+            rest = rest.join(_few(owned.select("key")), "key", "left_anti").drop("key")
+        else:
+            rest = _among(rest, free.select("key")).drop("key")
+        rest = left = written(rest, "rest")
+        for place in range(1, len(alternatives)):
+            left = left.withColumn("key", F.get("keys", F.lit(place))).join(_few(owners.select("key")), "key", "left_anti").drop("key")
+        left = written(left, "undecided")
+        kept = now.select("at", "keys").unionByName(written(_rounds(left.select("at", "keys")), "kept"))
+        waiting, origin = rest, now.unionByName(left)
+        # The owner itself is among the reads of its own first key.
+        own = now.select(F.col("at").alias("owner"), F.get("keys", F.lit(0)).alias("key"), F.lit(1).alias("self"))
+        sums = owned.join(own, ["owner", "key"], "left").select("owner", (F.col("n") - F.coalesce("self", F.lit(0))).alias("_copies"))
+    keyed = waiting.select("at", F.posexplode("keys").alias("place", "key"))
+    copies = keyed.join(_few(_owners(kept)), "key").where(F.col("owner") < F.col("at"))
+    counts = copies.groupBy("at").agg(F.min_by("owner", "place").alias("owner")).groupBy("owner").agg(F.count("*").alias("_copies"))
+    counts = counts if sums is None else counts.unionByName(sums)
+    counts = counts.groupBy(F.col("owner._id").alias("_id")).agg(F.sum("_copies").alias("_copies"))
+    out = origin.select("row.*").join(kept.select(F.col("at._id").alias("_id")), "_id").join(counts, "_id", "left")
+    return out.withColumn("dc", 1 + F.coalesce("_copies", F.lit(0))).drop("_id", "_copies")
+
+
+def _owners(kept: DataFrame) -> DataFrame:
+    """(key, owner) of kept reads (at, keys)."""
+    return kept.select(F.col("at").alias("owner"), F.explode(F.array_distinct("keys")).alias("key"))
+
+
+def _few(keys: DataFrame) -> DataFrame:
+    """A table of keys, to be broadcast if it has BROADCAST rows or fewer."""
+    return F.broadcast(keys) if keys.limit(BROADCAST + 1).count() <= BROADCAST else keys
+
+
+def _among(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows with one of the keys; up to HASHES of these, their hashes are broadcast first, so that few other rows are shuffled."""
+    keys = written(keys, "keys")
+    if keys.count() <= HASHES:
+        rows = rows.withColumn("_hash", F.xxhash64("key")).join(F.broadcast(keys.select(F.xxhash64("key").alias("_hash"))), "_hash", "left_semi").drop("_hash")
+    return rows.join(keys, "key", "left_semi")
+
+
+def _rounds(reads: DataFrame) -> DataFrame:
+    """The reads (at, keys) that judging in order keeps.
+
     In each round, a read that is the first undecided one of all its keys is kept, and all others that share one of them are
     copies: no read between them is left to decide otherwise. What remains goes into the next round; once it is
     IN_ORDER rows or fewer, one task judges them in order. A key that very many reads share decides all of them in its first round, and its
     rows are only aggregated and joined, never gathered.
     """
-    spark = reads.sparkSession
-    numbered = written(reads.withColumn("_id", F.monotonically_increasing_id()), "reads")
-    group = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in within]
-    keys = F.array(*[F.concat(F.array(*group), key) if group else key for key in _parts(reads, alternatives)])
-    every = written(numbered.select(F.struct(*order, "_id").alias("at"), F.posexplode(keys).alias("place", "key")), "keys")
-    left, kept, used = every.select("at", "key").distinct(), None, []
-    while True:
-        left = written(left, "left")
-        used.append(left)
-        n = left.select(F.count_distinct("at")).first()[0]
-        if n <= IN_ORDER:
-            last = _in_order(left)
-            kept = last if kept is None else kept.unionByName(last)
-            break
-        first = left.groupBy("key").agg(F.min("at").alias("first"))
-        judged = left.join(first, "key").groupBy("at").agg(F.bool_and(F.col("first") == F.col("at")).alias("all_first"))
-        now = written(judged.where("all_first").select("at"), "kept")
+    left, kept = written(reads, "left"), None
+    while left.count() > IN_ORDER:
+        keyed = left.select("at", F.explode(F.array_distinct("keys")).alias("key"))
+        first = keyed.groupBy("key").agg(F.min("at").alias("first"))
+        chosen = keyed.join(first, "key").groupBy("at").agg(F.bool_and(F.col("first") == F.col("at")).alias("all_first")).where("all_first").select("at")
+        now = written(left.join(chosen, "at", "left_semi"), "kept")
         kept = now if kept is None else kept.unionByName(now)
-        taken = left.join(now, "at", "left_semi").select("key").distinct()
-        gone = left.join(taken, "key", "left_semi").select("at").distinct()
-        left = left.join(gone, "at", "left_anti")
-    kept = written(kept, "primaries")
-    removed(*used)
-    owners = every.join(kept, "at", "left_semi").groupBy("key").agg(F.min("at").alias("owner"))
-    copies = every.join(kept, "at", "left_anti").join(owners, "key").where(F.col("owner") < F.col("at"))
-    counts = copies.groupBy("at").agg(F.min_by("owner", "place").alias("owner")).groupBy(F.col("owner._id").alias("_id")).agg(F.count("*").alias("_copies"))
-    out = numbered.join(kept.select(F.col("at._id").alias("_id")), "_id").join(counts, "_id", "left")
-    return out.withColumn("dc", 1 + F.coalesce("_copies", F.lit(0))).drop("_id", "_copies")
+        gone = keyed.join(_owners(now).select("key").distinct(), "key", "left_semi").select("at").distinct()
+        before, left = left, written(left.join(gone, "at", "left_anti"), "left")
+        removed(before)
+    last = _in_order(left)
+    return last if kept is None else kept.unionByName(last)
 
 
 def _in_order(left: DataFrame) -> DataFrame:
-    """The reads of (at, key), few enough for one task, that judging in order keeps."""
+    """The reads (at, keys), few enough for one task, that judging in order keeps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple] = set()
@@ -173,10 +228,9 @@ def _in_order(left: DataFrame) -> DataFrame:
                 keep.append(not any(k in seen for k in own))
                 if keep[-1]:
                     seen.update(own)
-            yield batch.select(["at"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    whole = left.groupBy("at").agg(F.collect_list("key").alias("keys"))
-    return whole.repartition(1).sortWithinPartitions("at").mapInArrow(run, left.select("at").schema)
+    return left.repartition(1).sortWithinPartitions("at").mapInArrow(run, left.schema)
 
 
 def multiplicity(reads: DataFrame) -> DataFrame:

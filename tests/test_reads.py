@@ -135,6 +135,43 @@ def test_equal_values_of_two_tags_are_one_key(spark):
     assert rows(dedup.deduplicate(reads, "RX|RY"), "idx", "dc") == [(1, 2)]
 
 
+@pytest.mark.parametrize("few", [2, 1 << 20])
+def test_whole_tables_are_judged_by_summaries_of_keys(spark, monkeypatch, few):
+    for limit in ("IN_ORDER", "BROADCAST", "HASHES"):
+        monkeypatch.setattr(dedup, limit, few if limit != "IN_ORDER" else 10)
+    sizes, write = {}, dedup.written
+
+    def written(df, name):
+        out = write(df, name)
+        sizes[name] = sizes.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(dedup, "written", written)
+    rng = random.Random(3)
+    # Keys that rise with the order, as in sorted reads; a key of very many; values that both columns have.
+    made = [(k, "", f"v{k // 100 * 5 + rng.randrange(5)}", f"v{rng.choice([0, k // 100 * 20 + rng.randrange(20)])}") for k in range(800)]
+
+    def judged(first, second):
+        seen, kept = {}, {}
+        for r in made:
+            hit = next((seen[r[c]] for c in (first, second) if r[c] in seen), None)
+            if hit is None:
+                kept[r[0]] = 1
+                seen.update({r[2]: r[0], r[3]: r[0]})
+            else:
+                kept[hit] += 1
+        return sorted(kept.items())
+
+    reads = spark.createDataFrame([(k, a, b) for k, _, a, b in made], "idx int, a string, b string")
+    assert rows(dedup.deduplicate(reads, "a|b"), "idx", "dc") == judged(2, 3)
+    assert rows(dedup.deduplicate(reads, "b|a"), "idx", "dc") == judged(3, 2)
+    sizes.clear()
+    apart = reads.selectExpr("idx", "concat('a', a) AS a", "concat('b', b) AS b")
+    assert rows(dedup.deduplicate(apart, "a|b"), "idx", "dc") == in_order(made)
+    # Besides the reads themselves, what is written is less than they are.
+    assert sum(n for name, n in sizes.items() if name != "reads") < len(made) == sizes["reads"]
+
+
 def test_multiplicity_file_has_no_header(spark, tmp_path):
     dedup.write_multiplicity(spark.createDataFrame([(2,), (1,), (2,)], "dc long"), str(tmp_path / "h"))
     assert spark.read.text(str(tmp_path / "h")).collect()[0][0] == "1\t1"
