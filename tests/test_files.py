@@ -141,6 +141,41 @@ def test_bam_is_cut_anywhere(tmp_path):
     assert (got[4]["ref_start"], got[4]["ref_end"]) == (4, 4 + 2 + 3 + 4) and (got[3]["ref_start"], got[3]["ref_end"]) == (-1, -1)
 
 
+def test_bam_records_together_are_those_one_by_one(tmp_path, monkeypatch):
+    rng = random.Random(6)
+    places, names = {"chr1": 0, "chr2": 1}, ["chr1", "chr2"]
+    plain = {"NM": "i", "XU": "i", "XA": "A", "XZ": "Z", "XH": "H"}
+
+    def some(k):
+        seq = "".join(rng.choice("ACGTNacgt=") for _ in range(rng.randrange(40))) or "*"
+        tags = rng.sample(sorted(plain), rng.randrange(6))
+        more = {"qual": rng.choice(["*", "".join(chr(rng.randrange(33, 127)) for _ in seq)]) if seq != "*" else "*", "rname": rng.choice(["chr1", "chr2", "*"]), "rnext": rng.choice(["=", "*", "chr2"]), "pos": rng.randrange(1 << rng.randrange(1, 29)), "cigar": rng.choice(["*", "3M2I", "1S200000N4X5="])}
+        return record(k, seq, **more, tags=[(t, TYPED[t][1] if rng.random() < 0.5 or t == "XA" else "12") for t in tags], types=[(t, plain[t]) for t in reversed(tags)])
+
+    made = [some(k) for k in range(300)]
+    whole = as_batch(made)
+    for batch in (whole, whole.slice(17, 101), whole.slice(299), whole.slice(0, 0)):
+        want = b"".join(bam.encoded(r, places) for r in batch.to_pylist())
+        assert bam._encoded_plain(batch, places) == want == bam.encoded_together(batch, places)
+        at, bodies = 0, []
+        while at < len(want):
+            bodies.append((at + 4, int.from_bytes(want[at : at + 4], "little")))
+            at += 4 + bodies[-1][1]
+        if bodies:
+            slow, monkey = [bam.decoded(want, a, n, names) for a, n in bodies], bam.decoded
+            monkeypatch.setattr(bam, "decoded", None)  # not one of them is decoded alone
+            assert list(zip(*(c.to_pylist() for c in bam.decoded_together(want, [a for a, _ in bodies], names).columns))) == slow
+            monkeypatch.setattr(bam, "decoded", monkey)
+    # What numpy does not write is written, or refused, as before.
+    for odd in (record(1, "ACG", qual="II"), record(1, tags=[("XF", "1.5")], types=[("XF", "f")]), record(1, tags=[("XB", "c,-1,2")], types=[("XB", "B")]), record(1, tags=[("NM", "+5")], types=[("NM", "i")])):
+        assert bam.encoded_together(as_batch([odd]), places) == bam.encoded(odd, places)
+    for wrong in (record(1, rname="chrX"), record(1, flag=1 << 17), record(1, qual="II II"), record(1, "AC!GT"), record(1, tags=[("NM", "x")], types=[("NM", "i")])):
+        with pytest.raises(Exception) as one:
+            bam.encoded(wrong, places)
+        with pytest.raises(one.type):
+            bam.encoded_together(as_batch([wrong]), places)
+
+
 def test_bam_through_spark(spark, tmp_path):
     columns = ", ".join(c for c in bam.COLUMNS.split(", ") if not c.startswith("ref_"))
     records = spark.createDataFrame([tuple((dict(v) if isinstance(v, list) else v) for v in record(k, "ACGT" * 50).values()) for k in range(4000)], columns)
